@@ -47,23 +47,14 @@ def _decode_numeric(text: Column) -> Column:
     refs = F.array_distinct(
         F.regexp_extract_all(text, F.lit(r"&#(?:\d{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0))
     )
-    coded = F.transform(
+    points = F.transform(
         refs,
         lambda r: F.struct(
             r.alias("ref"),
-            F.conv(
-                F.regexp_extract(r, "([0-9A-Fa-f]+);", 1),
-                F.lit(10), F.lit(10),
-            ).cast("bigint").alias("dec"),
-            F.conv(F.regexp_extract(r, "[xX]([0-9A-Fa-f]+);", 1), F.lit(16), F.lit(10))
-            .cast("bigint").alias("hex"),
-        ),
-    )
-    points = F.transform(
-        coded,
-        lambda c: F.struct(
-            c["ref"].alias("ref"),
-            F.when(c["ref"].rlike("^&#[xX]"), c["hex"]).otherwise(c["dec"]).alias("n"),
+            F.when(r.rlike("^&#[xX]"), F.conv(F.regexp_extract(r, "[xX]([0-9A-Fa-f]+);", 1), 16, 10))
+            .otherwise(F.regexp_extract(r, r"(\d+);", 1))
+            .cast("bigint")
+            .alias("n"),
         ),
     )
     valid = F.filter(
@@ -280,17 +271,20 @@ def role_from_text(text: Column) -> Column:
     return out
 
 
+_BLOCK_END = r"(?i)</(?:p|div|h[1-6]|ul|ol|table|section|article)\s*>"
+
+
 def classify_role(html: Column) -> Column:
     """Role named after the media-contact heading.
 
-    Each text node after the heading is tried in turn, so the first node that
-    names a role decides.
+    Each block of text after the heading is tried in turn, so the first one
+    that names a role decides.
     """
     region = F.coalesce(first_region(html), html)
     contact = r"(?is)<(h5|h6)\b[^>]*>(?:(?!</\1).)*?media contact.*?</\1\s*>"
-    after = F.split(region, contact, 2)
+    blocks = F.split(F.get(F.split(region, contact, 2), 1), _BLOCK_END, -1)
     roles = F.filter(
-        F.transform(text_nodes(F.get(after, 1)), role_from_text), lambda r: r.isNotNull()
+        F.transform(blocks, lambda b: role_from_text(html_text(b, " "))), lambda r: r.isNotNull()
     )
     return F.coalesce(F.get(roles, 0), F.lit(rules.DEFAULT_ROLE))
 
@@ -298,7 +292,7 @@ def classify_role(html: Column) -> Column:
 def electorate(html: Column) -> Column:
     region = F.coalesce(first_region(html), html)
     shouted = F.filter(
-        F.transform(_elements(region, "h4"), html_text),
+        F.transform(_elements(region, "h4"), lambda h: html_text(h)),
         lambda t: (F.length(t) <= 80)
         & (t == F.upper(t))
         & t.rlike(r"\p{L}")

@@ -123,10 +123,10 @@ def metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
 
 
 def _last_wins(pairs: Column, names) -> Column:
-    values = [
-        F.try_element_at(F.filter(pairs, lambda p, n=n: p["k"] == n), F.lit(-1))["v"]
-        for n in names
-    ]
+    def last(name: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda p: p["k"] == name), F.lit(-1))["v"]
+
+    values = [last(n) for n in names]
     full = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*values))
     return F.map_filter(full, lambda _, v: v.isNotNull())
 

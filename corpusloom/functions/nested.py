@@ -1,0 +1,143 @@
+"""Content region and markdown of pages whose selectors need real nesting.
+
+The Arrow UDF carries only a page's source in and its markdown out; selection
+and conversion share one forgiving stdlib parser pass.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_VOID = {"br", "img", "hr", "meta", "link", "input", "source", "wbr", "area", "base", "col"}
+_HIDDEN = {"script", "style", "title"}
+_BLOCK = {"p", "div", "section", "article", "ul", "ol", "blockquote", "main"}
+_WRAP = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
+
+
+class _Node:
+    __slots__ = ("tag", "attrs", "kids")
+
+    def __init__(self, tag: str, attrs: dict):
+        self.tag, self.attrs, self.kids = tag, attrs, []
+
+
+class _Tree(HTMLParser):
+    """Elements nest as written; an end tag closes up to its nearest open element."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("", {})
+        self.open = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = _Node(tag, dict(attrs))
+        self.open[-1].kids.append(node)
+        if tag not in _VOID:
+            self.open.append(node)
+
+    def handle_endtag(self, tag):
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == tag:
+                del self.open[depth:]
+                return
+
+    def handle_data(self, data):
+        self.open[-1].kids.append(data)
+
+
+def _walk(node: _Node):
+    stack = [node]
+    while stack:
+        n = stack.pop()
+        yield n
+        if isinstance(n, _Node):
+            stack.extend(reversed(n.kids))
+
+
+def _text_length(node: _Node) -> int:
+    return sum(len(n.strip()) for n in _walk(node) if isinstance(n, str))
+
+
+_SELECTORS = (
+    lambda n: n.tag == "main",
+    lambda n: n.attrs.get("role") == "main",
+    lambda n: "page-content" in (n.attrs.get("class") or "").split(),
+    lambda n: n.tag == "article",
+)
+
+
+def _region(root: _Node, threshold: int) -> _Node | None:
+    for wanted in _SELECTORS:
+        hit = next((n for n in _walk(root) if isinstance(n, _Node) and wanted(n)), None)
+        if hit is not None and _text_length(hit) > threshold:
+            return hit
+    return None
+
+
+def _markdown(root: _Node) -> str:
+    """Post-order conversion with an explicit stack, so deep nesting cannot overflow."""
+    done: dict[int, str] = {}
+    stack = [(root, False)]
+    while stack:
+        node, ready = stack.pop()
+        if not ready:
+            stack.append((node, True))
+            stack.extend((k, False) for k in node.kids if isinstance(k, _Node))
+            continue
+        parts = []
+        for k in node.kids:
+            if isinstance(k, _Node):
+                parts.append(done.pop(id(k)))
+            else:
+                parts.append(re.sub(r"([*_])", r"\\\1", re.sub(r"[\t \r\n]+", " ", k)))
+        done[id(node)] = _render(node, "".join(parts))
+    out = done[id(root)].replace("\n ", "\n")
+    return re.sub(r"\n{3,}", "\n\n", out).strip()
+
+
+def _render(node: _Node, inner: str) -> str:
+    tag = node.tag
+    if tag in _HIDDEN:
+        return ""
+    if tag in _WRAP:
+        mark, core = _WRAP[tag], inner.strip()
+        return inner.replace(core, f"{mark}{core}{mark}", 1) if core else inner
+    if re.fullmatch("h[1-6]", tag):
+        return f"\n\n{'#' * int(tag[1])} {inner.strip()}\n\n"
+    if tag == "a" and node.attrs.get("href"):
+        return f"[{inner.strip()}]({node.attrs['href']})" if inner.strip() else ""
+    if tag == "img":
+        return f"![{node.attrs.get('alt') or ''}]({node.attrs.get('src') or ''})"
+    if tag == "li":
+        return "\n* " + re.sub(r"\n+", "\n  ", inner.strip())
+    if tag == "br":
+        return "  \n"
+    if tag == "hr":
+        return "\n\n---\n\n"
+    if tag == "blockquote":
+        return "\n\n" + re.sub(r"(?m)^", "> ", inner.strip()) + "\n\n"
+    return f"\n\n{inner}\n\n" if tag in _BLOCK else inner
+
+
+def page_markdown(html: str, threshold: int = 50) -> str:
+    """Markdown of the first content region with enough text, else an empty string."""
+    tree = _Tree()
+    tree.feed(html)
+    tree.close()
+    region = _region(tree.root, threshold)
+    return "" if region is None else _markdown(region)
+
+
+@F.pandas_udf(T.StringType())
+def _page_markdown(pages: pd.Series) -> pd.Series:
+    return pages.map(page_markdown, na_action="ignore")
+
+
+def region_markdown(html: Column) -> Column:
+    return _page_markdown(html)

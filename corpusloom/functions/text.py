@@ -99,10 +99,14 @@ def name_slug(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Capitalise after every non-letter (initcap only splits on blanks)."""
     runs = F.regexp_extract_all(c, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
-    caps = F.transform(
-        runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))), F.lower(F.substr(r, F.lit(2))))
-    )
-    return F.array_join(caps, "")
+
+    def capital(r: Column) -> Column:
+        # upper-casing may give two letters, of which only the first stays upper
+        first = F.upper(F.left(r, F.lit(1)))
+        rest = F.concat(F.substr(first, F.lit(2)), F.substr(r, F.lit(2)))
+        return F.concat(F.left(first, F.lit(1)), F.lower(rest))
+
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def slug_title(c: Column) -> Column:
