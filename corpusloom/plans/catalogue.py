@@ -9,7 +9,7 @@ from corpusloom.functions import compare as V
 from corpusloom.functions import html as H
 from corpusloom.functions import markdown as M
 from corpusloom.functions import text as X
-from corpusloom.plans import item_queries, text_queries, web_queries  # noqa: F401
+from corpusloom.plans import item_queries, report_queries, text_queries, web_queries  # noqa: F401
 from corpusloom.plans.book import ORACLES, QUERIES, d_element, d_sub, d_text, query, table
 
 __all__ = ["ORACLES", "QUERIES", "page_catalogue"]

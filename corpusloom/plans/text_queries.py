@@ -102,7 +102,7 @@ def d_field(x: str, key: str) -> str:
 
 def d_no_fields(x: str) -> str:
     pat = f"^\\*\\*({KEYS})\\*\\*:\\s*(.+)$"
-    return d_unlines(f"list_filter({d_lines(x)}, lambda l: NOT regexp_matches({d_strip('l')}, '{pat}'))")
+    return d_unlines(f"list_filter({d_lines(x)}, lambda l: NOT (regexp_matches({d_strip('l')}, '{pat}') OR regexp_matches(l, '{pat}')))")
 
 
 def d_quote_field(x: str, key: str) -> str:

@@ -53,13 +53,19 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def scan_json_index(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A JSON array of records; a missing or corrupt file gives no rows."""
+def scan_json_index(
+    spark: SparkSession, path: str, schema: T.StructType, array: bool = False
+) -> DataFrame:
+    """JSON records, one per line, or with `array` one JSON array per file.
+
+    A missing file or corrupt records give no rows. Array files cannot be split,
+    so the sinks here write lines.
+    """
     bad = "_bad"
     wide = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
     try:
         df = spark.read.schema(wide).json(
-            path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=bad
+            path, multiLine=array, mode="PERMISSIVE", columnNameOfCorruptRecord=bad
         )
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
