@@ -29,11 +29,23 @@ def _latin_table() -> tuple[str, str]:
 
 
 @lru_cache(maxsize=1)
-def _native_class() -> str:
-    """Characters the translate table alone handles, or that never decompose."""
-    table = _latin_table()[0]
-    fixed = "".join(chr(n) for n in range(0xA0, 0x250) if _plain(chr(n)) == chr(n))
-    return rf"[^\x00-\x7f{table}{fixed}‐–—‘-‛“-‟†‡•€]"
+def _odd_class() -> str:
+    """Ranges of characters that need full decomposition.
+
+    Below U+0250 these are the few that become several characters or stay
+    outside ASCII; above it everything but dashes, quotes and bullets.
+    """
+    known = set(_latin_table()[0])
+    odd = [n for n in range(0xA0, 0x250) if _plain(chr(n)) != chr(n) and chr(n) not in known]
+    odd += [n for n in range(0x250, 0x10000) if not 0x2010 <= n <= 0x2022 or n == 0x2011]
+    ranges: list[list[int]] = []
+    for n in odd:
+        if ranges and ranges[-1][1] == n - 1:
+            ranges[-1][1] = n
+        else:
+            ranges.append([n, n])
+    body = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges)
+    return rf"[{body}\x{{10000}}-\x{{10ffff}}]"
 
 
 @F.pandas_udf(T.StringType())
@@ -48,7 +60,7 @@ def normalise_compare(text: Column) -> Column:
     reach the Arrow UDF (the others send it a null).
     """
     clean = strip_glyphs(text)
-    odd = F.when(clean.rlike(_native_class()), clean)
+    odd = F.when(clean.rlike(_odd_class()), clean)
     source, target = _latin_table()
     return F.coalesce(_nfkd(odd), F.translate(clean, source, target))
 

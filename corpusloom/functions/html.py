@@ -132,19 +132,28 @@ def body_html(html: Column) -> Column:
     return drop_boilerplate(element(html, "body"))
 
 
+def _long_enough(html: Column, threshold: int, wide: bool = False) -> list[Column]:
+    def keep(region: Column) -> Column:
+        long = (F.length(region) > threshold) & (F.length(html_text(region)) > threshold)
+        return F.when(long, region)
+
+    return [let(r, keep) for r in content_regions(html, wide)]
+
+
 def main_content(html: Column, threshold: int = 50, fall_back: bool = False) -> Column:
     """First region with more than `threshold` characters of text.
 
     With `fall_back` the body without boilerplate is used, else an empty string.
     """
-    picks = [F.when(F.length(html_text(r)) > threshold, r) for r in content_regions(html)]
-    return F.coalesce(*picks, body_html(html) if fall_back else F.lit(""))
+    return F.coalesce(
+        *_long_enough(html, threshold), body_html(html) if fall_back else F.lit("")
+    )
 
 
 def main_text(html: Column, threshold: int = 100) -> Column:
     """Newline-joined text of the content region, the body or the whole page."""
-    picks = [F.when(F.length(html_text(r)) > threshold, r) for r in content_regions(html, True)]
     has_body = html.rlike(r"(?i)<body\b")
+    picks = _long_enough(html, threshold, wide=True)
     return html_text(F.coalesce(*picks, F.when(has_body, body_html(html)), html), "\n")
 
 

@@ -123,12 +123,14 @@ def metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
 
 
 def _last_wins(pairs: Column, names) -> Column:
-    def last(name: str) -> Column:
-        return F.try_element_at(F.filter(pairs, lambda p: p["k"] == name), F.lit(-1))["v"]
+    def build(ps: Column) -> Column:
+        def last(name: str) -> Column:
+            return F.try_element_at(F.filter(ps, lambda p: p["k"] == name), F.lit(-1))["v"]
 
-    values = [last(n) for n in names]
-    full = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*values))
-    return F.map_filter(full, lambda _, v: v.isNotNull())
+        full = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*map(last, names)))
+        return F.map_filter(full, lambda _, v: v.isNotNull())
+
+    return let(pairs, build)
 
 
 def without_metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
@@ -171,11 +173,15 @@ def pdf_table_meta(body: Column) -> Column:
         ),
     )
     pairs = F.filter(pairs, lambda p: ~p["k"].isin(*rules.PDF_TABLE_SKIP))
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    values = F.transform(
-        keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]
-    )
-    return F.map_from_arrays(keys, values)
+
+    def build(ps: Column) -> Column:
+        keys = F.array_distinct(F.transform(ps, lambda p: p["k"]))
+        values = F.transform(
+            keys, lambda k: F.element_at(F.filter(ps, lambda p: p["k"] == k), -1)["v"]
+        )
+        return F.map_from_arrays(keys, values)
+
+    return let(pairs, build)
 
 
 def pdf_table_field(body: Column, key: str) -> Column:

@@ -142,6 +142,31 @@ def display_date(c: Column) -> Column:
     return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit(""))
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """`%.{digits}f` of a double from 0 to 100, rounded on its exact binary value.
+
+    Java rounds the shortest decimal form half up, which differs at ties; here
+    the value becomes an exact integer (times a power of two) first.
+    """
+    bits = 55
+    exact = (c * F.lit(float(2**bits))).cast("bigint").cast("decimal(20,0)")
+    scaled = exact * F.lit(10**digits).cast("decimal(6,0)")
+    den = F.lit(2**bits).cast("decimal(20,0)")
+
+    def text(n: Column) -> Column:
+        q = F.floor(n / den).cast("bigint")
+        return let(q, lambda x: rounded(x, n - x.cast("decimal(12,0)") * den))
+
+    def rounded(q: Column, rest: Column) -> Column:
+        up = F.when(rest * 2 > den, 1).when(rest * 2 == den, q % 2).otherwise(0)
+        return let(q + up, lambda x: F.concat(
+            F.floor(x / 10**digits).cast("string"), F.lit("."),
+            F.lpad((x % 10**digits).cast("string"), digits, "0"),
+        ))
+
+    return let(scaled, text)
+
+
 def format_age(seconds: Column) -> Column:
     s = seconds.cast("bigint")
     hours = F.floor(s / 3600).cast("bigint")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions import markdown as M
-from corpusloom.functions.text import name_slug, year_of
+from corpusloom.functions.text import fixed, name_slug, year_of
 from corpusloom.operators.scale import joined_parts
 
 DASH = "—"
@@ -96,7 +96,7 @@ def quality_report(results: DataFrame) -> DataFrame:
         F.concat(F.lit("`"), "filename", F.lit("`")),
         F.format_number("pymupdf_words", 0),
         F.format_number("markdown_words", 0),
-        F.format_string("%.1f%%", F.col("word_coverage") * 100),
+        F.concat(fixed(F.col("word_coverage") * 100, 1), F.lit("%")),
         *[F.col(c).cast("string") for c in ("headings", "table_rows", "bullets")],
         status,
     ]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.functions import compare as V
 from corpusloom.functions.markdown import clean_pdf_body
+from corpusloom.functions.text import fixed
 
 
 def word_stats(docs: DataFrame, raw: str = "raw_text", md: str = "raw_md") -> DataFrame:
@@ -62,7 +63,8 @@ def validate(
             F.when(
                 low,
                 F.concat(
-                    F.format_string("word coverage %.3f", "coverage"),
+                    F.lit("word coverage "),
+                    fixed(F.col("coverage"), 3),
                     F.lit(f" < threshold {threshold}"),
                 ),
             ),

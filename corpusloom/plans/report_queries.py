@@ -150,7 +150,7 @@ def _(spark, sf):
 @query(
     "g26_quality_report",
     "SELECT filename, '| `' || filename || '` | ' || format('{:,}', pymupdf_words) || ' | ' || format('{:,}', markdown_words) || ' | ' || "
-    "printf('%.1f%%', floor(word_coverage * 1000 + 0.5 + 1e-9) / 10) || ' | ' || headings || ' | 0 | 0 | ' || CASE WHEN passed THEN '✅ pass' ELSE '⚠️ fail' END || ' |' AS line, "
+    "printf('%.1f%%', word_coverage * 100) || ' | ' || headings || ' | 0 | 0 | ' || CASE WHEN passed THEN '✅ pass' ELSE '⚠️ fail' END || ' |' AS line, "
     f"CASE WHEN notes <> '' THEN '- **`' || filename || '`**: ' || notes END AS notes_line FROM ({VALID_SQL})",
 )
 def _(spark, sf):

@@ -73,4 +73,6 @@ def compare(con, df, sql: str) -> str | None:
         else:
             msg += f"\n   {str((left or right)[0])[:600]}"
         return msg
+    if not rows:
+        return "no rows"
     return f"types {bad}" if bad else None
