@@ -6,7 +6,7 @@ whose tag can nest in itself (a class on a div) go through `nested.py`.
 
 from __future__ import annotations
 
-from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,52 +26,47 @@ from corpusloom.rules import WS
 
 _MARK = "\x01"
 
-# fixed values: entities decoded by name; numeric ones are computed
-_NAMED = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "copy": "©", "reg": "®",
-    "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—",
-    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
-    "deg": "°", "pound": "£", "euro": "€", "times": "×", "eacute": "é", "egrave": "è",
-    "aacute": "á", "agrave": "à", "auml": "ä", "ouml": "ö", "uuml": "ü", "ntilde": "ñ",
-    "ccedil": "ç", "szlig": "ß",
-}
-
-
+# name -> character, as one delimited string that folds to a literal map
+_NAMED = "\x02".join(
+    f"{name}\x03{chr(code)}" for name, code in sorted({**name2codepoint, "apos": 39}.items())
+)
+_REF = "&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
-def _code_point(n: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+def _character(ref: Column) -> Column:
+    """The character a reference stands for; null when it stands for none."""
+    body = F.regexp_replace(ref, "[&;]", "")
+    named = F.try_element_at(F.str_to_map(F.lit(_NAMED), F.lit("\x02"), F.lit("\x03")), body)
+    number = (
+        F.when(body.rlike("^#[xX]"), F.conv(F.substr(body, F.lit(3)), 16, 10))
+        .otherwise(F.substr(body, F.lit(2)))
+        .cast("bigint")
+    )
 
+    def by_number(n: Column) -> Column:
+        valid = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
 
-def _decode_numeric(text: Column) -> Column:
-    refs = F.array_distinct(
-        F.regexp_extract_all(text, F.lit(r"&#(?:\d{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0))
-    )
-    points = F.transform(
-        refs,
-        lambda r: F.struct(
-            r.alias("ref"),
-            F.when(r.rlike("^&#[xX]"), F.conv(F.regexp_extract(r, "[xX]([0-9A-Fa-f]+);", 1), 16, 10))
-            .otherwise(F.regexp_extract(r, r"(\d+);", 1))
-            .cast("bigint")
-            .alias("n"),
-        ),
-    )
-    valid = F.filter(
-        points, lambda p: p["n"].between(1, 0xD7FF) | p["n"].between(0xE000, 0x10FFFF)
-    )
-    return F.aggregate(valid, text, lambda acc, p: F.replace(acc, p["ref"], _code_point(p["n"])))
+    return F.when(
+        body.startswith("#"), let(F.when(body.startswith("#"), number), by_number)
+    ).otherwise(named)
 
 
 def decode_entities(text: Column) -> Column:
-    """Named, decimal and hexadecimal references; `&amp;` last, so nothing decodes twice."""
+    """Named, decimal and hexadecimal references.
+
+    Those that yield an ampersand are replaced last, so nothing decodes twice.
+    """
 
     def decode(t: Column) -> Column:
-        named = reduce(
-            lambda x, e: F.replace(x, F.lit(f"&{e[0]};"), F.lit(e[1])), _NAMED.items(), t
+        refs = F.array_distinct(F.regexp_extract_all(t, F.lit(_REF), F.lit(0)))
+        pairs = F.transform(
+            refs,
+            lambda r: F.struct((_character(r) == "&").alias("amp"), r.alias("ref"),
+                               _character(r).alias("to")),
         )
-        numeric = let(named, lambda x: F.when(x.contains("&#"), _decode_numeric(x)).otherwise(x))
-        return F.replace(numeric, F.lit("&amp;"), F.lit("&"))
+        known = F.array_sort(F.filter(pairs, lambda p: p["to"].isNotNull()))
+        return F.aggregate(known, t, lambda acc, p: F.replace(acc, p["ref"], p["to"]))
 
     return let(text, lambda t: F.when(t.contains("&"), decode(t)).otherwise(t))
 

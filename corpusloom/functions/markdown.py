@@ -324,7 +324,8 @@ def strip_redundant_headings(md: Column, name: Column, electorate: Column) -> Co
 # --- PDF text ---------------------------------------------------------------
 
 _INLINE_GLYPHS = "".join(map(chr, range(0x200B, 0x2010))) + "\ufeff\ufffd\u00ad"
-_PUA = "(?<=[A-Za-z])[\ue000-\uf8ff](?=[A-Za-z])"
+# the rare class leads, so the lookarounds run only where it matches
+_PUA = "[\ue000-\uf8ff](?<=[A-Za-z].)(?=[A-Za-z])"
 
 
 def strip_glyphs(text: Column) -> Column:

@@ -18,6 +18,7 @@ from corpusloom.functions.text import (
 )
 from corpusloom.operators.scale import first_by, lookup_join, numbered
 from corpusloom.rules import HS
+from corpusloom.session import durable
 
 
 def basename(path: Column) -> Column:
@@ -30,12 +31,12 @@ def pdf_entries_to_items(
     """(matched, missed) index entries that have a clean item and a source file."""
     kind = F.regexp_replace(basename(F.col("output_file")), r"^pdf-|\.md$", "")
     entries = index.withColumn("slug", F.concat("policy_slug", F.lit("-"), kind))
+    cleaned = items.select("slug").distinct().withColumn("has_item", F.lit(True))
+    stored = files.select(F.col("filename").alias("source_file")).distinct().withColumn(
+        "has_file", F.lit(True)
+    )
     flagged = lookup_join(
-        lookup_join(entries, items.select("slug").distinct().withColumn("has_item", F.lit(True)),
-                    ["slug"]),
-        files.select(F.col("filename").alias("source_file")).distinct()
-        .withColumn("has_file", F.lit(True)),
-        ["source_file"],
+        lookup_join(entries, cleaned, ["slug"]), stored, ["source_file"], keys_from=entries
     )
     both = F.col("has_item").isNotNull() & F.col("has_file").isNotNull()
     flags = ("has_item", "has_file")
@@ -77,14 +78,18 @@ def classify_downloads(links: DataFrame, registry: DataFrame, dry_run: bool = Fa
         F.min_by("md5", "ord").alias("first_md5"),
         F.min_by("own", "ord").alias("first_own"),
     )
-    ranked = lookup_join(known, first_key, ["key"])
+    # read by four joins below, so computed once
+    ranked = durable(lookup_join(known, first_key, ["key"], keys_from=keyed))
     by_hash = registry.filter("md5 is not null").groupBy(F.col("md5").alias("first_md5")).agg(
         F.min_by("filename", "ord").alias("hash_file")
     )
-    first_hash = first_key.groupBy("first_md5").agg(
+    firsts = ranked.filter("ord = first_ord").select("first_md5", "first_ord", "first_own")
+    first_hash = firsts.groupBy("first_md5").agg(
         F.min("first_ord").alias("hash_ord"), F.min_by("first_own", "first_ord").alias("hash_own")
     )
-    full = lookup_join(lookup_join(ranked, by_hash, ["first_md5"]), first_hash, ["first_md5"])
+    full = lookup_join(
+        lookup_join(ranked, by_hash, ["first_md5"]), first_hash, ["first_md5"], keys_from=ranked
+    )
     earlier = F.when(F.col("hash_ord") < F.col("first_ord"), F.col("hash_own"))
     canonical = F.coalesce("hash_file", earlier)
     drive = drive_file_id(F.col("url")).isNotNull()

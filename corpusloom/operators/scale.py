@@ -27,18 +27,25 @@ def first_by(df: DataFrame, keys: list[str], order: Column, last: bool = False)
 
 
 def lookup_join(
-    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", hot_rows: int = HOT_ROWS
+    fact: DataFrame,
+    dim: DataFrame,
+    on: list[str],
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a side with one row per key, whatever the key skew of `fact`.
 
     Keys with `hot_rows` rows or more are answered by a broadcast; their rows
     carry a salt through the shuffle join, so they spread over all tasks and
     match nothing there. Null keys are spread the same way.
-    `how` is inner, left, left_semi or left_anti.
+    `how` is inner, left, left_semi or left_anti. Key frequencies are counted on
+    `keys_from`, a cheaper frame with the same keys, where there is one.
     """
     values = [c for c in dim.columns if c not in on]
     side = dim.select(*on, F.struct(F.lit(True).alias("_hit"), *values).alias("_v"))
-    hot = fact.groupBy(*on).count().filter(F.col("count") >= hot_rows).select(*on)
+    counted = fact if keys_from is None else keys_from
+    hot = counted.groupBy(*on).count().filter(F.col("count") >= hot_rows).select(*on)
     hot_side = hot.join(side, on, "left").select(
         *on, F.lit(True).alias("_hot"), F.col("_v").alias("_hv")
     )

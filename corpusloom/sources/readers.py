@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +106,20 @@ def scan_jsonl_lenient(spark: SparkSession, path: str, tab: str, base: str) -> D
     return parse_media_lines(spark.read.text(path), "value", tab, base)
 
 
+def cached_listing(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], refresh: bool = False
+) -> DataFrame:
+    """A listing read from its Parquet copy, built and stored when absent or on request."""
+    if not refresh:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scan_item_files(spark: SparkSession, root: str) -> DataFrame:
     """(content_type, slug, meta, md, body) of `{type}/{slug}/{slug}.md` with its meta.json."""
     parts = r"/([^/_][^/]*)/([^/_][^/]*)/([^/]+)$"

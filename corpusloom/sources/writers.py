@@ -19,6 +19,7 @@ from corpusloom.operators.scale import first_by
 from corpusloom.operators.validate import validation_summary
 from corpusloom.session import durable
 
+MAX_TYPES = 100
 KEYS = ["content_type", "slug", "part"]
 
 
@@ -46,10 +47,13 @@ def write_clean_items(items: DataFrame, path: str) -> None:
     """
     spark = items.sparkSession
     new = durable(items)
-    touched = new.select("content_type").distinct()
-    stored = read_clean_items(spark, path).drop("rendered_md")
-    # at most one row per content type
-    affected = stored.join(F.broadcast(touched), "content_type", "left_semi")
+    touched = _content_types(new)
+    # literal predicate on the partition column: untouched types are not even listed
+    affected = (
+        read_clean_items(spark, path)
+        .drop("rendered_md")
+        .filter(F.col("content_type").isin(*touched))
+    )
     merged = durable(with_rendered(merge_meta(affected, new, KEYS)))
     (
         merged.repartition("content_type", F.pmod(F.xxhash64("slug"), F.lit(_files(spark))))
@@ -60,6 +64,14 @@ def write_clean_items(items: DataFrame, path: str) -> None:
     )
 
 
+def _content_types(items: DataFrame) -> list[str]:
+    """The content types present: a closed set that names the table's partitions."""
+    found = [r[0] for r in items.select("content_type").distinct().limit(MAX_TYPES + 1).collect()]
+    if len(found) > MAX_TYPES or None in found:
+        raise ValueError("content_type must be one of a small closed set")
+    return found
+
+
 def _files(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,5 +31,15 @@ def incremental_clean(
 
 
 def first_seen_stream(events: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
-    """Rows whose key was not seen within `delay`; state is dropped behind the watermark."""
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """Rows whose key was not seen within `delay`; state is dropped behind the watermark.
+
+    Repeats inside one Arrow batch go before the shuffle, so a hot key sends
+    one row per batch to the stateful task. The watermark only moves between
+    micro-batches, so this drops nothing the stateful step would have kept.
+    """
+    def local_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.drop_duplicates(key)
+
+    thinned = events.mapInPandas(local_first, events.schema)
+    return thinned.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
