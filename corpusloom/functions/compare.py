@@ -6,11 +6,11 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.markdown import strip_glyphs
+from corpusloom.functions.markdown import INLINE_GLYPHS, strip_glyphs
 from corpusloom.functions.text import let, strip, sub
 from corpusloom.rules import WS
 
@@ -69,6 +69,35 @@ def tokens(normalised: Column) -> Column:
     return F.regexp_extract_all(normalised, F.lit("[A-Za-z0-9]+"), F.lit(0))
 
 
+@lru_cache(maxsize=1)
+def _token_table() -> tuple[str, str]:
+    """As `_latin_table`, with characters that never belong to a token as dashes
+    and the invisible glyphs dropped."""
+    source, target = _latin_table()
+    fixed = [chr(n) for n in range(0x80, 0x250) if _plain(chr(n)) == chr(n) and n != 0xAD]
+    fixed += [chr(n) for n in range(0x2012, 0x2023) if _plain(chr(n)) == chr(n)] + ["\u20ac"]
+    return source + "".join(fixed) + INLINE_GLYPHS, target + "-" * len(fixed)
+
+
+def with_tokens(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds token arrays: {new column: text column}.
+
+    One `translate` leaves Latin text in plain ASCII, which a length check
+    confirms; only rows where it does not are normalised by the Arrow UDF.
+    """
+    plain = {f"_t_{c}": F.translate(c, *_token_table()) for c in columns.values()}
+    flat = df.withColumns(plain)
+
+    def token_text(c: str) -> Column:
+        t = F.col(f"_t_{c}")
+        odd = F.when(F.octet_length(t) != F.length(t), strip_glyphs(F.col(c)))
+        return F.coalesce(_nfkd(odd), t)
+
+    return flat.withColumns(
+        {out: tokens(token_text(c)) for out, c in columns.items()}
+    ).drop(*plain)
+
+
 def unique_words(token_array: Column) -> Column:
     return F.array_distinct(F.transform(token_array, F.lower))
 

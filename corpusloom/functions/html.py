@@ -115,11 +115,24 @@ def by_role(html: Column, name: str) -> Column:
 
 
 def content_regions(html: Column, wide: bool = False) -> list[Column]:
-    """Candidate content regions in order of preference."""
-    first = [element(html, "main"), by_role(html, "main"), by_class(html, "page-content")]
+    """Candidate content regions in order of preference, each empty when absent.
+
+    A plain search for the name comes first, as most pages have few of them.
+    """
+    def named(word: str, region: Column) -> Column:
+        return F.when(html.rlike(f"(?i){word}"), region).otherwise("")
+
+    first = [
+        named("<main", element(html, "main")),
+        named("role", by_role(html, "main")),
+        named("page-content", by_class(html, "page-content")),
+    ]
     if wide:
-        first += [by_id(html, "content"), by_class(html, "content"),
-                  by_class(html, "main-content")]
+        first += [
+            named("content", by_id(html, "content")),
+            named("content", by_class(html, "content")),
+            named("main-content", by_class(html, "main-content")),
+        ]
     return [*first, element(html, "article")]
 
 

@@ -6,6 +6,7 @@ Patterns carry (?d) so that only a line feed ends a line. Line rules work on
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -39,8 +40,12 @@ def strip_contents_section(body: Column) -> tuple[Column, Column]:
 
 def strip_metadata_blockquote(body: Column) -> Column:
     meta = rf"(?d)^>{WS}*\*\*(?:{'|'.join(rules.QUOTE_FIELDS)})\*\*:"
-    kept = unlines(F.filter(lines(body), lambda x: ~x.rlike(meta)))
-    return sub(kept, rf"^(?:{WS}+\z|{WS}*\n)", "")
+
+    def kept(b: Column) -> Column:
+        rest = unlines(F.filter(lines(b), lambda x: ~(x.startswith(">") & x.rlike(meta))))
+        return F.when(b.contains(">"), rest).otherwise(b)
+
+    return sub(let(body, kept), rf"^(?:{WS}+\z|{WS}*\n)", "")
 
 
 def collapse_blank_runs(body: Column) -> Column:
@@ -51,7 +56,14 @@ def strip_image_lines(body: Column) -> Column:
     image = (
         rf"(?d)^(?:\[?!\[.*?\]\(.*?\)\]?\(.*?\)?|!\[.*?\]\(.*?\)){WS}*\z"
     )
-    return collapse_blank_runs(unlines(F.filter(lines(body), lambda x: ~strip(x).rlike(image))))
+
+    def kept(b: Column) -> Column:
+        rest = unlines(
+            F.filter(lines(b), lambda x: ~(x.contains("![") & strip(x).rlike(image)))
+        )
+        return F.when(b.contains("!["), rest).otherwise(b)
+
+    return collapse_blank_runs(let(body, kept))
 
 
 def cut_at(body: Column, pattern: str) -> Column:
@@ -67,7 +79,12 @@ def strip_duplicate_h1(body: Column, title: Column) -> Column:
     pattern = F.concat(
         F.lit(rf"(?d)^(?:#{WS}+"), quoted(strip(title)), F.lit(rf"{WS}*\n)+")
     )
-    return F.ltrim(F.regexp_replace(body, pattern, F.lit("")), F.lit("\n"))
+
+    def cut(b: Column) -> Column:
+        # the pattern is compiled per title, so only where it can match
+        return F.when(b.startswith("#"), F.regexp_replace(b, pattern, F.lit(""))).otherwise(b)
+
+    return F.ltrim(let(body, cut), F.lit("\n"))
 
 
 def remove_close_carousel(body: Column) -> Column:
@@ -104,52 +121,60 @@ def clean_body(
 # --- metadata ---------------------------------------------------------------
 
 
-def _field_pattern(names) -> str:
-    return rf"(?d)^\*\*({'|'.join(names)})\*\*:{WS}*(.+)\z"
+def _is_field(names) -> Callable[[Column], Column]:
+    """Whether a line is a field: stripped it has a value, or unstripped it has anything."""
+    key = rf"\*\*(?:{'|'.join(names)})\*\*:"
+    pattern = rf"(?d)^(?:{key}.|{WS}*{key}.*[^{WS[1:-1]}])"
+    return lambda x: x.contains("**:") & x.rlike(pattern)
 
 
 def metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
     """`**Key**: Value` lines as map<string,string>; the last line of a key wins."""
-    pattern = _field_pattern(names)
-    hits = F.filter(lines(body), lambda x: strip(x).rlike(pattern) | x.rlike(pattern))
+    field_line = rf"(?ds)^{WS}*\*\*({'|'.join(names)})\*\*:(.*)\z"
     pairs = F.transform(
-        hits,
+        F.filter(lines(body), _is_field(names)),
         lambda x: F.struct(
-            F.regexp_extract(lstrip(x), rf"^\*\*({'|'.join(names)})\*\*:", 1).alias("k"),
-            strip(F.regexp_extract(strip(x), pattern, 2)).alias("v"),
+            F.regexp_extract(x, field_line, 1).alias("k"),
+            strip(F.regexp_extract(x, field_line, 2)).alias("v"),
         ),
     )
-    return _last_wins(pairs, names)
+    return _last_wins(pairs)
 
 
-def _last_wins(pairs: Column, names) -> Column:
+def _last_wins(pairs: Column) -> Column:
+    """Entries as a map; of a repeated key the last entry stays."""
     def build(ps: Column) -> Column:
-        def last(name: str) -> Column:
-            return F.try_element_at(F.filter(ps, lambda p: p["k"] == name), F.lit(-1))["v"]
+        def collapsed(keys: Column) -> Column:
+            values = F.transform(
+                F.array_distinct(keys),
+                lambda k: F.element_at(F.filter(ps, lambda p: p["k"] == k), -1)["v"],
+            )
+            plain = F.size(F.array_distinct(keys)) == F.size(keys)
+            return F.when(plain, F.map_from_entries(ps)).otherwise(
+                F.map_from_arrays(F.array_distinct(keys), values)
+            )
 
-        full = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*map(last, names)))
-        return F.map_filter(full, lambda _, v: v.isNotNull())
+        return let(F.transform(ps, lambda p: p["k"]), collapsed)
 
     return let(pairs, build)
 
 
 def without_metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
-    pattern = _field_pattern(names)
-    return unlines(
-        F.filter(lines(body), lambda x: ~(strip(x).rlike(pattern) | x.rlike(pattern)))
-    )
+    is_field = _is_field(names)
+    return unlines(F.filter(lines(body), lambda x: ~is_field(x)))
 
 
 def blockquote_meta(body: Column, names=rules.QUOTE_FIELDS) -> Column:
     pattern = rf"(?d)^>{WS}*\*\*({'|'.join(names)})\*\*:{WS}*(.+)\z"
+    quoted_lines = F.filter(lines(body), lambda x: x.contains(">"))
     pairs = F.transform(
-        F.filter(F.transform(lines(body), strip), lambda x: x.rlike(pattern)),
+        F.filter(F.transform(quoted_lines, strip), lambda x: x.rlike(pattern)),
         lambda x: F.struct(
             F.regexp_extract(x, pattern, 1).alias("k"),
             strip(F.regexp_extract(x, pattern, 2)).alias("v"),
         ),
     )
-    return _last_wins(pairs, names)
+    return _last_wins(pairs)
 
 
 def field(m: Column, key: str) -> Column:
@@ -166,28 +191,19 @@ _ROW = rf"(?d)^\|{WS}*(.+?){WS}*\|{WS}*(.+?){WS}*\|\z"
 def pdf_table_meta(body: Column) -> Column:
     """Two-part table rows of the whole body as a map; the last row of a key wins."""
     pairs = F.transform(
-        F.filter(lines(body), lambda x: x.rlike(_ROW)),
+        F.filter(lines(body), lambda x: x.startswith("|") & x.rlike(_ROW)),
         lambda x: F.struct(
             F.regexp_extract(x, _ROW, 1).alias("k"),
             strip(F.btrim(F.regexp_extract(x, _ROW, 2), F.lit("`"))).alias("v"),
         ),
     )
-    pairs = F.filter(pairs, lambda p: ~p["k"].isin(*rules.PDF_TABLE_SKIP))
-
-    def build(ps: Column) -> Column:
-        keys = F.array_distinct(F.transform(ps, lambda p: p["k"]))
-        values = F.transform(
-            keys, lambda k: F.element_at(F.filter(ps, lambda p: p["k"] == k), -1)["v"]
-        )
-        return F.map_from_arrays(keys, values)
-
-    return let(pairs, build)
+    return _last_wins(F.filter(pairs, lambda p: ~p["k"].isin(*rules.PDF_TABLE_SKIP)))
 
 
 def pdf_table_field(body: Column, key: str) -> Column:
     """One key of `pdf_table_meta` without building the map; null when absent."""
     row = rf"(?d)^\|{WS}*\Q{key}\E{WS}*\|{WS}*(.+?){WS}*\|\z"
-    hit = F.try_element_at(F.filter(lines(body), lambda x: x.rlike(row)), F.lit(-1))
+    hit = F.try_element_at(F.filter(lines(body), lambda x: x.startswith("|") & x.rlike(row)), F.lit(-1))
     return strip(F.btrim(F.regexp_extract(hit, row, 1), F.lit("`")))
 
 
@@ -323,13 +339,13 @@ def strip_redundant_headings(md: Column, name: Column, electorate: Column) -> Co
 
 # --- PDF text ---------------------------------------------------------------
 
-_INLINE_GLYPHS = "".join(map(chr, range(0x200B, 0x2010))) + "\ufeff\ufffd\u00ad"
+INLINE_GLYPHS = "".join(map(chr, range(0x200B, 0x2010))) + "\ufeff\ufffd\u00ad"
 # the rare class leads, so the lookarounds run only where it matches
 _PUA = "[\ue000-\uf8ff](?<=[A-Za-z].)(?=[A-Za-z])"
 
 
 def strip_glyphs(text: Column) -> Column:
-    return sub(F.translate(text, _INLINE_GLYPHS, ""), _PUA, "")
+    return sub(F.translate(text, INLINE_GLYPHS, ""), _PUA, "")
 
 
 _HEADER_FIELD = rf"(?d)({'|'.join(rules.PDF_HEADER_FIELDS)}){WS}+\*\*(.+?)\*\*"
@@ -343,7 +359,7 @@ def clean_pdf_body(raw: Column, footers=rules.PAGE_FOOTERS) -> Column:
     def noise(line: Column) -> Column:
         bare = strip(F.btrim(strip(line), F.lit("*")))
         header = strip(line).startswith("Date") & line.rlike(_HEADER_FIELD)
-        return strip(line).rlike(picture) | bare.rlike(page) | header
+        return (line.contains("==>") & strip(line).rlike(picture)) | bare.rlike(page) | header
 
     kept = F.transform(F.filter(lines(raw), lambda x: ~noise(x)), rstrip)
     return strip(strip_glyphs(collapse_blank_runs(unlines(kept))))
@@ -504,7 +520,8 @@ def summary(text: Column, words: int) -> Column:
         more = F.when(F.size(parts) > words, "…").otherwise("")
         return F.concat(F.array_join(F.slice(parts, 1, words), " "), more)
 
-    return let(F.split(plain, f"{WS}+", -1), cut)
+    # the rest of the text stays in one last part
+    return let(F.split(plain, f"{WS}+", words + 1), cut)
 
 
 _ROOT_LINK = r"\]\(/([^)]+)\)"

@@ -13,12 +13,7 @@ from corpusloom.functions.text import fixed
 
 def word_stats(docs: DataFrame, raw: str = "raw_text", md: str = "raw_md") -> DataFrame:
     """Adds token counts, unique counts and coverage. No shuffle: all within the row."""
-    tokenised = docs.withColumns(
-        {
-            "_raw": V.tokens(V.normalise_compare(F.col(raw))),
-            "_md": V.tokens(V.normalise_compare(F.col(md))),
-        }
-    )
+    tokenised = V.with_tokens(docs, {"_raw": raw, "_md": md})
     unique = tokenised.withColumns(
         {"_ru": V.unique_words(F.col("_raw")), "_mu": V.unique_words(F.col("_md"))}
     )

@@ -10,7 +10,7 @@ from corpusloom.functions import html as H
 from corpusloom.functions import markdown as M
 from corpusloom.functions import text as X
 from corpusloom.plans import item_queries, report_queries, text_queries, web_queries  # noqa: F401
-from corpusloom.plans.book import ORACLES, QUERIES, d_element, d_sub, d_text, query, table
+from corpusloom.plans.book import ORACLES, QUERIES, d_element, d_sub, d_text, query, spread
 
 __all__ = ["ORACLES", "QUERIES", "page_catalogue"]
 
@@ -36,22 +36,19 @@ _SLUG = "left(" + d_sub(
 def page_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """What is in the crawl, and how much of each page's text is main content.
 
-    One scan, one projection, no shuffle.
+    All of it happens within the row.
     """
     html = F.col("html")
-    text = table(spark, sf, "pages").select(
+    text = spread(spark, sf, "pages").select(
         "page_id",
         "url",
         H.page_title(html).alias("title"),
         H.main_text(html, 0).alias("main"),
         H.html_text(html, "\n").alias("whole"),
     )
-    words = text.withColumns(
-        {
-            "tokens": V.tokens(V.normalise_compare(F.col("main"))),
-            "all_words": F.size(V.tokens(V.normalise_compare(F.col("whole")))),
-        }
-    ).withColumn("words", F.size("tokens"))
+    words = V.with_tokens(text, {"tokens": "main", "all_tokens": "whole"}).withColumns(
+        {"words": F.size("tokens"), "all_words": F.size("all_tokens")}
+    )
     share = F.round(F.col("words") / F.col("all_words"), 4)
     return words.select(
         "page_id",

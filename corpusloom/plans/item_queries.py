@@ -23,6 +23,7 @@ from corpusloom.plans.book import (
     d_title,
     lit,
     query,
+    spread,
     table,
 )
 from corpusloom.plans.seeds import (
@@ -603,9 +604,8 @@ def _(spark, sf):
     from corpusloom.functions import compare as V
 
     def words(name: str) -> DataFrame:
-        tokens = V.tokens(V.normalise_compare(F.col("text")))
-        found = table(spark, sf, name).select(V.unique_words(tokens).alias("w"))
-        return found.select(F.explode("w").alias("word"))
+        found = V.with_tokens(spread(spark, sf, name), {"t": "text"})
+        return found.select(F.explode(V.unique_words(F.col("t"))).alias("word"))
 
     return words("documents").intersect(words("benchmark"))
 

@@ -12,7 +12,7 @@ from corpusloom.operators import registry as R
 from corpusloom.operators import reports as G
 from corpusloom.operators import validate as VA
 from corpusloom.plans import seeds
-from corpusloom.plans.book import d_element, d_sub, d_text, lit, query, table
+from corpusloom.plans.book import d_element, d_text, query, spread, table
 from corpusloom.plans.item_queries import (
     MEDIA_SQL,
     R02_SQL,
@@ -52,7 +52,7 @@ PAIR_SQL = (
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     html = F.col("html")
-    base = table(spark, sf, "pages").select(
+    base = spread(spark, sf, "pages").select(
         "page_id",
         H.html_text(H.element(html, "body"), "\n").alias("whole"),
         H.html_text(H.element(html, "article"), "\n").alias("main"),

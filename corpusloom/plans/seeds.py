@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.plans.book import lit, table
+from corpusloom.plans.book import lit, spread, table
 
 CLEANED_AT = "2026-01-03T00:00:00+00:00"
 BASE = "https://www.example.org"
@@ -47,7 +47,7 @@ def policy_md(spark: SparkSession, sf: str) -> DataFrame:
     article = F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1)
     body = F.regexp_replace(F.regexp_replace(article, "</p>", "\n\n"), "<[^>]*>", "")
     return (
-        table(spark, sf, "pages")
+        spread(spark, sf, "pages")
         .select("page_id", "url", F.regexp_replace(h1, r"\s+", " ").alias("title"),
                 body.alias("body"))
         .select(
@@ -80,7 +80,7 @@ BLOG_SQL = (
 
 def blog_md(spark: SparkSession, sf: str) -> DataFrame:
     day = F.lpad((_col("doc_id") % 28 + 1).cast("string"), 2, "0")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         _c("post-", _col("doc_id")).alias("slug"),
         "lang",
@@ -106,7 +106,7 @@ NEWS_SQL = (
 
 
 def news_md(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         _c("news-", _col("doc_id")).alias("slug"),
         _c(
@@ -132,7 +132,7 @@ EVENT_SQL = (
 
 
 def event_md(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return spread(spark, sf, "events").select(
         "event_id",
         _c("event-", _col("event_id")).alias("slug"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
@@ -218,7 +218,7 @@ PDF_SQL = (
 
 
 def pdf_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", "text", "source", "lang",
         _c(
             "Date **January 2026** Policy **", _col("source"), "** Document Type **",
@@ -244,7 +244,7 @@ PDF_FILE_SQL = (
 
 def pdf_files(spark: SparkSession, sf: str) -> DataFrame:
     key = _col("doc_id")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         _c("pol-", F.floor(key / 8).cast("bigint")).alias("policy_slug"),
         _c("pdf-part-", key % 8, ".md").alias("file"),
@@ -375,7 +375,7 @@ LINKED_SQL = (
 def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
     parts = [F.expr(p[1:]) if p.startswith("=") else p for p in _EXTRA]
     extra = _c(*parts, "</article>")
-    return table(spark, sf, "pages").select(
+    return spread(spark, sf, "pages").select(
         "page_id", "url", F.replace("html", F.lit("</article>"), extra).alias("html")
     )
 
@@ -411,7 +411,7 @@ def card_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Three cards per page: named, plain text parts, and one without a link."""
     key = _col("page_id")
     day = (key % 28 + 1).cast("string")
-    return table(spark, sf, "pages").select(
+    return spread(spark, sf, "pages").select(
         "page_id",
         _c(
             "<html><body>", F.regexp_extract("html", "(?s)<nav>.*?</nav>", 0),

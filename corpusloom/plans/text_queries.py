@@ -27,6 +27,7 @@ from corpusloom.plans.book import (
     d_unlines,
     lit,
     query,
+    spread,
     table,
 )
 from corpusloom.plans.seeds import (
@@ -349,7 +350,7 @@ _FM = "'---' || chr(10) || 'title: \"T ' || doc_id || '\"' || chr(10) || '---' |
 ))
 def _(spark, sf):
     md = F.concat(F.lit('---\ntitle: "T '), F.col("doc_id").cast("string"), F.lit('"\n---\n'), "text")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         M.strip_frontmatter(md).alias("body"),
         M.strip_frontmatter_block(md).alias("block"),
@@ -364,7 +365,7 @@ def _(spark, sf):
     key = F.col("doc_id").cast("string")
     fm = F.concat(F.lit('---\ntitle: "T '), key, F.lit('"\n---\n# X\n'), "text")
     h1 = F.concat(F.lit("intro\n# H "), key, F.lit("\n"), "text")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         M.doc_title(fm, F.col("source")).alias("fm"),
         M.doc_title(h1, F.col("source")).alias("h1"),
@@ -381,7 +382,7 @@ def _(spark, sf):
         F.lit("# N\n\n## T\n\n# N\n\n## T\n\n"), "text",
         F.lit("\n\n\n[m [x@y]](/cdn-cgi/l/email-protection#1)\n\n### donate now\nplease"),
     )
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", M.clean_profile_markdown(md).alias("md")
     )
 
@@ -409,7 +410,7 @@ def _(spark, sf):
         F.lit("​"), F.regexp_replace("text", "([aeiou])", "$1‍﻿"),
         F.lit("oicers  x"),
     )
-    return table(spark, sf, "documents").select("doc_id", M.strip_glyphs(dirty).alias("text"))
+    return spread(spark, sf, "documents").select("doc_id", M.strip_glyphs(dirty).alias("text"))
 
 
 _PDF_CLEAN = (
@@ -511,10 +512,10 @@ def _(spark, sf):
         M.policy_md(F.col("title"), F.col("url"), s, F.lit("body")).alias("md"),
     )
     section = F.concat(F.lit("sec-"), F.col("page_id").cast("string"), F.lit("-x"))
-    info = table(spark, sf, "pages").select(
+    info = spread(spark, sf, "pages").select(
         key("i", "page_id"), M.info_md(section, F.col("url"), s, F.lit("body")).alias("md")
     )
-    docs = table(spark, sf, "documents")
+    docs = spread(spark, sf, "documents")
     blog = docs.select(
         key("b", "doc_id"),
         M.blog_md(F.col("source"), lang, F.lit(""), u, s, F.col("text")).alias("md"),
@@ -561,7 +562,7 @@ def _(spark, sf):
         F.when(F.col("lang") == "en", "[c](/en)").otherwise(""),
     )
     out, n = M.absolutize_links(md, "https://x.org//")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", out.alias("md"), n.cast("bigint").alias("n")
     )
 
@@ -573,7 +574,7 @@ _DOCS = "SELECT * FROM documents"
 
 def _doc_text(spark, sf, *before, after=()):
     parts = [F.lit(x) if isinstance(x, str) else x for x in (*before, F.col("text"), *after)]
-    return table(spark, sf, "documents").withColumn("md", F.concat(*parts))
+    return spread(spark, sf, "documents").withColumn("md", F.concat(*parts))
 
 
 @query("q01_space_after_period", _from(
@@ -581,7 +582,7 @@ def _doc_text(spark, sf, *before, after=()):
 ))
 def _(spark, sf):
     squeezed = F.replace("text", F.lit(". "), F.lit("."))
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", Q.space_after_period(squeezed).alias("text")
     )
 
@@ -779,7 +780,7 @@ def _(spark, sf):
 @query("v01_normalise_compare", _from(_DOCS, doc_id="doc_id", text="strip_accents(text) || ' office 12'"))
 def _(spark, sf):
     odd = F.when(F.col("doc_id") % 2 == 0, " oﬃce ①²").otherwise(" office 12")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", V.normalise_compare(F.concat("text", odd)).alias("text")
     )
 
@@ -792,9 +793,7 @@ _TOK = "regexp_extract_all(strip_accents(text), '[A-Za-z0-9]+')"
     words=f"array_to_string(list_sort(list_distinct(list_transform({_TOK}, lambda w: lower(w)))), ' ')",
 ))
 def _(spark, sf):
-    rows = table(spark, sf, "documents").withColumn(
-        "t", V.tokens(V.normalise_compare(F.col("text")))
-    )
+    rows = V.with_tokens(spread(spark, sf, "documents"), {"t": "text"})
     return rows.select(
         "doc_id",
         F.array_join("t", " ").alias("tokens"),
@@ -822,7 +821,7 @@ def _(spark, sf):
 ))
 def _(spark, sf):
     dirty = F.regexp_replace("text", "([A-Za-z])e", "$1​")
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", V.glyph_artefacts(dirty).cast("bigint").alias("n")
     )
 
@@ -840,7 +839,7 @@ _SNIP = d_sub(
 def _(spark, sf):
     md = F.concat(F.lit("| t |\n![i](x)\n<!-- c -->\n\n"), "text")
     rendered = F.concat(F.lit("t "), F.regexp_replace("text", "[#*`_]", ""))
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         V.render_snippet(md).alias("snippet"),
         V.snippet_in_render(md, rendered).alias("found"),
@@ -863,7 +862,7 @@ def _(spark, sf):
     slug="trim(" + d_sub("replace(" + d_sub("replace(" + d_strip("lower(left(text, 60))") + ", '''', '')", r"[^a-z0-9\- ]") + ", ' ', '-')", "-{2,}", "-") + ", '-')",
 ))
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", X.doc_type_slug(F.left("text", F.lit(60))).alias("slug")
     )
 
@@ -884,7 +883,7 @@ def _(spark, sf):
     )
     full = F.concat(F.lit("_migrated_Brand_Policy_"), name, F.lit("_Overview.pdf"))
     short = F.concat(F.lit("Brand_"), name, F.lit("_Overview.pdf"))
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id",
         X.slug_from_filename(full).alias("slug"),
         X.filename_stem_slug(short).alias("stem"),
@@ -907,7 +906,7 @@ def _(spark, sf):
     _DOCS, doc_id="doc_id", title=d_title("replace(left(text, 80) || '-o''neil', '-', ' ')"),
 ))
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", X.slug_title(F.concat(F.left("text", F.lit(80)), F.lit("-o'neil"))).alias("title")
     )
 
@@ -917,7 +916,7 @@ def _(spark, sf):
     slug="left(trim(" + d_sub(d_sub(d_sub("lower(left(text, 120))", r"[^\p{L}\p{N}_\s-]"), r"[\s_]+", "-"), "-+", "-") + ", '-'), 80)",
 ))
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", X.media_slug(F.left("text", F.lit(120))).alias("slug")
     )
 
@@ -977,7 +976,7 @@ def _(spark, sf):
 
 @query("x12_hashes", "SELECT doc_id, md5(text) AS md5, left(sha256(text), 16) AS url_key FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", F.md5("text").alias("md5"), X.url_key(F.col("text")).alias("url_key")
     )
 
@@ -1001,7 +1000,7 @@ def _(spark, sf):
     content = F.when(F.col("doc_id") % 3 == 2, F.lit("").cast("binary")).otherwise(
         F.concat(head, "text").cast("binary")
     )
-    return table(spark, sf, "documents").select("doc_id", X.is_pdf_bytes(content).alias("is_pdf"))
+    return spread(spark, sf, "documents").select("doc_id", X.is_pdf_bytes(content).alias("is_pdf"))
 
 
 @query("x15_yaml_escape", _from(
@@ -1009,6 +1008,6 @@ def _(spark, sf):
 ))
 def _(spark, sf):
     t = F.concat("text", F.lit(' "q" \\ '))
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents").select(
         "doc_id", X.yaml_escape(t).alias("full"), X.quote_escape(t).alias("quotes")
     )
