@@ -37,7 +37,8 @@ def _odd_class() -> str:
     """
     known = set(_latin_table()[0])
     odd = [n for n in range(0xA0, 0x250) if _plain(chr(n)) != chr(n) and chr(n) not in known]
-    odd += [n for n in range(0x250, 0x10000) if not 0x2010 <= n <= 0x2022 or n == 0x2011]
+    plain = {n for n in range(0x2010, 0x2023) if _plain(chr(n)) == chr(n)}
+    odd += [n for n in range(0x250, 0x10000) if n not in plain]
     ranges: list[list[int]] = []
     for n in odd:
         if ranges and ranges[-1][1] == n - 1:

@@ -146,25 +146,33 @@ def fixed(c: Column, digits: int) -> Column:
     """`%.{digits}f` of a double from 0 to 100, rounded on its exact binary value.
 
     Java rounds the shortest decimal form half up, which differs at ties; here
-    the value becomes an exact integer (times a power of two) first.
+    the fraction becomes an exact integer (times a power of two) first.
     """
-    bits = 55
-    exact = (c * F.lit(float(2**bits))).cast("bigint").cast("decimal(20,0)")
-    scaled = exact * F.lit(10**digits).cast("decimal(6,0)")
+    bits, unit = 62, 10**digits
     den = F.lit(2**bits).cast("decimal(20,0)")
 
-    def text(n: Column) -> Column:
-        q = F.floor(n / den).cast("bigint")
-        return let(q, lambda x: rounded(x, n - x.cast("decimal(12,0)") * den))
-
-    def rounded(q: Column, rest: Column) -> Column:
-        up = F.when(rest * 2 > den, 1).when(rest * 2 == den, q % 2).otherwise(0)
-        return let(q + up, lambda x: F.concat(
-            F.floor(x / 10**digits).cast("string"), F.lit("."),
-            F.lpad((x % 10**digits).cast("string"), digits, "0"),
+    def split(x: Column) -> Column:
+        part = (x - F.floor(x)) * F.lit(float(2**bits))
+        exact = part.cast("bigint")
+        scaled = exact.cast("decimal(20,0)") * F.lit(unit).cast("decimal(6,0)")
+        return F.struct(
+            F.floor(x).cast("bigint").alias("whole"),
+            scaled.alias("scaled"),
+            (part != exact.cast("double")).alias("more"),
+            F.floor(scaled / den).cast("bigint").alias("q"),
+        )
+
+    def text(s: Column) -> Column:
+        twice = (s["scaled"] - s["q"].cast("decimal(12,0)") * den) * 2
+        tie = F.when(s["more"], 1).otherwise(s["q"] % 2)
+        up = F.when(twice > den, 1).when(twice == den, tie).otherwise(0)
+        n = s["whole"] * unit + s["q"] + up
+        return let(n, lambda v: F.concat(
+            F.floor(v / unit).cast("string"), F.lit("."),
+            F.lpad((v % unit).cast("string"), digits, "0"),
         ))
 
-    return let(scaled, text)
+    return let(split(c), text)
 
 
 def format_age(seconds: Column) -> Column:

@@ -675,6 +675,13 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Items as the stored table that searches read, partitioned by content type."""
+    path = _scratch(spark, "clean")
+    schemas.conform(rows).write.partitionBy("content_type").parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("s08_scan_json_index",
        "SELECT 'd' || doc_id AS slug, source AS title, '' AS date FROM documents")
 def _(spark, sf):

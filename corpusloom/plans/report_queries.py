@@ -22,6 +22,7 @@ from corpusloom.plans.item_queries import (
     _links,
     items,
     media,
+    stored,
 )
 from corpusloom.plans.seeds import (
     AS_OF,
@@ -467,7 +468,7 @@ def _(spark, sf):
 def _event_items(spark: SparkSession, sf: str) -> DataFrame:
     from corpusloom.operators.normalise import clean_events
 
-    return schemas.conform(clean_events(seeds.event_md(spark, sf), CLEANED_AT))
+    return stored(spark, clean_events(seeds.event_md(spark, sf), CLEANED_AT))
 
 
 @query("f01_find_events_envelope",
@@ -490,7 +491,7 @@ def _(spark, sf):
 def _team_items(spark: SparkSession, sf: str) -> DataFrame:
     from corpusloom.operators.normalise import clean_team
 
-    return schemas.conform(clean_team(seeds.member_md(spark, sf), CLEANED_AT))
+    return stored(spark, clean_team(seeds.member_md(spark, sf), CLEANED_AT))
 
 
 @query(
@@ -571,7 +572,7 @@ def _(spark, sf):
 def _blog_items(spark: SparkSession, sf: str) -> DataFrame:
     from corpusloom.operators.normalise import clean_blog_posts
 
-    return schemas.conform(clean_blog_posts(seeds.blog_md(spark, sf), CLEANED_AT))
+    return stored(spark, clean_blog_posts(seeds.blog_md(spark, sf), CLEANED_AT))
 
 
 @query(

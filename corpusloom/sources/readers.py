@@ -51,10 +51,6 @@ def feed_items(
     )
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def scan_json_index(
     spark: SparkSession, path: str, schema: T.StructType, array: bool = False
 ) -> DataFrame:
@@ -65,15 +61,18 @@ def scan_json_index(
     """
     bad = "_bad"
     wide = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
     try:
-        df = spark.read.schema(wide).json(
-            path, multiLine=array, mode="PERMISSIVE", columnNameOfCorruptRecord=bad
-        )
+        text = spark.read.text(path, wholetext=array)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return _empty(spark, schema)
-    return df.filter(F.col(bad).isNull()).drop(bad)
+        return spark.createDataFrame([], schema)
+    if array:
+        rows = text.select(F.explode(F.from_json("value", T.ArrayType(wide), options)).alias("e"))
+    else:
+        rows = text.filter("trim(value) <> ''").select(F.from_json("value", wide, options).alias("e"))
+    return rows.select("e.*").filter(F.col(bad).isNull()).drop(bad)
 
 
 def parse_media_lines(df: DataFrame, line: str, tab: str, base: str) -> DataFrame:
@@ -149,7 +148,10 @@ def scan_item_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_pdf_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, is_pdf) of binary files, judged by their first bytes."""
+    """(path, length, is_pdf) of binary files, judged by their first bytes.
+
+    Spark lists no empty files, so those, which are not PDFs either, have no row.
+    """
     return spark.read.format("binaryFile").load(path).select(
         "path", "length", is_pdf_bytes(F.col("content")).alias("is_pdf")
     )
