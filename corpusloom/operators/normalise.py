@@ -66,20 +66,23 @@ def pdf_only_slugs(pdfs: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def policy_with_pdf_text(items: DataFrame, sections: DataFrame) -> DataFrame:
-    """Append each policy's PDF detail to its body; further parts become rows."""
+    """Append each policy's PDF detail to its body; further parts become rows.
+
+    An item with a null body has no page of its own and consists of its detail.
+    """
     joined = items.drop("part").join(sections, "slug", "left")
     first = F.coalesce(F.col("part"), F.lit(0)) == 0
     heading = F.lit(f"\n\n{rules.DETAIL_HEADING}\n\n")
-    body = (
+    page = (
         F.when(F.col("detail").isNull(), F.col("body"))
         .when(first, F.concat(rstrip(F.col("body")), heading, F.col("detail")))
         .otherwise(F.col("detail"))
     )
+    body = F.when(F.col("body").isNull(), F.coalesce("detail", F.lit(""))).otherwise(
+        M.collapse_blank_runs(page)
+    )
     return joined.withColumns(
-        {
-            "body": M.collapse_blank_runs(body),
-            "part": F.coalesce(F.col("part"), F.lit(0)).cast("bigint"),
-        }
+        {"body": body, "part": F.coalesce(F.col("part"), F.lit(0)).cast("bigint")}
     ).drop("detail")
 
 
@@ -87,16 +90,23 @@ def clean_policies(
     raw: DataFrame, index: DataFrame, pdfs: DataFrame, cleaned_at: str
 ) -> DataFrame:
     """raw(slug, raw), index(slug, title, url, scraped_at, pdf_downloads, ord),
-    pdfs(policy_slug, file, raw) to policy items."""
-    entry = policy_with_index(raw, index)
-    named = entry.withColumns(
+    pdfs(policy_slug, file, raw) to policy items.
+
+    Slugs with PDF text but no page travel along with a null page, so index and
+    sections are joined once.
+    """
+    only = pdf_only_slugs(pdfs, raw).withColumn("raw", F.lit(None).cast("string"))
+    rows = policy_with_index(raw.select("slug", "raw").unionByName(only), index)
+    paged = F.col("raw").isNotNull()
+    heading = F.when(paged, M.h1_title(F.col("raw"))).otherwise(F.col("idx_title"))
+    named = rows.withColumns(
         {
             "meta": M.blockquote_meta(F.col("raw")),
-            "title": first_nonblank(M.h1_title(F.col("raw")), slug_title(F.col("slug"))),
+            "title": first_nonblank(heading, slug_title(F.col("slug"))),
         }
     )
-    urls = F.coalesce(F.col("idx_pdfs"), F.array().cast("array<string>"))
-    pages = named.select(
+    none = F.array().cast("array<string>")
+    items = named.select(
         *_provenance(
             "policy",
             first_nonblank(M.field(F.col("meta"), "URL"), F.col("idx_url")),
@@ -105,32 +115,11 @@ def clean_policies(
         ),
         "title",
         F.lit("").alias("summary"),
-        urls.alias("pdf_urls"),
-        F.array().cast("array<string>").alias("tags"),
+        F.when(paged, F.coalesce("idx_pdfs", none)).otherwise(none).alias("pdf_urls"),
+        none.alias("tags"),
         *_single(M.clean_body(F.col("raw"), F.col("title"))),
     )
-    sections = pdf_sections(pdfs)
-    only = policy_with_index(pdf_only_slugs(pdfs, raw), index).select(
-        *_provenance(
-            "policy",
-            F.coalesce("idx_url", F.lit("")),
-            F.coalesce("idx_scraped", F.lit("")),
-            cleaned_at,
-        ),
-        first_nonblank(F.col("idx_title"), slug_title(F.col("slug"))).alias("title"),
-        F.lit("").alias("summary"),
-        F.array().cast("array<string>").alias("pdf_urls"),
-        F.array().cast("array<string>").alias("tags"),
-    )
-    bare = only.join(
-        sections.withColumnRenamed("detail", "body"), "slug", "left"
-    ).withColumns(
-        {
-            "body": F.coalesce("body", F.lit("")),
-            "part": F.coalesce("part", F.lit(0).cast("bigint")),
-        }
-    )
-    return policy_with_pdf_text(pages, sections).unionByName(bare)
+    return policy_with_pdf_text(items, pdf_sections(pdfs))
 
 
 def clean_blog_posts(raw: DataFrame, cleaned_at: str) -> DataFrame:
