@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.operators.reports import collection_order
-from corpusloom.operators.scale import joined_parts, lookup_join, numbered
+from corpusloom.operators.scale import attach_parts, joined_parts, lookup_join, numbered
 
 # Pages that start beyond this go through a distributed rank: a top-k keeps
 # offset + limit rows on the driver.
@@ -34,7 +34,8 @@ def check_arguments(
             raise ValueError(f"{k} must have 1 to 200 characters")
     for k in dates:
         if out.get(k) is not None:
-            dt.date.fromisoformat(out[k])
+            # other ISO spellings compare wrongly as text
+            out[k] = dt.date.fromisoformat(out[k]).isoformat()
     limit, offset = out.get("limit"), out.get("offset", 0)
     for k, v in (("limit", limit), ("offset", offset)):
         if v is not None and (isinstance(v, bool) or not isinstance(v, int)):
@@ -110,13 +111,28 @@ def _query(rows: DataFrame, query: str | None) -> DataFrame:
     return rows.filter(hit)
 
 
-def _dates(rows: DataFrame, date_from: str | None, date_to: str | None) -> DataFrame:
-    day = F.try_to_date(F.col("date"), "yyyy-MM-dd")
+def _bounds(date_from: str | None, date_to: str | None) -> Column:
+    """Inclusive bounds on the ISO date text, in a form the Parquet scan can use.
+
+    A date that parses has exactly the form yyyy-MM-dd, whose text order is its
+    date order; callers add that check.
+    """
+    keep = F.lit(True)
     if date_from is not None:
-        rows = rows.filter(day >= F.lit(date_from).cast("date"))
+        keep = keep & (F.col("date") >= F.lit(date_from))
     if date_to is not None:
-        rows = rows.filter(day <= F.lit(date_to).cast("date"))
-    return rows
+        keep = keep & (F.col("date") <= F.lit(date_to))
+    return keep
+
+
+def _is_date() -> Column:
+    return F.try_to_date(F.col("date"), "yyyy-MM-dd").isNotNull()
+
+
+def _dates(rows: DataFrame, date_from: str | None, date_to: str | None) -> DataFrame:
+    if date_from is None and date_to is None:
+        return rows
+    return rows.filter(_bounds(date_from, date_to) & _is_date())
 
 
 def _of_type(items: DataFrame, content_type: str) -> DataFrame:
@@ -132,17 +148,13 @@ def matching_events(items: DataFrame, as_of: str, **arguments) -> DataFrame:
         arguments, ("query", "location", "venue"), ("date_from", "date_to"),
     )
     rows = _query(_of_type(items, "event"), a.get("query"))
-    day = F.try_to_date(F.col("date"), "yyyy-MM-dd")
     past = bool(a.get("include_past", False))
-    bounded = a.get("date_from") is not None or a.get("date_to") is not None
-    keep = F.lit(True)
-    if a.get("date_from") is not None:
-        keep = keep & (day >= F.lit(a["date_from"]).cast("date"))
-    if a.get("date_to") is not None:
-        keep = keep & (day <= F.lit(a["date_to"]).cast("date"))
-    if not past:
-        keep = keep & (day >= F.lit(as_of).cast("date"))
-    rows = rows.filter((day.isNull() | keep) if past and bounded else (day.isNotNull() & keep))
+    bounds = _bounds(a.get("date_from"), a.get("date_to"))
+    if past and (a.get("date_from") is not None or a.get("date_to") is not None):
+        rows = rows.filter(F.coalesce(~_is_date(), F.lit(True)) | bounds)
+    else:
+        upcoming = F.lit(True) if past else _bounds(as_of, None)
+        rows = rows.filter(bounds & upcoming & _is_date())
     if a.get("location") is not None:
         rows = rows.filter(
             _contains(F.col("location"), a["location"]) | _contains(F.col("address"), a["location"])
@@ -192,7 +204,7 @@ def policy_pdf_slugs(policies: DataFrame, pdfs: DataFrame) -> DataFrame:
     whose list passes the bound gets further parts.
     """
     lists = joined_parts(pdfs, ["slug"], ["pdf_slug"], "pdf_slug", ",")
-    joined = policies.select("slug").join(lists, "slug", "left")
+    joined = attach_parts(policies.select("slug"), lists, "slug")
     empty = F.array().cast("array<string>")
     return joined.select(
         "slug",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules, schemas
 from corpusloom.functions import markdown as M
 from corpusloom.functions.text import first_nonblank, rstrip, slug_title, strip
-from corpusloom.operators.scale import first_by, joined_parts
+from corpusloom.operators.scale import attach_parts, first_by, joined_parts
 
 
 def _provenance(content_type: str, url: Column, ingested: Column, cleaned_at: str) -> list[Column]:
@@ -70,7 +70,7 @@ def policy_with_pdf_text(items: DataFrame, sections: DataFrame) -> DataFrame:
 
     An item with a null body has no page of its own and consists of its detail.
     """
-    joined = items.drop("part").join(sections, "slug", "left")
+    joined = attach_parts(items.drop("part"), sections, "slug")
     first = F.coalesce(F.col("part"), F.lit(0)) == 0
     heading = F.lit(f"\n\n{rules.DETAIL_HEADING}\n\n")
     page = (

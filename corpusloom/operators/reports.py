@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.functions import markdown as M
 from corpusloom.functions.text import fixed, name_slug, year_of
-from corpusloom.operators.scale import joined_parts
+from corpusloom.operators.scale import attach_parts, joined_parts
 
 DASH = "—"
 
@@ -55,7 +55,7 @@ def policy_coverage_report(policies: DataFrame, registry: DataFrame) -> DataFram
     )
     linked = F.coalesce(F.size("pdf_downloads"), F.lit(0)) > 0
     title = F.coalesce("title", "slug")
-    joined = policies.join(names, "slug", "left")
+    joined = attach_parts(policies, names, "slug")
     first = F.coalesce("part", F.lit(0)) == 0
     files = F.when(linked, F.coalesce("filename", F.lit("(unresolved)"))).otherwise(DASH)
     answer = F.when(linked, "yes").otherwise("no")

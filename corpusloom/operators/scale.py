@@ -11,6 +11,8 @@ from corpusloom.session import durable
 # A key is hot from this many rows on. At most rows/HOT_ROWS keys can be hot,
 # which is the bound on what `lookup_join` broadcasts.
 HOT_ROWS = 1_000_000
+# The same for parts, whose rows are as long as PART_CHARS allows.
+HOT_PARTS = 64
 # Upper size of a text assembled from many rows, one row's text apart.
 PART_CHARS = 16_000_000
 
@@ -135,3 +137,17 @@ def joined_parts(
         parts.groupBy(*keys, "part")
         .agg(F.array_join(F.transform(ordered, lambda x: x["t"]), separator).alias(text))
     )
+
+
+def attach_parts(items: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """Left join of items, unique by key, to their parts.
+
+    First parts are unique on both sides. Further parts may all belong to one
+    item, so they look their item up instead of meeting it in one task.
+    """
+    stored = durable(parts)
+    first = items.join(stored.filter("part = 0"), key, "left")
+    more = lookup_join(
+        stored.filter("part > 0"), items, [key], "inner", hot_rows=HOT_PARTS
+    )
+    return first.unionByName(more.select(*first.columns))

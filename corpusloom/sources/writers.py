@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
@@ -19,6 +19,7 @@ from corpusloom.operators.scale import first_by
 from corpusloom.operators.validate import validation_summary
 from corpusloom.session import durable
 
+BUCKETS = 16
 MAX_TYPES = 100
 KEYS = ["content_type", "slug", "part"]
 
@@ -30,50 +31,75 @@ def with_rendered(items: DataFrame) -> DataFrame:
     return items.withColumn("rendered_md", out)
 
 
-def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schemas.CLEAN_ITEM)
+        return None
+
+
+def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
+    """The stored items; a missing table has no rows."""
+    stored = _stored(spark, path)
+    return spark.createDataFrame([], schemas.CLEAN_ITEM) if stored is None else stored.drop("bucket")
+
+
+def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
+    """The storage bucket of a slug; the parts of a long item go to successive buckets."""
+    spot = F.pmod(F.xxhash64("slug") + F.col("part"), F.lit(buckets))
+    return items.withColumn("bucket", spot.cast("int"))
 
 
-def write_clean_items(items: DataFrame, path: str) -> None:
-    """Merge-upsert into the table at `path`, rewriting only the content types touched.
+def write_clean_items(items: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Merge-upsert into the table at `path`.
 
-    The merged rows are checkpointed first, since they read the files that the
+    The table is partitioned by content type and slug bucket, and only the
+    buckets that hold a new item are read and rewritten. `buckets` is fixed for
+    the life of a table; choose it so that one bucket is a few gigabytes. The
+    merged rows are checkpointed first, since they read the files that the
     overwrite replaces.
     """
     spark = items.sparkSession
-    new = durable(items)
-    touched = _content_types(new)
-    # literal predicate on the partition column: untouched types are not even listed
-    affected = (
-        read_clean_items(spark, path)
-        .drop("rendered_md")
-        .filter(F.col("content_type").isin(*touched))
-    )
-    merged = durable(with_rendered(merge_meta(affected, new, KEYS)))
+    new = durable(with_bucket(items, buckets))
+    stored = _stored(spark, path)
+    if stored is None:
+        merged = with_rendered(new)
+    else:
+        # literal predicates on the partition columns: other buckets are not even listed
+        affected = stored.filter(_touched(new)).drop("rendered_md")
+        merged = durable(with_rendered(merge_meta(affected, new, KEYS)))
     (
-        merged.repartition("content_type", F.pmod(F.xxhash64("slug"), F.lit(_files(spark))))
+        merged.hint("rebalance", F.col("content_type"), F.col("bucket"))
+        .sortWithinPartitions("content_type", "bucket", "slug", "part")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("content_type")
+        .partitionBy("content_type", "bucket")
         .parquet(path)
     )
 
 
-def _content_types(items: DataFrame) -> list[str]:
-    """The content types present: a closed set that names the table's partitions."""
-    found = [r[0] for r in items.select("content_type").distinct().limit(MAX_TYPES + 1).collect()]
-    if len(found) > MAX_TYPES or None in found:
-        raise ValueError("content_type must be one of a small closed set")
-    return found
-
+def _touched(items: DataFrame) -> Column:
+    """Predicate for the partitions that hold the items.
 
-def _files(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    One row per content type comes to the driver, with at most `buckets`
+    numbers in it; content types are a small closed set.
+    """
+    found = (
+        items.groupBy("content_type")
+        .agg(F.collect_set("bucket").alias("buckets"))
+        .limit(MAX_TYPES + 1)
+        .collect()
+    )
+    if len(found) > MAX_TYPES or any(r["content_type"] is None for r in found):
+        raise ValueError("content_type must be one of a small closed set")
+    hit = F.lit(False)
+    for r in found:
+        hit = hit | (
+            (F.col("content_type") == r["content_type"]) & F.col("bucket").isin(*r["buckets"])
+        )
+    return hit
 
 
 def write_index(items: DataFrame, path: str) -> None:

@@ -6,20 +6,31 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusloom.operators.scale import first_by
 from corpusloom.sources.writers import write_clean_items
 
 
 def incremental_clean(
-    raw: DataFrame, clean: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    raw: DataFrame,
+    clean: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    order: str | None = None,
 ) -> StreamingQuery:
     """Clean newly landed raw rows and merge them into the items at `path`.
 
+    A slug may land several times in one batch if `order` names the column that
+    tells its latest version.
+
     The merge is idempotent, so a batch replayed after a failure gives the
     same table.
     """
     def merge(batch: DataFrame, _: int) -> None:
+        if order is not None:
+            batch = first_by(batch, ["slug"], F.col(order), last=True)
         write_clean_items(clean(batch), path)
 
     return (

@@ -9,6 +9,7 @@ from corpusloom.operators import find as FD
 from corpusloom.operators import normalise as N
 from corpusloom.operators import registry as R
 from corpusloom.operators import reports as G
+from corpusloom.operators import scale
 from corpusloom.operators.scale import first_by, joined_parts, lookup_join, numbered
 from corpusloom.operators.snapshots import snapshot_stats, with_freshness
 
@@ -79,7 +80,9 @@ def test_first_by(spark):
     assert {tuple(r) for r in first_by(df, ["k"], F.col("o"), last=True).collect()} == {(1, "a", 5), (3, "b", 1)}
 
 
-def test_sections_of_a_long_policy_become_parts(spark):
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_sections_of_a_long_policy_become_parts(spark, monkeypatch, hot):
+    monkeypatch.setattr(scale, "HOT_PARTS", hot)
     files = [(f"p{i % 2}", f"pdf-{i:02d}.md", f"# T\n| a | b |\n\nbody {i}") for i in range(20)]
     pdfs = spark.createDataFrame(files, "policy_slug string, file string, raw string")
     whole = {r["slug"]: r["detail"] for r in N.pdf_sections(pdfs).collect()}
@@ -92,6 +95,8 @@ def test_sections_of_a_long_policy_become_parts(spark):
     rows = N.policy_with_pdf_text(items, N.pdf_sections(pdfs, max_chars=20)).collect()
     first = {r["slug"]: r["body"] for r in rows if r["part"] == 0}
     assert first["p0"].startswith("Base\n\n## Full Policy Detail\n\nbody 0") and first["p9"] == "Alone"
+    later = [r["body"] for r in sorted(rows, key=lambda r: r["part"]) if r["slug"] == "p0" and r["part"] > 0]
+    assert later == parts["p0"][1:]
 
 
 def test_merge_keeps_old_and_unknown(spark):
@@ -242,3 +247,19 @@ def test_get_item_rejects_unknown_type(spark):
         FD.get_item(spark.createDataFrame([], schemas.CLEAN_ITEM), "video", "x")
     with pytest.raises(ValueError):
         N.category_select(spark.range(1), "id", ["x"], ["y"])
+
+
+def test_date_bounds_reach_the_scan(spark, tmp_path):
+    rows = [(f"e{i}", "event", f"2026-01-{i + 1:02d}" if i else "soon") for i in range(9)]
+    df = spark.createDataFrame(rows, "slug string, content_type string, date string").withColumn("part", F.lit(0))
+    schemas.conform(df).write.partitionBy("content_type").parquet(str(tmp_path / "i"))
+    items = spark.read.parquet(str(tmp_path / "i"))
+    got = FD.matching_events(items, "2026-01-04", date_to="2026-01-06")
+    assert sorted(r["slug"] for r in got.collect()) == ["e3", "e4", "e5"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(date,2026-01-04)" in plan and "PartitionFilters: [isnotnull(content_type" in plan
+    past = FD.matching_events(items, "2026-01-04", include_past=True, date_to="20260103")
+    assert sorted(r["slug"] for r in past.collect()) == ["e0", "e1", "e2"]
+    assert FD.matching_events(items, "2026-01-04", include_past=True).count() == 8

@@ -70,14 +70,14 @@ def _items(spark, rows):
 def test_write_clean_items_merges(spark, tmp_path):
     path = str(tmp_path / "items")
     writers.write_clean_items(_items(spark, [("a", "policy", "A", "x"), ("b", "policy", "B", "x"), ("e", "event", "E", "x")]), path)
-    kept = [p.name for p in (tmp_path / "items" / "content_type=event").glob("*.parquet")]
+    kept = [p.name for p in (tmp_path / "items" / "content_type=event").rglob("*.parquet")]
     writers.write_clean_items(_items(spark, [("a", "policy", "A2", "y"), ("c", "policy", "C", "\n\nz")]), path)
     got = {r["slug"]: (r["title"], r["body"]) for r in writers.read_clean_items(spark, path).collect()}
     assert got == {"a": ("A2", "y"), "b": ("B", "x"), "c": ("C", "\n\nz"), "e": ("E", "x")}
     md = writers.read_clean_items(spark, path).filter("slug = 'c'").first()["rendered_md"]
     assert md.startswith('---\nslug: "c"\ncontent_type: "policy"') and md.endswith('title: "C"\n---\nz')
     # types that were not touched keep their files
-    assert kept == [p.name for p in (tmp_path / "items" / "content_type=event").glob("*.parquet")]
+    assert kept == [p.name for p in (tmp_path / "items" / "content_type=event").rglob("*.parquet")]
     plan = writers.read_clean_items(spark, path).filter("content_type = 'event' and slug = 'e'")
     text = plan._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(content_type" in text and "PushedFilters: [IsNotNull(slug)" in text
@@ -129,16 +129,18 @@ def test_source_contract(spark):
 
 def test_incremental_batches(spark, tmp_path):
     raw, items, progress = (str(tmp_path / n) for n in ("raw", "items", "progress"))
-    schema = "slug string, raw string"
+    schema = "slug string, raw string, v int"
 
     def run():
         stream = spark.readStream.schema(schema).parquet(raw)
-        incremental_clean(stream, lambda b: schemas.conform(N.clean_team(b, "t")), items, progress).awaitTermination()
+        incremental_clean(
+            stream, lambda b: schemas.conform(N.clean_team(b, "t")), items, progress, order="v"
+        ).awaitTermination()
         return {r["slug"]: r["role"] for r in writers.read_clean_items(spark, items).collect()}
 
-    spark.createDataFrame([("a", "**Role**: X"), ("b", "**Role**: Y")], schema).write.parquet(raw)
+    spark.createDataFrame([("a", "**Role**: X", 2), ("a", "**Role**: old", 1), ("b", "**Role**: Y", 1)], schema).write.parquet(raw)
     assert run() == {"a": "X", "b": "Y"}
-    spark.createDataFrame([("b", "**Role**: Z"), ("c", "**Role**: W")], schema).write.mode("append").parquet(raw)
+    spark.createDataFrame([("b", "**Role**: Z", 2), ("c", "**Role**: W", 1)], schema).write.mode("append").parquet(raw)
     assert run() == {"a": "X", "b": "Z", "c": "W"}
 
 
