@@ -17,7 +17,6 @@ from corpusloom.functions.text import (
     blank_to_null,
     let,
     lines,
-    lstrip,
     quote_escape,
     quoted,
     rstrip,

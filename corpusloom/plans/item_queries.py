@@ -8,18 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import rules, schemas
-from corpusloom.functions import markdown as M
-from corpusloom.functions.text import title_slug
 from corpusloom.operators import normalise as N
 from corpusloom.operators import registry as R
 from corpusloom.operators import snapshots as S
-from corpusloom.operators.scale import joined_parts
 from corpusloom.plans import seeds
 from corpusloom.plans.book import (
     WS_LIT,
     d_collapse,
     d_strip,
-    d_sub,
     d_title,
     lit,
     query,
@@ -32,7 +28,6 @@ from corpusloom.plans.seeds import (
     CLEANED_AT,
     EVENT_SQL,
     MEMBER_MD_SQL,
-    MEMBER_SQL,
     NEWS_SQL,
     PDF_BODY_SQL,
     PDF_FILE_SQL,
@@ -41,7 +36,7 @@ from corpusloom.plans.seeds import (
     REGISTRY_SQL,
     SNAPSHOT_SQL,
 )
-from corpusloom.plans.text_queries import d_clean, d_field, d_h1, d_no_fields, d_quote_field, d_yaml
+from corpusloom.plans.text_queries import d_clean, d_field, d_h1, d_no_fields, d_quote_field
 from corpusloom.session import durable
 from corpusloom.sources import readers, writers
 from corpusloom.streaming.incremental import first_seen_stream, incremental_clean
@@ -56,9 +51,7 @@ def _prov(kind: str, url: str, ingested: str) -> str:
 
 # --- typed projections ------------------------------------------------------
 
-# Pages as policies: even pages are in the index, and the first pages also own
-# the PDF files of the policy of the same number.
-_IDX = "SELECT page_id, 'https://idx.example.org/' || page_id AS idx_url FROM pages WHERE page_id % 2 = 0"
+# Pages as policies, which own the PDF files of the policy of the same number.
 _PDF_AGG = (
     f"SELECT replace(policy_slug, 'pol-', 'page-') AS slug, string_agg({d_strip(PDF_BODY_SQL)}, "
     f"chr(10) || chr(10) ORDER BY file) AS detail FROM ({PDF_FILE_SQL}) GROUP BY policy_slug"
@@ -78,7 +71,7 @@ R01_SQL = (
 
 def policies(spark: SparkSession, sf: str) -> DataFrame:
     raw = seeds.policy_md(spark, sf).select("slug", "raw")
-    index = table(spark, sf, "pages").filter("page_id % 2 = 0").select(
+    index = table(spark, sf, "pages").select(
         F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("slug"),
         F.lit("").alias("title"),
         F.concat(F.lit("https://idx.example.org/"), F.col("page_id").cast("string")).alias("url"),
@@ -126,12 +119,11 @@ def _(spark, sf):
 
 R04_SQL = (
     f"SELECT {_prov('team-member', 'url', lit('2026-01-01T00:00:00'))}, name, role, electorate, 0::bigint AS part, "
-    "'**Electorate**: ' AS x, "
     f"{d_clean(d_no_fields('raw'), 'name', footer=False)} AS body FROM ({MEMBER_MD_SQL})"
 )
 
 
-@query("r04_clean_team", R04_SQL.replace("'**Electorate**: ' AS x, ", ""))
+@query("r04_clean_team", R04_SQL)
 def _(spark, sf):
     return N.clean_team(seeds.member_md(spark, sf), CLEANED_AT)
 
@@ -275,36 +267,32 @@ def _(spark, sf):
 
 @query(
     "j01_policy_with_index",
-    "SELECT d.doc_id, i.idx_title FROM documents d LEFT JOIN (SELECT source, max_by('t' || doc_id, doc_id) AS idx_title "
-    "FROM documents SEMI JOIN labels USING (doc_id) GROUP BY source) i ON 's-' || d.doc_id % 40 = 's-' || replace(i.source, 'src', '') "
-    "WHERE d.doc_id < 40",
+    "SELECT d.doc_id, 't1-' || quality AS idx_title FROM documents d LEFT JOIN labels USING (doc_id)",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents")
-    labelled = table(spark, sf, "labels").select("doc_id").distinct()
-    index = docs.join(labelled, "doc_id", "left_semi").select(
-        F.replace("source", F.lit("src"), F.lit("s-")).alias("slug"),
-        F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("title"),
+    # every labelled document has two index entries, of which the later counts
+    index = table(spark, sf, "labels").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"), "quality",
+        F.explode(F.array(F.lit(1), F.lit(0))).alias("ord"),
+    ).select(
+        "slug",
+        F.concat(F.lit("t"), F.col("ord").cast("string"), F.lit("-"), F.col("quality").cast("string")).alias("title"),
         F.lit("").alias("url"), F.lit("").alias("scraped_at"),
-        F.array().cast("array<string>").alias("pdf_downloads"),
-        F.col("doc_id").alias("ord"),
-    )
-    # one raw file per slug: the first forty documents stand for the forty slugs
-    raw = docs.groupBy((F.col("doc_id") % 40).alias("k")).agg(F.min("doc_id").alias("doc_id")).select(
-        "doc_id", F.concat(F.lit("s-"), F.col("k").cast("string")).alias("slug")
+        F.array().cast("array<string>").alias("pdf_downloads"), "ord",
     )
+    raw = seeds.policy_pdfs(spark, sf).select("doc_id", "slug")
     return N.policy_with_index(raw, index).select("doc_id", "idx_title")
 
 
 @query(
     "j02_pdf_only_policies",
-    "SELECT DISTINCT 'doc-' || doc_id AS slug FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0)",
+    "SELECT DISTINCT 'doc-' || doc_id AS slug FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')",
 )
 def _(spark, sf):
     pdfs = table(spark, sf, "labels").select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("policy_slug")
     )
-    return N.pdf_only_slugs(pdfs, seeds.policy_pdfs(spark, sf).filter("doc_id % 3 = 0"))
+    return N.pdf_only_slugs(pdfs, seeds.policy_pdfs(spark, sf).filter("lang = 'en'"))
 
 
 @query(
@@ -312,7 +300,7 @@ def _(spark, sf):
     f"SELECT p.slug, 0::bigint AS part, 'Body ' || p.slug || CASE WHEN a.detail IS NULL THEN '' ELSE chr(10) || chr(10) || "
     f"'## Full Policy Detail' || chr(10) || chr(10) || {d_collapse('a.detail')} END AS body FROM (SELECT DISTINCT policy_slug AS slug FROM ({PDF_FILE_SQL})) p "
     f"LEFT JOIN (SELECT policy_slug AS slug, string_agg({d_strip(PDF_BODY_SQL)}, chr(10) || chr(10) ORDER BY file) AS detail "
-    f"FROM ({PDF_FILE_SQL}) WHERE doc_id % 2 = 0 AND doc_id // 8 % 3 <> 0 GROUP BY policy_slug) a ON a.slug = p.slug",
+    f"FROM ({PDF_FILE_SQL}) WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY policy_slug) a ON a.slug = p.slug",
 )
 def _(spark, sf):
     files = seeds.pdf_files(spark, sf)
@@ -320,7 +308,8 @@ def _(spark, sf):
         "slug", F.lit(0).cast("bigint").alias("part"),
         F.concat(F.lit("Body "), "slug", F.lit(" \n")).alias("body"),
     )
-    sections = N.pdf_sections(files.filter("doc_id % 2 = 0 and floor(doc_id / 8) % 3 <> 0"))
+    labelled = table(spark, sf, "labels").select("doc_id")
+    sections = N.pdf_sections(files.join(labelled, "doc_id", "left_semi"))
     out = N.policy_with_pdf_text(items, sections)
     return out.withColumn("body", F.regexp_replace("body", r" \n$", ""))
 
@@ -329,18 +318,19 @@ def _(spark, sf):
     "j04_merge_meta",
     "SELECT slug, coalesce(n.title, o.title) AS title, o.html_path AS html_path, n.lang AS lang, coalesce(n.k, o.k) AS k, "
     "o.z AS z FROM (SELECT 'd' || doc_id AS slug, 'old' AS title, 'h/' || doc_id AS html_path, 'o' || doc_id AS k, 'z' || doc_id AS z "
-    "FROM documents WHERE doc_id % 3 <> 0) o FULL OUTER JOIN (SELECT 'd' || doc_id AS slug, 'new' AS title, lang, 'n' || doc_id AS k "
-    "FROM documents WHERE doc_id % 2 = 0) n USING (slug)",
+    "FROM documents WHERE lang <> 'fr') o FULL OUTER JOIN (SELECT 'd' || doc_id AS slug, 'new' AS title, lang, 'n' || doc_id AS k "
+    "FROM documents SEMI JOIN labels USING (doc_id)) n USING (slug)",
 )
 def _(spark, sf):
     docs = table(spark, sf, "documents")
     key = F.col("doc_id").cast("string")
     slug = F.concat(F.lit("d"), key).alias("slug")
-    old = docs.filter("doc_id % 3 <> 0").select(
+    old = docs.filter("lang <> 'fr'").select(
         slug, F.lit("old").alias("title"), F.concat(F.lit("h/"), key).alias("html_path"),
         F.create_map(F.lit("k"), F.concat(F.lit("o"), key), F.lit("z"), F.concat(F.lit("z"), key)).alias("extra"),
     )
-    new = docs.filter("doc_id % 2 = 0").select(
+    labelled = table(spark, sf, "labels").select("doc_id")
+    new = docs.join(labelled, "doc_id", "left_semi").select(
         slug, F.lit("new").alias("title"), "lang",
         F.create_map(F.lit("k"), F.concat(F.lit("n"), key)).alias("extra"),
     )
@@ -352,7 +342,7 @@ def _(spark, sf):
 
 @query(
     "j05_pdf_entries_to_items",
-    "SELECT doc_id, doc_id % 2 = 0 AND doc_id IN (SELECT doc_id FROM labels) AS matched FROM documents",
+    "SELECT doc_id, lang = 'en' AND doc_id IN (SELECT doc_id FROM labels) AS matched FROM documents",
 )
 def _(spark, sf):
     key = F.col("doc_id").cast("string")
@@ -362,7 +352,7 @@ def _(spark, sf):
         F.concat(F.lit("f"), key, F.lit(".pdf")).alias("source_file"),
         F.concat(F.lit("/data/p"), key, F.lit("/pdf-default.md")).alias("output_file"),
     )
-    items = docs.filter("doc_id % 2 = 0").select(F.concat(F.lit("p"), key, F.lit("-default")).alias("slug"))
+    items = docs.filter("lang = 'en'").select(F.concat(F.lit("p"), key, F.lit("-default")).alias("slug"))
     files = table(spark, sf, "labels").select(F.concat(F.lit("f"), key, F.lit(".pdf")).alias("filename"))
     hit, miss = R.pdf_entries_to_items(index, items, files)
     return hit.select("doc_id", F.lit(True).alias("matched")).unionByName(
@@ -372,16 +362,15 @@ def _(spark, sf):
 
 @query(
     "j06_slug_from_registry",
-    f"SELECT d.doc_id, coalesce(r.policy_slug, CASE WHEN d.doc_id % 200 = 0 THEN 'unknown' ELSE 'f' || d.doc_id % 200 END) AS policy_slug FROM documents d LEFT JOIN "
+    "SELECT d.doc_id, coalesce(r.policy_slug, 'f' || d.doc_id % 400) AS policy_slug FROM documents d LEFT JOIN "
     f"(SELECT filename, min_by(policy_slug, ord) AS policy_slug FROM ({REGISTRY_SQL}) GROUP BY filename) r "
-    "ON r.filename = 'f' || d.doc_id % 200 || '.pdf'".replace("CASE WHEN d.doc_id % 200 = 0 THEN 'unknown' ELSE 'f' || d.doc_id % 200 END", "'f' || d.doc_id % 200"),
+    "ON r.filename = 'f' || d.doc_id % 400 || '.pdf'",
 )
 def _(spark, sf):
     files = table(spark, sf, "documents").select(
         "doc_id",
-        F.concat(F.lit("f"), (F.col("doc_id") % 200).cast("string"), F.lit(".pdf")).alias("filename"),
+        F.concat(F.lit("f"), (F.col("doc_id") % 400).cast("string"), F.lit(".pdf")).alias("filename"),
     )
-    reg = seeds.registry(spark, sf).filter("ord % 200 < 150")
     return R.slug_from_registry(files, seeds.registry(spark, sf)).select("doc_id", "policy_slug")
 
 

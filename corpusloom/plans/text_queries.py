@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions import compare as V
-from corpusloom.functions import html as H
 from corpusloom.functions import markdown as M
 from corpusloom.functions import repair as Q
 from corpusloom.functions import text as X
@@ -15,14 +14,11 @@ from corpusloom.operators.scale import joined_parts
 from corpusloom.plans import seeds
 from corpusloom.plans.book import (
     d_collapse,
-    d_element,
     d_get,
-    d_has,
     d_lines,
     d_rstrip,
     d_strip,
     d_sub,
-    d_text,
     d_title,
     d_unlines,
     lit,
@@ -33,14 +29,11 @@ from corpusloom.plans.book import (
 from corpusloom.plans.seeds import (
     BLOG_SQL,
     EVENT_SQL,
-    MEMBER_MD_SQL,
     MEMBER_SQL,
-    NEWS_SQL,
     PDF_BODY_SQL,
     PDF_FILE_SQL,
     PDF_SQL,
     POLICY_SQL,
-    SNAPSHOT_SQL,
 )
 
 
@@ -291,7 +284,7 @@ def d_yaml(x: str) -> str:
 @query("c16_frontmatter", _from(
     BLOG_SQL, doc_id="doc_id",
     fm="concat_ws(chr(10), '---', 'slug: \"' || slug || '\"', CASE WHEN lang <> 'en' THEN 'lang: \"' || "
-    "lang || '\"' END, 'excerpt: \"' || " + d_yaml("left(raw, 200)") + " || '\"', CASE WHEN lang <> 'en' "
+    "lang || '\"' END, 'excerpt: \"' || " + d_yaml("raw") + " || '\"', CASE WHEN lang <> 'en' "
     "THEN 'tags: [\"' || lang || '\", \"' || source || '\"]' END, '---')",
 ))
 def _(spark, sf):
@@ -304,7 +297,7 @@ def _(spark, sf):
                 ("slug", F.col("slug")),
                 ("lang", F.when(foreign, F.col("lang")).otherwise("")),
                 ("absent", F.lit(None).cast("string")),
-                ("excerpt", F.left("raw", F.lit(200))),
+                ("excerpt", F.col("raw")),
                 ("tags", F.when(foreign, F.array("lang", "source"))
                  .otherwise(F.array().cast("array<string>"))),
             ],
@@ -342,9 +335,6 @@ def _(spark, sf):
     )
 
 
-_FM = "'---' || chr(10) || 'title: \"T ' || doc_id || '\"' || chr(10) || '---' || chr(10) || text"
-
-
 @query("c18_strip_frontmatter", _from(
     "SELECT * FROM documents", doc_id="doc_id", body="text", block="text", bare="text",
 ))
@@ -475,10 +465,10 @@ def _(spark, sf):
     "c27_inject_sections",
     "SELECT policy_slug AS slug, 0::bigint AS part, 'Base of ' || policy_slug || string_agg(chr(10) || chr(10) || '---' || chr(10) || chr(10) || "
     f"'# ' || file || chr(10) || {d_strip('text')}, '' ORDER BY file) || chr(10) AS md FROM ({PDF_FILE_SQL}) "
-    "WHERE doc_id % 5 <> 0 GROUP BY policy_slug",
+    "GROUP BY policy_slug",
 )
 def _(spark, sf):
-    docs = seeds.pdf_files(spark, sf).filter("doc_id % 5 <> 0").select(
+    docs = seeds.pdf_files(spark, sf).select(
         F.col("policy_slug").alias("slug"), "file",
         F.concat(F.lit("\n\n---\n\n# "), "file", F.lit("\n"), X.strip(F.col("text"))).alias("md"),
     )
@@ -859,11 +849,11 @@ def _(spark, sf):
 
 @query("x02_doc_type_slug", _from(
     _DOCS, doc_id="doc_id",
-    slug="trim(" + d_sub("replace(" + d_sub("replace(" + d_strip("lower(left(text, 60))") + ", '''', '')", r"[^a-z0-9\- ]") + ", ' ', '-')", "-{2,}", "-") + ", '-')",
+    slug="trim(" + d_sub("replace(" + d_sub("replace(" + d_strip("lower(text)") + ", '''', '')", r"[^a-z0-9\- ]") + ", ' ', '-')", "-{2,}", "-") + ", '-')",
 ))
 def _(spark, sf):
     return spread(spark, sf, "documents").select(
-        "doc_id", X.doc_type_slug(F.left("text", F.lit(60))).alias("slug")
+        "doc_id", X.doc_type_slug(F.col("text")).alias("slug")
     )
 
 
@@ -903,21 +893,21 @@ def _(spark, sf):
 
 
 @query("x05_slug_title", _from(
-    _DOCS, doc_id="doc_id", title=d_title("replace(left(text, 80) || '-o''neil', '-', ' ')"),
+    _DOCS, doc_id="doc_id", title=d_title("replace(text || '-o''neil', '-', ' ')"),
 ))
 def _(spark, sf):
     return spread(spark, sf, "documents").select(
-        "doc_id", X.slug_title(F.concat(F.left("text", F.lit(80)), F.lit("-o'neil"))).alias("title")
+        "doc_id", X.slug_title(F.concat("text", F.lit("-o'neil"))).alias("title")
     )
 
 
 @query("x06_media_slug", _from(
     _DOCS, doc_id="doc_id",
-    slug="left(trim(" + d_sub(d_sub(d_sub("lower(left(text, 120))", r"[^\p{L}\p{N}_\s-]"), r"[\s_]+", "-"), "-+", "-") + ", '-'), 80)",
+    slug="left(trim(" + d_sub(d_sub(d_sub("lower(text)", r"[^\p{L}\p{N}_\s-]"), r"[\s_]+", "-"), "-+", "-") + ", '-'), 80)",
 ))
 def _(spark, sf):
     return spread(spark, sf, "documents").select(
-        "doc_id", X.media_slug(F.left("text", F.lit(120))).alias("slug")
+        "doc_id", X.media_slug(F.col("text")).alias("slug")
     )
 
 
@@ -947,9 +937,6 @@ def _(spark, sf):
     return table(spark, sf, "events").select("event_id", F.lit(seeds.CLEANED_AT).alias("cleaned_at"))
 
 
-_AGE = "datediff('second', ts, TIMESTAMP '2024-01-31 00:00:00')"
-
-
 @query("x10_format_age",
        "SELECT event_id, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN (s // 60) || 'm' ELSE "
        "(s // 3600) || 'h' || (s % 3600 // 60) || 'm' END AS age FROM (SELECT event_id, "

@@ -15,7 +15,6 @@ from corpusloom.plans.book import (
     d_drop_boilerplate,
     d_element,
     d_entities,
-    d_get,
     d_has,
     d_strip,
     d_sub,
@@ -176,10 +175,10 @@ def _(spark, sf):
 @query(
     "h11_discover_new_links",
     "SELECT DISTINCT 'p' || page_id % 20 AS slug, '/policy/p' || page_id % 20 AS path FROM pages "
-    "WHERE page_id % 20 NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 3 = 0)",
+    "WHERE page_id % 20 NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 0)",
 )
 def _(spark, sf):
-    known = table(spark, sf, "nation").filter("n_nationkey % 3 = 0").select(
+    known = table(spark, sf, "nation").filter("n_regionkey = 0").select(
         F.concat(F.lit("p"), F.col("n_nationkey").cast("string")).alias("slug")
     )
     return L.discover_new_links(L.links(seeds.linked_pages(spark, sf)), known, "/policy/")
@@ -306,14 +305,14 @@ def _(spark, sf):
     "SELECT event_id, CASE WHEN strftime(e.ts, '%Y-%m-%d') >= '2024-01-20' THEN "
     "coalesce(u.description, '') ELSE '' END AS description FROM events e LEFT JOIN "
     "(SELECT user_id, 'n=' || count(*) AS description FROM events GROUP BY user_id) u "
-    "ON e.user_id = u.user_id AND u.user_id % 2 = 0",
+    "ON e.user_id = u.user_id",
 )
 def _(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.col("user_id").cast("string").alias("url"),
     )
-    details = events.filter("cast(url as bigint) % 2 = 0").groupBy("url").agg(
+    details = events.groupBy("url").agg(
         F.concat(F.lit("n="), F.count("*").cast("string")).alias("description")
     )
     return L.gate_future_detail(events, details, "2024-01-20").select("event_id", "description")
