@@ -143,11 +143,13 @@ def attach_parts(items: DataFrame, parts: DataFrame, key: str) -> DataFrame:
     """Left join of items, unique by key, to their parts.
 
     First parts are unique on both sides. Further parts may all belong to one
-    item, so they look their item up instead of meeting it in one task.
+    item, so they look their item up instead of meeting it in one task; where
+    no key has any, the items are read once and that branch is left out.
     """
     stored = durable(parts)
     first = items.join(stored.filter("part = 0"), key, "left")
-    more = lookup_join(
-        stored.filter("part > 0"), items, [key], "inner", hot_rows=HOT_PARTS
-    )
+    further = stored.filter("part > 0")
+    if further.isEmpty():
+        return first
+    more = lookup_join(further, items, [key], "inner", hot_rows=HOT_PARTS)
     return first.unionByName(more.select(*first.columns))
