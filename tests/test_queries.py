@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from corpusloom.plans import catalogue
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 
 
 @pytest.fixture(scope="module")
