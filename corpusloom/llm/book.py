@@ -1,6 +1,6 @@
 """All queries of this subpackage and their SQL, for the entry module."""
 
-from corpusloom.llm import language, quality  # noqa: F401
+from corpusloom.llm import jaccard, language, quality  # noqa: F401
 from corpusloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
