@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def sieve(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 24) -> DataFrame:
+    """Rows whose key (a long) may be among `wanted`, a frame of that column: spares their texts a shuffle.
+
+    The bitmap has a fixed size, whatever the number of keys; with more keys it
+    lets more other rows through, so a join must follow.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    words = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")
+    ).toPandas()
+    found = np.zeros(1 << (bits - 6), np.int64)
+    found[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(found)
+
+    @F.pandas_udf("boolean")
+    def may(p: pd.Series) -> pd.Series:
+        at = p.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return rows.filter(may(place))
+
+
 # --- stored tables -------------------------------------------------------------
 
 

@@ -11,7 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import columns_of, mix, query, signed, stored, table, window_hashes, word_hashes, words_of
+from corpusloom.llm.common import (
+    mix, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
+)
 from corpusloom.llm.components import components
 
 PORTION = 4_000_000  # shingles counted at once
@@ -19,7 +21,6 @@ PORTION = 4_000_000  # shingles counted at once
 # list of common shingles by COMMON times the mean size of a set.
 COMMON = 2_000
 BLOCK = 512  # rows of a tile that meet each other in one piece
-SIEVE_BITS = 24
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -118,32 +119,10 @@ def sets_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInPandas(build, "_id long, n long, key binary, bits binary, prefix array<long>")
 
 
-def sieve(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id may be among `ids`: a bitmap of fixed size, so no shuffle of the texts.
-
-    Lets others through as well, the more the more ids there are; a join follows.
-    """
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << SIEVE_BITS))
-    words = ids.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")
-    ).toPandas()
-    bits = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def may(p: pd.Series) -> pd.Series:
-        at = p.to_numpy(np.int64)
-        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
-
-    named = docs.select(F.col("_id").alias("id"), F.col("_text").alias("text"))
-    return named.filter(may(place))
-
-
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have the likeness asked for, by intersecting sorted arrays of whole texts."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = sieve(docs, ids)
+    texts = sieve(docs.select(F.col("_id").alias("id"), F.col("_text").alias("text")), "id", ids)
     left = pairs.join(texts.toDF("a", "text_a"), "a")
     both = left.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
