@@ -1,6 +1,6 @@
 """All queries of this subpackage and their SQL, for the entry module."""
 
-from corpusloom.llm import fingerprint, jaccard, language, mixing, pieces, quality, substring  # noqa: F401
+from corpusloom.llm import fingerprint, jaccard, language, mixing, pieces, quality, substring, urls  # noqa: F401
 from corpusloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
