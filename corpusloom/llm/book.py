@@ -1,6 +1,17 @@
 """All queries of this subpackage and their SQL, for the entry module."""
 
-from corpusloom.llm import fingerprint, jaccard, language, mixing, neighbours, pieces, quality, substring, urls  # noqa: F401
+from corpusloom.llm import (  # noqa: F401
+    fingerprint,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    pieces,
+    quality,
+    substring,
+    urls,
+)
 from corpusloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

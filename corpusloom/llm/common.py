@@ -96,11 +96,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sieve(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 24) -> DataFrame:
-    """Rows whose key (a long) may be among `wanted`, a frame of that column: spares their texts a shuffle.
+def may_be_in(key: str, wanted: DataFrame, bits: int = 24) -> Column:
+    """Whether the column `key` (a long) may be among `wanted`, a frame of that one column.
 
-    The bitmap has a fixed size, whatever the number of keys; with more keys it
-    lets more other rows through, so a join must follow.
+    A bitmap of fixed size, whatever the number of keys: it spares rows that are
+    surely not wanted a shuffle, and lets more others through the more keys
+    there are, so a join must follow.
     """
     place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
     words = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
@@ -108,14 +109,19 @@ def sieve(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 24) -> DataF
     ).toPandas()
     found = np.zeros(1 << (bits - 6), np.int64)
     found[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast(found)
+    shared = wanted.sparkSession.sparkContext.broadcast(found)
 
     @F.pandas_udf("boolean")
     def may(p: pd.Series) -> pd.Series:
         at = p.to_numpy(np.int64)
         return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
 
-    return rows.filter(may(place))
+    return may(place)
+
+
+def sieve(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be wanted."""
+    return rows.filter(may_be_in(key, wanted))
 
 
 # --- stored tables -------------------------------------------------------------

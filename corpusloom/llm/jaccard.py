@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    mix, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
+    may_be_in, mix, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
-PORTION = 4_000_000  # shingles counted at once
+PORTION = 1_000_000  # shingles counted at once
 # A shingle is common if it is in one of so many documents; this bounds the
 # list of common shingles by COMMON times the mean size of a set.
 COMMON = 2_000
@@ -127,13 +127,19 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     both = left.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, sa = None, None
+        held: dict[str, np.ndarray] = {}
+
+        def of(text: str) -> np.ndarray:
+            if text not in held:
+                if len(held) >= 200:
+                    held.clear()
+                held[text] = shingles(text, words)
+            return held[text]
+
         for p in batches:
             keep = []
             for ta, tb in zip(p["text_a"], p["text_b"], strict=True):
-                if ta != last:
-                    last, sa = ta, shingles(ta, words)
-                sb = shingles(tb, words)
+                sa, sb = of(ta), of(tb)
                 same = len(np.intersect1d(sa, sb, assume_unique=True))
                 keep.append(100 * same >= percent * (len(sa) + len(sb) - same))
             yield p.loc[keep, ["a", "b"]]
@@ -297,11 +303,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the smallest id of their component, with all columns; one row of a repeated id."""
-    found = jaccard_components(docs, words, percent).filter(
-        F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))
-    ).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_keep"))).select(*docs.columns)
+    """The documents that are the smallest id of their component, with all columns.
+
+    Equal rows of one id stay once; rows without an id stay. Only rows that may
+    go are shuffled.
+    """
+    found = stored(jaccard_components(docs, words, percent))
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    again = found.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 and doc_id is not null")
+    suspects = gone.select(F.col("_gone").alias("_id")).union(again.select("doc_id"))
+    marked = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_may", may_be_in("_id", suspects))
+    doubtful = marked.filter("_may").join(gone, F.col("_id") == F.col("_gone"), "left_anti")
+    once = doubtful.filter("_id is not null").dropDuplicates(["_id", "text"])
+    rest = marked.filter("not _may").unionByName(once).unionByName(doubtful.filter("_id is null"))
+    return rest.select(*docs.columns)
 
 
 OP1_SQL = r"""

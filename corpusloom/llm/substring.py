@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    SPACE, WORD, dropped, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
+    SPACE, WORD, dropped, may_be_in, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
 )
 
 KMER = 18  # words of an edge; less than a window, so that every window holds chosen edges
@@ -209,9 +209,11 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     uid = F.xxhash64("_text")
     given = docs.select(F.col("text").alias("_text")).filter("_text is not null").select(uid.alias("uid"), "_text")
     lost = stored(kept_texts(given, window).select(F.col("uid").alias("_uid"), F.col("kept").alias("_kept")))
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    rest = [F.coalesce("_kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return keyed.join(lost, (F.col("_key") == F.col("_uid")) & F.col("text").isNotNull(), "left").select(*rest)
+    keyed = docs.withColumn("_key", F.xxhash64("text")).withColumn(
+        "_may", F.col("text").isNotNull() & may_be_in("_key", lost.select(F.col("_uid").alias("_key"))))
+    changed = [F.coalesce("_kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    doubtful = keyed.filter("_may").join(lost, F.col("_key") == F.col("_uid"), "left").select(*changed)
+    return keyed.filter("not _may").select(*docs.columns).unionByName(doubtful)
 
 
 def removed_words(docs: DataFrame, window: int = 50) -> DataFrame:
