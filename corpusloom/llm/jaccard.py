@@ -309,13 +309,13 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     go are shuffled.
     """
     found = stored(jaccard_components(docs, words, percent))
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_cl_gone")).distinct()
     again = found.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 and doc_id is not null")
-    suspects = gone.select(F.col("_gone").alias("_id")).union(again.select("doc_id"))
-    marked = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_may", may_be_in("_id", suspects))
-    doubtful = marked.filter("_may").join(gone, F.col("_id") == F.col("_gone"), "left_anti")
-    once = doubtful.filter("_id is not null").dropDuplicates(["_id", "text"])
-    rest = marked.filter("not _may").unionByName(once).unionByName(doubtful.filter("_id is null"))
+    suspects = gone.select(F.col("_cl_gone").alias("_cl_id")).union(again.select("doc_id"))
+    marked = docs.withColumn("_cl_id", F.col("doc_id").cast("long")).withColumn("_cl_may", may_be_in("_cl_id", suspects))
+    doubtful = marked.filter("_cl_may").join(gone, F.col("_cl_id") == F.col("_cl_gone"), "left_anti")
+    once = doubtful.filter("_cl_id is not null").dropDuplicates(["_cl_id", "text"])
+    rest = marked.filter("not _cl_may").unionByName(once).unionByName(doubtful.filter("_cl_id is null"))
     return rest.select(*docs.columns)
 
 

@@ -110,7 +110,8 @@ class Network:
         return np.concatenate(parts)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -30, 30)))
+        """Probabilities, rounded to what doesn't depend on which texts are scored together."""
+        return np.round(1 / (1 + np.exp(-np.clip(self.logits(texts), -30, 30))), 5)
 
     # --- training -------------------------------------------------------------
 

@@ -208,12 +208,12 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     uid = F.xxhash64("_text")
     given = docs.select(F.col("text").alias("_text")).filter("_text is not null").select(uid.alias("uid"), "_text")
-    lost = stored(kept_texts(given, window).select(F.col("uid").alias("_uid"), F.col("kept").alias("_kept")))
-    keyed = docs.withColumn("_key", F.xxhash64("text")).withColumn(
-        "_may", F.col("text").isNotNull() & may_be_in("_key", lost.select(F.col("_uid").alias("_key"))))
-    changed = [F.coalesce("_kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    doubtful = keyed.filter("_may").join(lost, F.col("_key") == F.col("_uid"), "left").select(*changed)
-    return keyed.filter("not _may").select(*docs.columns).unionByName(doubtful)
+    lost = stored(kept_texts(given, window).select(F.col("uid").alias("_cl_uid"), F.col("kept").alias("_cl_kept")))
+    keyed = docs.withColumn("_cl_key", F.xxhash64("text")).withColumn(
+        "_cl_may", F.col("text").isNotNull() & may_be_in("_cl_key", lost.select(F.col("_cl_uid").alias("_cl_key"))))
+    changed = [F.coalesce("_cl_kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    doubtful = keyed.filter("_cl_may").join(lost, F.col("_cl_key") == F.col("_cl_uid"), "left").select(*changed)
+    return keyed.filter("not _cl_may").select(*docs.columns).unionByName(doubtful)
 
 
 def removed_words(docs: DataFrame, window: int = 50) -> DataFrame:
