@@ -136,7 +136,7 @@ def render_snippet(md: Column) -> Column:
         )
 
     line = F.get(F.filter(F.split(md, "\n", -1), usable), 0)
-    plain = strip(sub(F.left(strip(line), F.lit(80)), "[#*`_]", ""))
+    plain = strip(sub(line, "[#*`_]", ""))
     return sub(plain, f"{WS}+", " ")
 
 

@@ -1,7 +1,6 @@
 """HTML extraction as Column expressions over raw page source.
 
-Selectors are matched with patterns, so a page may be badly formed. Regions
-whose tag can nest in itself (a class on a div) go through `nested.py`.
+Selectors are matched with patterns, so a page may be badly formed.
 """
 
 from __future__ import annotations

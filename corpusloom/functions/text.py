@@ -80,9 +80,9 @@ def filename_stem_slug(c: Column, prefixes: tuple[str, ...] = FILENAME_PREFIXES[
 
 
 def slug_from_filename(c: Column, prefixes: tuple[str, ...] = FILENAME_PREFIXES) -> Column:
-    """As above, but ids (over 30 characters) and names without a letter become `unknown`."""
+    """As above, but null for ids (over 30 characters) and names without a letter."""
     slug = filename_stem_slug(F.replace(c, F.lit("_migrated_"), F.lit("")), prefixes)
-    return F.when((F.length(slug) > 30) | ~slug.rlike(r"\p{L}"), "unknown").otherwise(slug)
+    return F.when((F.length(slug) <= 30) & slug.rlike(r"\p{L}"), slug)
 
 
 def path_slug(c: Column, prefix: str = "candidate-") -> Column:

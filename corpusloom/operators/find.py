@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.operators.reports import collection_order
-from corpusloom.operators.scale import attach_parts, joined_parts, lookup_join, numbered
-
-# Pages that start beyond this go through a distributed rank: a top-k keeps
-# offset + limit rows on the driver.
-DEEP_OFFSET = 100_000
+from corpusloom.operators.scale import lookup_join, numbered
 
 
 # --- arguments --------------------------------------------------------------
@@ -61,10 +57,17 @@ class Page:
     envelope: DataFrame
 
 
-def paginate(rows: DataFrame, order: list[Column], limit: int = 20, offset: int = 0) -> Page:
-    """`order` must end in a unique column."""
-    if offset <= DEEP_OFFSET:
-        items = rows.orderBy(*order).offset(offset).limit(limit)
+def paginate(
+    rows: DataFrame, order: list[Column], limit: int = 20, offset: int = 0, after: Column | None = None
+) -> Page:
+    """`order` must end in a unique column.
+
+    A first page is a top-k. So is a page that names the last row of the one
+    before by `after`, a condition on the order's columns, which is the cheap
+    way through many pages. An `offset` is found by a distributed rank.
+    """
+    if offset == 0:
+        items = (rows if after is None else rows.filter(after)).orderBy(*order).limit(limit)
     else:
         ranked = numbered(rows, [], order)
         inside = F.col("n").between(offset + 1, offset + limit)
@@ -101,14 +104,15 @@ def _contains(c: Column, needle: str) -> Column:
     return F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lower(F.lit(needle)))
 
 
-def _query(rows: DataFrame, query: str | None) -> DataFrame:
-    if query is None:
-        return rows
-    names = [c for c in ("title", "name", "body") if c in rows.columns]
+def _mentions(rows: DataFrame, query: str) -> Column:
     hit = F.lit(False)
-    for n in names:
+    for n in (c for c in ("title", "name", "body") if c in rows.columns):
         hit = hit | _contains(F.col(n), query)
-    return rows.filter(hit)
+    return hit
+
+
+def _query(rows: DataFrame, query: str | None) -> DataFrame:
+    return rows if query is None else rows.filter(_mentions(rows, query))
 
 
 def _bounds(date_from: str | None, date_to: str | None) -> Column:
@@ -136,8 +140,8 @@ def _dates(rows: DataFrame, date_from: str | None, date_to: str | None) -> DataF
 
 
 def _of_type(items: DataFrame, content_type: str) -> DataFrame:
-    """First parts of one content type; a literal predicate, so partitions are pruned."""
-    return items.filter((F.col("content_type") == content_type) & (F.col("part") == 0))
+    """Items of one content type; a literal predicate, so partitions are pruned."""
+    return items.filter(F.col("content_type") == content_type)
 
 
 def matching_events(items: DataFrame, as_of: str, **arguments) -> DataFrame:
@@ -198,19 +202,8 @@ def linked_pdfs(items: DataFrame) -> DataFrame:
 
 
 def policy_pdf_slugs(policies: DataFrame, pdfs: DataFrame) -> DataFrame:
-    """(slug, part, pdf_slugs): each policy's pdf slugs in order, `[]` when none.
-
-    Slugs hold no comma, so the list travels as one bounded string; a policy
-    whose list passes the bound gets further parts.
-    """
-    lists = joined_parts(pdfs, ["slug"], ["pdf_slug"], "pdf_slug", ",")
-    joined = attach_parts(policies.select("slug"), lists, "slug")
-    empty = F.array().cast("array<string>")
-    return joined.select(
-        "slug",
-        F.coalesce("part", F.lit(0).cast("bigint")).alias("part"),
-        F.coalesce(F.split("pdf_slug", ","), empty).alias("pdf_slugs"),
-    )
+    """(slug, pdf_slug): a row for each pdf of a policy, or one with a null."""
+    return policies.select("slug").join(pdfs, "slug", "left")
 
 
 def has_pdf(policies: DataFrame, pdfs: DataFrame, wanted: bool) -> DataFrame:
@@ -218,23 +211,40 @@ def has_pdf(policies: DataFrame, pdfs: DataFrame, wanted: bool) -> DataFrame:
     return policies.join(pdfs.select("slug").distinct(), "slug", how)
 
 
-def find_policies(items: DataFrame, **arguments) -> Page:
-    """`pdf_slugs` is filled for the page's items only, after the top-k."""
+def find_policies(items: DataFrame, sections: DataFrame | None = None, **arguments) -> Page:
+    """Policies by text, tags and pdfs; the text is looked for in `sections` (slug, detail) as well.
+
+    `pdf_slugs` is filled for the page's items only, after the top-k.
+    """
     a = check_arguments(
         {"query", "tags", "has_pdf", "limit", "offset"}, arguments, ("query",)
     )
-    rows = _query(_of_type(items, "policy"), a.get("query"))
+    rows = _of_type(items, "policy")
     for tag in a.get("tags") or []:
         lowered = F.transform("tags", lambda t: F.lower(t))
         rows = rows.filter(F.array_contains(lowered, F.lower(F.lit(tag))))
     pdfs = linked_pdfs(items)
     if a.get("has_pdf") is not None:
         rows = has_pdf(rows, pdfs, a["has_pdf"])
+    query = a.get("query")
+    if query is not None and sections is not None:
+        told = sections.filter(_contains(F.col("detail"), query)).select("slug").distinct()
+        marked = rows.join(told.withColumn("_told", F.lit(True)), "slug", "left")
+        own = F.coalesce(_mentions(rows, query), F.lit(False))
+        rows = marked.filter(own | F.coalesce("_told", F.lit(False)))
+    else:
+        rows = _query(rows, query)
     rows = rows.select("slug", "content_type", "title", "summary", "tags", "source_url")
     order = [F.col("title").asc(), F.col("slug").asc()]
     page = paginate(rows, order, a.get("limit", 20), a.get("offset", 0))
-    wanted = pdfs.join(F.broadcast(page.items.select("slug")), "slug", "left_semi")
-    items_with = page.items.join(policy_pdf_slugs(page.items, wanted), "slug").orderBy(*order)
+    # at most 100 slugs
+    lists = pdfs.join(F.broadcast(page.items.select("slug")), "slug", "left_semi").groupBy("slug").agg(
+        F.sort_array(F.collect_list("pdf_slug")).alias("pdf_slugs")
+    )
+    empty = F.array().cast("array<string>")
+    items_with = page.items.join(lists, "slug", "left").withColumn(
+        "pdf_slugs", F.coalesce("pdf_slugs", empty)
+    ).orderBy(*order)
     return Page(items_with, page.envelope)
 
 
@@ -251,7 +261,7 @@ def find_blog_posts(items: DataFrame, **arguments) -> Page:
 
 
 def get_item(items: DataFrame, content_type: str, slug: str) -> DataFrame:
-    """All parts of one item; both filters are literals and reach the scan."""
+    """One item; both filters are literals and reach the scan."""
     if content_type not in rules.CONTENT_TYPES:
         raise ValueError(f"invalid content type: {content_type}")
     check_arguments({"slug"}, {"slug": slug}, ("slug",))
@@ -260,7 +270,7 @@ def get_item(items: DataFrame, content_type: str, slug: str) -> DataFrame:
 
 def lookup_items(requests: DataFrame, items: DataFrame) -> DataFrame:
     """Batch lookup: requests(content_type, slug) with the title or an error as data."""
-    known = items.filter("part = 0").select(
+    known = items.select(
         "content_type", "slug", F.coalesce("title", "name").alias("title")
     )
     joined = lookup_join(

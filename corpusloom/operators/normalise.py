@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules, schemas
 from corpusloom.functions import markdown as M
 from corpusloom.functions.text import first_nonblank, rstrip, slug_title, strip
-from corpusloom.operators.scale import attach_parts, first_by, joined_parts
+from corpusloom.operators.scale import first_by
 
 
 def _provenance(content_type: str, url: Column, ingested: Column, cleaned_at: str) -> list[Column]:
@@ -28,7 +28,7 @@ def _or_blank(m: Column, key: str) -> Column:
 
 
 def _single(body: Column) -> list[Column]:
-    return [F.lit(0).cast("bigint").alias("part"), body.alias("body")]
+    return [body.alias("body")]
 
 
 def latest_index(index: DataFrame, order: str = "ord") -> DataFrame:
@@ -48,15 +48,13 @@ def policy_with_index(raw: DataFrame, index: DataFrame, order: str = "ord") -> D
     return raw.join(entry, "slug", "left")
 
 
-def pdf_sections(pdfs: DataFrame, max_chars: int | None = None) -> DataFrame:
-    """(slug, part, detail): cleaned PDF bodies of each policy in file order."""
-    bodies = pdfs.select(
+def pdf_sections(pdfs: DataFrame) -> DataFrame:
+    """(slug, file, detail): a cleaned PDF body a row; a policy's sections follow each other by file."""
+    return pdfs.select(
         F.col("policy_slug").alias("slug"),
         "file",
         strip(M.strip_pdf_metadata_table(F.col("raw"))).alias("detail"),
     ).filter("detail <> ''")
-    size = {} if max_chars is None else {"max_chars": max_chars}
-    return joined_parts(bodies, ["slug"], ["file"], "detail", "\n\n", **size)
 
 
 def pdf_only_slugs(pdfs: DataFrame, raw: DataFrame) -> DataFrame:
@@ -66,34 +64,18 @@ def pdf_only_slugs(pdfs: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def policy_with_pdf_text(items: DataFrame, sections: DataFrame) -> DataFrame:
-    """Append each policy's PDF detail to its body; further parts become rows.
-
-    An item with a null body has no page of its own and consists of its detail.
-    """
-    joined = attach_parts(items.drop("part"), sections, "slug")
-    first = F.coalesce(F.col("part"), F.lit(0)) == 0
-    heading = F.lit(f"\n\n{rules.DETAIL_HEADING}\n\n")
-    page = (
-        F.when(F.col("detail").isNull(), F.col("body"))
-        .when(first, F.concat(rstrip(F.col("body")), heading, F.col("detail")))
-        .otherwise(F.col("detail"))
-    )
-    body = F.when(F.col("body").isNull(), F.coalesce("detail", F.lit(""))).otherwise(
-        M.collapse_blank_runs(page)
-    )
-    return joined.withColumns(
-        {"body": body, "part": F.coalesce(F.col("part"), F.lit(0)).cast("bigint")}
-    ).drop("detail")
+    """Policies beside their PDF detail: a row for each file, or one without a file."""
+    return items.join(sections, "slug", "left")
 
 
 def clean_policies(
     raw: DataFrame, index: DataFrame, pdfs: DataFrame, cleaned_at: str
 ) -> DataFrame:
     """raw(slug, raw), index(slug, title, url, scraped_at, pdf_downloads, ord),
-    pdfs(policy_slug, file, raw) to policy items.
+    pdfs(policy_slug, file, raw) to policy items, one a slug.
 
-    Slugs with PDF text but no page travel along with a null page, so index and
-    sections are joined once.
+    Slugs with PDF text but no page become items with an empty body. The PDF
+    text itself stays in `pdf_sections`, a row for each file.
     """
     only = pdf_only_slugs(pdfs, raw).withColumn("raw", F.lit(None).cast("string"))
     rows = policy_with_index(raw.select("slug", "raw").unionByName(only), index)
@@ -106,7 +88,7 @@ def clean_policies(
         }
     )
     none = F.array().cast("array<string>")
-    items = named.select(
+    return named.select(
         *_provenance(
             "policy",
             first_nonblank(M.field(F.col("meta"), "URL"), F.col("idx_url")),
@@ -117,9 +99,8 @@ def clean_policies(
         F.lit("").alias("summary"),
         F.when(paged, F.coalesce("idx_pdfs", none)).otherwise(none).alias("pdf_urls"),
         none.alias("tags"),
-        *_single(M.clean_body(F.col("raw"), F.col("title"))),
+        *_single(F.coalesce(M.clean_body(F.col("raw"), F.col("title")), F.lit(""))),
     )
-    return policy_with_pdf_text(items, pdf_sections(pdfs))
 
 
 def clean_blog_posts(raw: DataFrame, cleaned_at: str) -> DataFrame:
@@ -252,10 +233,13 @@ def all_items(*parts: DataFrame) -> DataFrame:
 def merge_meta(
     old: DataFrame, new: DataFrame, keys: list[str], extra: str | None = None
 ) -> DataFrame:
-    """Upsert by unique key: new values win, old-only rows, columns and map keys stay."""
+    """Upsert by unique key: new values win, nulls included; old-only rows, columns and map keys stay."""
     columns = list(dict.fromkeys([*old.columns, *new.columns]))
     left = old.select(*keys, F.struct(*[c for c in old.columns if c not in keys]).alias("_o"))
-    right = new.select(*keys, F.struct(*[c for c in new.columns if c not in keys]).alias("_n"))
+    right = new.select(
+        *keys, F.struct(F.lit(True).alias("_new"), *[c for c in new.columns if c not in keys]).alias("_n")
+    )
+    matched = F.col("_n._new").isNotNull()
 
     def pick(c: str) -> Column:
         sides = [f"_n.{c}"] * (c in new.columns) + [f"_o.{c}"] * (c in old.columns)
@@ -263,7 +247,9 @@ def merge_meta(
             n, o = F.col(sides[0]), F.col(sides[1])
             kept = F.map_filter(o, lambda k, _: ~F.map_contains_key(n, k))
             return F.coalesce(F.map_concat(kept, n), n, o).alias(c)
-        return F.coalesce(*sides).alias(c)
+        if len(sides) == 2:
+            return F.when(matched, F.col(sides[0])).otherwise(F.col(sides[1])).alias(c)
+        return F.col(sides[0]).alias(c)
 
     joined = left.join(right, keys, "full_outer")
     return joined.select(*[F.col(c) if c in keys else pick(c) for c in columns])
@@ -271,10 +257,9 @@ def merge_meta(
 
 def clean_index(items: DataFrame) -> DataFrame:
     """Flat catalogue entries; members are listed by name."""
-    first = items.filter("coalesce(part, 0) = 0") if "part" in items.columns else items
     named = [c for c in ("title", "name") if c in items.columns]
     dated = [F.col("date")] if "date" in items.columns else []
-    return first.select(
+    return items.select(
         *[F.coalesce(c, F.lit("")).alias(c) for c in
           ("slug", "content_type", "source_id", "source_url")],
         F.coalesce(*named, F.lit("")).alias("title"),
@@ -288,10 +273,9 @@ def item_frontmatter(content_type: str) -> Column:
 
 
 def rendered_md(content_type: str) -> Column:
-    """Stored markdown of an item: frontmatter, then the body; later parts are body only."""
-    head = F.concat(item_frontmatter(content_type), F.lit("\n"))
+    """Stored markdown of an item: frontmatter, then the body."""
     body = F.ltrim(F.col("body"), F.lit("\n"))
-    return F.when(F.col("part") == 0, F.concat(head, body)).otherwise(F.col("body"))
+    return F.concat(item_frontmatter(content_type), F.lit("\n"), body)
 
 
 COLLECTIONS = {
@@ -304,12 +288,11 @@ COLLECTIONS = {
 
 
 def site_table(items: DataFrame, collection: str) -> DataFrame:
-    """(slug, part, md) of one published collection."""
+    """(slug, md) of one published collection."""
     rows = items.filter(F.col("content_type") == COLLECTIONS[collection])
     body = F.ltrim(F.col("body"), F.lit("\n"))
     page = F.concat(M.site_frontmatter(collection), F.lit("\n"), body)
-    md = M.collapse_blank_runs(F.when(F.col("part") == 0, page).otherwise(F.col("body")))
-    return rows.select("slug", "part", md.alias("md"))
+    return rows.select("slug", M.collapse_blank_runs(page).alias("md"))
 
 
 def split_valid(rows: DataFrame, collection: str) -> tuple[DataFrame, DataFrame]:

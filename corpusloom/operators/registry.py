@@ -18,7 +18,6 @@ from corpusloom.functions.text import (
 )
 from corpusloom.operators.scale import first_by, lookup_join, numbered
 from corpusloom.rules import HS
-from corpusloom.session import durable
 
 
 def basename(path: Column) -> Column:
@@ -35,9 +34,7 @@ def pdf_entries_to_items(
     stored = files.select(F.col("filename").alias("source_file")).distinct().withColumn(
         "has_file", F.lit(True)
     )
-    flagged = lookup_join(
-        lookup_join(entries, cleaned, ["slug"]), stored, ["source_file"], keys_from=entries
-    )
+    flagged = lookup_join(lookup_join(entries, cleaned, ["slug"]), stored, ["source_file"])
     both = F.col("has_item").isNotNull() & F.col("has_file").isNotNull()
     flags = ("has_item", "has_file")
     return flagged.filter(both).drop(*flags), flagged.filter(~both).drop(*flags)
@@ -78,18 +75,15 @@ def classify_downloads(links: DataFrame, registry: DataFrame, dry_run: bool = Fa
         F.min_by("md5", "ord").alias("first_md5"),
         F.min_by("own", "ord").alias("first_own"),
     )
-    # read by four joins below, so computed once
-    ranked = durable(lookup_join(known, first_key, ["key"], keys_from=keyed))
+    ranked = lookup_join(known, first_key, ["key"])
     by_hash = registry.filter("md5 is not null").groupBy(F.col("md5").alias("first_md5")).agg(
         F.min_by("filename", "ord").alias("hash_file")
     )
-    firsts = ranked.filter("ord = first_ord").select("first_md5", "first_ord", "first_own")
-    first_hash = firsts.groupBy("first_md5").agg(
+    first_hash = first_key.groupBy("first_md5").agg(
         F.min("first_ord").alias("hash_ord"), F.min_by("first_own", "first_ord").alias("hash_own")
     )
-    full = lookup_join(
-        lookup_join(ranked, by_hash, ["first_md5"]), first_hash, ["first_md5"], keys_from=ranked
-    )
+    facts = first_hash.join(by_hash, "first_md5", "left")
+    full = lookup_join(ranked, facts, ["first_md5"])
     earlier = F.when(F.col("hash_ord") < F.col("first_ord"), F.col("hash_own"))
     canonical = F.coalesce("hash_file", earlier)
     drive = drive_file_id(F.col("url")).isNotNull()

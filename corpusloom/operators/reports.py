@@ -1,7 +1,7 @@
 """Counts, coverage and roster reports, listings and section maps.
 
 A report over many items is a table of its lines. Nothing gathers all lines of
-a group into one value, except where `joined_parts` bounds the size.
+a group into one value.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.functions import markdown as M
 from corpusloom.functions.text import fixed, name_slug, year_of
-from corpusloom.operators.scale import attach_parts, joined_parts
 
 DASH = "—"
 
@@ -45,25 +44,22 @@ def policy_coverage_summary(policies: DataFrame) -> DataFrame:
 
 
 def policy_coverage_report(policies: DataFrame, registry: DataFrame) -> DataFrame:
-    """policies(slug, title, pdf_downloads): linked or not, and the file names.
-
-    A policy with more file names than one part holds gets further rows.
-    """
-    names = joined_parts(
-        pdfs_by_slug(registry).withColumnRenamed("policy_slug", "slug"),
-        ["slug"], ["filename"], "filename", ", ",
-    )
+    """policies(slug, title, pdf_downloads): linked or not; a linked policy has a row for each file."""
+    names = pdfs_by_slug(registry).withColumnRenamed("policy_slug", "slug")
     linked = F.coalesce(F.size("pdf_downloads"), F.lit(0)) > 0
     title = F.coalesce("title", "slug")
-    joined = attach_parts(policies, names, "slug")
-    first = F.coalesce("part", F.lit(0)) == 0
+    # files of policies without links are not listed
+    joined = policies.withColumn("_linked", linked).join(
+        names.withColumn("_linked", F.lit(True)), ["slug", "_linked"], "left"
+    )
+    linked = F.col("_linked")
     files = F.when(linked, F.coalesce("filename", F.lit("(unresolved)"))).otherwise(DASH)
     answer = F.when(linked, "yes").otherwise("no")
-    return joined.filter(linked | first).select(
+    return joined.select(
         title.alias("title"),
         "slug",
         answer.alias("linked"),
-        files.alias("files"),
+        files.alias("file"),
         F.concat(
             F.lit("| "), title, F.lit(" | `"), "slug", F.lit("` | "), answer, F.lit(" | "), files,
             F.lit(" |"),
@@ -188,20 +184,18 @@ def year_summary(items: DataFrame, upload_date: str = "upload_date") -> DataFram
 
 
 def dataset_status(items: DataFrame, as_of: str, fresh_days: int = rules.FRESH_DAYS) -> DataFrame:
-    """Totals, newest `cleaned_at`, counts per content type and freshness in one row.
-
-    Content types are a closed set, so the map has at most that many entries.
-    """
-    per_type = items.filter(F.col("content_type").isin(*rules.CONTENT_TYPES)).groupBy(
-        "content_type"
-    ).agg(F.count("*").alias("n"), F.max("cleaned_at").alias("last"))
-    entries = F.array_sort(F.collect_list(F.struct("content_type", "n")))
-    stamp = F.try_to_timestamp(F.max("last").cast("string"))
+    """Items, newest `cleaned_at` and freshness per content type and, as TOTAL, of all of them."""
+    stamp = F.try_to_timestamp(F.col("last_cleaned_at").cast("string"))
     age_ok = stamp >= F.to_timestamp(F.lit(as_of)) - F.expr(f"interval {fresh_days} days")
-    return per_type.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_items"),
-        F.max("last").alias("last_cleaned_at"),
-        F.map_from_entries(entries).alias("per_content_type"),
+    counted = items.rollup("content_type").agg(
+        F.count("*").alias("items"),
+        F.max("cleaned_at").alias("last_cleaned_at"),
+        F.grouping("content_type").alias("_t"),
+    )
+    return counted.select(
+        F.when(F.col("_t") == 1, "TOTAL").otherwise(F.col("content_type")).alias("content_type"),
+        "items",
+        "last_cleaned_at",
         F.when(age_ok, "fresh").otherwise("stale").alias("freshness"),
     )
 
@@ -214,8 +208,8 @@ def _bold(label: str, name: str) -> Column:
     return F.when(c != "", F.concat(F.lit(f"**{label}:** "), c)).otherwise("")
 
 
-def collection_listing(rows: DataFrame, collection: str) -> DataFrame:
-    """(slug, entry): the listing block of one item, its blank lines included."""
+def collection_listing(rows: DataFrame, collection: str, *more: str) -> DataFrame:
+    """(slug, entry, *more): the listing block of one item, its blank lines included."""
     head = "name" if collection == "team" else "title"
     suffix = ".md" if collection in ("blog", "policies") else ""
     link = F.concat(
@@ -233,7 +227,7 @@ def collection_listing(rows: DataFrame, collection: str) -> DataFrame:
         "team": lambda: [_bold("Role", "role"), _bold("Electorate", "electorate")],
     }[collection]()
     return rows.select(
-        "slug", F.concat_ws("\n", link, F.lit(""), *middle, F.lit("")).alias("entry")
+        "slug", F.concat_ws("\n", link, F.lit(""), *middle, F.lit("")).alias("entry"), *more
     )
 
 

@@ -8,14 +8,6 @@ from pyspark.sql import types as T
 
 from corpusloom.session import durable
 
-# A key is hot from this many rows on. At most rows/HOT_ROWS keys can be hot,
-# which is the bound on what `lookup_join` broadcasts.
-HOT_ROWS = 1_000_000
-# The same for parts, whose rows are as long as PART_CHARS allows.
-HOT_PARTS = 64
-# Upper size of a text assembled from many rows, one row's text apart.
-PART_CHARS = 16_000_000
-
 
 def first_by(df: DataFrame, keys: list[str], order: Column, last: bool = False) -> DataFrame:
     """One row per key, the first by a unique order (or the last).
@@ -28,44 +20,21 @@ def first_by(df: DataFrame, keys: list[str], order: Column, last: bool = False)
     return df.groupBy(*keys).agg(pick.alias("_r")).select(*keys, "_r.*").select(*df.columns)
 
 
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    keys_from: DataFrame | None = None,
-) -> DataFrame:
-    """Join to a side with one row per key, whatever the key skew of `fact`.
+def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join to a side with one row per key; how is inner, left, left_semi or left_anti.
 
-    Keys with `hot_rows` rows or more are answered by a broadcast; their rows
-    carry a salt through the shuffle join, so they spread over all tasks and
-    match nothing there. Null keys are spread the same way.
-    `how` is inner, left, left_semi or left_anti. Key frequencies are counted on
-    `keys_from`, a cheaper frame with the same keys, where there is one.
+    A plain join: adaptive execution splits the partitions of hot keys, which
+    needs `spark.sql.adaptive.skewJoin.enabled`, and broadcasts only what it has
+    measured. Rows with a null key match nothing, so a salt spreads them.
     """
-    values = [c for c in dim.columns if c not in on]
-    side = dim.select(*on, F.struct(F.lit(True).alias("_hit"), *values).alias("_v"))
-    counted = fact if keys_from is None else keys_from
-    hot = counted.groupBy(*on).count().filter(F.col("count") >= hot_rows).select(*on)
-    hot_side = hot.join(side, on, "left").select(
-        *on, F.lit(True).alias("_hot"), F.col("_v").alias("_hv")
-    )
-    simple = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    loose = F.coalesce(F.col("_hot"), F.lit(False))
+    loose = F.lit(False)
     for k in on:
         loose = loose | F.col(k).isNull()
-    salted = fact.join(F.broadcast(hot_side), on, "left").withColumn(
-        "_salt", F.when(loose, F.xxhash64(*simple)).otherwise(F.lit(0))
-    )
-    joined = salted.join(
-        side.withColumn("_salt", F.lit(0).cast("bigint")), [*on, "_salt"], "left"
-    ).withColumn("_v", F.coalesce("_hv", "_v"))
-    found = F.col("_v._hit").isNotNull()
-    kept = {"left": joined, "left_anti": joined.filter(~found)}.get(how, joined.filter(found))
-    if how in ("left_semi", "left_anti"):
-        return kept.select(*fact.columns)
-    return kept.select(*fact.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
+    simple = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salted = fact.withColumn("_salt", F.when(loose, F.xxhash64(*simple)).otherwise(F.lit(0)))
+    joined = salted.join(dim.withColumn("_salt", F.lit(0).cast("bigint")), [*on, "_salt"], how)
+    values = [] if how in ("left_semi", "left_anti") else [c for c in dim.columns if c not in on]
+    return joined.select(*fact.columns, *values)
 
 
 def numbered(
@@ -110,46 +79,3 @@ def numbered(
         (F.col("_n") + F.coalesce("_on", F.lit(0))).alias("n"),
         (F.col("_b") + F.coalesce("_ow", F.lit(0))).alias("before"),
     )
-
-
-def joined_parts(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    text: str,
-    separator: str,
-    max_chars: int = PART_CHARS,
-) -> DataFrame:
-    """(keys, part, text): each key's texts in order, joined.
-
-    A key is one row with part 0 until its text passes `max_chars`; beyond that
-    it continues in further parts, so no task ever holds a whole hot group.
-    """
-    placed = numbered(
-        df.select(*keys, *order, text) if text not in order else df.select(*keys, *order),
-        keys,
-        order,
-        F.length(text) + F.lit(len(separator)),
-    )
-    parts = placed.withColumn("part", F.floor(F.col("before") / F.lit(max_chars)).cast("bigint"))
-    ordered = F.array_sort(F.collect_list(F.struct("n", F.col(text).alias("t"))))
-    return (
-        parts.groupBy(*keys, "part")
-        .agg(F.array_join(F.transform(ordered, lambda x: x["t"]), separator).alias(text))
-    )
-
-
-def attach_parts(items: DataFrame, parts: DataFrame, key: str) -> DataFrame:
-    """Left join of items, unique by key, to their parts.
-
-    First parts are unique on both sides. Further parts may all belong to one
-    item, so they look their item up instead of meeting it in one task; where
-    no key has any, the items are read once and that branch is left out.
-    """
-    stored = durable(parts)
-    first = items.join(stored.filter("part = 0"), key, "left")
-    further = stored.filter("part > 0")
-    if further.isEmpty():
-        return first
-    more = lookup_join(further, items, [key], "inner", hot_rows=HOT_PARTS)
-    return first.unionByName(more.select(*first.columns))

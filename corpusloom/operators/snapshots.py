@@ -44,11 +44,11 @@ def fresh_snapshots(snapshots: DataFrame, as_of: str, **options) -> DataFrame:
 
 
 def upsert_snapshots(stored: DataFrame, new: DataFrame | None, tiebreak: str) -> DataFrame:
-    """Newest write per (category, url key); `tiebreak` orders equal stamps."""
+    """Newest write per (category, url); `tiebreak` orders equal stamps. The short key is a label only."""
     rows = stored if new is None else stored.unionByName(new)
     keyed = rows.withColumn("url_key", url_key(F.col("url")))
     return first_by(
-        keyed, ["category", "url_key"], F.struct("cached_at", tiebreak), last=True
+        keyed, ["category", "url"], F.struct("cached_at", tiebreak), last=True
     )
 
 

@@ -29,18 +29,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table whose rows get heavy per-row work.
-
-    A scan has no more tasks than row groups. When that leaves cores idle the
-    table is small by the same token, and one shuffle of its rows spreads the
-    work; a table with enough splits is scanned as it is.
-    """
-    df = table(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 # --- oracle-side expressions ------------------------------------------------
 
 WS_LIT = "'" + PY_WS + "'"

@@ -19,7 +19,6 @@ from corpusloom.plans.book import (
     d_title,
     lit,
     query,
-    spread,
     table,
 )
 from corpusloom.plans.seeds import (
@@ -52,20 +51,12 @@ def _prov(kind: str, url: str, ingested: str) -> str:
 # --- typed projections ------------------------------------------------------
 
 # Pages as policies, which own the PDF files of the policy of the same number.
-_PDF_AGG = (
-    f"SELECT replace(policy_slug, 'pol-', 'page-') AS slug, string_agg({d_strip(PDF_BODY_SQL)}, "
-    f"chr(10) || chr(10) ORDER BY file) AS detail FROM ({PDF_FILE_SQL}) GROUP BY policy_slug"
-)
-_R01_BODY = (
-    "CASE WHEN detail IS NULL THEN " + d_clean("raw", "title") + " ELSE "
-    + d_collapse(f"rtrim({d_clean('raw', 'title')}, {WS_LIT}) || chr(10) || chr(10) || '## Full Policy Detail' "
-                 "|| chr(10) || chr(10) || detail") + " END"
-)
+_PDF_SLUGS = f"SELECT DISTINCT replace(policy_slug, 'pol-', 'page-') AS slug FROM ({PDF_FILE_SQL})"
 R01_SQL = (
-    f"SELECT {_prov('policy', 'url', lit('2026-01-01T00:00:00'))}, trim(title) AS title, 0::bigint AS part, "
-    f"{_R01_BODY} AS body FROM ({POLICY_SQL}) LEFT JOIN ({_PDF_AGG}) USING (slug) UNION ALL "
-    f"SELECT {_prov('policy', lit(''), lit(''))}, {d_title('replace(slug, chr(45), chr(32))')}, 0, detail "
-    f"FROM ({_PDF_AGG}) WHERE slug NOT IN (SELECT 'page-' || page_id FROM pages)"
+    f"SELECT {_prov('policy', 'url', lit('2026-01-01T00:00:00'))}, trim(title) AS title, "
+    f"{d_clean('raw', 'title')} AS body FROM ({POLICY_SQL}) UNION ALL "
+    f"SELECT {_prov('policy', lit(''), lit(''))}, {d_title('replace(slug, chr(45), chr(32))')}, '' "
+    f"FROM ({_PDF_SLUGS}) WHERE slug NOT IN (SELECT 'page-' || page_id FROM pages)"
 )
 
 
@@ -93,7 +84,7 @@ def _(spark, sf):
 R02_SQL = (
     f"SELECT {_prov('blog-post', d_field('raw', 'URL'), d_field('raw', 'Scraped'))}, "
     f"{d_field('raw', 'Title')} AS title, {d_field('raw', 'Date')} AS date, {d_field('raw', 'Author')} AS author, "
-    f"'' AS excerpt, 0::bigint AS part, {d_clean(d_no_fields('raw'), d_field('raw', 'Title'), footer=False)} AS body "
+    f"'' AS excerpt, {d_clean(d_no_fields('raw'), d_field('raw', 'Title'), footer=False)} AS body "
     f"FROM ({BLOG_SQL})"
 )
 
@@ -107,7 +98,7 @@ R03_SQL = (
     f"SELECT {_prov('event', d_field('raw', 'URL'), lit(''))}, {d_field('raw', 'Title')} AS title, "
     f"{d_field('raw', 'Date')} AS date, {d_field('raw', 'When')} AS time, {d_field('raw', 'Location')} AS location, "
     f"{d_field('raw', 'Venue')} AS venue, {d_field('raw', 'Address')} AS address, '' AS description, "
-    "'' AS registration_url, 0::bigint AS part, "
+    "'' AS registration_url, "
     f"{d_clean(d_no_fields('raw'), d_field('raw', 'Title'), False, False)} AS body FROM ({EVENT_SQL})"
 )
 
@@ -118,7 +109,7 @@ def _(spark, sf):
 
 
 R04_SQL = (
-    f"SELECT {_prov('team-member', 'url', lit('2026-01-01T00:00:00'))}, name, role, electorate, 0::bigint AS part, "
+    f"SELECT {_prov('team-member', 'url', lit('2026-01-01T00:00:00'))}, name, role, electorate, "
     f"{d_clean(d_no_fields('raw'), 'name', footer=False)} AS body FROM ({MEMBER_MD_SQL})"
 )
 
@@ -130,7 +121,7 @@ def _(spark, sf):
 
 @query(
     "r05_clean_party_info",
-    f"SELECT {_prov('party-information', 'url', lit('2026-01-01T00:00:00'))}, trim(title) AS title, 0::bigint AS part, "
+    f"SELECT {_prov('party-information', 'url', lit('2026-01-01T00:00:00'))}, trim(title) AS title, "
     f"{d_clean('raw', 'title', contact=False)} AS body FROM ({POLICY_SQL})",
 )
 def _(spark, sf):
@@ -139,7 +130,7 @@ def _(spark, sf):
 
 R06_SQL = (
     f"SELECT {_prov('blog-post', d_quote_field('raw', 'URL'), d_quote_field('raw', 'Scraped'))}, "
-    f"{d_h1('raw')} AS title, '' AS date, '' AS author, '' AS excerpt, 0::bigint AS part, "
+    f"{d_h1('raw')} AS title, '' AS date, '' AS author, '' AS excerpt, "
     f"{d_clean('raw', d_h1('raw'), footer=False)} AS body FROM ({NEWS_SQL})"
 )
 
@@ -154,7 +145,7 @@ def _r07(where: str) -> str:
         "SELECT policy_slug || '-part-' || doc_id % 8 AS slug, 'pdf-document' AS content_type, "
         f"'{rules.SOURCE_ID}' AS source_id, '{rules.SOURCE_TYPE}' AS source_type, '' AS source_url, "
         f"'{CLEANED_AT}' AS ingested_at, '{CLEANED_AT}' AS cleaned_at, source || ' — ' || lang || ' paper' AS title, "
-        f"policy_slug, 0::bigint AS part, {PDF_BODY_SQL} AS body FROM ({PDF_FILE_SQL}) JOIN "
+        f"policy_slug, {PDF_BODY_SQL} AS body FROM ({PDF_FILE_SQL}) JOIN "
         f"(SELECT doc_id, source, lang FROM documents) USING (doc_id) {where}"
     )
 
@@ -286,52 +277,48 @@ def _(spark, sf):
 
 @query(
     "j02_pdf_only_policies",
-    "SELECT DISTINCT 'doc-' || doc_id AS slug FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')",
+    "SELECT DISTINCT 'doc-' || doc_id * 2 AS slug FROM documents WHERE doc_id * 2 NOT IN (SELECT doc_id FROM documents)",
 )
 def _(spark, sf):
-    pdfs = table(spark, sf, "labels").select(
-        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("policy_slug")
+    pdfs = table(spark, sf, "documents").select(
+        F.concat(F.lit("doc-"), (F.col("doc_id") * 2).cast("string")).alias("policy_slug")
     )
-    return N.pdf_only_slugs(pdfs, seeds.policy_pdfs(spark, sf).filter("lang = 'en'"))
+    return N.pdf_only_slugs(pdfs, seeds.policy_pdfs(spark, sf))
 
 
 @query(
     "j03_policy_with_pdf_text",
-    f"SELECT p.slug, 0::bigint AS part, 'Body ' || p.slug || CASE WHEN a.detail IS NULL THEN '' ELSE chr(10) || chr(10) || "
-    f"'## Full Policy Detail' || chr(10) || chr(10) || {d_collapse('a.detail')} END AS body FROM (SELECT DISTINCT policy_slug AS slug FROM ({PDF_FILE_SQL})) p "
-    f"LEFT JOIN (SELECT policy_slug AS slug, string_agg({d_strip(PDF_BODY_SQL)}, chr(10) || chr(10) ORDER BY file) AS detail "
-    f"FROM ({PDF_FILE_SQL}) WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY policy_slug) a ON a.slug = p.slug",
+    f"SELECT p.slug, 'Body ' || p.slug AS body, a.file, a.detail FROM (SELECT DISTINCT policy_slug AS slug FROM ({PDF_FILE_SQL})) p "
+    f"LEFT JOIN (SELECT policy_slug AS slug, file, {d_strip(PDF_BODY_SQL)} AS detail "
+    f"FROM ({PDF_FILE_SQL}) WHERE doc_id IN (SELECT doc_id FROM labels)) a ON a.slug = p.slug AND a.detail <> ''",
 )
 def _(spark, sf):
     files = seeds.pdf_files(spark, sf)
     items = files.select(F.col("policy_slug").alias("slug")).distinct().select(
-        "slug", F.lit(0).cast("bigint").alias("part"),
-        F.concat(F.lit("Body "), "slug", F.lit(" \n")).alias("body"),
+        "slug", F.concat(F.lit("Body "), "slug").alias("body")
     )
     labelled = table(spark, sf, "labels").select("doc_id")
-    sections = N.pdf_sections(files.join(labelled, "doc_id", "left_semi"))
-    out = N.policy_with_pdf_text(items, sections)
-    return out.withColumn("body", F.regexp_replace("body", r" \n$", ""))
+    return N.policy_with_pdf_text(items, N.pdf_sections(files.join(labelled, "doc_id", "left_semi")))
 
 
 @query(
     "j04_merge_meta",
-    "SELECT slug, coalesce(n.title, o.title) AS title, o.html_path AS html_path, n.lang AS lang, coalesce(n.k, o.k) AS k, "
-    "o.z AS z FROM (SELECT 'd' || doc_id AS slug, 'old' AS title, 'h/' || doc_id AS html_path, 'o' || doc_id AS k, 'z' || doc_id AS z "
-    "FROM documents WHERE lang <> 'fr') o FULL OUTER JOIN (SELECT 'd' || doc_id AS slug, 'new' AS title, lang, 'n' || doc_id AS k "
-    "FROM documents SEMI JOIN labels USING (doc_id)) n USING (slug)",
+    "SELECT slug, CASE WHEN n.slug2 IS NULL THEN o.title ELSE n.title END AS title, o.html_path AS html_path, n.lang AS lang, "
+    "coalesce(n.k, o.k) AS k, o.z AS z FROM (SELECT 'd' || doc_id AS slug, 'old' AS title, 'h/' || doc_id AS html_path, "
+    "'o' || doc_id AS k, 'z' || doc_id AS z FROM documents) o FULL OUTER JOIN (SELECT 'd' || doc_id * 2 AS slug, 1 AS slug2, "
+    "CASE WHEN doc_id % 3 <> 0 THEN 'new' END AS title, lang, 'n' || doc_id AS k FROM documents) n USING (slug)",
 )
 def _(spark, sf):
+    """Every second old row meets a new one; a third of the new titles are null, and win."""
     docs = table(spark, sf, "documents")
     key = F.col("doc_id").cast("string")
-    slug = F.concat(F.lit("d"), key).alias("slug")
-    old = docs.filter("lang <> 'fr'").select(
-        slug, F.lit("old").alias("title"), F.concat(F.lit("h/"), key).alias("html_path"),
+    old = docs.select(
+        F.concat(F.lit("d"), key).alias("slug"), F.lit("old").alias("title"), F.concat(F.lit("h/"), key).alias("html_path"),
         F.create_map(F.lit("k"), F.concat(F.lit("o"), key), F.lit("z"), F.concat(F.lit("z"), key)).alias("extra"),
     )
-    labelled = table(spark, sf, "labels").select("doc_id")
-    new = docs.join(labelled, "doc_id", "left_semi").select(
-        slug, F.lit("new").alias("title"), "lang",
+    new = docs.select(
+        F.concat(F.lit("d"), (F.col("doc_id") * 2).cast("string")).alias("slug"),
+        F.when(F.col("doc_id") % 3 != 0, "new").alias("title"), "lang",
         F.create_map(F.lit("k"), F.concat(F.lit("n"), key)).alias("extra"),
     )
     return N.merge_meta(old, new, ["slug"], extra="extra").select(
@@ -342,7 +329,7 @@ def _(spark, sf):
 
 @query(
     "j05_pdf_entries_to_items",
-    "SELECT doc_id, lang = 'en' AND doc_id IN (SELECT doc_id FROM labels) AS matched FROM documents",
+    "SELECT doc_id, doc_id IN (SELECT doc_id * 2 FROM documents) AND doc_id IN (SELECT doc_id FROM labels) AS matched FROM documents",
 )
 def _(spark, sf):
     key = F.col("doc_id").cast("string")
@@ -352,7 +339,7 @@ def _(spark, sf):
         F.concat(F.lit("f"), key, F.lit(".pdf")).alias("source_file"),
         F.concat(F.lit("/data/p"), key, F.lit("/pdf-default.md")).alias("output_file"),
     )
-    items = docs.filter("lang = 'en'").select(F.concat(F.lit("p"), key, F.lit("-default")).alias("slug"))
+    items = docs.select(F.concat(F.lit("p"), (F.col("doc_id") * 2).cast("string"), F.lit("-default")).alias("slug"))
     files = table(spark, sf, "labels").select(F.concat(F.lit("f"), key, F.lit(".pdf")).alias("filename"))
     hit, miss = R.pdf_entries_to_items(index, items, files)
     return hit.select("doc_id", F.lit(True).alias("matched")).unionByName(
@@ -506,7 +493,7 @@ def _(spark, sf):
 
 @query("w02_changed_manifests", "SELECT DISTINCT user_id AS doc FROM events WHERE user_id % 5 = 0")
 def _(spark, sf):
-    new = durable(R.image_manifest(_images(spark, sf)))
+    new = R.image_manifest(_images(spark, sf))
     renamed = F.when(F.col("doc") % 5 == 0, F.concat(F.lit("x"), "filename")).otherwise(F.col("filename"))
     return R.changed_manifests(new, new.withColumn("filename", renamed))
 
@@ -593,7 +580,7 @@ def _(spark, sf):
     from corpusloom.functions import compare as V
 
     def words(name: str) -> DataFrame:
-        found = V.with_tokens(spread(spark, sf, name), {"t": "text"})
+        found = V.with_tokens(table(spark, sf, name), {"t": "text"})
         return found.select(F.explode(V.unique_words(F.col("t"))).alias("word"))
 
     return words("documents").intersect(words("benchmark"))
@@ -724,8 +711,8 @@ _MD_SQL = (
 def _(spark, sf):
     path = _scratch(spark, "items")
     team = schemas.conform(N.clean_team(seeds.member_md(spark, sf), CLEANED_AT))
-    writers.write_clean_items(team.withColumn("role", F.lit("stale")), path)
-    writers.write_clean_items(team, path)
+    writers.write_clean_items(team.withColumn("role", F.lit("stale")), path, buckets=4)
+    writers.write_clean_items(team, path, buckets=4)
     return writers.read_clean_items(spark, path).select("slug", "role", "rendered_md")
 
 
@@ -770,7 +757,7 @@ def _(spark, sf):
     def clean(batch: DataFrame) -> DataFrame:
         return schemas.conform(N.clean_team(batch, CLEANED_AT))
 
-    incremental_clean(raw, clean, f"{path}/items", f"{path}/progress").awaitTermination()
+    incremental_clean(raw, clean, f"{path}/items", f"{path}/progress", buckets=4).awaitTermination()
     return writers.read_clean_items(spark, f"{path}/items").select("slug", "name", "role", "body")
 
 

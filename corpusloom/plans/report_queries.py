@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom import schemas
+from corpusloom import rules, schemas
 from corpusloom.functions import html as H
 from corpusloom.operators import find as FD
 from corpusloom.operators import registry as R
 from corpusloom.operators import reports as G
 from corpusloom.operators import validate as VA
+from corpusloom.operators.scale import numbered
 from corpusloom.plans import seeds
-from corpusloom.plans.book import d_element, d_text, query, spread, table
+from corpusloom.plans.book import d_element, d_text, query, table
 from corpusloom.plans.item_queries import (
     R02_SQL,
     R03_SQL,
@@ -50,7 +51,7 @@ PAIR_SQL = (
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     html = F.col("html")
-    base = spread(spark, sf, "pages").select(
+    base = table(spark, sf, "pages").select(
         "page_id",
         H.html_text(H.element(html, "body"), "\n").alias("whole"),
         H.html_text(H.element(html, "article"), "\n").alias("main"),
@@ -83,10 +84,10 @@ _COVER = (
 @query(
     "v03_word_coverage",
     "SELECT page_id, round(coverage, 9) AS coverage, len(rt) AS raw_tokens, len(mt) AS md_tokens, len(ru) AS raw_unique, len(mu) AS md_unique "
-    f"FROM ({_COVER}) WHERE raw_text IS NOT NULL",
+    f"FROM ({_COVER})",
 )
 def _(spark, sf):
-    stats = VA.word_stats(pairs(spark, sf).filter("raw_text is not null"))
+    stats = VA.word_stats(pairs(spark, sf))
     return stats.select(
         "page_id",
         F.round("coverage", 9).alias("coverage"),
@@ -113,9 +114,9 @@ def validated(spark: SparkSession, sf: str) -> DataFrame:
     return VA.validate(pairs(spark, sf))
 
 
-@query("v06_validate", VALID_SQL + " WHERE NOT bad")
+@query("v06_validate", VALID_SQL)
 def _(spark, sf):
-    rows = VA.validate(pairs(spark, sf).filter("raw_text is not null"))
+    rows = VA.validate(pairs(spark, sf))
     return rows.withColumn("notes", F.array_join("notes", "; "))
 
 
@@ -200,11 +201,11 @@ def _(spark, sf):
 
 @query(
     "g24_policy_coverage_report",
+    "SELECT title, slug, linked, file, '| ' || title || ' | `' || slug || '` | ' || linked || ' | ' || file || ' |' AS line FROM ("
     "SELECT coalesce(p.title, p.slug) AS title, p.slug, CASE WHEN len(pdf_downloads) > 0 THEN 'yes' ELSE 'no' END AS linked, "
-    "CASE WHEN len(pdf_downloads) > 0 THEN coalesce(f.files, '(unresolved)') ELSE '—' END AS files, '| ' || coalesce(p.title, p.slug) || ' | `' || p.slug || '` | ' || "
-    "CASE WHEN len(pdf_downloads) > 0 THEN 'yes' ELSE 'no' END || ' | ' || CASE WHEN len(pdf_downloads) > 0 THEN coalesce(f.files, '(unresolved)') ELSE '—' END || ' |' AS line "
-    f"FROM ({POLICY_PDF_SQL}) p LEFT JOIN (SELECT policy_slug, string_agg(filename, ', ' ORDER BY filename) AS files FROM "
-    f"(SELECT DISTINCT 'doc-' || ord % 60 AS policy_slug, filename FROM ({REGISTRY_SQL})) GROUP BY policy_slug) f ON f.policy_slug = p.slug",
+    "CASE WHEN len(pdf_downloads) > 0 THEN coalesce(f.filename, '(unresolved)') ELSE '—' END AS file "
+    f"FROM ({POLICY_PDF_SQL}) p LEFT JOIN (SELECT DISTINCT 'doc-' || ord % 60 AS policy_slug, filename FROM ({REGISTRY_SQL})) f "
+    "ON f.policy_slug = p.slug AND len(pdf_downloads) > 0)",
 )
 def _(spark, sf):
     reg = seeds.registry(spark, sf).withColumn(
@@ -270,8 +271,7 @@ def _(spark, sf):
 
 @query("g29_group_by_year", f"SELECT {_YEAR} AS year, id FROM ({S16_SQL})")
 def _(spark, sf):
-    items_ = R.group_by_year(R.enumerate_media(media(spark, sf)))
-    return items_.select("year", "id").orderBy(F.desc("year"), "id")
+    return R.group_by_year(R.enumerate_media(media(spark, sf))).select("year", "id")
 
 
 @query(
@@ -289,20 +289,11 @@ _TYPED_SQL = (
 )
 
 
-def _status_cols(df: DataFrame) -> DataFrame:
-    counts = F.col("per_content_type")
-    return df.select(
-        "total_items", "last_cleaned_at", "freshness",
-        F.array_join(
-            F.transform(F.map_entries(counts), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ","
-        ).alias("per_type"),
-    )
-
-
 @query(
     "g33_dataset_status",
-    f"WITH t AS ({_TYPED_SQL}), c AS (SELECT content_type, count(*) AS n FROM t GROUP BY 1) SELECT (SELECT count(*) FROM t) AS total_items, "
-    "(SELECT max(cleaned_at) FROM t) AS last_cleaned_at, 'fresh' AS freshness, (SELECT string_agg(content_type || '=' || n, ',' ORDER BY content_type) FROM c) AS per_type",
+    f"WITH t AS ({_TYPED_SQL}) SELECT content_type, count(*) AS items, max(cleaned_at) AS last_cleaned_at, "
+    "CASE WHEN max(cleaned_at)::timestamp >= TIMESTAMP '" + AS_OF + "' - INTERVAL " + str(rules.FRESH_DAYS) + " DAY THEN 'fresh' ELSE 'stale' END AS freshness "
+    "FROM (SELECT content_type, cleaned_at FROM t UNION ALL SELECT 'TOTAL', cleaned_at FROM t) GROUP BY content_type",
 )
 def _(spark, sf):
     k = F.col("event_type")
@@ -314,7 +305,7 @@ def _(spark, sf):
         kind.alias("content_type"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("cleaned_at"),
     )
-    return _status_cols(G.dataset_status(rows, AS_OF))
+    return G.dataset_status(rows, AS_OF)
 
 
 @query(
@@ -347,16 +338,34 @@ def _(spark, sf):
     return FD.home_topk(posts, seeds.event_md(spark, sf), seeds.members(spark, sf))
 
 
+def _ranked(sql: str, order: str, name: str) -> str:
+    return f"SELECT '{name}' AS collection, slug, row_number() OVER (ORDER BY {order}) AS n FROM ({sql})"
+
+
 @query(
     "t02_collection_orders",
-    f"SELECT 'team' AS collection, slug FROM ({MEMBER_SQL}) UNION ALL SELECT 'team-cards', slug FROM ({MEMBER_SQL}) UNION ALL "
-    f"SELECT 'events', slug FROM ({EVENT_SQL})",
+    " UNION ALL ".join((
+        _ranked(MEMBER_SQL, "name, slug", "team"), _ranked(MEMBER_SQL, "role, name, slug", "team-cards"),
+        _ranked(EVENT_SQL, "date, slug", "events"),
+        _ranked(f"SELECT slug, {_BLOG_DATE} AS date FROM ({BLOG_SQL})", "date DESC, slug", "blog"),
+        _ranked("SELECT 'p' || doc_id AS slug, 'title ' || lpad((doc_id % 90)::varchar, 2, '0') AS title FROM documents",
+                "title, slug", "policies"),
+    )),
 )
 def _(spark, sf):
+    """Every published order as a rank, so that the order itself is compared."""
     team = seeds.members(spark, sf)
+    day = F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0")
+    posts = seeds.blog_md(spark, sf).withColumn("date", F.concat(F.lit("2026-01-"), day))
+    policies = table(spark, sf, "documents").select(
+        F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("slug"),
+        F.concat(F.lit("title "), F.lpad((F.col("doc_id") % 90).cast("string"), 2, "0")).alias("title"),
+    )
     out = None
-    for name, df in (("team", team), ("team-cards", team), ("events", seeds.event_md(spark, sf))):
-        rows = df.orderBy(*G.collection_order(name)).select(F.lit(name).alias("collection"), "slug")
+    for name, df in (("team", team), ("team-cards", team), ("events", seeds.event_md(spark, sf)),
+                     ("blog", posts), ("policies", policies)):
+        rows = numbered(df.select(*[c for c in ("slug", "title", "date", "name", "role") if c in df.columns]),
+                        [], G.collection_order(name)).select(F.lit(name).alias("collection"), "slug", "n")
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -390,10 +399,8 @@ def _(spark, sf):
 
     ev = clean_events(seeds.event_md(spark, sf), CLEANED_AT)
     even = F.regexp_extract("slug", r"(\d+)", 1).cast("bigint") % 2 == 0
-    lines = ev.withColumn("date", F.when(even, "").otherwise(F.col("date"))).select(
-        "slug", G.event_list_line().alias("line")
-    )
-    return G.collection_listing(ev, "events").join(lines, "slug")
+    dated = ev.withColumn("date", F.when(even, "").otherwise(F.col("date"))).withColumn("line", G.event_list_line())
+    return G.collection_listing(dated, "events", "line")
 
 
 @query(
@@ -413,8 +420,6 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """The distributed rank behind pages that start deep in the order."""
-    from corpusloom.operators.scale import numbered
-
     ev = table(spark, sf, "events").select("event_id", "value")
     ranked = numbered(ev, [], [F.desc("value"), F.asc("event_id")])
     half = ev.agg(F.floor(F.count("*") / 2).alias("h")).scalar()
@@ -517,14 +522,14 @@ def _policy_items(spark: SparkSession, sf: str) -> DataFrame:
         slug.alias("slug"), F.lit("policy").alias("content_type"), F.lit("u").alias("source_url"),
         F.concat(F.lit("Title "), (F.col("doc_id") % 100).cast("string")).alias("title"),
         F.lit("").alias("summary"), F.array(F.upper("lang"), "source").alias("tags"),
-        F.lit(0).alias("part"), F.col("text").alias("body"),
+        F.col("text").alias("body"),
     )
     pdf = table(spark, sf, "labels").select(
         "doc_id", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("k")
     ).select(
         F.concat(slug, F.lit("-f"), F.col("k").cast("string")).alias("slug"),
         F.lit("pdf-document").alias("content_type"), slug.alias("policy_slug"),
-        F.lit(0).alias("part"), F.lit("").alias("body"),
+        F.lit("").alias("body"),
     )
     return schemas.conform(pol).unionByName(schemas.conform(pdf))
 
@@ -538,23 +543,28 @@ _SLUGS = (
 @query(
     "f03_find_policies",
     f"SELECT slug, title, lower(lang) || ',' || source AS tags, {_SLUGS} AS pdf_slugs FROM (SELECT * FROM ({_POL_SQL}) WHERE lang = 'en' AND "
-    "contains(lower(title) || ' ' || lower(text), 'th') AND doc_id IN (SELECT doc_id FROM labels) ORDER BY title, slug LIMIT 25) p",
+    "(contains(lower(title) || ' ' || lower(text), 'th q') OR doc_id % 7 = 0) AND doc_id IN (SELECT doc_id FROM labels) ORDER BY title, slug LIMIT 25) p",
 )
 def _(spark, sf):
-    page = FD.find_policies(_policy_items(spark, sf), query="TH", tags=["en"], has_pdf=True, limit=25)
+    sections = table(spark, sf, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"),
+        F.explode(F.array(F.lit("none"), F.when(F.col("doc_id") % 7 == 0, "With Quotes"))).alias("detail"),
+    )
+    page = FD.find_policies(
+        _policy_items(spark, sf), sections, query="TH Q", tags=["en"], has_pdf=True, limit=25)
     return page.items.select(
         "slug", "title", F.lower(F.array_join("tags", ",")).alias("tags"),
         F.array_join("pdf_slugs", ",").alias("pdf_slugs"),
     )
 
 
-@query("j11_policy_pdf_slugs", f"SELECT slug, 0::bigint AS part, {_SLUGS} AS pdf_slugs FROM ({_POL_SQL}) p")
+@query(
+    "j11_policy_pdf_slugs",
+    f"SELECT slug, CASE WHEN k IS NOT NULL THEN slug || '-f' || k END AS pdf_slug FROM ({_POL_SQL}) p LEFT JOIN ({_POLPDF_SQL}) USING (doc_id)",
+)
 def _(spark, sf):
     rows = _policy_items(spark, sf)
-    pol = rows.filter("content_type = 'policy'")
-    return FD.policy_pdf_slugs(pol, FD.linked_pdfs(rows)).withColumn(
-        "pdf_slugs", F.array_join("pdf_slugs", ",")
-    )
+    return FD.policy_pdf_slugs(rows.filter("content_type = 'policy'"), FD.linked_pdfs(rows))
 
 
 @query("j12_has_pdf", "SELECT 'doc-' || doc_id AS slug, doc_id IN (SELECT doc_id FROM labels) AS has_pdf FROM documents")

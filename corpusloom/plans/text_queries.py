@@ -10,7 +10,6 @@ from corpusloom.functions import markdown as M
 from corpusloom.functions import repair as Q
 from corpusloom.functions import text as X
 from corpusloom.operators import reports as G
-from corpusloom.operators.scale import joined_parts
 from corpusloom.plans import seeds
 from corpusloom.plans.book import (
     d_collapse,
@@ -23,7 +22,6 @@ from corpusloom.plans.book import (
     d_unlines,
     lit,
     query,
-    spread,
     table,
 )
 from corpusloom.plans.seeds import (
@@ -268,8 +266,8 @@ def _(spark, sf):
 
 @query(
     "c15_concat_pdf_sections",
-    f"SELECT policy_slug AS slug, 0::bigint AS part, string_agg({d_strip(PDF_BODY_SQL)}, "
-    f"chr(10) || chr(10) ORDER BY file) AS detail FROM ({PDF_FILE_SQL}) GROUP BY policy_slug",
+    f"SELECT policy_slug AS slug, file, {d_strip(PDF_BODY_SQL)} AS detail FROM ({PDF_FILE_SQL}) "
+    f"WHERE {d_strip(PDF_BODY_SQL)} <> ''",
 )
 def _(spark, sf):
     from corpusloom.operators.normalise import pdf_sections
@@ -340,7 +338,7 @@ def _(spark, sf):
 ))
 def _(spark, sf):
     md = F.concat(F.lit('---\ntitle: "T '), F.col("doc_id").cast("string"), F.lit('"\n---\n'), "text")
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id",
         M.strip_frontmatter(md).alias("body"),
         M.strip_frontmatter_block(md).alias("block"),
@@ -355,7 +353,7 @@ def _(spark, sf):
     key = F.col("doc_id").cast("string")
     fm = F.concat(F.lit('---\ntitle: "T '), key, F.lit('"\n---\n# X\n'), "text")
     h1 = F.concat(F.lit("intro\n# H "), key, F.lit("\n"), "text")
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id",
         M.doc_title(fm, F.col("source")).alias("fm"),
         M.doc_title(h1, F.col("source")).alias("h1"),
@@ -372,7 +370,7 @@ def _(spark, sf):
         F.lit("# N\n\n## T\n\n# N\n\n## T\n\n"), "text",
         F.lit("\n\n\n[m [x@y]](/cdn-cgi/l/email-protection#1)\n\n### donate now\nplease"),
     )
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", M.clean_profile_markdown(md).alias("md")
     )
 
@@ -400,7 +398,7 @@ def _(spark, sf):
         F.lit("​"), F.regexp_replace("text", "([aeiou])", "$1‍﻿"),
         F.lit("oicers  x"),
     )
-    return spread(spark, sf, "documents").select("doc_id", M.strip_glyphs(dirty).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", M.strip_glyphs(dirty).alias("text"))
 
 
 _PDF_CLEAN = (
@@ -463,9 +461,8 @@ def _(spark, sf):
 
 @query(
     "c27_inject_sections",
-    "SELECT policy_slug AS slug, 0::bigint AS part, 'Base of ' || policy_slug || string_agg(chr(10) || chr(10) || '---' || chr(10) || chr(10) || "
-    f"'# ' || file || chr(10) || {d_strip('text')}, '' ORDER BY file) || chr(10) AS md FROM ({PDF_FILE_SQL}) "
-    "GROUP BY policy_slug",
+    "SELECT policy_slug AS slug, file, 'Base of ' || policy_slug AS base, chr(10) || chr(10) || '---' || chr(10) || chr(10) || "
+    f"'# ' || file || chr(10) || {d_strip('text')} AS md FROM ({PDF_FILE_SQL})",
 )
 def _(spark, sf):
     docs = seeds.pdf_files(spark, sf).select(
@@ -473,9 +470,7 @@ def _(spark, sf):
         F.concat(F.lit("\n\n---\n\n# "), "file", F.lit("\n"), X.strip(F.col("text"))).alias("md"),
     )
     old = F.concat(F.lit("Base of "), "slug", F.lit(" \n\n---\n\n# old\nstale"))
-    parts = joined_parts(docs, ["slug"], ["file"], "md", "")
-    base = F.when(F.col("part") == 0, M.section_base(old)).otherwise("")
-    return parts.select("slug", "part", F.concat(base, "md", F.lit("\n")).alias("md"))
+    return docs.select("slug", "file", M.section_base(old).alias("base"), "md")
 
 
 @query(
@@ -502,10 +497,10 @@ def _(spark, sf):
         M.policy_md(F.col("title"), F.col("url"), s, F.lit("body")).alias("md"),
     )
     section = F.concat(F.lit("sec-"), F.col("page_id").cast("string"), F.lit("-x"))
-    info = spread(spark, sf, "pages").select(
+    info = table(spark, sf, "pages").select(
         key("i", "page_id"), M.info_md(section, F.col("url"), s, F.lit("body")).alias("md")
     )
-    docs = spread(spark, sf, "documents")
+    docs = table(spark, sf, "documents")
     blog = docs.select(
         key("b", "doc_id"),
         M.blog_md(F.col("source"), lang, F.lit(""), u, s, F.col("text")).alias("md"),
@@ -552,7 +547,7 @@ def _(spark, sf):
         F.when(F.col("lang") == "en", "[c](/en)").otherwise(""),
     )
     out, n = M.absolutize_links(md, "https://x.org//")
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", out.alias("md"), n.cast("bigint").alias("n")
     )
 
@@ -564,7 +559,7 @@ _DOCS = "SELECT * FROM documents"
 
 def _doc_text(spark, sf, *before, after=()):
     parts = [F.lit(x) if isinstance(x, str) else x for x in (*before, F.col("text"), *after)]
-    return spread(spark, sf, "documents").withColumn("md", F.concat(*parts))
+    return table(spark, sf, "documents").withColumn("md", F.concat(*parts))
 
 
 @query("q01_space_after_period", _from(
@@ -572,7 +567,7 @@ def _doc_text(spark, sf, *before, after=()):
 ))
 def _(spark, sf):
     squeezed = F.replace("text", F.lit(". "), F.lit("."))
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", Q.space_after_period(squeezed).alias("text")
     )
 
@@ -770,7 +765,7 @@ def _(spark, sf):
 @query("v01_normalise_compare", _from(_DOCS, doc_id="doc_id", text="strip_accents(text) || ' office 12'"))
 def _(spark, sf):
     odd = F.when(F.col("doc_id") % 2 == 0, " oﬃce ①²").otherwise(" office 12")
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", V.normalise_compare(F.concat("text", odd)).alias("text")
     )
 
@@ -783,7 +778,7 @@ _TOK = "regexp_extract_all(strip_accents(text), '[A-Za-z0-9]+')"
     words=f"array_to_string(list_sort(list_distinct(list_transform({_TOK}, lambda w: lower(w)))), ' ')",
 ))
 def _(spark, sf):
-    rows = V.with_tokens(spread(spark, sf, "documents"), {"t": "text"})
+    rows = V.with_tokens(table(spark, sf, "documents"), {"t": "text"})
     return rows.select(
         "doc_id",
         F.array_join("t", " ").alias("tokens"),
@@ -811,15 +806,15 @@ def _(spark, sf):
 ))
 def _(spark, sf):
     dirty = F.regexp_replace("text", "([A-Za-z])e", "$1​")
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", V.glyph_artefacts(dirty).cast("bigint").alias("n")
     )
 
 
 _SNIP = d_sub(
-    d_strip(d_sub("left(" + d_strip(
+    d_strip(d_sub(d_strip(
         "list_filter(" + d_lines("text") + ", lambda l: " + d_strip("l") + " <> '' AND NOT contains(lower(l), 'picture'))[1]"
-    ) + ", 80)", "[#*`_]", "")), r"\s+", " ",
+    ), "[#*`_]", "")), r"\s+", " ",
 )
 
 
@@ -829,7 +824,7 @@ _SNIP = d_sub(
 def _(spark, sf):
     md = F.concat(F.lit("| t |\n![i](x)\n<!-- c -->\n\n"), "text")
     rendered = F.concat(F.lit("t "), F.regexp_replace("text", "[#*`_]", ""))
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id",
         V.render_snippet(md).alias("snippet"),
         V.snippet_in_render(md, rendered).alias("found"),
@@ -852,7 +847,7 @@ def _(spark, sf):
     slug="trim(" + d_sub("replace(" + d_sub("replace(" + d_strip("lower(text)") + ", '''', '')", r"[^a-z0-9\- ]") + ", ' ', '-')", "-{2,}", "-") + ", '-')",
 ))
 def _(spark, sf):
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", X.doc_type_slug(F.col("text")).alias("slug")
     )
 
@@ -861,7 +856,7 @@ def _(spark, sf):
     "SELECT doc_id, lower(CASE WHEN doc_id % 5 = 1 THEN '12-' || doc_id ELSE 'Tax Reset ' || doc_id END) AS a, "
     "CASE WHEN doc_id % 5 = 0 THEN repeat('x', 40) END AS long FROM documents",
     doc_id="doc_id",
-    slug="CASE WHEN doc_id % 5 IN (0, 1) THEN 'unknown' ELSE replace(a, ' ', '-') END",
+    slug="CASE WHEN doc_id % 5 NOT IN (0, 1) THEN replace(a, ' ', '-') END",
     stem="replace(coalesce(long, a), ' ', '-')",
 ))
 def _(spark, sf):
@@ -873,7 +868,7 @@ def _(spark, sf):
     )
     full = F.concat(F.lit("_migrated_Brand_Policy_"), name, F.lit("_Overview.pdf"))
     short = F.concat(F.lit("Brand_"), name, F.lit("_Overview.pdf"))
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id",
         X.slug_from_filename(full).alias("slug"),
         X.filename_stem_slug(short).alias("stem"),
@@ -896,7 +891,7 @@ def _(spark, sf):
     _DOCS, doc_id="doc_id", title=d_title("replace(text || '-o''neil', '-', ' ')"),
 ))
 def _(spark, sf):
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", X.slug_title(F.concat("text", F.lit("-o'neil"))).alias("title")
     )
 
@@ -906,7 +901,7 @@ def _(spark, sf):
     slug="left(trim(" + d_sub(d_sub(d_sub("lower(text)", r"[^\p{L}\p{N}_\s-]"), r"[\s_]+", "-"), "-+", "-") + ", '-'), 80)",
 ))
 def _(spark, sf):
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", X.media_slug(F.col("text")).alias("slug")
     )
 
@@ -963,7 +958,7 @@ def _(spark, sf):
 
 @query("x12_hashes", "SELECT doc_id, md5(text) AS md5, left(sha256(text), 16) AS url_key FROM documents")
 def _(spark, sf):
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", F.md5("text").alias("md5"), X.url_key(F.col("text")).alias("url_key")
     )
 
@@ -987,7 +982,7 @@ def _(spark, sf):
     content = F.when(F.col("doc_id") % 3 == 2, F.lit("").cast("binary")).otherwise(
         F.concat(head, "text").cast("binary")
     )
-    return spread(spark, sf, "documents").select("doc_id", X.is_pdf_bytes(content).alias("is_pdf"))
+    return table(spark, sf, "documents").select("doc_id", X.is_pdf_bytes(content).alias("is_pdf"))
 
 
 @query("x15_yaml_escape", _from(
@@ -995,6 +990,6 @@ def _(spark, sf):
 ))
 def _(spark, sf):
     t = F.concat("text", F.lit(' "q" \\ '))
-    return spread(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", X.yaml_escape(t).alias("full"), X.quote_escape(t).alias("quotes")
     )

@@ -8,7 +8,6 @@ from corpusloom import rules
 from corpusloom.functions import html as H
 from corpusloom.functions import markdown as M
 from corpusloom.functions import text as X
-from corpusloom.functions.nested import region_markdown
 from corpusloom.operators import links as L
 from corpusloom.plans import seeds
 from corpusloom.plans.book import (
@@ -21,7 +20,6 @@ from corpusloom.plans.book import (
     d_text,
     d_title,
     query,
-    spread,
     table,
 )
 from corpusloom.plans.seeds import BASE, LINKED_SQL
@@ -44,7 +42,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     html = F.col("html")
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id",
         H.main_content(html, 1000, fall_back=True).alias("strict"),
         H.main_content(html, 50).alias("loose"),
@@ -57,21 +55,21 @@ def _(spark, sf):
     f"ELSE {d_text(_BODY, 'chr(10)')} END AS text FROM pages",
 )
 def _(spark, sf):
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", H.main_text(F.col("html"), 1000).alias("text")
     )
 
 
 @query("h03_html_text", f"SELECT page_id, {d_text('html', chr(39) + '|' + chr(39))} AS text FROM pages")
 def _(spark, sf):
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", H.html_text(F.col("html"), "|").alias("text")
     )
 
 
 @query("h04_drop_boilerplate", f"SELECT page_id, {d_drop_boilerplate('html')} AS html FROM pages")
 def _(spark, sf):
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", H.drop_boilerplate(F.col("html")).alias("html")
     )
 
@@ -89,18 +87,11 @@ def _d_markdown(x: str) -> str:
 
 @query("h05_html_to_markdown", f"SELECT page_id, {_d_markdown(_ARTICLE)} AS md FROM pages")
 def _(spark, sf):
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", H.html_to_markdown(H.element(F.col("html"), "article")).alias("md")
     )
 
 
-@query("h05_nested_markdown")
-def _(spark, sf):
-    return spread(spark, sf, "pages").select(
-        "page_id", region_markdown(F.col("html")).alias("md")
-    )
-
-
 _TITLE_SQL = (
     f"CASE WHEN {d_has('html', '(?is)<h1')} THEN {d_text(d_element('html', 'h1'))} "
     f"WHEN {d_has('html', '(?is)<title')} THEN "
@@ -115,7 +106,7 @@ _TITLE_SQL = (
     "FROM pages",
 )
 def _(spark, sf):
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id",
         H.page_title(F.col("html")).alias("title"),
         H.title_tag(F.col("html")).alias("title_tag"),
@@ -151,7 +142,7 @@ LINKS_SQL = _d_links(f"({LINKED_SQL})")
 
 @query("h08_links", _d_links("pages"))
 def _(spark, sf):
-    return L.links(spread(spark, sf, "pages")).select("page_id", "ord", "href", "text")
+    return L.links(table(spark, sf, "pages")).select("page_id", "ord", "href", "text")
 
 
 @query(
@@ -297,7 +288,7 @@ def _(spark, sf):
         F.lit(' Queen St</a></div></section><div id="intro"><p>Come along</p><p>RSVP now</p></div>'
               "</main></html>"),
     )
-    return spread(spark, sf, "pages").select("page_id", H.event_detail(html).alias("detail"))
+    return table(spark, sf, "pages").select("page_id", H.event_detail(html).alias("detail"))
 
 
 @query(
@@ -325,10 +316,10 @@ def _(spark, sf):
     f"LEFT JOIN (SELECT page_id, {_TITLE_SQL} AS h FROM pages) ON page_id = doc_id % 250",
 )
 def _(spark, sf):
-    pages = spread(spark, sf, "pages").select(
+    pages = table(spark, sf, "pages").select(
         F.col("page_id").alias("k"), H.page_title(F.col("html")).alias("page_name")
     )
-    docs = spread(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents").select(
         "doc_id", (F.col("doc_id") % 250).alias("k"), F.col("source").alias("name")
     )
     return L.authoritative_name(docs, pages, "k").select("doc_id", "name")
@@ -342,7 +333,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = X.canonical_path(F.col("url"))
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", path.alias("path"), F.concat(F.lit(BASE), path).alias("absolute")
     )
 
@@ -367,7 +358,7 @@ def _(spark, sf):
     "'^[a-z]+://[^/?#]*', ''), '[?#].*$', ''), '/'), '/')), ''), 'download.pdf') AS f FROM pages)",
 )
 def _(spark, sf):
-    return spread(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", X.filename_from_url(F.col("url")).alias("filename")
     )
 
@@ -389,7 +380,7 @@ _NAV_HREF = '<li><a href="([^"]*)">'
     "CASE WHEN page_id % 5 = 0 THEN '' ELSE '2026-06-' || lpad((page_id % 28 + 1)::varchar, 2, '0') END "
     "AS date, 'Ann ' || page_id AS author FROM (SELECT page_id, unnest(x) AS h, "
     "generate_subscripts(x, 1) AS i FROM (SELECT page_id, "
-    f"regexp_extract_all(html, '{_NAV_HREF}', 1) AS x FROM pages)) WHERE i > 1 AND i <= 5",
+    f"regexp_extract_all(html, '{_NAV_HREF}', 1) AS x FROM pages)) WHERE i > 1",
 )
 def _(spark, sf):
     key = F.col("page_id")
@@ -411,5 +402,5 @@ def _(spark, sf):
         F.lit("<rss><channel><title>t</title>"), F.array_join(items, ""),
         F.lit("</channel></rss>"),
     )
-    feeds = spread(spark, sf, "pages").select(key.alias("feed_id"), xml.alias("xml"))
-    return feed_items(feeds, max_posts=4)
+    feeds = table(spark, sf, "pages").select(key.alias("feed_id"), xml.alias("xml"))
+    return feed_items(feeds)

@@ -64,7 +64,6 @@ LEADER_ROLE, DEPUTY_ROLE = "Party Leader", "Deputy Leader"
 NOT_ELECTORATES = ("media contact", "donate")
 MONTH_PREFIX = r"(?i)^(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
 FILE_HOST = "drive.google.com"
-FEED_CAP = 50
 
 # brand wording stripped from PDF pages and file names: supply your own
 PAGE_FOOTERS = (r"^Example\s+Org\b", r"Rules of Example Org\s*\|")

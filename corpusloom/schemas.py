@@ -66,7 +66,6 @@ _ALL_FIELDS = tuple(dict.fromkeys(f for fs in TYPE_FIELDS.values() for f in fs))
 CLEAN_ITEM = _struct(
     *PROVENANCE,
     *[(f, _LIST) if f in LIST_FIELDS else f for f in _ALL_FIELDS],
-    ("part", _L),
     "body",
 )
 

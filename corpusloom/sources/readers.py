@@ -30,16 +30,14 @@ def scan_pages(spark: SparkSession, path: str, category: str) -> DataFrame:
 _FEED = "channel struct<item: array<struct<title: string, link: string, pubDate: string, author: string>>>"
 
 
-def feed_items(
-    feeds: DataFrame, key: str = "feed_id", xml: str = "xml", max_posts: int = rules.FEED_CAP
-) -> DataFrame:
-    """(key, ord, title, url_path, date, author) of the first `max_posts` linked feed items."""
+def feed_items(feeds: DataFrame, key: str = "feed_id", xml: str = "xml") -> DataFrame:
+    """(key, ord, title, url_path, date, author) of every linked feed item."""
     def clean(item: Column, name: str) -> Column:
         return strip(F.coalesce(item[name], F.lit("")))
 
     parsed = feeds.select(key, F.from_xml(xml, F.lit(_FEED)).alias("rss"))
     linked = F.filter(F.col("rss.channel.item"), lambda i: clean(i, "link") != "")
-    rows = parsed.select(key, F.posexplode(F.slice(linked, 1, max_posts)).alias("ord", "i"))
+    rows = parsed.select(key, F.posexplode(linked).alias("ord", "i"))
     i = F.col("i")
     return rows.select(
         key,

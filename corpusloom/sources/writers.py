@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom import schemas
+from corpusloom import rules, schemas
 from corpusloom.functions.text import title_slug
 from corpusloom.operators.normalise import (
     COLLECTIONS,
@@ -19,9 +19,7 @@ from corpusloom.operators.scale import first_by
 from corpusloom.operators.validate import validation_summary
 from corpusloom.session import durable
 
-BUCKETS = 16
-MAX_TYPES = 100
-KEYS = ["content_type", "slug", "part"]
+KEYS = ["content_type", "slug"]
 
 
 def with_rendered(items: DataFrame) -> DataFrame:
@@ -47,12 +45,12 @@ def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
-    """The storage bucket of a slug; the parts of a long item go to successive buckets."""
-    spot = F.pmod(F.xxhash64("slug") + F.col("part"), F.lit(buckets))
-    return items.withColumn("bucket", spot.cast("int"))
+    """The storage bucket of a slug, as `k-of-n`: so a table tells how many buckets it has."""
+    spot = F.pmod(F.xxhash64("slug"), F.lit(buckets)).cast("string")
+    return items.withColumn("bucket", F.concat(spot, F.lit(f"-of-{buckets}")))
 
 
-def write_clean_items(items: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+def write_clean_items(items: DataFrame, path: str, buckets: int) -> None:
     """Merge-upsert into the table at `path`.
 
     The table is partitioned by content type and slug bucket, and only the
@@ -65,14 +63,18 @@ def write_clean_items(items: DataFrame, path: str, buckets: int = BUCKETS) -> No
     new = durable(with_bucket(items, buckets))
     stored = _stored(spark, path)
     if stored is None:
+        _touched(new)
         merged = with_rendered(new)
     else:
+        kept = stored.select("bucket").limit(1).collect()
+        if kept and not kept[0]["bucket"].endswith(f"-of-{buckets}"):
+            raise ValueError(f"the table at {path} has another number of buckets than {buckets}")
         # literal predicates on the partition columns: other buckets are not even listed
         affected = stored.filter(_touched(new)).drop("rendered_md")
         merged = durable(with_rendered(merge_meta(affected, new, KEYS)))
     (
         merged.hint("rebalance", F.col("content_type"), F.col("bucket"))
-        .sortWithinPartitions("content_type", "bucket", "slug", "part")
+        .sortWithinPartitions("content_type", "bucket", "slug")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("content_type", "bucket")
@@ -81,24 +83,15 @@ def write_clean_items(items: DataFrame, path: str, buckets: int = BUCKETS) -> No
 
 
 def _touched(items: DataFrame) -> Column:
-    """Predicate for the partitions that hold the items.
-
-    One row per content type comes to the driver, with at most `buckets`
-    numbers in it; content types are a small closed set.
-    """
-    found = (
-        items.groupBy("content_type")
-        .agg(F.collect_set("bucket").alias("buckets"))
-        .limit(MAX_TYPES + 1)
-        .collect()
-    )
-    if len(found) > MAX_TYPES or any(r["content_type"] is None for r in found):
-        raise ValueError("content_type must be one of a small closed set")
+    """Predicate for the partitions that hold the items: at most content types times buckets of them."""
+    kinds = items.filter(F.col("content_type").isNull() | ~F.col("content_type").isin(*rules.CONTENT_TYPES))
+    if not kinds.isEmpty():
+        raise ValueError(f"content_type must be one of {', '.join(rules.CONTENT_TYPES)}")
     hit = F.lit(False)
-    for r in found:
-        hit = hit | (
-            (F.col("content_type") == r["content_type"]) & F.col("bucket").isin(*r["buckets"])
-        )
+    for t in rules.CONTENT_TYPES:
+        found = items.filter(F.col("content_type") == t).select("bucket").distinct().collect()
+        if found:
+            hit = hit | ((F.col("content_type") == t) & F.col("bucket").isin(*[r["bucket"] for r in found]))
     return hit
 
 
@@ -121,9 +114,15 @@ def _dated_stem():
 
 
 def raw_records(records: DataFrame, content_type: str, order: str) -> DataFrame:
-    """Records under their file stem; the last record of a stem wins."""
+    """Records with their file stem; the last of the same record wins.
+
+    A stem made from a title is shortened, so the whole title tells records of
+    one stem apart.
+    """
     keyed = records.withColumn("file_key", _STEMS[content_type]())
-    return first_by(keyed, ["file_key"], F.col(order), last=True)
+    titled = content_type in ("blog-post", "event")
+    named = keyed.withColumn("_title", F.col("title") if titled else F.lit(""))
+    return first_by(named, ["file_key", "_title"], F.col(order), last=True).drop("_title")
 
 
 def write_raw_records(records: DataFrame, content_type: str, order: str, path: str) -> None:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +17,7 @@ def incremental_clean(
     clean: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
+    buckets: int,
     order: str | None = None,
 ) -> StreamingQuery:
     """Clean newly landed raw rows and merge them into the items at `path`.
@@ -31,7 +31,7 @@ def incremental_clean(
     def merge(batch: DataFrame, _: int) -> None:
         if order is not None:
             batch = first_by(batch, ["slug"], F.col(order), last=True)
-        write_clean_items(clean(batch), path)
+        write_clean_items(clean(batch), path, buckets)
 
     return (
         raw.writeStream.foreachBatch(merge)
@@ -44,13 +44,7 @@ def incremental_clean(
 def first_seen_stream(events: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """Rows whose key was not seen within `delay`; state is dropped behind the watermark.
 
-    Repeats inside one Arrow batch go before the shuffle, so a hot key sends
-    one row per batch to the stateful task. The watermark only moves between
-    micro-batches, so this drops nothing the stateful step would have kept.
+    Late rows are dropped before keys are compared. All rows of a key meet in
+    one stateful task, so a hot key is bounded by what one task reads in a batch.
     """
-    def local_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(key)
-
-    thinned = events.mapInPandas(local_first, events.schema)
-    return thinned.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

@@ -5,7 +5,6 @@ import pytest
 
 from corpusloom.functions import compare as V
 from corpusloom.functions import html as H
-from corpusloom.functions.nested import page_markdown
 
 
 @pytest.mark.parametrize("raw", [
@@ -58,21 +57,6 @@ def test_markdown(one):
         "## A\\_b\n\nx **bold** *it* [go\\*](/a_b)\n\n* one\n* two\n\n![al](s.png)  \nend")
 
 
-def test_nested_region():
-    inner = "<div><div>" + "deep text " * 10 + "</div><p>tail</p></div>"
-    html = f'<div class="page-content a">{inner}</div><footer>no</footer>'
-    md = page_markdown(html)
-    assert md.startswith("deep text") and md.endswith("tail") and "no" not in md.split()
-    assert page_markdown("<main>short</main>") == ""
-    assert page_markdown("<main>" + "<b>" * 5000 + "x" * 60).count("x") == 60
-
-
-def test_nested_agrees_with_patterns_on_closed_markup(one):
-    html = ("<article><h1>Head</h1><p>One <b>two</b> three four five six seven eight nine ten.</p>"
-            '<p>See <a href="/x">this</a>.<br>Next</p><ul><li>a</li><li>b</li></ul></article>')
-    assert one(lambda h: H.html_to_markdown(H.element(h, "article")), html) == page_markdown(html, 10)
-
-
 def test_roles_and_electorate(one):
     page = "<main><h4>KAIPARA KI</h4><h6>Media Contact</h6><p></p><p>Call</p><p>{}</p></main>"
     for text, role in (("Deputy leader", "Deputy Leader"), ("Candidate and Party Leader", "Party Leader"),

@@ -9,8 +9,7 @@ from corpusloom.operators import find as FD
 from corpusloom.operators import normalise as N
 from corpusloom.operators import registry as R
 from corpusloom.operators import reports as G
-from corpusloom.operators import scale
-from corpusloom.operators.scale import first_by, joined_parts, lookup_join, numbered
+from corpusloom.operators.scale import first_by, lookup_join, numbered
 from corpusloom.operators.snapshots import snapshot_stats, with_freshness
 
 
@@ -33,16 +32,26 @@ def test_lookup_join_with_hot_keys(spark, skewed):
         "left_semi": [(i, k) for i, k in rows if k in table],
         "left_anti": [(i, k) for i, k in rows if k not in table],
     }.items():
-        for hot in (10, 10_000):
-            got = lookup_join(fact, dim, ["k"], how, hot_rows=hot).collect()
-            assert Counter(map(tuple, got)) == Counter(want), (how, hot)
-
-
-def test_lookup_join_spreads_hot_rows(skewed, spark):
-    _, fact = skewed
-    dim = spark.createDataFrame([("hot", 1)], "k string, v int")
-    plan = lookup_join(fact, dim, ["k"], hot_rows=100)._jdf.queryExecution().toString()
-    assert "_salt" in plan and "BroadcastHashJoin" in plan
+        got = lookup_join(fact, dim, ["k"], how).collect()
+        assert Counter(map(tuple, got)) == Counter(want), how
+
+
+def test_lookup_join_splits_hot_partitions(spark):
+    """One key with half of the rows: adaptive execution splits its partition."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 200_000, 1, 8).selectExpr("id", "if(id % 2 = 0, 0, id) AS k", "uuid() AS pad")
+        joined = lookup_join(fact, spark.range(1000).selectExpr("id AS k", "id AS v"), ["k"])
+        assert joined.filter("v is not null").count() == 100_500
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skewed" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
 
 
 def test_numbered_across_partitions(skewed, spark):
@@ -59,44 +68,24 @@ def test_numbered_across_partitions(skewed, spark):
     assert {r["id"]: r["n"] for r in whole} == {i: 3000 - i for i, _ in rows}
 
 
-def test_joined_parts_bounds_every_part(skewed, spark):
-    rows, fact = skewed
-    texts = fact.filter("k is not null").withColumn("t", F.lpad(F.col("id").cast("string"), 6, "0"))
-    got = joined_parts(texts, ["k"], ["id"], "t", ",", max_chars=70).collect()
-    by_key = defaultdict(list)
-    for r in sorted(got, key=lambda r: (r["k"], r["part"])):
-        assert len(r["t"]) <= 77
-        by_key[r["k"]].append(r["t"])
-    want = defaultdict(list)
-    for i, k in rows:
-        if k:
-            want[k].append(f"{i:06d}")
-    assert {k: ",".join(v) for k, v in by_key.items()} == {k: ",".join(v) for k, v in want.items()}
-
-
 def test_first_by(spark):
     df = spark.createDataFrame([(1, "a", 5), (2, "a", 3), (3, "b", 1)], "id int, k string, o int")
     assert {tuple(r) for r in first_by(df, ["k"], F.col("o")).collect()} == {(2, "a", 3), (3, "b", 1)}
     assert {tuple(r) for r in first_by(df, ["k"], F.col("o"), last=True).collect()} == {(1, "a", 5), (3, "b", 1)}
 
 
-@pytest.mark.parametrize("hot", [2, 1000])
-def test_sections_of_a_long_policy_become_parts(spark, monkeypatch, hot):
-    monkeypatch.setattr(scale, "HOT_PARTS", hot)
-    files = [(f"p{i % 2}", f"pdf-{i:02d}.md", f"# T\n| a | b |\n\nbody {i}") for i in range(20)]
+def test_sections_are_found_by_search_and_items_count_once(spark):
+    files = [("p0", f"pdf-{i:02d}.md", f"# T\n| a | b |\n\nbody {i}" + " needle" * (i == 19)) for i in range(20)]
     pdfs = spark.createDataFrame(files, "policy_slug string, file string, raw string")
-    whole = {r["slug"]: r["detail"] for r in N.pdf_sections(pdfs).collect()}
-    parts = defaultdict(list)
-    for r in sorted(N.pdf_sections(pdfs, max_chars=20).collect(), key=lambda r: r["part"]):
-        parts[r["slug"]].append(r["detail"])
-    assert len(parts["p0"]) > 1
-    assert {k: "\n\n".join(v) for k, v in parts.items()} == whole
-    items = spark.createDataFrame([("p0", 0, "Base \n"), ("p9", 0, "Alone")], "slug string, part bigint, body string")
-    rows = N.policy_with_pdf_text(items, N.pdf_sections(pdfs, max_chars=20)).collect()
-    first = {r["slug"]: r["body"] for r in rows if r["part"] == 0}
-    assert first["p0"].startswith("Base\n\n## Full Policy Detail\n\nbody 0") and first["p9"] == "Alone"
-    later = [r["body"] for r in sorted(rows, key=lambda r: r["part"]) if r["slug"] == "p0" and r["part"] > 0]
-    assert later == parts["p0"][1:]
+    sections = N.pdf_sections(pdfs)
+    assert sections.count() == 20 and N.policy_with_pdf_text(
+        spark.createDataFrame([("p0", "Base"), ("p9", "Alone")], "slug string, body string"), sections).count() == 21
+    rows = [("p0", "policy", "T", ""), ("p9", "policy", "U", "x")]
+    items = schemas.conform(spark.createDataFrame(rows, "slug string, content_type string, title string, body string"))
+    page = FD.find_policies(items, sections, query="needle")
+    assert [r["slug"] for r in page.items.collect()] == ["p0"] and page.envelope.first()["total"] == 1
+    assert FD.find_policies(items, sections, query="missing").envelope.first()["total"] == 0
+    assert G.item_counts(items).first()["items"] == 2
 
 
 def test_merge_keeps_old_and_unknown(spark):
@@ -176,11 +165,12 @@ def test_published_item_counts(spark):
     """Counts per type and total of the published corpus."""
     sizes = {"blog-post": 27, "event": 22, "party-information": 5, "pdf-document": 8, "policy": 16, "team-member": 44}
     rows = [(t, "2026-07-16T02:06:13") for t, n in sizes.items() for _ in range(n)]
-    status = G.dataset_status(spark.createDataFrame(rows, "content_type string, cleaned_at string"),
-                              "2026-07-20 00:00:00").first()
-    assert status["total_items"] == 122 and status["per_content_type"] == sizes and status["freshness"] == "fresh"
-    old = G.dataset_status(spark.createDataFrame(rows, "content_type string, cleaned_at string"), "2026-08-20 00:00:00")
-    assert old.first()["freshness"] == "stale"
+    items = spark.createDataFrame([*rows, ("podcast", "2026-07-01T00:00:00")], "content_type string, cleaned_at string")
+    got = {r["content_type"]: r for r in G.dataset_status(items, "2026-07-20 00:00:00").collect()}
+    assert {t: r["items"] for t, r in got.items()} == {**sizes, "podcast": 1, "TOTAL": 123}
+    assert got["TOTAL"]["freshness"] == "fresh" and got["TOTAL"]["last_cleaned_at"] == "2026-07-16T02:06:13"
+    old = G.dataset_status(items, "2026-08-20 00:00:00").collect()
+    assert {r["freshness"] for r in old} == {"stale"}
 
 
 def test_quality_report_layout(spark):
@@ -227,11 +217,12 @@ def test_pages(spark):
         assert e["next_offset"] == (offset + limit if e["has_more"] else None)
 
 
-def test_deep_pages_rank_instead(spark, monkeypatch):
-    monkeypatch.setattr(FD, "DEEP_OFFSET", 10)
+def test_pages_by_offset_and_after_the_last_row(spark):
     df = spark.range(100)
     page = FD.paginate(df, [F.desc("id")], 5, 50)
     assert [r["id"] for r in page.items.collect()] == [49, 48, 47, 46, 45]
+    page = FD.paginate(df, [F.desc("id")], 5, after=F.col("id") < 50)
+    assert [r["id"] for r in page.items.collect()] == [49, 48, 47, 46, 45]
 
 
 def test_page_json(spark):
@@ -251,7 +242,7 @@ def test_get_item_rejects_unknown_type(spark):
 
 def test_date_bounds_reach_the_scan(spark, tmp_path):
     rows = [(f"e{i}", "event", f"2026-01-{i + 1:02d}" if i else "soon") for i in range(9)]
-    df = spark.createDataFrame(rows, "slug string, content_type string, date string").withColumn("part", F.lit(0))
+    df = spark.createDataFrame(rows, "slug string, content_type string, date string")
     schemas.conform(df).write.partitionBy("content_type").parquet(str(tmp_path / "i"))
     items = spark.read.parquet(str(tmp_path / "i"))
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)

@@ -57,25 +57,29 @@ def test_feed(spark):
     xml = "<rss><channel>" + "<item><title>x</title></item>" + "".join(item.format(i) for i in range(60)) + "</channel></rss>"
     df = spark.createDataFrame([(1, xml), (2, "<rss><channel/></rss>")], "feed_id int, xml string")
     got = readers.feed_items(df).orderBy("ord").collect()
-    assert len(got) == 50
+    assert len(got) == 60
     assert tuple(got[0])[1:] == (0, "T0", "/p0", "2026-06-08", "")
 
 
 def _items(spark, rows):
     df = spark.createDataFrame(rows, "slug string, content_type string, title string, body string")
     extra = {c: F.lit("s") for c in schemas.PROVENANCE if c not in ("slug", "content_type")}
-    return schemas.conform(df.withColumns({**extra, "part": F.lit(0)}))
+    return schemas.conform(df.withColumns(extra))
 
 
 def test_write_clean_items_merges(spark, tmp_path):
     path = str(tmp_path / "items")
-    writers.write_clean_items(_items(spark, [("a", "policy", "A", "x"), ("b", "policy", "B", "x"), ("e", "event", "E", "x")]), path)
+    writers.write_clean_items(_items(spark, [("a", "policy", "A", "x"), ("b", "policy", "B", "x"), ("e", "event", "E", "x")]), path, 4)
     kept = [p.name for p in (tmp_path / "items" / "content_type=event").rglob("*.parquet")]
-    writers.write_clean_items(_items(spark, [("a", "policy", "A2", "y"), ("c", "policy", "C", "\n\nz")]), path)
+    writers.write_clean_items(_items(spark, [("a", "policy", "A2", "y"), ("c", "policy", "C", "\n\nz")]), path, 4)
     got = {r["slug"]: (r["title"], r["body"]) for r in writers.read_clean_items(spark, path).collect()}
     assert got == {"a": ("A2", "y"), "b": ("B", "x"), "c": ("C", "\n\nz"), "e": ("E", "x")}
     md = writers.read_clean_items(spark, path).filter("slug = 'c'").first()["rendered_md"]
     assert md.startswith('---\nslug: "c"\ncontent_type: "policy"') and md.endswith('title: "C"\n---\nz')
+    with pytest.raises(ValueError):
+        writers.write_clean_items(_items(spark, [("a", "policy", "A2", "y")]), path, 8)
+    with pytest.raises(ValueError):
+        writers.write_clean_items(_items(spark, [("a", "video", "A2", "y")]), path, 4)
     # types that were not touched keep their files
     assert kept == [p.name for p in (tmp_path / "items" / "content_type=event").rglob("*.parquet")]
     plan = writers.read_clean_items(spark, path).filter("content_type = 'event' and slug = 'e'")
@@ -118,7 +122,7 @@ def test_cached_listing(spark, tmp_path):
 
 
 def test_source_contract(spark):
-    SR.register_source("good", lambda s: _items(s, [("a", "policy", "A", "x")]).drop("part"))
+    SR.register_source("good", lambda s: _items(s, [("a", "policy", "A", "x")]))
     SR.register_source("bad", lambda s: s.range(1))
     assert SR.run_sources(spark, ["good"]).first()["slug"] == "a"
     with pytest.raises(ValueError):
@@ -134,7 +138,7 @@ def test_incremental_batches(spark, tmp_path):
     def run():
         stream = spark.readStream.schema(schema).parquet(raw)
         incremental_clean(
-            stream, lambda b: schemas.conform(N.clean_team(b, "t")), items, progress, order="v"
+            stream, lambda b: schemas.conform(N.clean_team(b, "t")), items, progress, 4, order="v"
         ).awaitTermination()
         return {r["slug"]: r["role"] for r in writers.read_clean_items(spark, items).collect()}
 
@@ -156,3 +160,19 @@ def test_first_seen_across_batches(spark, tmp_path):
          .option("checkpointLocation", progress).option("path", out)
          .trigger(availableNow=True).start().awaitTermination())
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_late_row_does_not_hide_one_in_time(spark, tmp_path):
+    raw, out, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
+
+    def run(rows):
+        spark.createDataFrame(rows, "id int, day int").selectExpr(
+            "id", "timestamp '2026-01-01' + make_dt_interval(day) AS ts").coalesce(1).write.mode("append").parquet(raw)
+        stream = spark.readStream.schema("id int, ts timestamp").parquet(raw)
+        (first_seen_stream(stream, "id", "ts", "2 days").writeStream.format("parquet")
+         .option("checkpointLocation", progress).option("path", out)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    run([(99, 100)])
+    run([(1, 1), (1, 101)])
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 99]

@@ -38,9 +38,9 @@ def test_slugs(one):
 @pytest.mark.parametrize("name, slug", [
     ("Brand_Abundant Energy_Policy Overview.pdf", "abundant-energy"),
     ("_migrated_Brand_Policy_Healthy Oceans.pdf", "healthy-oceans"),
-    ("1aBcDeFgHiJkLmNoPqRsTuVwXyZ0123456789.pdf", "unknown"),
-    ("_x.pdf", "unknown"),
-    ("123.pdf", "unknown"),
+    ("1aBcDeFgHiJkLmNoPqRsTuVwXyZ0123456789.pdf", None),
+    ("_x.pdf", None),
+    ("123.pdf", None),
 ])
 def test_slug_from_filename(one, name, slug):
     assert one(X.slug_from_filename, name) == slug
