@@ -46,6 +46,19 @@ def check_arguments(
     return out
 
 
+def argument_errors(requests: DataFrame) -> DataFrame:
+    """The same checks over logged requests (query, limit, offset, date_from, tags): adds `error`, null if fine."""
+    query, limit, offset = F.trim("query"), F.col("limit"), F.col("offset")
+    date = F.trim("date_from")
+    error = (
+        F.when(query.isNotNull() & ~F.length(query).between(1, 200), "query must have 1 to 200 characters")
+        .when(date.isNotNull() & F.try_to_date(date, "yyyy-MM-dd").isNull(), "date_from must be a date")
+        .when(limit.isNotNull() & ~limit.between(1, 100), "limit must be between 1 and 100")
+        .when(offset.isNotNull() & (offset < 0), "offset must not be negative")
+    )
+    return requests.withColumn("error", error)
+
+
 # --- pages ------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import rules, schemas
+from corpusloom.functions import markdown as M
 from corpusloom.operators import normalise as N
 from corpusloom.operators import registry as R
 from corpusloom.operators import snapshots as S
@@ -38,6 +39,7 @@ from corpusloom.plans.seeds import (
 from corpusloom.plans.text_queries import d_clean, d_field, d_h1, d_no_fields, d_quote_field
 from corpusloom.session import durable
 from corpusloom.sources import readers, writers
+from corpusloom.sources import registry as source_registry
 from corpusloom.streaming.incremental import first_seen_stream, incremental_clean
 
 
@@ -119,11 +121,13 @@ def _(spark, sf):
     return N.clean_team(seeds.member_md(spark, sf), CLEANED_AT)
 
 
-@query(
-    "r05_clean_party_info",
+R05_SQL = (
     f"SELECT {_prov('party-information', 'url', lit('2026-01-01T00:00:00'))}, trim(title) AS title, "
-    f"{d_clean('raw', 'title', contact=False)} AS body FROM ({POLICY_SQL})",
+    f"{d_clean('raw', 'title', contact=False)} AS body FROM ({POLICY_SQL})"
 )
+
+
+@query("r05_clean_party_info", R05_SQL)
 def _(spark, sf):
     return N.clean_party_info(seeds.policy_md(spark, sf).select("slug", "raw"), CLEANED_AT)
 
@@ -174,19 +178,33 @@ _SITE_TEAM = (
 )
 
 
+def _site_sql(sql: str, collection: str, fields: dict[str, str]) -> str:
+    """Published pages over a typed query: frontmatter lines of the fields that are not empty, then the body."""
+    rows = "".join(f", CASE WHEN {c} <> '' THEN '{k}: \"' || replace({c}, '\"', '\\\"') || '\"' END" for k, c in fields.items())
+    plain = "slug" if collection == "events" else d_title("replace(slug, chr(45), chr(32))")
+    title = f"coalesce(nullif(title, ''), {plain})"
+    page = (
+        f"concat_ws(chr(10), '---', 'title: \"' || replace({title}, '\"', '\\\"') || '\"', 'slug: ' || slug" + rows
+        + ", '---') || chr(10) || ltrim(body, chr(10))"
+    )
+    return f"SELECT slug, '{collection}' AS collection, {d_collapse(page)} AS md FROM ({sql})"
+
+
 @query(
     "r08_site_tables",
     f"SELECT slug, 'blog' AS collection, {d_collapse(_SITE_BLOG)} AS md FROM ({BLOG_SQL}) UNION ALL "
-    f"SELECT slug, 'team', {d_collapse(_SITE_TEAM)} FROM ({MEMBER_MD_SQL})",
+    f"SELECT slug, 'team', {d_collapse(_SITE_TEAM)} FROM ({MEMBER_MD_SQL}) UNION ALL "
+    + _site_sql(R01_SQL, "policies", {k: c for k, c in M.SITE_FIELDS["policies"]}) + " UNION ALL "
+    + _site_sql(R03_SQL, "events", {k: c for k, c in M.SITE_FIELDS["events"]}) + " UNION ALL "
+    + _site_sql(R05_SQL, "party-info", {k: c for k, c in M.SITE_FIELDS["party-info"]}),
 )
 def _(spark, sf):
-    items = N.all_items(
-        N.clean_blog_posts(seeds.blog_md(spark, sf), CLEANED_AT),
-        N.clean_team(seeds.member_md(spark, sf), CLEANED_AT),
-    )
-    out = [N.site_table(items, c).select("slug", F.lit(c).alias("collection"), "md")
-           for c in ("blog", "team")]
-    return out[0].unionByName(out[1])
+    rows = items(spark, sf).filter("content_type <> 'blog-post' or date <> ''")
+    out = None
+    for c in N.COLLECTIONS:
+        pages = N.site_table(rows, c).select("slug", F.lit(c).alias("collection"), "md")
+        out = pages if out is None else out.unionByName(pages)
+    return out
 
 
 @query(
@@ -536,6 +554,7 @@ _FEEDS = {
 INDEX_SQL = " UNION ALL ".join(
     [f"SELECT slug, content_type, source_id, source_url, {t} AS title, {d} AS date FROM ({sql})" for sql, t, d in _FEEDS.values()]
     + [f"SELECT slug, content_type, source_id, source_url, title, date FROM ({R06_SQL})",
+       f"SELECT slug, content_type, source_id, source_url, title, '' FROM ({R05_SQL})",
        f"SELECT slug, content_type, source_id, source_url, title, '' FROM ({_r07('')})"]
 )
 
@@ -547,6 +566,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
         N.clean_news(seeds.news_md(spark, sf).select("slug", "raw"), CLEANED_AT),
         N.clean_events(seeds.event_md(spark, sf), CLEANED_AT),
         N.clean_team(seeds.member_md(spark, sf), CLEANED_AT),
+        N.clean_party_info(seeds.policy_md(spark, sf).select("slug", "raw"), CLEANED_AT),
         N.clean_pdf_documents(seeds.pdf_files(spark, sf), CLEANED_AT),
     )
 
@@ -555,7 +575,8 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     "u01_all_items",
     f"SELECT content_type, slug, body FROM ({R01_SQL}) UNION ALL SELECT content_type, slug, body FROM ({R02_SQL}) UNION ALL "
     f"SELECT content_type, slug, body FROM ({R06_SQL}) UNION ALL SELECT content_type, slug, body FROM ({R03_SQL}) UNION ALL "
-    f"SELECT content_type, slug, body FROM ({R04_SQL}) UNION ALL SELECT content_type, slug, body FROM ({_r07('')})",
+    f"SELECT content_type, slug, body FROM ({R04_SQL}) UNION ALL SELECT content_type, slug, body FROM ({R05_SQL}) UNION ALL "
+    f"SELECT content_type, slug, body FROM ({_r07('')})",
 )
 def _(spark, sf):
     return items(spark, sf).select("content_type", "slug", "body")
@@ -645,7 +666,7 @@ def _(spark, sf):
 # --- sources and sinks ------------------------------------------------------
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
+def scratch(spark: SparkSession, name: str) -> str:
     """A new folder beside the session's checkpoints, which every executor can reach."""
     durable(spark.range(1))
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
@@ -653,7 +674,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Items as the stored table that searches read, partitioned by content type."""
-    path = _scratch(spark, "clean")
+    path = scratch(spark, "clean")
     schemas.conform(rows).write.partitionBy("content_type").parquet(path)
     return spark.read.parquet(path)
 
@@ -661,7 +682,7 @@ def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
 @query("s08_scan_json_index",
        "SELECT 'd' || doc_id AS slug, source AS title, '' AS date FROM documents")
 def _(spark, sf):
-    path = _scratch(spark, "index")
+    path = scratch(spark, "index")
     docs = table(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("slug"),
         F.col("source").alias("title"), F.lit("").alias("date"),
@@ -693,9 +714,11 @@ def _(spark, sf):
     lines = table(spark, sf, "events").select(
         "event_id", F.when(F.col("event_id") % 10 == 0, bad).otherwise(line).alias("line")
     )
-    return readers.parse_media_lines(lines, "line", "videos", "https://v.example.org/").select(
-        "event_id", "id", "title", "url", "duration"
-    )
+    path = scratch(spark, "lines")
+    lines.select("line").write.text(path)
+    rows = readers.scan_jsonl_lenient(spark, path, "videos", "https://v.example.org/")
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("bigint")
+    return rows.select(number.alias("event_id"), "id", "title", "url", "duration")
 
 
 _MD_SQL = (
@@ -709,7 +732,7 @@ _MD_SQL = (
 
 @query("s11_write_clean_items", f"SELECT slug, role, {_MD_SQL} AS rendered_md FROM ({R04_SQL})")
 def _(spark, sf):
-    path = _scratch(spark, "items")
+    path = scratch(spark, "items")
     team = schemas.conform(N.clean_team(seeds.member_md(spark, sf), CLEANED_AT))
     writers.write_clean_items(team.withColumn("role", F.lit("stale")), path, buckets=4)
     writers.write_clean_items(team, path, buckets=4)
@@ -719,7 +742,7 @@ def _(spark, sf):
 @query("s12_write_index",
        f"SELECT slug, content_type, source_id, source_url, name AS title, '' AS date FROM ({R04_SQL})")
 def _(spark, sf):
-    path = _scratch(spark, "catalogue")
+    path = scratch(spark, "catalogue")
     writers.write_index(schemas.conform(N.clean_team(seeds.member_md(spark, sf), CLEANED_AT)), path)
     return readers.scan_json_index(spark, path, schemas.INDEX_ENTRY)
 
@@ -736,12 +759,14 @@ def _(spark, sf):
             F.concat(F.lit("2026-01-0"), (F.col("doc_id") % 9 + 1).cast("string"))
         ).alias("date"),
     )
-    return writers.raw_records(records, "blog-post", "doc_id").select("file_key", "doc_id")
+    path = scratch(spark, "raw")
+    writers.write_raw_records(records.withColumn("ord", F.col("doc_id")), "blog-post", "ord", path)
+    return spark.read.parquet(path).select("file_key", "doc_id")
 
 
 @query("s15_rebuild_site_tables", f"SELECT slug, {d_collapse(_SITE_TEAM)} AS md FROM ({MEMBER_MD_SQL})")
 def _(spark, sf):
-    path = _scratch(spark, "site")
+    path = scratch(spark, "site")
     writers.rebuild_site_tables(
         schemas.conform(N.clean_team(seeds.member_md(spark, sf), CLEANED_AT)), path
     )
@@ -750,7 +775,7 @@ def _(spark, sf):
 
 @query("st1_incremental_clean", f"SELECT slug, name, role, body FROM ({R04_SQL})")
 def _(spark, sf):
-    path = _scratch(spark, "incremental")
+    path = scratch(spark, "incremental")
     seeds.member_md(spark, sf).write.parquet(f"{path}/raw")
     raw = spark.readStream.schema(spark.read.parquet(f"{path}/raw").schema).parquet(f"{path}/raw")
 
@@ -763,7 +788,7 @@ def _(spark, sf):
 
 @query("st2_first_seen_stream", "SELECT DISTINCT user_id FROM events")
 def _(spark, sf):
-    path = _scratch(spark, "seen")
+    path = scratch(spark, "seen")
     source = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     source.write.parquet(f"{path}/events")
     stream = spark.readStream.schema(spark.read.parquet(f"{path}/events").schema).parquet(f"{path}/events")
@@ -777,3 +802,56 @@ def _(spark, sf):
         .awaitTermination()
     )
     return spark.read.parquet(f"{path}/out").select("user_id")
+
+
+# --- extension points -------------------------------------------------------
+
+
+@query(
+    "k01_added_rule",
+    "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN replace(text, 'th', 'TH') ELSE text END AS text FROM documents",
+)
+def _(spark, sf):
+    """A rule added to the book of one key; rows of other keys pass through."""
+    from corpusloom.functions import repair as Q
+
+    book = Q.add_rule({}, "own.md", "shout", lambda t: F.replace(t, F.lit("th"), F.lit("TH")))
+    key = F.when(F.col("doc_id") % 2 == 0, "own.md").otherwise("other.md")
+    return table(spark, sf, "documents").select(
+        "doc_id", Q.apply_rules(key, F.col("text"), book).alias("text"))
+
+
+@query(
+    "k02_media_platform",
+    f"SELECT {_YEAR} AS year, id FROM ({S16_SQL})",
+)
+def _(spark, sf):
+    """A platform is an object with two methods; grouping works on what it lists."""
+    class Channel:
+        def enumerate(self, session: SparkSession) -> DataFrame:
+            return R.enumerate_media(media(session, sf))
+
+        def group(self, rows: DataFrame) -> DataFrame:
+            return R.group_by_year(rows)
+
+    platform: source_registry.MediaPlatform = Channel()
+    return platform.group(platform.enumerate(spark)).select("year", "id")
+
+
+@query(
+    "k03_second_source",
+    f"SELECT content_type, slug, body FROM ({R02_SQL}) UNION ALL SELECT 'policy', 'own-' || doc_id, text FROM documents",
+)
+def _(spark, sf):
+    """Items of two registered sources in one table; the second brings its own projection."""
+    def own(session: SparkSession) -> DataFrame:
+        given = {c: F.lit("s") for c in schemas.PROVENANCE if c not in ("slug", "content_type")}
+        return table(session, sf, "documents").select(
+            F.concat(F.lit("own-"), F.col("doc_id").cast("string")).alias("slug"),
+            F.lit("policy").alias("content_type"), F.col("text").alias("body"), F.col("source").alias("title"),
+        ).withColumns(given)
+
+    names = [f"{n}-{uuid.uuid4().hex}" for n in ("posts", "own")]
+    source_registry.register_source(names[0], lambda s: N.clean_blog_posts(seeds.blog_md(s, sf), CLEANED_AT))
+    source_registry.register_source(names[1], own)
+    return source_registry.run_sources(spark, names).select("content_type", "slug", "body")

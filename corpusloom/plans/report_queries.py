@@ -20,6 +20,7 @@ from corpusloom.plans.item_queries import (
     S16_SQL,
     _YEAR,
     media,
+    scratch,
     stored,
 )
 from corpusloom.plans.seeds import (
@@ -32,6 +33,7 @@ from corpusloom.plans.seeds import (
     REGISTRY_SQL,
 )
 from corpusloom.plans.text_queries import d_summary
+from corpusloom.sources import writers
 
 # --- validation -------------------------------------------------------------
 
@@ -146,6 +148,23 @@ def _(spark, sf):
     return VA.validation_json(validated(spark, sf))
 
 
+@query(
+    "s14_validation_round_trip",
+    "SELECT pdf_count, passed_count, failed_count, filename, word_coverage, passed, notes FROM "
+    f"(SELECT count(*) AS pdf_count, count(*) FILTER (passed) AS passed_count, count(*) FILTER (NOT passed) AS failed_count FROM ({VALID_SQL})), ({VALID_SQL})",
+)
+def _(spark, sf):
+    """Header and results written as JSON files and read again."""
+    path = scratch(spark, "validation")
+    writers.write_validation(validated(spark, sf), path)
+    back = writers.load_validation(spark, path)
+    head = back["summary"].first()
+    return back["results"].select(
+        *[F.lit(head[c]).cast("bigint").alias(c) for c in ("pdf_count", "passed_count", "failed_count")],
+        "filename", "word_coverage", "passed", F.array_join("notes", "; ").alias("notes"),
+    )
+
+
 @query(
     "g26_quality_report",
     "SELECT filename, '| `' || filename || '` | ' || format('{:,}', pymupdf_words) || ' | ' || format('{:,}', markdown_words) || ' | ' || "
@@ -611,3 +630,21 @@ def _(spark, sf):
         F.concat(F.lit("post-"), (F.col("event_id") % 1500).cast("string")).alias("slug"),
     )
     return FD.lookup_items(requests, _blog_items(spark, sf))
+
+
+@query(
+    "f07_check_arguments",
+    "SELECT event_id, CASE WHEN event_id % 11 = 0 OR (event_id % 11 = 1 AND length(props) * 20 > 200) THEN 'query must have 1 to 200 characters' "
+    "WHEN event_id % 5 = 0 THEN 'date_from must be a date' WHEN user_id % 120 NOT BETWEEN 1 AND 100 THEN 'limit must be between 1 and 100' "
+    "WHEN event_id % 7 = 0 THEN 'offset must not be negative' END AS error FROM events",
+)
+def _(spark, sf):
+    """Requests as a log keeps them, with every kind of bad argument."""
+    n = F.col("event_id")
+    text = F.when(n % 11 == 0, "  ").when(n % 11 == 1, F.repeat("props", F.lit(20))).otherwise(F.col("event_type"))
+    requests = table(spark, sf, "events").select(
+        "event_id", text.alias("query"), (F.col("user_id") % 120).alias("limit"),
+        F.when(n % 7 == 0, -1).otherwise(n).alias("offset"),
+        F.when(n % 5 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("date_from"),
+    )
+    return FD.argument_errors(requests).select("event_id", "error")

@@ -27,8 +27,6 @@ def source_items(spark: SparkSession, name: str) -> DataFrame:
     lacking = [c for c in (*schemas.PROVENANCE, "body") if c not in df.columns]
     if lacking:
         raise ValueError(f"source {name} lacks {', '.join(lacking)}")
-    if "part" not in df.columns:
-        df = df.withColumn("part", F.lit(0).cast("bigint"))
     return schemas.conform(df)
 
 
