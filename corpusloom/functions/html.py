@@ -158,10 +158,18 @@ def main_content(html: Column, threshold: int = 50, fall_back: bool = False) ->
 
 
 def main_text(html: Column, threshold: int = 100) -> Column:
-    """Newline-joined text of the content region, the body or the whole page."""
-    has_body = html.rlike(r"(?i)<body\b")
-    picks = _long_enough(html, threshold, wide=True)
-    return html_text(F.coalesce(*picks, F.when(has_body, body_html(html)), html), "\n")
+    """Newline-joined text of the content region, the body or the whole page.
+
+    A region's text is taken apart once, for its length and for the result.
+    """
+    def told(region: Column) -> Column:
+        joined = let(text_nodes(region), lambda nodes: F.when(
+            F.length(F.array_join(nodes, "")) > threshold, F.array_join(nodes, "\n")))
+        return F.when(F.length(region) > threshold, joined)
+
+    picks = [let(r, told) for r in content_regions(html, wide=True)]
+    rest = F.coalesce(F.when(html.rlike(r"(?i)<body\b"), body_html(html)), html)
+    return F.coalesce(*picks, html_text(rest, "\n"))
 
 
 def html_to_markdown(html: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Record types: raw records, clean items, registry, validation, media."""
+"""Record types: clean items, their index, validation."""
 
 from __future__ import annotations
 
@@ -16,26 +16,7 @@ def _struct(*fields) -> T.StructType:
     )
 
 
-RAW_POLICY = _struct("slug", "title", "url", "content", ("pdf_downloads", _LIST), "scraped_at")
-RAW_MEMBER = _struct("name", "role", "url", "slug", "electorate", "content", "scraped_at")
-RAW_BLOG = _struct("title", "url", "date", "excerpt", "content", "author", "scraped_at")
-RAW_EVENT = _struct("title", "url", "date", "time", "location", "description", "scraped_at")
-RAW_INFO = _struct(
-    "section", "url", "content", ("pdf_downloads", T.ArrayType(_struct("label", "url"))),
-    "scraped_at",
-)
-SNAPSHOT = _struct("url", "category", "cached_at", "content")
-REGISTRY = _struct(
-    "key", "source_url", "policy_slug", "filename", "downloaded_at", ("size_bytes", _L), "md5"
-)
-PDF_INDEX = _struct(
-    "source_file", "title", "policy", "policy_slug", "date", "document_type", "output_file"
-)
-IMAGE = _struct("filename", ("page", T.IntegerType()), ("size_bytes", _L))
 INDEX_ENTRY = _struct("slug", "content_type", "source_id", "source_url", "title", "date")
-MEDIA_ITEM = _struct(
-    "id", "title", "url", "upload_date", ("duration", _L), ("view_count", _L), "tab"
-)
 VALIDATION = _struct(
     "filename", ("pymupdf_words", _L), ("markdown_words", _L), ("unique_words_pymupdf", _L),
     ("unique_words_markdown", _L), ("word_coverage", T.DoubleType()), ("headings", _L),
@@ -55,13 +36,6 @@ TYPE_FIELDS = {
     "pdf-document": ("title", "policy_slug"),
 }
 LIST_FIELDS = ("pdf_urls", "tags")
-# documented record shapes that nothing produces yet
-MEDIA_DOC = _struct(*PROVENANCE, "title", "platform", "media_id", "upload_date",
-                    ("duration", _L), ("has_transcript", T.BooleanType()))
-SOCIAL_POST = _struct(*PROVENANCE, "platform", "author", "posted_at",
-                      ("engagement", T.MapType(_S, _L)))
-EXTERNAL_ARTICLE = _struct(*PROVENANCE, "title", "publisher", "author", "date", "excerpt")
-
 _ALL_FIELDS = tuple(dict.fromkeys(f for fs in TYPE_FIELDS.values() for f in fs))
 CLEAN_ITEM = _struct(
     *PROVENANCE,
