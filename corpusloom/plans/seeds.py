@@ -408,17 +408,16 @@ def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def card_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Three cards per page: named, plain text parts, and one without a link."""
+    """Whole pages with three cards: named, plain text parts, and one without a link."""
     key = _col("page_id")
     day = (key % 28 + 1).cast("string")
     return table(spark, sf, "pages").select(
         "page_id",
-        _c(
-            "<html><body>", F.regexp_extract("html", "(?s)<nav>.*?</nav>", 0),
+        F.replace("html", F.lit("</article>"), _c(
             '<div class="event-card big"><span>Jun ', day, ', 2026</span><a href="/events/', key,
             '"><span class="event__name">Meetup ', key, "</span></a><p>Town ", key % 7,
             ', Region</p></div><div class="event-card"><p>March ', day,
             ', 2026</p><p>Big rally ', key, '</p><p>City Hall</p><a href="events/r', key,
-            '">RSVP</a></div><div class="event-card"><p>Nothing here</p></div></body></html>',
-        ).alias("html"),
+            '">RSVP</a></div><div class="event-card"><p>Nothing here</p></div></article>',
+        )).alias("html"),
     )

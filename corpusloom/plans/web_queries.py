@@ -279,15 +279,16 @@ def _(spark, sf):
 )
 def _(spark, sf):
     key = F.col("page_id").cast("string")
-    html = F.concat(
-        F.lit('<html><main><section class="event-header"><div><span class="event-header-column-headline">'
+    detail = F.concat(
+        F.lit('<main><section class="event-header"><div><span class="event-header-column-headline">'
               'When</span><p><i class="fa fa-calendar"></i> June '), key,
         F.lit(' at 7pm</p><p><i class="fa fa-clock"></i> 2 hrs</p></div><div>'
               '<span class="event-header-column-headline">Where</span><h4>Hall '), key,
         F.lit('</h4><a href="https://maps.google.com/?q=1">'), key,
         F.lit(' Queen St</a></div></section><div id="intro"><p>Come along</p><p>RSVP now</p></div>'
-              "</main></html>"),
+              "</main></article>"),
     )
+    html = F.replace("html", F.lit("</article>"), detail)
     return table(spark, sf, "pages").select("page_id", H.event_detail(html).alias("detail"))
 
 
