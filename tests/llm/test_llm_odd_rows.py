@@ -200,3 +200,38 @@ def test_pipeline_stages(spark, labels):
     assert taken == b.select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     a, b = kept["sentencepiece"]
     assert b.count() == a.count() and b.filter("not lossless").count() == 0
+
+
+@pytest.mark.parametrize(("words", "percent"), [(1, 60), (2, 85)])
+def test_jaccard_random(spark, words, percent):
+    """Many near copies around the threshold, against all pairs."""
+    r = np.random.default_rng(percent)
+    bases = [r.integers(0, 400, r.integers(3, 120)) for _ in range(12)]
+    texts = []
+    for _ in range(240):
+        base = bases[r.integers(0, len(bases))].copy()
+        hit = r.random(len(base)) < r.choice([0.0, 0.03, 0.1, 0.3])
+        base[hit] = r.integers(0, 400, hit.sum())
+        texts.append(" ".join(f"w{x}" for x in base[: len(base) - r.integers(0, 3)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = []
+    for t in texts:
+        w = t.split()
+        k = min(words, len(w))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set())
+    low = list(range(len(sets)))
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if same and 100 * same >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                low[b] = a
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"])
+           for x in jaccard.jaccard_components(docs, words, percent).collect()}
+    assert got == {i: (len(s), root(i)) for i, s in enumerate(sets)}
