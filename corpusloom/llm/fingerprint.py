@@ -85,18 +85,21 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     The edited text ends in the beginning of the next document's text instead
     of its own last half, in code points. Next is by ascending id, nulls first,
     rows of one id by their text's hash; after the last comes the first, so a
-    single document is its own next. A null text is an empty one: its
+    single document is its own next. The least long counts as a null id. A null text is an empty one: its
     fingerprint is empty, and two empty fingerprints have likeness 1. Equal rows
     follow each other. The texts move once whole and once by half.
     """
-    named = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    named = named.withColumn("tie", F.xxhash64("text"))
+    # plain keys without nulls, so that the joins and the window share one partitioning
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), text.alias("text"),
+        F.xxhash64(text).alias("tie"),
+    )
     keys = named.groupBy("id", "tie").agg(F.first(F.length("text")).alias("n_chars"), F.count("*").alias("c"))
-    order = neighbours(keys)
+    order = stored(neighbours(keys))
     here = order.select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "c", "before")
-    rows = named.join(here, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).drop("_id", "_tie")
-    nth = F.row_number().over(Window.partitionBy("id", "tie").orderBy("c"))
-    rows = rows.withColumn("nth", nth)
+    rows = named.join(here, (F.col("id") == F.col("_id")) & (F.col("tie") == F.col("_tie"))).drop("_id", "_tie")
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("id", "tie").orderBy("c")))
 
     first = rows.filter("nth = 1").select(
         F.col("before.id").alias("to_id"), F.col("before.tie").alias("to_tie"),
@@ -104,7 +107,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     )
     given = winnowed(first, "text", "_f", k, w).select("to_id", "to_tie", "piece", F.col("_f.hash").alias("next_hashes"))
     own = winnowed(rows.withColumn("n_chars", F.length("text")), "text", "fp", k, w)
-    both = own.join(given, F.col("id").eqNullSafe(F.col("to_id")) & (F.col("tie") == F.col("to_tie")), "left")
+    both = own.join(given, (F.col("id") == F.col("to_id")) & (F.col("tie") == F.col("to_tie")), "left")
     half = F.floor(F.col("n_chars") / 2).cast("int")
     last = F.col("nth") == F.col("c")
     piece = F.when(last, F.col("piece")).otherwise(F.substring("text", F.lit(1), half))
@@ -112,7 +115,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     out = winnowed(both.withColumn("edited", edited), "edited", "efp", k, w)
     mine = F.col("fp.hash")
     return out.select(
-        F.col("id").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"),
+        F.when(F.col("id") != -(1 << 63), F.col("id")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"),
         as_text(F.col("efp")).alias("edited_fingerprint"), likeness(mine, F.col("efp.hash")).alias("near_edited"),
         likeness(mine, F.when(last, F.col("next_hashes")).otherwise(mine)).alias("near_next"),
