@@ -16,20 +16,21 @@ from corpusloom.llm.common import (
 )
 from corpusloom.llm.components import components
 
-PORTION = 1_000_000  # shingles counted at once
-# A shingle is common if it is in one of so many documents; this bounds the
-# list of common shingles by COMMON times the mean size of a set.
-COMMON = 2_000
+PORTION = 1_000_000  # words counted at once
+# A word is common if it is one in so many; this bounds the list of common words.
+COMMON = 1_000_000
 BLOCK = 512  # rows of a tile that meet each other in one piece
+BITS = 2  # the bitmap of a set has up to 2**BITS bits for an element
+
+
+def runs_of(h: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of `words` words, in order; of the whole text, if it is shorter."""
+    return window_hashes(h, min(words, len(h))) if len(h) else h
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct hashes of all runs of `words` words; of the whole text, if it is shorter."""
-    w = words_of(text, lower=True)
-    if not w:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(w)
-    return np.unique(window_hashes(h, min(words, len(w))))
+    """Sorted distinct hashes of the runs of a text."""
+    return np.unique(runs_of(word_hashes(words_of(text, lower=True)), words))
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -38,42 +39,56 @@ def least_overlap(n: int, percent: int) -> int:
 
 
 def band_of(n: int) -> int:
-    """Sets of a band have at most 2**band elements, and their bitmaps twice as many bits."""
+    """Sets of a band have at most 2**band elements; bitmaps of a band have one width."""
     return max(5, int(n - 1).bit_length())
 
 
 def bitmap(h: np.ndarray, band: int) -> bytes:
     """One bit set for each element, at a place that its hash gives."""
-    bits = np.zeros(2 << band, np.uint8)
-    bits[(mix(h) & np.uint64((2 << band) - 1)).astype(np.int64)] = 1
+    bits = np.zeros(1 << (band + BITS), np.uint8)
+    bits[(mix(h) & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def fold(bits: np.ndarray, words: int) -> np.ndarray:
-    """The bitmap that the same set has in a lower band."""
-    while len(bits) > words:
-        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
-    return bits
+def as_number(bits: bytes) -> tuple[int, int]:
+    """A bitmap as an integer, and its width."""
+    return int.from_bytes(bits, "little"), 8 * len(bits)
 
 
-def common_shingles(docs: DataFrame, words: int) -> pd.Series:
-    """Counts of shingles that are in at least one of COMMON documents, by hash.
+def may_link(na: int, nb: int, a: tuple[int, int], b: tuple[int, int], percent: int) -> bool:
+    """Whether sizes and bitmaps leave the likeness possible; the wider bitmap is folded to the other's width.
 
-    They only order the prefixes, so that a passage shared by many documents
-    makes no large tile; any order gives the same links. Tasks report what they
-    have seen twice in a portion, and Spark adds it up over all documents.
+    Every bit that differs takes an element that only one of the sets has.
+    """
+    (x, wide_x), (y, wide_y) = a, b
+    while wide_x > wide_y:
+        wide_x //= 2
+        x = (x >> wide_x) | (x & ((1 << wide_x) - 1))
+    while wide_y > wide_x:
+        wide_y //= 2
+        y = (y >> wide_y) | (y & ((1 << wide_y) - 1))
+    most = (na + nb - (x ^ y).bit_count()) // 2
+    return 100 * most >= percent * (na + nb - most)
+
+
+def common_words(docs: DataFrame) -> pd.Series:
+    """Counts of the common words over all documents, by hash.
+
+    They only order the prefixes, so that runs of common words and passages
+    shared by many documents make no large tiles; any order gives the same
+    links. Tasks report what they have seen twice in a portion.
     """
-    n = docs.count()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def told(parts: list[np.ndarray]) -> pd.DataFrame:
             h, c = np.unique(np.concatenate(parts), return_counts=True)
-            return pd.DataFrame({"h": signed(h[c > 1]), "c": c[c > 1]})
+            total = pd.DataFrame({"h": [0], "c": [c.sum()], "total": [True]})
+            return pd.concat([total, pd.DataFrame({"h": signed(h[c > 1]), "c": c[c > 1], "total": False})])
 
         parts, size = [], 0
         for b in batches:
             for t in b["_text"]:
-                parts.append(shingles(t, words))
+                parts.append(word_hashes(words_of(t, lower=True)))
                 size += len(parts[-1])
                 if size >= PORTION:
                     yield told(parts)
@@ -81,20 +96,22 @@ def common_shingles(docs: DataFrame, words: int) -> pd.Series:
         if parts:
             yield told(parts)
 
-    found = (
-        docs.select("_text").mapInPandas(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-        .filter(F.col("c") >= max(16, n // COMMON)).toPandas()
+    counts = stored(
+        docs.select("_text").mapInPandas(count, "h long, c long, total boolean")
+        .groupBy("h", "total").agg(F.sum("c").alias("c"))
     )
+    total = counts.filter("total").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    found = counts.filter((~F.col("total")) & (F.col("c") >= max(16, total // COMMON))).toPandas()
     return pd.Series(found["c"].to_numpy(np.int64), index=found["h"].to_numpy(np.int64)).sort_index()
 
 
 def sets_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """_id, n, key (identity of the set), bits, and prefix: elements of which a partner shares one.
 
-    Elements are ordered by count among the common shingles, then by hash. Two
+    Elements are ordered by the count of their rarest word, then by hash. Two
     sets with enough overlap share an element of their prefixes in any order.
     """
-    common = common_shingles(docs, words)
+    common = common_words(docs)
     shared = docs.sparkSession.sparkContext.broadcast((common.index.to_numpy(), common.to_numpy()))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,18 +119,22 @@ def sets_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
         for b in batches:
             rows = []
             for i, t in zip(b["_id"], b["_text"], strict=True):
-                h = shingles(t, words)
+                w = word_hashes(words_of(t, lower=True))
+                h, at = np.unique(runs_of(w, words), return_index=True)
                 n = len(h)
                 if not n:
                     rows.append((i, 0, None, None, []))
                     continue
-                s = signed(h)
                 rank = np.zeros(n, np.int64)
                 if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    rank = np.where(known[at] == s, counts[at], 0)
-                first = np.lexsort((h, rank))[: n - least_overlap(n, percent) + 1]
-                rows.append((i, n, xxhash.xxh3_128_digest(h.tobytes()), bitmap(h, band_of(n)), s[first]))
+                    place = np.minimum(np.searchsorted(known, signed(w)), len(known) - 1)
+                    seen = np.where(known[place] == signed(w), counts[place], 0)
+                    width = min(words, len(w))
+                    rank = np.min([seen[j : len(w) - width + 1 + j] for j in range(width)], axis=0)[at]
+                take = n - least_overlap(n, percent) + 1
+                first = np.lexsort((h, rank))[:take] if rank.any() else np.arange(take)
+                key = xxhash.xxh3_128_digest(h.tobytes())
+                rows.append((i, n, key, bitmap(h, band_of(n)), signed(h[first])))
             yield pd.DataFrame(rows, columns=["_id", "n", "key", "bits", "prefix"])
 
     return docs.mapInPandas(build, "_id long, n long, key binary, bits binary, prefix array<long>")
@@ -154,42 +175,43 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            keep = []
-            for na, nb, ba, bb in zip(p["n_a"], p["n_b"], p["bits_a"], p["bits_b"], strict=True):
-                x, y = np.frombuffer(ba, np.uint64), np.frombuffer(bb, np.uint64)
-                k = min(len(x), len(y))
-                differ = int(np.bitwise_count(fold(x, k) ^ fold(y, k)).sum())
-                most = (na + nb - differ) // 2
-                keep.append(100 * most >= percent * (na + nb - most))
+            keep = [
+                may_link(na, nb, as_number(ba), as_number(bb), percent)
+                for na, nb, ba, bb in zip(p["n_a"], p["n_b"], p["bits_a"], p["bits_b"], strict=True)
+            ]
             yield p.loc[keep, ["a", "b"]]
 
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(check, "a long, b long")
 
 
-def tile_pairs(tile: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of a tile in different classes so far that sizes and bitmaps don't rule out."""
-    n, label = tile["n"].to_numpy(), tile["label"].to_numpy()
-    block, home = tile["block"].to_numpy(), tile["home"].to_numpy()
-    i, j = np.nonzero(np.triu(np.ones((len(n), len(n)), bool), 1))
-    ok = (label[i] != label[j]) & (home[i] | home[j])
-    ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-    if tile["cross"].iloc[0]:
-        ok &= block[i] != block[j]
-    i, j = i[ok], j[ok]
-    if len(i):
-        raw = [np.frombuffer(x, np.uint64) for x in tile["bits"]]
-        k = min(len(x) for x in raw)
-        bits = np.stack([fold(x, k) for x in raw])
-        good = []
-        for at in range(0, len(i), 65_536):
-            a, b = i[at : at + 65_536], j[at : at + 65_536]
-            differ = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
-            most = (n[a] + n[b] - differ) // 2
-            good.append(100 * most >= percent * (n[a] + n[b] - most))
-        ok = np.concatenate(good)
-        i, j = i[ok], j[ok]
-    ids = tile["id"].to_numpy()
-    return pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+def tile_pairs(tiles: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Pairs within the tiles, in different classes so far, that sizes and bitmaps don't rule out.
+
+    Rows come by tile and size. Row i is compared with row i + 1, then i + 2 and
+    so on, for all i at once, as long as that is in the same tile and band.
+    """
+    t, n, label, ids, home, block, cross, bits = (
+        tiles[c].to_numpy() for c in ("t", "n", "label", "id", "home", "block", "cross", "bits"))
+    numbers: dict[int, tuple[int, int]] = {}
+    seen: set[tuple[int, int]] = set()
+    i, step = np.arange(len(t) - 1), 1
+    while len(i):
+        j = i + step
+        near = (t[i] == t[j]) & (100 * n[i] >= percent * n[j])
+        i, j = i[near], j[near]
+        ok = (label[i] != label[j]) & (home[i] | home[j]) & (~cross[i] | (block[i] != block[j]))
+        for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+            pair = (min(ids[x], ids[y]), max(ids[x], ids[y]))
+            if pair in seen:
+                continue
+            for r in (x, y):
+                if ids[r] not in numbers:
+                    numbers[ids[r]] = as_number(bits[r])
+            if may_link(int(n[x]), int(n[y]), numbers[ids[x]], numbers[ids[y]], percent):
+                seen.add(pair)
+        step += 1
+        i = i[i + step < len(t)]
+    return pd.DataFrame(sorted(seen), columns=["a", "b"], dtype=np.int64)
 
 
 def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
@@ -252,14 +274,10 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
             if now is None or not len(now):
                 continue
             t = now["t"].to_numpy()
-            starts = np.concatenate(([0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]))
-            whole = len(starts) - 1 if b is None else len(starts) - 2
-            out = [tile_pairs(now.iloc[starts[x] : starts[x + 1]], percent)
-                   for x in range(whole) if starts[x + 1] - starts[x] > 1]
-            out = [x for x in out if len(x)]
-            if out:
-                yield pd.concat(out).drop_duplicates()
-            held = None if b is None else now.iloc[starts[whole] :]
+            whole = len(now) if b is None else int(np.searchsorted(t == t[-1], True))
+            if whole:
+                yield tile_pairs(now.iloc[:whole], percent)
+            held = None if b is None else now.iloc[whole:]
 
     pairs = rest.select("t", "id", "n", "home", "label", "block", "cross", "bits").mapInPandas(compare, "a long, b long")
     pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
