@@ -149,6 +149,8 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
         "uid", "copies", "i", F.col("x.edges").alias("e"), F.col("x.at").alias("at")
     )
     often = flat.groupBy("e").agg(F.sum(F.least("copies", F.lit(2))).alias("m")).filter("m > 1").select("e")
+    # stored before the join, so that adaptive execution may split the rows of a frequent edge
+    often = stored(often)
     repeated = stored(flat.join(often, "e"))
     touched = stored(runs(repeated, paths(repeated)))
     texts = sieve(docs, "uid", touched.select("uid")).groupBy("uid").agg(F.first("_text").alias("_text"))
@@ -173,7 +175,7 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
                     yield pd.DataFrame({"h": signed(h[start]), "w": w[start], "uid": u, "start": start})
 
     told = source.mapInPandas(windows, "h long, w int, uid long, start int")
-    twice = told.groupBy("h").agg(F.sum("w").alias("m")).filter("m > 1").select("h")
+    twice = stored(told.groupBy("h").agg(F.sum("w").alias("m")).filter("m > 1").select("h"))
     starts = told.filter("w = 1").join(twice, "h").groupBy("uid").agg(F.collect_list("start").alias("starts"))
     given = source.join(starts, "uid", "left").select("uid", "copies", "runs", "_text", "starts")
 
