@@ -157,6 +157,11 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
     source = stored(touched.join(texts, "uid"))
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def told(parts: list[tuple]) -> pd.DataFrame:
+            h, w, u, start = (np.concatenate([p[k] for p in parts]) for k in range(4))
+            return pd.DataFrame({"h": h, "w": w, "uid": u, "start": start})
+
+        parts, size = [], 0
         for b in batches:
             for u, c, found, t in zip(b["uid"], b["copies"], b["runs"], b["_text"], strict=True):
                 x = Text(t, window)
@@ -172,7 +177,13 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
                 start = start[w[start] > 0]
                 if len(start):
                     h = window_hashes(x.hashes, window)
-                    yield pd.DataFrame({"h": signed(h[start]), "w": w[start], "uid": u, "start": start})
+                    parts.append((signed(h[start]), w[start], np.full(len(start), u), start))
+                    size += len(start)
+                if size >= 200_000:
+                    yield told(parts)
+                    parts, size = [], 0
+        if parts:
+            yield told(parts)
 
     told = source.mapInPandas(windows, "h long, w int, uid long, start int")
     twice = stored(told.groupBy("h").agg(F.sum("w").alias("m")).filter("m > 1").select("h"))
