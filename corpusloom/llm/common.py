@@ -88,6 +88,13 @@ def unsigned(h) -> np.ndarray:
     return np.asarray(h, np.int64).view(np.uint64)
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Python tasks get at most so many rows at once: whole texts, and pairs of them, are large rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, rows)
+
+
 # --- columns -----------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    may_be_in, mix, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
+    may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
@@ -20,7 +20,7 @@ PORTION = 1_000_000  # words counted at once
 # A word is common if it is one in so many; this bounds the list of common words.
 COMMON = 1_000_000
 BLOCK = 512  # rows of a tile that meet each other in one piece
-BITS = 2  # the bitmap of a set has up to 2**BITS bits for an element
+BITS = 1  # the bitmap of a set has from 2**BITS bits for an element on
 
 
 def runs_of(h: np.ndarray, words: int) -> np.ndarray:
@@ -286,13 +286,20 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
 
 def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """_id, n, component of every row of docs(_id, _text)."""
+    small_batches(docs.sparkSession)
     built = stored(sets_of(docs, words, percent))
-    same = built.filter("n > 0 and _id is not null").groupBy("key").agg(F.min("_id").alias("rep"))
-    same = stored(same)
-    sets = stored(
-        built.join(same.withColumnRenamed("key", "_k"), (F.col("key") == F.col("_k")) & (F.col("_id") == F.col("rep")))
-        .select(F.col("rep").alias("id"), "n", "bits", "prefix").dropDuplicates(["id"])
-    )
+    named = built.filter("n > 0 and _id is not null")
+    same = stored(named.groupBy("key").agg(F.min("_id").alias("rep")))
+    reps = same.withColumnRenamed("key", "_k")
+    # copies are few, so their ids are looked for without dealing out all the sets
+    copies = stored(named.select("key", "_id").join(reps, (F.col("key") == F.col("_k")) & (F.col("_id") != F.col("rep")))
+                    .select(F.col("_id").alias("id"), F.col("key").alias("_copy")))
+    given = named.select(F.col("_id").alias("id"), "n", "bits", "prefix", "key").withColumn(
+        "_may", may_be_in("id", copies.select("id")))
+    doubtful = given.filter("_may").join(
+        copies.withColumnRenamed("id", "_copy_id"), (F.col("id") == F.col("_copy_id")) & (F.col("key") == F.col("_copy")),
+        "left_anti").dropDuplicates(["id", "key"])
+    sets = given.filter("not _may").unionByName(doubtful).select("id", "n", "bits", "prefix")
     found = components(stored(links(docs, sets, words, percent)))
     named = same.join(found.toDF("rep", "component"), "rep", "left").select(
         F.col("key").alias("_k"), F.coalesce("component", "rep").alias("component")

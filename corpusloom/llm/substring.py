@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    SPACE, WORD, dropped, may_be_in, query, sieve, signed, stored, table, window_hashes, word_hashes, words_of,
+    SPACE, WORD, dropped, may_be_in, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 
 KMER = 18  # words of an edge; less than a window, so that every window holds chosen edges
@@ -142,6 +142,7 @@ def _inside(x: Text, run: dict) -> tuple[int, int]:
 
 def kept_texts(docs: DataFrame, window: int) -> DataFrame:
     """(uid, n_removed, kept) of the texts that lose words; input (uid, _text), one row per document."""
+    small_batches(docs.sparkSession)
     reps = stored(
         sequences(docs, window).groupBy("uid").agg(F.count("*").alias("copies"), F.first("edges").alias("edges"), F.first("at").alias("at"))
     )
