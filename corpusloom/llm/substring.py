@@ -14,7 +14,17 @@ from corpusloom.llm.common import (
     SPACE, WORD, dropped, may_be_in, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 
-KMER = 18  # words of an edge; less than a window, so that every window holds chosen edges
+KMER = 18  # least words of an edge where the window has as many
+
+
+def edge_words(window: int) -> int:
+    """Words of an edge: no more than a window, and more than half of it.
+
+    A window of w words has w - k + 1 edges to choose from, and neighbouring
+    chosen edges start at most so many words apart. With k > w / 2 that is no
+    more than k, so they touch or overlap and no word between them is left out.
+    """
+    return min(max(KMER, window // 2 + 1), window)
 
 
 def least_places(k: np.ndarray, reach: int) -> np.ndarray:
@@ -34,7 +44,7 @@ class Text:
 
     Each window chooses its least k-mer, by content alone, so equal windows
     choose equal edges: a window can only repeat if its edge does. Neighbouring
-    edges touch or overlap.
+    edges touch or overlap (`edge_words`).
     """
 
     def __init__(self, text: str | None, window: int) -> None:
@@ -45,7 +55,7 @@ class Text:
             self.at = self.owner = np.zeros(0, np.int64)
             self.edges = np.zeros(0, np.uint64)
             return
-        size = min(KMER, window)
+        size = edge_words(window)
         k = window_hashes(self.hashes, size)
         self.at, self.owner = np.unique(least_places(k, window - size + 1), return_inverse=True)
         self.edges = k[self.at]
@@ -104,8 +114,8 @@ def runs(repeated: DataFrame, heads: DataFrame) -> DataFrame:
     """uid, seen (numbers of its repeated edges), and its runs: stretches of one path, first and last edge.
 
     A run's key stands for its edges and their distances. Neighbouring edges
-    overlap or touch, so equal keys mean equal words from the first edge to the
-    last. A run is shared if its key occurs twice; the first occurrence of a
+    overlap or touch, whatever the window, so equal keys mean equal words from
+    the first edge to the last. A run is shared if its key occurs twice; the first occurrence of a
     shared key answers for all.
     """
     lines = repeated.join(heads, "e").groupBy("uid").agg(
@@ -137,7 +147,7 @@ def runs(repeated: DataFrame, heads: DataFrame) -> DataFrame:
 
 def _inside(x: Text, run: dict) -> tuple[int, int]:
     """First start, and end of starts, of the windows between a run's first edge and its last."""
-    return int(x.at[run["a"]]), int(x.at[run["z"]]) + min(KMER, x.window) - x.window + 1
+    return int(x.at[run["a"]]), int(x.at[run["z"]]) + edge_words(x.window) - x.window + 1
 
 
 def kept_texts(docs: DataFrame, window: int) -> DataFrame:

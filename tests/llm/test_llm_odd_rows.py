@@ -133,6 +133,34 @@ def test_substring_random(spark, window):
         assert row["kept_sha256"] == hashlib.sha256(" ".join(kept).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("window", [35, 50, 101])
+def test_substring_one_word_edits(spark, window):
+    """A passage in two documents that differs in one word, for every place of that word, against all windows."""
+    r = np.random.default_rng(window)
+    n, texts = 3 * window, []
+    for place in range(n):
+        passage = [f"p{x}" for x in r.integers(0, 10**9, n)]
+        edited = [*passage[:place], f"edit{place}", *passage[place + 1 :]]
+        texts += [" ".join(x) for x in (passage, edited)]
+    once = [f"q{x}" for x in r.integers(0, 10**9, n)]  # one passage with an edit at every place
+    texts += [" ".join([*once[:place], f"edit{place}", *once[place + 1 :]]) for place in range(n)]
+    seen = {}
+    for d, t in enumerate(texts):
+        w = t.split()
+        for i in range(len(w) - window + 1):
+            seen.setdefault(" ".join(w[i : i + window]), []).append((d, i))
+    gone = {(d, i + j) for x in seen.values() if len(x) > 1 for d, i in x for j in range(window)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = substring.removed_words(docs, window).collect()
+    assert len(rows) == len(texts)
+    wrong = []
+    for row in rows:
+        kept = " ".join(x for i, x in enumerate(texts[row["doc_id"]].split()) if (row["doc_id"], i) not in gone)
+        if row["kept_sha256"] != hashlib.sha256(kept.encode()).hexdigest():
+            wrong.append(row["doc_id"])
+    assert not wrong
+
+
 def test_neighbours(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]),
