@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import rules
+from corpusloom.operators.normalise import sections_of
 from corpusloom.operators.reports import collection_order
 from corpusloom.operators.scale import lookup_join, numbered
 
@@ -227,6 +228,8 @@ def has_pdf(policies: DataFrame, pdfs: DataFrame, wanted: bool) -> DataFrame:
 def find_policies(items: DataFrame, sections: DataFrame | None = None, **arguments) -> Page:
     """Policies by text, tags and pdfs; the text is looked for in `sections` (slug, detail) as well.
 
+    By default those are the sections stored beside the items that
+    `read_clean_items` gave; a frame derived from them needs `sections`.
     `pdf_slugs` is filled for the page's items only, after the top-k.
     """
     a = check_arguments(
@@ -240,6 +243,7 @@ def find_policies(items: DataFrame, sections: DataFrame | None = None, **argumen
     if a.get("has_pdf") is not None:
         rows = has_pdf(rows, pdfs, a["has_pdf"])
     query = a.get("query")
+    sections = sections_of(items) if sections is None else sections
     if query is not None and sections is not None:
         told = sections.filter(_contains(F.col("detail"), query)).select("slug").distinct()
         marked = rows.join(told.withColumn("_told", F.lit(True)), "slug", "left")

@@ -57,6 +57,18 @@ def pdf_sections(pdfs: DataFrame) -> DataFrame:
     ).filter("detail <> ''")
 
 
+def policy_sections(pdfs: DataFrame, raw: DataFrame) -> DataFrame:
+    """(slug, file, heading, detail): `pdf_sections` as stored and published.
+
+    The first section of a policy that has a page carries the heading that parts
+    it from the page's text; a policy known from PDF text alone needs none.
+    """
+    sections = pdf_sections(pdfs)
+    first = sections.join(raw.select("slug"), "slug", "left_semi").groupBy("slug").agg(F.min("file").alias("_first"))
+    heading = F.when(F.col("file") == F.col("_first"), rules.DETAIL_HEADING).otherwise("")
+    return sections.join(first, "slug", "left").select("slug", "file", heading.alias("heading"), "detail")
+
+
 def pdf_only_slugs(pdfs: DataFrame, raw: DataFrame) -> DataFrame:
     """Policies known only from PDF text."""
     slugs = pdfs.select(F.col("policy_slug").alias("slug")).distinct()
@@ -75,7 +87,8 @@ def clean_policies(
     pdfs(policy_slug, file, raw) to policy items, one a slug.
 
     Slugs with PDF text but no page become items with an empty body. The PDF
-    text itself stays in `pdf_sections`, a row for each file.
+    text itself is in `policy_sections`, a row for each file, to be stored,
+    published and searched beside the items.
     """
     only = pdf_only_slugs(pdfs, raw).withColumn("raw", F.lit(None).cast("string"))
     rows = policy_with_index(raw.select("slug", "raw").unionByName(only), index)
@@ -295,6 +308,17 @@ def site_table(items: DataFrame, collection: str) -> DataFrame:
     return rows.select("slug", M.collapse_blank_runs(page).alias("md"))
 
 
+def section_table(sections: DataFrame) -> DataFrame:
+    """(slug, file, md): what follows a policy's page, a row for each file; a policy's rows follow each other by file."""
+    head = F.when(F.coalesce("heading", F.lit("")) != "", F.concat("heading", F.lit("\n\n"))).otherwise("")
+    return sections.select("slug", "file", M.collapse_blank_runs(F.concat(head, "detail")).alias("md"))
+
+
+def sections_of(items: DataFrame) -> DataFrame | None:
+    """The sections stored beside items, known for the frame that `read_clean_items` gave; None for others."""
+    return getattr(items, "_corpusloom_sections", None)
+
+
 def split_valid(rows: DataFrame, collection: str) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): a collection's required fields must be present."""
     head = "name" if collection == "team" else "title"

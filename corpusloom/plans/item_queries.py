@@ -62,6 +62,12 @@ R01_SQL = (
 )
 
 
+def _page_pdfs(spark: SparkSession, sf: str) -> DataFrame:
+    return seeds.pdf_files(spark, sf).withColumn(
+        "policy_slug", F.replace("policy_slug", F.lit("pol-"), F.lit("page-"))
+    )
+
+
 def policies(spark: SparkSession, sf: str) -> DataFrame:
     raw = seeds.policy_md(spark, sf).select("slug", "raw")
     index = table(spark, sf, "pages").select(
@@ -72,10 +78,7 @@ def policies(spark: SparkSession, sf: str) -> DataFrame:
         F.array().cast("array<string>").alias("pdf_downloads"),
         F.col("page_id").alias("ord"),
     )
-    pdfs = seeds.pdf_files(spark, sf).withColumn(
-        "policy_slug", F.replace("policy_slug", F.lit("pol-"), F.lit("page-"))
-    )
-    return N.clean_policies(raw, index, pdfs, CLEANED_AT)
+    return N.clean_policies(raw, index, _page_pdfs(spark, sf), CLEANED_AT)
 
 
 @query("r01_clean_policies", R01_SQL)
@@ -773,6 +776,28 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}/team").select("slug", "md")
 
 
+_DETAIL_SQL = (
+    f"SELECT replace(policy_slug, 'pol-', 'page-') AS slug, file, {d_strip(PDF_BODY_SQL)} AS detail FROM ({PDF_FILE_SQL})"
+)
+_SECTION_SQL = (
+    "SELECT slug, file, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY file) = 1 AND slug IN "
+    f"(SELECT 'page-' || page_id FROM pages) THEN '{rules.DETAIL_HEADING}' || chr(10) || chr(10) ELSE '' END || detail AS md "
+    f"FROM ({_DETAIL_SQL}) WHERE detail <> ''"
+)
+
+
+@query("s15_site_policy_sections", f"SELECT slug, file, {d_collapse('md')} AS md FROM ({_SECTION_SQL})")
+def _(spark, sf):
+    """Policies stored with their PDF text over a stale version of it, read back and published."""
+    path = scratch(spark, "policies")
+    raw, pdfs = seeds.policy_md(spark, sf).select("slug", "raw"), _page_pdfs(spark, sf)
+    items, sections = schemas.conform(policies(spark, sf)), N.policy_sections(pdfs, raw)
+    writers.write_clean_items(items, path, 4, sections.withColumn("file", F.concat(F.lit("stale-"), "file")))
+    writers.write_clean_items(items, path, 4, sections)
+    writers.rebuild_site_tables(writers.read_clean_items(spark, path), f"{path}-site")
+    return spark.read.parquet(f"{path}-site/policy-sections").select("slug", "file", "md")
+
+
 @query("st1_incremental_clean", f"SELECT slug, name, role, body FROM ({R04_SQL})")
 def _(spark, sf):
     path = scratch(spark, "incremental")

@@ -44,6 +44,10 @@ CLEAN_ITEM = _struct(
 )
 
 
+# What a policy's PDF file says; `heading` stands before it, or is empty.
+SECTION = _struct("slug", "file", "heading", "detail")
+
+
 def conform(df: DataFrame, schema: T.StructType = CLEAN_ITEM) -> DataFrame:
     """Exactly the schema's columns in order; absent ones are null."""
     def pick(f: T.StructField) -> Column:

@@ -13,6 +13,8 @@ from corpusloom.operators.normalise import (
     clean_index,
     merge_meta,
     rendered_md,
+    section_table,
+    sections_of,
     site_table,
 )
 from corpusloom.operators.scale import first_by
@@ -39,9 +41,23 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
-    """The stored items; a missing table has no rows."""
+    """The stored items; a missing table has no rows. Search and site find the sections stored beside them."""
     stored = _stored(spark, path)
-    return spark.createDataFrame([], schemas.CLEAN_ITEM) if stored is None else stored.drop("bucket")
+    items = spark.createDataFrame([], schemas.CLEAN_ITEM) if stored is None else stored.drop("bucket")
+    items._corpusloom_sections = read_sections(spark, path)
+    return items
+
+
+def _sections_path(path: str) -> str:
+    return f"{path.rstrip('/')}-sections"
+
+
+def read_sections(spark: SparkSession, path: str) -> DataFrame:
+    """The sections stored beside the items at `path`; a missing table has no rows."""
+    stored = _stored(spark, _sections_path(path))
+    if stored is None:
+        return spark.createDataFrame([], schemas.SECTION)
+    return schemas.conform(stored, schemas.SECTION).filter("detail is not null")
 
 
 def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
@@ -50,8 +66,14 @@ def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
     return items.withColumn("bucket", F.concat(spot, F.lit(f"-of-{buckets}")))
 
 
-def write_clean_items(items: DataFrame, path: str, buckets: int) -> None:
-    """Merge-upsert into the table at `path`.
+def write_clean_items(
+    items: DataFrame, path: str, buckets: int, sections: DataFrame | None = None
+) -> None:
+    """Merge-upsert into the table at `path`; of `sections`, into the one beside it.
+
+    The sections of every policy among the items are replaced as a set by those
+    given, so an empty frame takes them away; without `sections` the stored ones
+    stay as they are.
 
     The table is partitioned by content type and slug bucket, and only the
     buckets that hold a new item are read and rewritten. `buckets` is fixed for
@@ -80,6 +102,38 @@ def write_clean_items(items: DataFrame, path: str, buckets: int) -> None:
         .partitionBy("content_type", "bucket")
         .parquet(path)
     )
+    if sections is not None:
+        slugs = new.filter("content_type = 'policy'").select("slug")
+        write_sections(sections, slugs, path, buckets)
+
+
+def write_sections(sections: DataFrame, slugs: DataFrame, path: str, buckets: int) -> None:
+    """Replace the stored sections of `slugs` (slug), and of the slugs in `sections`, by `sections`.
+
+    Bucketed as the items are, and only touched buckets are rewritten. A touched
+    bucket has a row without a detail, so that one without sections is written too.
+    """
+    spark = sections.sparkSession
+    new = durable(with_bucket(schemas.conform(sections, schemas.SECTION), buckets))
+    replaced = durable(with_bucket(slugs.select("slug").union(new.select("slug")).distinct(), buckets))
+    touched = replaced.select("bucket").distinct()
+    merged = new.unionByName(touched, allowMissingColumns=True)
+    stored = _stored(spark, _sections_path(path))
+    if stored is not None:
+        kept = stored.select("bucket").limit(1).collect()
+        if kept and not kept[0]["bucket"].endswith(f"-of-{buckets}"):
+            raise ValueError(f"the sections beside {path} have another number of buckets than {buckets}")
+        affected = stored.filter(F.col("bucket").isin(*[r["bucket"] for r in touched.collect()]))
+        others = affected.filter("detail is not null").join(replaced.select("slug"), "slug", "left_anti")
+        merged = durable(merged.unionByName(others))
+    (
+        merged.hint("rebalance", F.col("bucket"))
+        .sortWithinPartitions("bucket", "slug", "file")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .parquet(_sections_path(path))
+    )
 
 
 def _touched(items: DataFrame) -> Column:
@@ -150,7 +204,17 @@ def load_validation(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         return {}
 
 
-def rebuild_site_tables(items: DataFrame, path: str) -> None:
-    """Every collection wiped and rewritten from the clean items."""
+def rebuild_site_tables(items: DataFrame, path: str, sections: DataFrame | None = None) -> None:
+    """Every collection wiped and rewritten from the clean items.
+
+    What policies' PDF files say follows their pages in `policy-sections`, in
+    order of slug and file; by default from the sections stored beside the items.
+    """
     for collection in COLLECTIONS:
         site_table(items, collection).write.mode("overwrite").parquet(f"{path}/{collection}")
+    if sections is None:
+        sections = sections_of(items)
+    if sections is None:
+        sections = items.sparkSession.createDataFrame([], schemas.SECTION)
+    told = section_table(sections.join(items.filter("content_type = 'policy'").select("slug"), "slug", "left_semi"))
+    told.orderBy("slug", "file").write.mode("overwrite").parquet(f"{path}/policy-sections")

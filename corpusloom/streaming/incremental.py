@@ -19,11 +19,13 @@ def incremental_clean(
     checkpoint: str,
     buckets: int,
     order: str | None = None,
+    sections: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Clean newly landed raw rows and merge them into the items at `path`.
 
     A slug may land several times in one batch if `order` names the column that
-    tells its latest version.
+    tells its latest version. `sections` gives the sections of a batch's
+    policies, which replace those stored.
 
     The merge is idempotent, so a batch replayed after a failure gives the
     same table.
@@ -31,7 +33,8 @@ def incremental_clean(
     def merge(batch: DataFrame, _: int) -> None:
         if order is not None:
             batch = first_by(batch, ["slug"], F.col(order), last=True)
-        write_clean_items(clean(batch), path, buckets)
+        told = None if sections is None else sections(batch)
+        write_clean_items(clean(batch), path, buckets, told)
 
     return (
         raw.writeStream.foreachBatch(merge)

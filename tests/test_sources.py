@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
+from corpusloom.operators import find as FD
 from corpusloom.operators import normalise as N
 from corpusloom.operators.validate import validate
 from corpusloom.sources import readers, writers
@@ -87,6 +88,49 @@ def test_write_clean_items_merges(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(content_type" in text and "PushedFilters: [IsNotNull(slug)" in text
 
 
+def _sections(spark, rows, paged):
+    pdfs = spark.createDataFrame(rows, "policy_slug string, file string, raw string")
+    return N.policy_sections(pdfs, spark.createDataFrame([(s,) for s in paged], "slug string"))
+
+
+def _pdf(text):
+    return f"# T\n| a | b |\n\n{text}"
+
+
+def test_sections_are_stored_published_and_found(spark, tmp_path):
+    path, site = str(tmp_path / "items"), str(tmp_path / "site")
+    items = _items(spark, [(s, "policy", s, "page") for s in "ab"] + [("c", "policy", "c", "")])
+    files = [("a", "pdf-2.md", _pdf("needle two")), ("a", "pdf-1.md", _pdf("needle one")), ("b", "pdf-1.md", _pdf("bee")),
+             ("c", "pdf-1.md", _pdf("needle alone"))]
+    writers.write_clean_items(items, path, 4, _sections(spark, files, "ab"))
+
+    def found(text):
+        page = FD.find_policies(writers.read_clean_items(spark, path), query=text)
+        return [r["slug"] for r in page.items.collect()]
+
+    def published():
+        writers.rebuild_site_tables(writers.read_clean_items(spark, path), site)
+        rows = spark.read.parquet(f"{site}/policy-sections").coalesce(1).collect()
+        return sorted((r["slug"], r["file"], r["md"]) for r in rows)
+
+    head = "## Full Policy Detail\n\n"
+    got = published()
+    assert [r[:2] for r in got] == [("a", "pdf-1.md"), ("a", "pdf-2.md"), ("b", "pdf-1.md"), ("c", "pdf-1.md")]
+    assert [r[2].startswith(head) for r in got] == [True, False, True, False]
+    assert [r[2].removeprefix(head).split("\n")[-1] for r in got] == ["needle one", "needle two", "bee", "needle alone"]
+    assert found("needle") == ["a", "c"] and found("bee") == ["b"]
+    # an upsert without sections leaves them; one with sections replaces those of its policies as a set
+    writers.write_clean_items(_items(spark, [("a", "policy", "a", "new page")]), path, 4)
+    assert published() == got
+    writers.write_clean_items(
+        _items(spark, [("a", "policy", "a", "x"), ("c", "policy", "c", "")]), path, 4,
+        _sections(spark, [("a", "pdf-2.md", _pdf("short"))], "a"))
+    assert [(r[0], r[1], r[2].startswith(head)) for r in published()] == [("a", "pdf-2.md", True), ("b", "pdf-1.md", True)]
+    assert found("needle") == [] and found("short") == ["a"]
+    with pytest.raises(ValueError):
+        writers.write_sections(_sections(spark, files, "ab"), items.select("slug"), path, 8)
+
+
 def test_validation_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([("a.pdf", "one two", "one two"), ("b.pdf", "one", "x")],
                                  "filename string, raw_text string, raw_md string")
