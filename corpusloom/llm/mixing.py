@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import WORD, query, table
@@ -155,39 +155,58 @@ def taken_words(
     return out, sizes, aim
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def pattern_of(members: str | None) -> Column:
+    """The sources that hold a document, each once and in order: those of the column `members`, by default its `source`.
+
+    A document whose members are null or none is held by its source.
+    """
+    own = F.array("source")
+    if members is None:
+        return own
+    given = F.array_sort(F.array_distinct(F.col(members).cast("array<string>")))
+    return F.when(F.size(given) > 0, given).otherwise(own)
+
+
+def sized(docs: DataFrame, members: str | None = None) -> DataFrame:
     """_id, _source, size (words of the text), pattern, text."""
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     return docs.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), words.alias("size"),
-        F.array("source").alias("pattern"), "text",
+        pattern_of(members).alias("pattern"), "text",
     )
 
 
-def mixed(docs: DataFrame, weights: list[float], share: float = 1.5, most: int = 2, seed: int = 0) -> DataFrame:
+def mixed(
+    docs: DataFrame, weights: list[float], share: float = 1.5, most: int = 2, seed: int = 0, members: str | None = None
+) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target (its source's), taken.
 
-    Sources are in code point order, null last, and get the weights in turn. A
-    document that several sources hold is one row with each of them in
-    `pattern` for `taken_words`; here each row names one. Sizes count words of
-    whole texts; null and empty texts have size 0 and are taken 0 words.
-    Repeated rows are equals: they may be taken differently. The same rows and
-    seed give the same mix. An empty table gives an empty result.
+    Sources are in code point order, null last, and get the weights in turn.
+    `members` names a column with the array of sources that hold a document;
+    without it each row is held by its `source` alone. A source's size counts
+    all documents it holds; size and target are null for a `source` that holds
+    none. Sizes count words of whole texts; null and empty texts have size 0 and
+    are taken 0 words. Repeated rows are equals: they may be taken differently.
+    The same rows and seed give the same mix. An empty table gives an empty
+    result.
     """
-    rows = sized(docs).drop("text")
+    rows = sized(docs, members).drop("text")
     out, sizes, aim = taken_words(rows, weights, share, most, seed)
     known = rows.sparkSession.createDataFrame(
         [(s, int(n), float(aim[s])) for s, n in sizes.items()], "_s string, source_size long, target double"
     )
     # one row per source, of which the driver has held all
-    return out.join(F.broadcast(known), F.col("_source").eqNullSafe(F.col("_s"))).select(
+    return out.join(F.broadcast(known), F.col("_source").eqNullSafe(F.col("_s")), "left").select(
         F.col("_id").alias("doc_id"), "size", F.col("_source").alias("source"), "source_size", "target", "taken"
     )
 
 
-def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, most: int = 2, seed: int = 0) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, weights: list[float], share: float = 1.5, most: int = 2, seed: int = 0, members: str | None = None
+) -> DataFrame:
     """The mix itself, with the columns of docs: a row for each time that a document is taken.
 
+    `members` is as for `mixed`.
     A document taken in part has the words taken, joined by one space.
     Documents that are taken no word of are left out; a document without words
     has nothing to take and stays once. No text is shuffled, but for the few
@@ -196,7 +215,7 @@ def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, m
     rows = docs.withColumn("_all", F.struct(*docs.columns)).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.array("source").alias("pattern"), "_all",
+        pattern_of(members).alias("pattern"), "_all",
     )
     out, _, _ = taken_words(rows, weights, share, most, seed)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1).cast("int")

@@ -115,6 +115,25 @@ def test_substring(odd, none):
     assert substring.without_repeats(odd, 35).columns == odd.columns
 
 
+def test_mixing_overlaps(spark):
+    """b holds nothing alone: its target is met with what it shares, and a and c move aside."""
+    rows = [(i, "x " * 10, "a", ["a"]) for i in range(4)] + [(10 + i, "y " * 10, "a", ["b", "a", "b"]) for i in range(4)]
+    rows += [(20 + i, "z " * 10, "c", ["c", "b"]) for i in range(2)] + [(30, "w " * 10, "c", None), (31, "v " * 10, "c", [])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, members array<string>")
+    got = by_id(mixing.mixed(docs, [1, 2, 1], share=1.0, members="members"))
+    # a, b and c hold 80, 60 and 40 words; the 120 there are by 1:2:1 are 30, 60 and 30
+    assert {(r["source"], r["source_size"], r["target"]) for x in got.values() for r in x} == {("a", 80, 30.0), ("c", 40, 30.0)}
+    taken = {i: x[0]["taken"] for i, x in got.items()}
+    ab, bc, c = (sum(taken[i] for i in x) for x in ((10, 11, 12, 13), (20, 21), (30, 31)))
+    # a keeps to its own, so b has all it shares with a; b and c repeat the 10 words they lack, no more
+    assert sum(taken[i] for i in range(4)) == 30 and ab + bc + c == 90 and ab >= 40 and bc >= 20 and c >= 20
+    out = mixing.mixed_documents(docs, [1, 2, 1], share=1.0, members="members")
+    assert out.columns == docs.columns
+    assert out.select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] == sum(taken.values())
+    alone = {i: x[0]["taken"] for i, x in by_id(mixing.mixed(docs, [1, 2, 1], share=1.0)).items()}
+    assert alone != taken
+
+
 @pytest.mark.parametrize("window", [3, 20])
 def test_substring_random(spark, window):
     r = np.random.default_rng(window)
