@@ -26,13 +26,22 @@ TEMPLATES = {
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE = 2
 CONTAINMENT = 0.8
-MISS = 1e-4  # chance that bands miss a window whose likeness is LEAST or more
-LEAST = 0.4
+MISS = 1e-4  # chance that bands miss a window that holds a template
 
 
-def bands(least: float = LEAST, miss: float = MISS) -> int:
+def least_likeness(wanted: int, c: int) -> float:
+    """Of a template with so many shingles and a window of 2**(c+1) words that matches it, the least Jaccard likeness.
+
+    The window holds no more of them than it must, and every other shingle in it is some other template's.
+    """
+    held = 2 ** (c + 1) - SHINGLE + 1
+    must = next(i for i in range(1, wanted + 1) if i / wanted >= CONTAINMENT)
+    return must / (wanted + max(held, must) - must)
+
+
+def bands(least: float, miss: float = MISS) -> int:
     """How many bands of one MinHash each: windows of that likeness collide in none with chance `miss` at most."""
-    return math.ceil(math.log(miss) / math.log(1 - least))
+    return math.ceil(math.log(miss) / math.log(1 - least)) if least < 1 else 1
 
 
 def with_hits(df: DataFrame, known: list[int] | None) -> DataFrame:
@@ -76,7 +85,7 @@ def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame
     own = given.select(
         "name", F.array_distinct("hits.h").alias("wanted"), F.ceil(F.log2(words.cast("double"))).cast("int").alias("c")
     ).filter(F.size("wanted") > 0).collect()
-    n = bands()
+    n = bands(min((least_likeness(len(r["wanted"]), r["c"]) for r in own), default=1.0))
     known = sorted({h for r in own for h in r["wanted"]})
     classes = sorted({r["c"] for r in own})
     wanted = spark.createDataFrame([(r["name"], r["wanted"], r["c"]) for r in own],

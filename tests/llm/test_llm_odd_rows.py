@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names: the defined results."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -220,6 +221,30 @@ def test_licenses(odd, none):
     assert licenses.scanned(none).count() == 0
 
 
+def test_license_bands_reach_the_least_likeness():
+    """A window full of other notices is as unlike a template as a match can be."""
+    grams = {k: {tuple(w[i : i + 2]) for i in range(len(w) - 1)} for k, v in licenses.TEMPLATES.items()
+             if (w := re.findall("[a-z0-9]+", v.lower()))}
+    words = {k: len(re.findall("[a-z0-9]+", v.lower())) for k, v in licenses.TEMPLATES.items()}
+    for k, g in grams.items():
+        c = (words[k] - 1).bit_length()
+        held, must = 2 ** (c + 1) - 1, -(-len(g) * 4 // 5)
+        least = must / (len(g) + held - must)
+        assert licenses.least_likeness(len(g), c) == pytest.approx(least)
+        assert (1 - least) ** licenses.bands(licenses.least_likeness(len(g), c)) <= licenses.MISS
+
+
+def test_licenses_dense(spark):
+    """Footers of many notices, whose windows hold little of any one of them."""
+    r = np.random.default_rng(5)
+    notices = sorted(licenses.TEMPLATES.values(), key=len)[:6]
+    texts = [" ".join(notices[i] for i in r.integers(0, len(notices), 6)) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {k: v for k, v in licenses.TEMPLATES.items() if v in notices}
+    for row in licenses.scanned(docs).collect():
+        assert {k for k, v in whole.items() if v in texts[row["doc_id"]]} <= set(row["licenses"].split(","))
+
+
 def test_pipeline_stages(spark, labels):
     """Every stage works on what the one before kept, and its decisions take effect."""
     sf = "/root/testdata/sf0.001"
