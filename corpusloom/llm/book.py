@@ -1,6 +1,7 @@
 """All queries of this subpackage and their SQL, for the entry module."""
 
 from corpusloom.llm import (  # noqa: F401
+    codes,
     fingerprint,
     jaccard,
     language,
@@ -9,7 +10,9 @@ from corpusloom.llm import (  # noqa: F401
     neighbours,
     pieces,
     quality,
+    ranking,
     substring,
+    toxicity,
     urls,
 )
 from corpusloom.llm.common import ORACLES, QUERIES

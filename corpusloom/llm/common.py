@@ -98,9 +98,51 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
 # --- columns -----------------------------------------------------------------
 
 
-def held_out(doc_id: Column) -> Column:
-    """Rows kept from learning: crc32 of the id as text leaves 2 modulo 4; a null id is not held out."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
+    """Rows kept from learning: crc32 of the id as text leaves `part` modulo `parts`; a null id is not held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, learnt: Column, rows: tuple[int, int], chars: int
+) -> tuple[list[tuple], dict[int, int]]:
+    """([(id, text, label)] by id, {label: ids that have it}) to fit a classifier on.
+
+    Ids are taken where `learnt`, a condition on `_id`, holds and their labels
+    agree on 0 or 1: about rows[0] of label 0 and rows[1] of label 1, chosen by a
+    hash of the id, and of those the ones with a text of at most `chars`
+    characters. An id gives one text, the least, however often it is repeated,
+    so the driver gets no more rows than ids were chosen. Empty without both
+    labels.
+    """
+    agreed = (
+        labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_y"))
+        .filter(F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & learnt)
+        .groupBy("_id").agg(F.min("_y").alias("y"), F.max("_y").alias("_max")).filter("y = _max").select("_id", "y")
+    )
+    have = {r["y"]: r["count"] for r in agreed.groupBy("y").count().collect()}
+    if len(have) < 2:
+        return [], have
+    draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1_000_000.0
+    share = F.when(F.col("y") == 1, rows[1] / have[1]).otherwise(rows[0] / have[0])
+    found = (
+        docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+        .filter(F.length("_text") <= chars)
+        # as many ids as the sample has rows
+        .join(F.broadcast(agreed.filter(draw < share)), "_id")
+        .groupBy("_id").agg(F.min("_text").alias("_text"), F.first("y").alias("y")).collect()
+    )
+    return sorted((r["_id"], r["_text"], r["y"]) for r in found), have
+
+
+def bits_set(places: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2**bits bits, with one set for each place (column p) of the frame, 64 to a number."""
+    words = places.groupBy(F.expr("cast(p div 64 as int)").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")
+    ).toPandas()
+    found = np.zeros(1 << (bits - 6), np.int64)
+    found[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    return found
 
 
 def may_be_in(key: str, wanted: DataFrame, bits: int = 24) -> Column:
@@ -111,12 +153,7 @@ def may_be_in(key: str, wanted: DataFrame, bits: int = 24) -> Column:
     there are, so a join must follow.
     """
     place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
-    words = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")
-    ).toPandas()
-    found = np.zeros(1 << (bits - 6), np.int64)
-    found[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-    shared = wanted.sparkSession.sparkContext.broadcast(found)
+    shared = wanted.sparkSession.sparkContext.broadcast(bits_set(wanted.select(place.alias("p")), bits))
 
     @F.pandas_udf("boolean")
     def may(p: pd.Series) -> pd.Series:
@@ -149,11 +186,15 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="corpusloom-llm-")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again: cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Written to the shared folder and read again: cuts the lineage and survives lost executors.
+
+    With `by`, each value of that column has a folder of its own, so that a
+    filter on it reads no other.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/corpusloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*[by] if by else []).parquet(path)
     again = spark.read.schema(df.schema).parquet(path)
     again._corpusloom_path = path
     return again

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import columns_of, held_out, query, table
+from corpusloom.llm.common import columns_of, held_out, labelled_sample, query, table
 
 # Bounds of the sample that the network is fitted on: rows of each label, characters of a row.
 SAMPLE_ROWS = 2_000
@@ -182,29 +182,13 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Network | float:
     from texts of at most SAMPLE_CHARS characters. The ids of the sample are
     bounded, so they are broadcast; the network is fitted on the driver.
     """
-    agreed = (
-        labels.select(F.col("doc_id").alias("_id"), "quality")
-        .filter(F.col("quality").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
-        .groupBy("_id").agg(F.min("quality").alias("y"), F.max("quality").alias("_max"))
-        .filter("y = _max").select("_id", "y")
-    )
-    have = {r["y"]: r["count"] for r in agreed.groupBy("y").count().collect()}
-    if len(have) < 2:
-        return (have.get(1, 0) + 1) / (sum(have.values()) + 2)
-    draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1_000_000.0
-    share = F.when(F.col("y") == 1, SAMPLE_ROWS / have[1]).otherwise(SAMPLE_ROWS / have[0])
-    chosen = agreed.filter(draw < share)
-    rows = (
-        docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-        .filter(F.length("_text") <= SAMPLE_CHARS)
-        .join(F.broadcast(chosen), "_id").select("_id", "_text", "y").collect()
-    )
-    rows = sorted(rows, key=lambda r: (r["_id"], r["_text"]))
-    y = np.array([r["y"] for r in rows], float)
+    rows, have = labelled_sample(
+        docs, labels, "quality", ~held_out(F.col("_id")), (SAMPLE_ROWS, SAMPLE_ROWS), SAMPLE_CHARS)
+    y = np.array([label for _, _, label in rows], float)
     if not 0 < y.sum() < len(y):
-        return (have[1] + 1) / (sum(have.values()) + 2)
+        return (have.get(1, 0) + 1) / (sum(have.values()) + 2)
     net = Network()
-    net.fit([raw_text(r["_text"]) for r in rows], y)
+    net.fit([raw_text(text) for _, text, _ in rows], y)
     net.shift = float(np.log(have[1] / have[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return net
 
