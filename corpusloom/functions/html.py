@@ -84,17 +84,149 @@ def html_text(html: Column, separator: str = "") -> Column:
     return F.array_join(text_nodes(html), separator)
 
 
+# --- elements ----------------------------------------------------------------
+#
+# An element is an opening tag with the closing tag that belongs to it: a closing
+# tag belongs to the nearest open one of its name. Tags left open, stray closing
+# tags, and tags in comments, scripts and styles make no element. Most pages use
+# a name once, and there the first closing tag is the right one, so they are read
+# by pattern; the fold over a page's tags is for the others.
+
+_RAW = ("<!--", "<script", "<style")  # what hides tags, with what ends it
+_RAW_END = ("-->", "</script", "</style")
+
+
+def _cut(html: Column, name: Column) -> Column:
+    """The page cut before every tag of a name and before the ends of what hides tags."""
+    names = F.concat(F.lit(r"(?i)(?=<!--|-->|</?(?:script|style|"), name, F.lit(r")\b)"))
+    return F.split(html, names, -1)
+
+
+def _pairs(pieces: Column, name: Column) -> Column:
+    """array<struct<a, b>>: pieces that open and close an element, in order of their opening.
+
+    One fold with the numbers of the open tags as a stack. `hidden` tells which
+    of the raw regions the fold is in; 0 is none.
+    """
+    opening, closing = F.concat(F.lit("<"), name), F.concat(F.lit("</"), name)
+    start = F.struct(
+        F.lit(0).alias("i"), F.lit(0).alias("hidden"), F.array().cast("array<int>").alias("open"),
+        F.array().cast("array<struct<a:int,b:int>>").alias("pairs"),
+    )
+
+    def step(acc: Column, piece: Column) -> Column:
+        low = F.lower(F.substr(piece, F.lit(1), F.length(closing) + 8))
+
+        def begins(word: Column) -> Column:
+            after = F.substr(low, F.length(word) + 1, F.lit(1))
+            return low.startswith(word) & ~after.rlike(r"\w")
+
+        hidden = F.lit(0)
+        for k, (head, end) in enumerate(zip(_RAW, _RAW_END, strict=True), 1):
+            hidden = F.when(acc["hidden"] == k, F.when(low.startswith(end), 0).otherwise(k)).when(
+                (acc["hidden"] == 0) & low.startswith(head), k).otherwise(hidden)
+        seen = (acc["hidden"] == 0) & (hidden == 0)
+        closes = seen & begins(F.lower(closing)) & (F.size(acc["open"]) > 0)
+        pair = F.struct(F.element_at(acc["open"], -1).alias("a"), acc["i"].alias("b"))
+        return F.struct(
+            (acc["i"] + 1).alias("i"), hidden.alias("hidden"),
+            F.when(seen & begins(F.lower(opening)), F.array_append(acc["open"], acc["i"]))
+            .when(closes, F.slice(acc["open"], F.lit(1), F.size(acc["open"]) - 1)).otherwise(acc["open"]).alias("open"),
+            F.when(closes, F.array_append(acc["pairs"], pair)).otherwise(acc["pairs"]).alias("pairs"),
+        )
+
+    return F.aggregate(pieces, start, step, lambda acc: F.array_sort(acc["pairs"]))
+
+
+def _inner(pieces: Column, pair: Column) -> Column:
+    """What stands between the two tags of an element."""
+    whole = F.array_join(F.slice(pieces, pair["a"] + 1, pair["b"] - pair["a"]), "")
+    return F.regexp_replace(whole, r"^<[^>]*>", "")
+
+
+def _balanced(html: Column, name: Column, opening: str = "") -> Column:
+    """Inner HTML of all elements of a name whose opening tag shows a pattern, in document order."""
+    def of(pieces: Column) -> Column:
+        def wanted(pair: Column) -> Column:
+            return F.get(pieces, pair["a"]).rlike(rf"(?is)^<[^>]*{opening}")
+
+        found = _pairs(pieces, name)
+        return F.transform(F.filter(found, wanted) if opening else found, lambda pair: _inner(pieces, pair))
+
+    return let(_cut(html, name), of)
+
+
+def _without(html: Column, tag: str) -> Column:
+    """The page without the elements of a tag, whatever they hold."""
+    def of(pieces: Column) -> Column:
+        def outside(pairs: Column) -> Column:
+            def rest(piece: Column, i: Column) -> Column:
+                inside = F.exists(pairs, lambda p: (p["a"] <= i) & (i < p["b"]))
+                ends = F.exists(pairs, lambda p: p["b"] == i)
+                return F.when(inside, "").when(ends, F.regexp_replace(piece, r"^<[^>]*>", "")).otherwise(piece)
+
+            return F.array_join(F.transform(pieces, rest), "")
+
+        return let(_pairs(pieces, F.lit(tag)), outside)
+
+    return let(_cut(html, F.lit(tag)), of)
+
+
+def _tags(html: Column, tag: str) -> Column:
+    return F.regexp_count(html, F.lit(rf"(?i)</?{tag}\b"))
+
+
 def drop_boilerplate(html: Column, tags=rules.BOILERPLATE_TAGS) -> Column:
-    return sub(html, "(?is)" + "|".join(rf"<{t}\b.*?</{t}\s*>" for t in tags), "")
+    """The page without the elements of some tags. Scripts and styles end at the first tag that closes them."""
+    raw = [t for t in tags if f"<{t}" in _RAW]
+    out = sub(html, "(?is)" + "|".join(rf"<{t}\b.*?</{t}\s*>" for t in raw), "") if raw else html
+    rest = [t for t in tags if t not in raw]
+    if not rest:
+        return out
+    plain = "(?is)" + "|".join(rf"<{t}\b.*?</{t}\s*>" for t in rest)
+
+    def dropped(page: Column) -> Column:
+        nested = F.lit(False)
+        for t in rest:
+            nested = nested | (_tags(page, t) > 2)
+        whole = page
+        for t in rest:
+            whole = _without(whole, t)
+        return F.when(nested, whole).otherwise(sub(page, plain, ""))
+
+    return let(out, dropped)
 
 
 def element(html: Column, tag: str) -> Column:
     """Inner HTML of the first element of a tag; empty when absent."""
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+    plain = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+    first = F.coalesce(F.get(_balanced(html, F.lit(tag)), 0), F.lit(""))
+    return F.when(_tags(html, tag) > 2, first).otherwise(plain)
+
+
+def elements(html: Column, tag: str, opening: str = "") -> Column:
+    """Inner HTML of all elements of a tag, nested ones too, whose opening tag shows a pattern."""
+    plain = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*{opening}[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+
+    def checked(found: Column) -> Column:
+        nested = F.exists(found, lambda inner: inner.rlike(rf"(?i)<{tag}\b") | inner.contains("<!--"))
+        return F.when(nested, _balanced(html, F.lit(tag), opening)).otherwise(found)
+
+    return let(plain, checked)
 
 
 def _attr_element(html: Column, attr: str) -> Column:
-    return F.regexp_extract(html, rf"(?is)<(\w+)\b[^>]*\b{attr}[^>]*>(.*?)</\1\s*>", 2)
+    """Inner HTML of the first element whose opening tag shows a pattern, whatever its name."""
+    head = rf"(?is)<(\w+)\b[^>]*\b{attr}[^>]*>"
+
+    def whole(found: Column) -> Column:
+        opening = F.regexp_extract(html, head, 0)
+        rest = F.substr(html, F.instr(html, opening).cast("int"))
+        nested = F.get(_balanced(rest, F.regexp_extract(opening, r"^<(\w+)", 1), attr), 0)
+        plain = F.regexp_extract(found, rf"{head}(.*?)</\1\s*>", 2)
+        return F.when(found.rlike(r"(?is)^<(\w+)\b.+<\1\b|<!--"), F.coalesce(nested, F.lit(""))).otherwise(plain)
+
+    return let(F.regexp_extract(html, rf"{head}(.*?)</\1\s*>", 0), whole)
 
 
 def _class_attr(name: str) -> str:
@@ -214,10 +346,6 @@ def page_title(html: Column) -> Column:
     return F.coalesce(h1, title_tag(html), F.lit("Unknown"))
 
 
-def _elements(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
-
-
 def first_region(html: Column) -> Column:
     """The content region whatever its length; null when the page has none."""
     hits = [F.nullif(r, F.lit("")) for r in content_regions(html)]
@@ -231,7 +359,7 @@ def person_title(html: Column) -> Column:
     region = first_region(html)
     inside = F.when(has_element(region, "h1"), spaced(element(region, "h1")))
     others = F.filter(
-        F.transform(_elements(html, "h1"), spaced),
+        F.transform(elements(html, "h1"), spaced),
         lambda t: (t != "") & ~F.lower(t).contains("sign in") & ~F.lower(t).contains("log in"),
     )
     return F.coalesce(inside, F.get(others, 0), title_tag(html), F.lit("Unknown"))
@@ -267,7 +395,7 @@ def labelled_pdf_links(html: Column, host: str = rules.FILE_HOST) -> Column:
         label = label_slug(F.coalesce(heading, link["text"]))
         return F.struct(label.alias("label"), link["href"].alias("href"))
 
-    found = F.transform(_elements(html, "li"), entry)
+    found = F.transform(elements(html, "li"), entry)
     return F.filter(found, lambda e: e["href"].isNotNull() & (e["label"] != ""))
 
 
@@ -316,7 +444,7 @@ def classify_role(html: Column) -> Column:
 def electorate(html: Column) -> Column:
     region = F.coalesce(first_region(html), html)
     shouted = F.filter(
-        F.transform(_elements(region, "h4"), lambda h: html_text(h)),
+        F.transform(elements(region, "h4"), lambda h: html_text(h)),
         lambda t: (F.length(t) <= 80)
         & (t == F.upper(t))
         & t.rlike(r"\p{L}")
@@ -335,9 +463,8 @@ def strip_protected_links(html: Column) -> Column:
 
 
 def event_cards(html: Column, tag: str = "div") -> Column:
-    """Inner HTML of every `.event-card`; cards hold no element of their own tag."""
-    pattern = rf"(?is)<{tag}\b[^>]*{_class_attr('event-card')}[^>]*>(.*?)</{tag}\s*>"
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    """Inner HTML of every `.event-card`, whatever elements it holds."""
+    return elements(html, tag, _class_attr("event-card"))
 
 
 def is_date_like(text: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.operators.normalise import sections_of
 from corpusloom.operators.reports import collection_order
-from corpusloom.operators.scale import lookup_join, numbered
+from corpusloom.operators.scale import Key, down, lookup_join, nth_rows, up
 
 
 # --- arguments --------------------------------------------------------------
@@ -72,20 +72,15 @@ class Page:
 
 
 def paginate(
-    rows: DataFrame, order: list[Column], limit: int = 20, offset: int = 0, after: Column | None = None
+    rows: DataFrame, order: list[Key], limit: int = 20, offset: int = 0, after: Column | None = None
 ) -> Page:
     """`order` must end in a unique column.
 
-    A first page is a top-k. So is a page that names the last row of the one
-    before by `after`, a condition on the order's columns, which is the cheap
-    way through many pages. An `offset` is found by a distributed rank.
+    A page is found by counts (`nth_rows`), whatever its offset. `after`, a
+    condition on the order's columns that names the last row of the page before,
+    leaves out the rows up to there.
     """
-    if offset == 0:
-        items = (rows if after is None else rows.filter(after)).orderBy(*order).limit(limit)
-    else:
-        ranked = numbered(rows, [], order)
-        inside = F.col("n").between(offset + 1, offset + limit)
-        items = ranked.filter(inside).drop("n", "before").orderBy(*order)
+    items = nth_rows(rows if after is None else rows.filter(after), order, offset, limit)
     end = F.least(F.col("total"), F.lit(offset + limit))
     more = F.col("total") > offset + limit
     envelope = rows.agg(F.count("*").alias("total")).select(
@@ -187,7 +182,7 @@ def find_events(items: DataFrame, as_of: str, **arguments) -> Page:
         "slug", "content_type", "title", "date", "time", "location", "venue", "address",
         "registration_url", "source_url",
     )
-    order = [F.col("date").asc(), F.col("slug").asc()]
+    order = [up("date"), up("slug")]
     return paginate(rows, order, arguments.get("limit", 20), arguments.get("offset", 0))
 
 
@@ -204,7 +199,7 @@ def find_members(items: DataFrame, **arguments) -> Page:
         "slug", "content_type", F.col("name").alias("title"), "name", "role", "electorate",
         "source_url",
     )
-    order = [F.col("role").asc(), F.col("name").asc(), F.col("slug").asc()]
+    order = [up("role"), up("name"), up("slug")]
     return paginate(rows, order, a.get("limit", 50), a.get("offset", 0))
 
 
@@ -252,7 +247,7 @@ def find_policies(items: DataFrame, sections: DataFrame | None = None, **argumen
     else:
         rows = _query(rows, query)
     rows = rows.select("slug", "content_type", "title", "summary", "tags", "source_url")
-    order = [F.col("title").asc(), F.col("slug").asc()]
+    order = [up("title"), up("slug")]
     page = paginate(rows, order, a.get("limit", 20), a.get("offset", 0))
     # at most 100 slugs
     lists = pdfs.join(F.broadcast(page.items.select("slug")), "slug", "left_semi").groupBy("slug").agg(
@@ -261,7 +256,7 @@ def find_policies(items: DataFrame, sections: DataFrame | None = None, **argumen
     empty = F.array().cast("array<string>")
     items_with = page.items.join(lists, "slug", "left").withColumn(
         "pdf_slugs", F.coalesce("pdf_slugs", empty)
-    ).orderBy(*order)
+    ).orderBy(*[k.sort() for k in order])
     return Page(items_with, page.envelope)
 
 
@@ -273,7 +268,7 @@ def find_blog_posts(items: DataFrame, **arguments) -> Page:
     rows = _dates(
         _query(_of_type(items, "blog-post"), a.get("query")), a.get("date_from"), a.get("date_to")
     ).select("slug", "content_type", "title", "date", "author", "excerpt", "source_url")
-    order = [F.col("date").desc(), F.col("slug").asc()]
+    order = [down("date"), up("slug")]
     return paginate(rows, order, a.get("limit", 20), a.get("offset", 0))
 
 
@@ -302,7 +297,7 @@ def home_topk(
     posts: DataFrame, events: DataFrame, members: DataFrame, sizes=(5, 5, 8)
 ) -> DataFrame:
     """(block, slug): newest posts, earliest events, members by role."""
-    team_order = [F.coalesce("role", F.lit("")).asc(), F.col("slug").asc()]
+    team_order = [up(F.coalesce("role", F.lit(""))), up("slug")]
     blocks = (
         ("posts", posts, collection_order("blog"), sizes[0]),
         ("events", events, collection_order("events"), sizes[1]),
@@ -310,6 +305,6 @@ def home_topk(
     )
     out = None
     for name, df, order, k in blocks:
-        top = df.orderBy(*order).limit(k).select(F.lit(name).alias("block"), "slug")
+        top = df.orderBy(*[o.sort() for o in order]).limit(k).select(F.lit(name).alias("block"), "slug")
         out = top if out is None else out.unionByName(top)
     return out

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.functions import markdown as M
 from corpusloom.functions.text import fixed, name_slug, year_of
+from corpusloom.operators.scale import Key, down, up
 
 DASH = "—"
 
@@ -237,19 +238,19 @@ def event_list_line() -> Column:
     return F.concat(date, F.lit(" — "), "title", place)
 
 
-def collection_order(collection: str) -> list[Column]:
+def collection_order(collection: str) -> list[Key]:
     """Published order of a collection, with the slug as a unique tiebreak."""
     def text(c: str) -> Column:
         return F.collate(F.coalesce(c, F.lit("")), "UNICODE")
 
     first = {
-        "policies": [text("title").asc()],
-        "blog": [text("date").desc()],
-        "events": [text("date").asc()],
-        "team": [text("name").asc()],
-        "team-cards": [text("role").asc(), text("name").asc()],
+        "policies": [up(text("title"))],
+        "blog": [down(text("date"))],
+        "events": [up(text("date"))],
+        "team": [up(text("name"))],
+        "team-cards": [up(text("role")), up(text("name"))],
     }[collection]
-    return [*first, F.col("slug").asc()]
+    return [*first, up("slug")]
 
 
 def section_map(sections: dict[str, DataFrame]) -> DataFrame:

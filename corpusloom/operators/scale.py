@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.session import durable
+SKETCH = 40  # sampled keys for each piece of a sketch
+PIECES = 256  # of the rows among which a page is looked for
+MOST_PIECES = 4_096  # of the rows that are numbered
 
 
 def first_by(df: DataFrame, keys: list[str], order: Column, last: bool = False) -> DataFrame:
@@ -37,28 +41,121 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left
     return joined.select(*fact.columns, *values)
 
 
+# --- order statistics ----------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Key:
+    """A column of an order and its direction. Null is the smallest value, as in Spark's own orders."""
+
+    column: Column
+    descending: bool = False
+
+    def sort(self) -> Column:
+        return self.column.desc() if self.descending else self.column.asc()
+
+    def before(self, cut: Column) -> Column:
+        """Whether a row stands before a cut value."""
+        less = (self.column > cut) | (cut.isNull() & self.column.isNotNull()) if self.descending else (
+            (self.column < cut) | (self.column.isNull() & cut.isNotNull()))
+        return F.coalesce(less, F.lit(False))
+
+
+def up(column: str | Column) -> Key:
+    return Key(F.col(column) if isinstance(column, str) else column)
+
+
+def down(column: str | Column) -> Key:
+    return Key(F.col(column) if isinstance(column, str) else column, True)
+
+
+def keys_of(order: list[Key | str | Column]) -> list[Key]:
+    """The keys of an order; names and plain columns ascend."""
+    return [k if isinstance(k, Key) else up(k) for k in order]
+
+
+def _cuts(rows: DataFrame, order: list[Key], total: int, pieces: int) -> list[tuple]:
+    """Key values that cut the rows into about so many pieces of one size, by a sample of bounded size."""
+    fraction = min(1.0, SKETCH * pieces / total)
+    sample = rows.select(*[k.column.alias(f"k{i}") for i, k in enumerate(order)]).sample(fraction, 7)
+    names = [Key(F.col(f"k{i}"), k.descending).sort() for i, k in enumerate(order)]
+    found = [tuple(r) for r in sample.orderBy(*names).collect()]
+    return list(dict.fromkeys(found[i * len(found) // pieces] for i in range(1, pieces))) if found else []
+
+
+def _piece(rows: DataFrame, order: list[Key], cuts: list[tuple]) -> Column:
+    """How many of the cuts a row doesn't stand before: the number of its piece."""
+    kinds = [rows.select(k.column.alias("k")).schema["k"].dataType for k in order]
+    literal = F.array(*[
+        F.struct(*[F.lit(v).cast(kind).alias(f"k{i}") for i, (v, kind) in enumerate(zip(cut, kinds, strict=True))])
+        for cut in cuts
+    ])
+
+    def reached(cut: Column) -> Column:
+        out = F.lit(True)
+        for i, k in reversed(list(enumerate(order))):
+            value = cut[f"k{i}"]
+            out = F.when(k.before(value), False).when(k.column.eqNullSafe(value), out).otherwise(True)
+        return out
+
+    return F.size(F.filter(literal, reached)) if cuts else F.lit(0)
+
+
+def nth_rows(rows: DataFrame, order: list[Key | str | Column], offset: int, limit: int, small: int = 100_000) -> DataFrame:
+    """The rows at places `offset` + 1 to `offset` + `limit` of an order that ends in a unique column, in order.
+
+    The rows are cut into pieces by a sketch of the order's key, and counts per
+    piece find the ones that hold the places asked for. These are cut again until
+    they hold no more than `small` rows besides the ones asked for, which are
+    sorted. Rows of other pieces are only counted, so nothing is shuffled but
+    counts, whatever the offset. The rows must come out alike each time they are read.
+    """
+    order = keys_of(order)
+    sort = [k.sort() for k in order]
+    total = rows.count()
+    while total > small + limit and offset < total:
+        cuts = _cuts(rows, order, total, PIECES)
+        piece = _piece(rows, order, cuts)
+        counts = dict(rows.groupBy(piece.alias("p")).count().collect())
+        spans, seen = [], 0
+        for p in sorted(counts):
+            spans.append((p, seen, seen + counts[p]))
+            seen += counts[p]
+        held = [s for s in spans if s[2] > offset and s[1] < offset + limit]
+        left = held[-1][2] - held[0][1]
+        if left == total:  # the sketch tells no two of them apart, or all of them are asked for
+            break
+        rows, offset, total = rows.filter(piece.between(held[0][0], held[-1][0])), offset - held[0][1], left
+    return rows.orderBy(*sort).offset(offset).limit(limit)
+
+
 def numbered(
-    df: DataFrame, keys: list[str], order: list[str | Column], weight: Column | None = None
+    df: DataFrame, keys: list[str], order: list[Key | str | Column], weight: Column | None = None,
+    piece_rows: int = 1_000_000,
 ) -> DataFrame:
     """Adds `n`, the 1-based position within `keys`, and `before`, the weight that precedes it.
 
-    Rows are range-partitioned on (keys, order), so a hot key spans many tasks
-    and each numbers its own stretch. Only a key that continues from an earlier
-    partition needs an offset, and a partition starts inside at most one key, so
-    the offsets number fewer than the partitions and may be broadcast. `order`
-    must be unique within `keys`. The placed rows are checkpointed because both
-    branches must see the same partition ids.
+    Rows are dealt to pieces by a sketch of (keys, order), so a hot key spans
+    many tasks and each numbers its own stretch. The piece of a row depends on
+    its own values alone, so the rows are neither checkpointed nor placed twice.
+    Only a key that continues from an earlier piece needs an offset, and a piece
+    starts inside at most one key, so the offsets number fewer than the pieces
+    and may be broadcast. `order` must be unique within `keys`.
     """
-    keyed = df.withColumn("_all", F.lit(0)) if not keys else df
+    order = keys_of(order)
     by = keys or ["_all"]
-    weighed = keyed.withColumn("_w", (F.lit(0) if weight is None else weight).cast("bigint"))
-    placed = durable(
-        weighed.repartitionByRange(*by, *order).withColumn("_pid", F.spark_partition_id())
-    )
-    local = Window.partitionBy("_pid", *by).orderBy(*order)
+    weighed = df.withColumn("_all", F.lit(0)).withColumn("_w", (F.lit(0) if weight is None else weight).cast("bigint"))
+    total = df.count()
+    pieces = max(1, min(MOST_PIECES, total // piece_rows))
+    whole = [*[up(k) for k in by], *order]
+    cuts = _cuts(weighed, whole, total, pieces) if pieces > 1 else []
+    placed = weighed.withColumn("_pid", _piece(weighed, whole, cuts))
+    local = Window.partitionBy("_pid", *by).orderBy(*[k.sort() for k in order])
     rows = placed.withColumn("_n", F.row_number().over(local).cast("bigint")).withColumn(
         "_b", F.sum("_w").over(local.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_w")
     )
+    if not cuts:
+        return rows.select(*df.columns, F.col("_n").alias("n"), F.col("_b").alias("before"))
     earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_pid", *by)

@@ -11,7 +11,7 @@ from corpusloom.operators import find as FD
 from corpusloom.operators import registry as R
 from corpusloom.operators import reports as G
 from corpusloom.operators import validate as VA
-from corpusloom.operators.scale import numbered
+from corpusloom.operators.scale import down, nth_rows, numbered, up
 from corpusloom.plans import seeds
 from corpusloom.plans.book import d_element, d_text, query, table
 from corpusloom.plans.item_queries import (
@@ -428,7 +428,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     ev = table(spark, sf, "events")
-    page = FD.paginate(ev, [F.desc("value"), F.asc("event_id")], 7, 13)
+    page = FD.paginate(ev, [down("value"), up("event_id")], 7, 13)
     return page.items.select("event_id", page.envelope.select("total").scalar().alias("total"))
 
 
@@ -438,11 +438,9 @@ def _(spark, sf):
     "WHERE n > (SELECT count(*) // 2 FROM events) AND n <= (SELECT count(*) // 2 FROM events) + 10",
 )
 def _(spark, sf):
-    """The distributed rank behind pages that start deep in the order."""
+    """A page from the middle of the order, found by counts; few rows are left to be sorted."""
     ev = table(spark, sf, "events").select("event_id", "value")
-    ranked = numbered(ev, [], [F.desc("value"), F.asc("event_id")])
-    half = ev.agg(F.floor(F.count("*") / 2).alias("h")).scalar()
-    return ranked.filter((F.col("n") > half) & (F.col("n") <= half + 10)).select("event_id")
+    return nth_rows(ev, [down("value"), up("event_id")], ev.count() // 2, 10, small=500).select("event_id")
 
 
 @query(
@@ -451,7 +449,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     ev = table(spark, sf, "events")
-    return FD.paginate(ev, [F.desc("value"), F.asc("event_id")], 7, 13).envelope
+    return FD.paginate(ev, [down("value"), up("event_id")], 7, 13).envelope
 
 
 @query(

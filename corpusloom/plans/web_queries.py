@@ -74,6 +74,26 @@ def _(spark, sf):
     )
 
 
+@query(
+    "h01_nested_content",
+    f"SELECT page_id, CASE WHEN length({d_text(_ARTICLE)}) > 50 THEN '<main>inner</main>' || {_ARTICLE} ELSE '' END AS html FROM pages",
+)
+def _(spark, sf):
+    """A region that holds another of its name, before the page's own, and one after it."""
+    page = F.concat(F.lit("<body><main id='m'><main>inner</main>"), H.element(F.col("html"), "article"),
+                    F.lit("</main><main>other</main></body>"))
+    own = F.length(H.html_text(H.element(F.col("html"), "article"))) > 50
+    return table(spark, sf, "pages").select(
+        "page_id", F.when(own, H.main_content(page, 50)).otherwise("").alias("html"))
+
+
+@query("h04_nested_boilerplate", f"SELECT page_id, {d_drop_boilerplate('html')} AS html FROM pages")
+def _(spark, sf):
+    """Boilerplate that holds boilerplate goes as a whole, so the page is left as without it."""
+    nested = F.replace("html", F.lit("</nav>"), F.lit("<ul><nav class='x'>in</nav>out</ul><header>h</header></nav>"))
+    return table(spark, sf, "pages").select("page_id", H.drop_boilerplate(nested).alias("html"))
+
+
 def _d_markdown(x: str) -> str:
     x = d_sub(x, r"[\t \r\n]+", " ")
     x = d_sub(x, r"([*_])", r"\\\1")
@@ -163,6 +183,17 @@ def _(spark, sf):
     return L.labelled_pdf_links(seeds.linked_pages(spark, sf))
 
 
+@query(
+    "h10_nested_lists",
+    "SELECT page_id, 'annual-report-' || page_id % 9 AS label, 'https://drive.google.com/file/d/ID' || page_id || '/view' AS href "
+    "FROM pages, range(2)",
+)
+def _(spark, sf):
+    """A list in a list: the outer entry holds the link of the inner one, so either is labelled."""
+    inner = F.regexp_replace("html", r"(?is)(<li\b[^>]*>.*?</li\s*>)", "<li><ul>$1</ul>after</li>")
+    return L.labelled_pdf_links(seeds.linked_pages(spark, sf).withColumn("html", inner))
+
+
 @query(
     "h11_discover_new_links",
     "SELECT DISTINCT 'p' || page_id % 20 AS slug, '/policy/p' || page_id % 20 AS path FROM pages "
@@ -243,6 +274,23 @@ def _(spark, sf):
     return L.event_cards(seeds.card_pages(spark, sf), BASE).select("page_id", "ord", "url")
 
 
+@query(
+    "h17_nested_cards",
+    "SELECT page_id, i AS ord, 'Talk ' || page_id || '-' || i AS title, 'https://www.example.org/e/' || page_id || '/' || i AS url "
+    "FROM pages, range(2) AS t(i)",
+)
+def _(spark, sf):
+    """Cards that hold elements of their own name, among the page's other markup."""
+    def card(i: str) -> list:
+        key = F.col("page_id").cast("string")
+        return [F.lit("<div class='event-card'><div><div><h3>Talk "), key, F.lit(f"-{i}</h3></div></div><div><a href='/e/"), key,
+                F.lit(f"/{i}'>more</a></div></div>")]
+
+    page = F.concat(F.col("html"), *card("0"), F.lit("<div>between</div>"), *card("1"))
+    pages = table(spark, sf, "pages").withColumn("html", page)
+    return L.event_cards(pages, BASE).select("page_id", "ord", "title", "url")
+
+
 @query(
     "h18_event_title",
     "SELECT page_id, 0::bigint AS ord, 'Meetup ' || page_id AS title FROM pages "

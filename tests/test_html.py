@@ -143,3 +143,80 @@ def test_coverage_edges(spark):
     assert got["d.pdf"]["notes"] == ["word coverage 0.004 < threshold 0.95",
                                     "no headings detected in markdown body"]
     assert (got["d.pdf"]["bullets"], got["d.pdf"]["table_rows"]) == (1, 1)
+
+
+# --- balanced elements ---------------------------------------------------------
+
+
+def walk(html, name):
+    """Elements of a name by a plain walk over the tags: (start, inner start, inner end, end)."""
+    import re
+
+    out, open_tags, at = [], [], 0
+    token = re.compile(rf"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<(/?){name}\b[^>]*>")
+    while m := token.search(html, at):
+        at = m.end()
+        if m[1] == "":
+            open_tags.append(m)
+        elif m[1] == "/" and open_tags:
+            o = open_tags.pop()
+            out.append((o.start(), o.end(), m.start(), m.end()))
+    return sorted(out)
+
+
+def markup(rng):
+    parts = ["<div>", "<div class='event-card x'>", "</div>", "<nav>", "</nav>", "</NAV >", "<Nav a=b>", "<main>", "</main>",
+             "<!-- <nav> </main> -->", "<script>'<main></nav>'</script>", "<style>a</style>", "text ", "x&amp;y ", "<navy>",
+             "<p>", "</p>", "<br>", "<div id='content'>", "\n", "é▁"]
+    return "".join(rng.choice(parts) for _ in range(rng.randrange(0, 40)))
+
+
+def test_balanced_elements_match_a_stack_walk(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    pages = [markup(rng) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    got = df.select(
+        "i", H.element(F.col("h"), "main").alias("main"), H.elements(F.col("h"), "div").alias("divs"),
+        H._without(F.col("h"), "nav").alias("rest"), H.event_cards(F.col("h")).alias("cards"),
+        H._balanced(F.col("h"), F.lit("main")).alias("mains"),
+    ).collect()
+    hard = 0
+    for r in got:
+        page = pages[r["i"]]
+        mains, divs, navs = walk(page, "main"), walk(page, "div"), walk(page, "nav")
+        assert r["mains"] == [page[b:c] for _, b, c, _ in mains]
+        rest, at = "", 0
+        for a, _, _, d in navs:
+            if a >= at:
+                rest, at = rest + page[at:a], d
+        assert r["rest"] == rest + page[at:]
+        if len([1 for _ in walk(page, "main")]) and page.lower().count("main") > 2:
+            hard += 1
+            assert r["main"] == page[mains[0][1] : mains[0][2]]
+        nested = any("<div" in page[b:c] or "<!--" in page[b:c] for _, b, c, _ in divs)
+        if nested:
+            hard += 1
+            assert r["divs"] == [page[b:c] for _, b, c, _ in divs]
+    assert hard > 300
+
+
+def test_nested_elements(one):
+    page = "<body><nav><ul><nav>inner</nav>OUTERNAV</ul></nav><p>kept</p></body>"
+    assert one(H.drop_boilerplate, page) == "<body><p>kept</p></body>"
+    long = "word " * 30
+    assert one(lambda h: H.main_content(h, 50), f"<main>a<main>b</main>{long}</main>") == f"a<main>b</main>{long}"
+    inside = f"<div><div>{long}</div>tail</div>"
+    assert one(lambda h: H.main_content(h, 50), f"<div role='main'>{inside}</div><div>no</div>") == inside
+    assert one(lambda h: H.main_text(h, 20), f"<div id=\"content\">{inside}</div>") == f"{long.strip()}\ntail"
+    cards = "<div class='event-card'><div><h3>One</h3></div><p>a</p></div><div class=\"event-card b\"><div>x</div></div>"
+    assert one(H.event_cards, cards) == ["<div><h3>One</h3></div><p>a</p>", "<div>x</div>"]
+    items = ("<ul><li>a<ul><li><a href='https://drive.google.com/file/d/X'>Deep</a></li></ul></li></ul>")
+    assert [tuple(r) for r in one(H.labelled_pdf_links, items)] == [("deep", "https://drive.google.com/file/d/X")] * 2
+
+
+def test_left_open_tags_make_no_element(one):
+    assert one(lambda h: H.element(h, "main"), "<main>a<main>b</main>c") == "b"
+    assert one(H.drop_boilerplate, "<nav>a<p>b</p>") == "<nav>a<p>b</p>"
+    assert one(H.drop_boilerplate, "</nav>a<nav>b</nav>c</nav>") == "</nav>ac</nav>"
