@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
+    dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
@@ -102,6 +102,7 @@ def common_words(docs: DataFrame) -> pd.Series:
     )
     total = counts.filter("total").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     found = counts.filter((~F.col("total")) & (F.col("c") >= max(16, total // COMMON))).toPandas()
+    dropped(counts)
     return pd.Series(found["c"].to_numpy(np.int64), index=found["h"].to_numpy(np.int64)).sort_index()
 
 
@@ -281,7 +282,12 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
 
     pairs = rest.select("t", "id", "n", "home", "label", "block", "cross", "bits").mapInPandas(compare, "a long, b long")
     pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-    return first.union(verified(pairs, docs, words, percent))
+    for done in (live, tried, found):
+        dropped(done)
+    out = stored(first.union(verified(pairs, docs, words, percent)))
+    dropped(first)
+    dropped(pairs)
+    return out
 
 
 def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -300,7 +306,7 @@ def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
         copies.withColumnRenamed("id", "_copy_id"), (F.col("id") == F.col("_copy_id")) & (F.col("key") == F.col("_copy")),
         "left_anti").dropDuplicates(["id", "key"])
     sets = given.filter("not _may").unionByName(doubtful).select("id", "n", "bits", "prefix")
-    found = components(stored(links(docs, sets, words, percent)))
+    found = components(links(docs, sets, words, percent))
     named = same.join(found.toDF("rep", "component"), "rep", "left").select(
         F.col("key").alias("_k"), F.coalesce("component", "rep").alias("component")
     )

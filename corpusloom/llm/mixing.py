@@ -43,7 +43,7 @@ def flow(
     patterns: (sources, tokens). The first pass over a pattern's tokens costs
     nothing and the p-th costs p - 1 a token, so costs are convex and tokens are
     repeated only where quotas need it, evenly over patterns. Solved by
-    successive shortest paths with potentials: each path takes the cheapest way
+    successive shortest paths, a level of cost at a time: each path takes the cheapest way
     from a pattern with room to a source with need, moving others' tokens aside.
     """
     order = sorted(range(len(patterns)), key=lambda i: (len(patterns[i][0]), str(patterns[i])))
@@ -99,7 +99,7 @@ def flow(
 def taken_words(
     rows: DataFrame, weights: list[float], share: float, most: int, seed: int
 ) -> tuple[DataFrame, dict, dict]:
-    """Adds `taken` to rows(_row..., pattern: sorted array of sources, size); also sizes and targets of the sources.
+    """Adds `taken` to rows(..., pattern: sorted array of sources, size, _told: hash of the text); also sizes and targets of the sources.
 
     A pattern's tokens are routed by `flow`. Each document of a pattern is then
     taken as often as whole passes go; what remains goes to documents in an
@@ -128,7 +128,7 @@ def taken_words(
          for (p, t), g in zip(patterns, given, strict=True)],
         "pattern array<string>, whole long, part long",
     ).withColumn("_p", F.xxhash64("pattern", F.size("pattern"))).drop("pattern")
-    draw = F.xxhash64("_id", "_source", "size", F.lit(seed))
+    draw = F.xxhash64("_id", "_source", "size", "_told", F.lit(seed))
     drawn = rows.withColumns({
         "_p": F.xxhash64("pattern", F.size("pattern")), "draw": draw,
         "bucket": F.shiftrightunsigned(draw, 52).cast("int"),
@@ -144,7 +144,7 @@ def taken_words(
     # one row of each pattern, of which the driver has held all
     placed = drawn.join(F.broadcast(plan), "_p")
     running = F.sum("size").over(
-        Window.partitionBy("_p").orderBy("draw", "_id").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_p").orderBy("draw", "_id", "_told").rowsBetween(Window.unboundedPreceding, -1)
     )
     clear = placed.filter("bucket <> edge").withColumn(
         "more", F.when(F.col("bucket") < F.col("edge"), F.col("size")).otherwise(0)
@@ -168,11 +168,11 @@ def pattern_of(members: str | None) -> Column:
 
 
 def sized(docs: DataFrame, members: str | None = None) -> DataFrame:
-    """_id, _source, size (words of the text), pattern, text."""
+    """_id, _source, size (words of the text), pattern, _told (hash of the text), by which rows of one id differ."""
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     return docs.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), words.alias("size"),
-        pattern_of(members).alias("pattern"), "text",
+        pattern_of(members).alias("pattern"), F.xxhash64("text").alias("_told"),
     )
 
 
@@ -190,7 +190,7 @@ def mixed(
     The same rows and seed give the same mix. An empty table gives an empty
     result.
     """
-    rows = sized(docs, members).drop("text")
+    rows = sized(docs, members)
     out, sizes, aim = taken_words(rows, weights, share, most, seed)
     known = rows.sparkSession.createDataFrame(
         [(s, int(n), float(aim[s])) for s, n in sizes.items()], "_s string, source_size long, target double"
@@ -215,7 +215,7 @@ def mixed_documents(
     rows = docs.withColumn("_all", F.struct(*docs.columns)).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        pattern_of(members).alias("pattern"), "_all",
+        pattern_of(members).alias("pattern"), F.xxhash64("_all.text").alias("_told"), "_all",
     )
     out, _, _ = taken_words(rows, weights, share, most, seed)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1).cast("int")

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import query, stored, table
@@ -44,6 +44,7 @@ class Cells:
         self.highs: list[np.ndarray] = []
         everywhere = np.full(DIMS, np.inf)
         self._cut(points, max(1, cells), -everywhere, everywhere)
+        self.boxes = np.stack(self.lows), np.stack(self.highs)
 
     def _cut(self, points: np.ndarray, cells: int, low: np.ndarray, high: np.ndarray) -> int:
         at = len(self.nodes)
@@ -80,7 +81,7 @@ class Cells:
 
     def distances(self, points: np.ndarray) -> np.ndarray:
         """Squared distance of every point to every cell's box."""
-        low, high = np.stack(self.lows), np.stack(self.highs)
+        low, high = self.boxes
         gap = np.maximum(np.maximum(low[None] - points[:, None], points[:, None] - high[None]), 0)
         return (gap**2).sum(2)
 
@@ -142,6 +143,12 @@ def search(points, vectors, ids, queries, query_points, query_ids, bounds, k: in
     return out
 
 
+@F.pandas_udf("array<double>")
+def projected(v: pd.Series) -> pd.Series:
+    """Vectors of one width in the projected space: of the sample, the driver gets DIMS numbers each."""
+    return pd.Series(list(np.stack(v.to_list()) @ projection(len(v.iloc[0]))))
+
+
 def usable(rows: DataFrame) -> DataFrame:
     """vec_id, v (doubles): without null ids or vectors, zero vectors, and null or non-finite components."""
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -162,11 +169,13 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     task should hold, as many equal vectors make, are dealt to several.
     Vectors that are null, zero or hold null or non-finite components take no
     part, and vectors of another width than a query's are no candidates of it.
-    Of rows that share an id, each is a candidate of the others' queries; a
-    query's own id is none. Ties go to the smaller id.
+    Rows that repeat id and vector count once. Of rows that share an id and
+    differ, each is a candidate of the others' queries; a query's own id is none.
+    Ties go to the smaller id.
     """
     spark = rows.sparkSession
-    given = usable(rows)
+    # equal rows are one candidate: they would take up the k places of a cell and its bound
+    given = stored(usable(rows).distinct())
     counts = given.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("c")).collect()
     if not counts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -174,8 +183,8 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     for width, c in counts:
         share = min(1.0, SAMPLE / c)
         sample = given.filter(F.size("v") == width).filter(
-            F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < share * 1_000_000).select("v").toPandas()["v"]
-        points = np.stack(sample.to_list()) @ projection(width) if len(sample) else np.zeros((0, DIMS))
+            F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < share * 1_000_000).select(projected("v").alias("p")).toPandas()["p"]
+        points = np.stack(sample.to_list()) if len(sample) else np.zeros((0, DIMS))
         trees[width] = Cells(points, -(-c // CELL))
     shared = spark.sparkContext.broadcast(trees)
     limit = chi_square(CONFIDENCE, DIMS)
@@ -194,7 +203,7 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     sizes = stored(sizes)
     base = indexed.join(sizes, ["width", "cell"]).withColumn(
         "piece", F.pmod(F.xxhash64("vec_id", "v"), F.col("pieces")).cast("int")).drop("pieces")
-    queries = indexed.filter(F.col("vec_id") % every == 0).select("vec_id", "width", "cell", "v").dropDuplicates()
+    queries = indexed.filter(F.col("vec_id") % every == 0).select("vec_id", "width", "cell", "v")
 
     def run(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -214,8 +223,10 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
             run, "query_id long, vec_id long, d double")
 
     def best(found: DataFrame) -> DataFrame:
-        pair = F.struct("d", "vec_id")
-        return found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(pair)), 1, k).alias("best"))
+        # the rank is limited before the shuffle, so a query has k rows from each task, not from each cell
+        order = Window.partitionBy("query_id").orderBy("d", "vec_id")
+        top = found.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
+        return top.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("d", "vec_id"))).alias("best"))
 
     first = stored(searched(queries.withColumn("bound", F.lit(float("inf")))))
     bound = best(first).select(

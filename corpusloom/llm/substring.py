@@ -79,20 +79,22 @@ def sequences(docs: DataFrame, window: int) -> DataFrame:
 def paths(repeated: DataFrame) -> DataFrame:
     """(e, head): for every repeated edge, the first edge of the nonbranching path it is on.
 
-    Input: (uid, i, e), i counting the edges of a text. Two edges that follow
+    Input: (uid, i, e, next), i counting the edges of a text and next the one
+    after; an edge that does not repeat is on no path. Two edges that follow
     each other are on one path if the first has no other successor and the
     second no other predecessor. Paths are compacted by pointer doubling: after
     r rounds an edge knows the one 2**r before it, so a path of n edges takes
     log2(n) joins. Edges on a cycle stay paths of their own.
     """
-    after = repeated.select("uid", (F.col("i") - 1).alias("i"), F.col("e").alias("next"))
-    steps = stored(repeated.select("uid", "i", "e").join(after, ["uid", "i"]).select("e", "next").distinct())
+    known = stored(repeated.select("e").distinct())
+    told = repeated.filter("next is not null").select("e", "next").distinct()
+    steps = stored(told.join(known.withColumnRenamed("e", "next"), "next").select("e", "next"))
     only_out = steps.groupBy("e").agg(F.min("next").alias("next"), F.count("*").alias("m")).filter("m = 1")
     only_in = steps.groupBy("next").agg(F.min("e").alias("prev"), F.count("*").alias("m")).filter("m = 1")
     inner = only_out.drop("m").join(only_in.drop("m"), "next").filter("e = prev and e <> next")
     before = inner.select(F.col("next").alias("e"), "prev")
     now = stored(
-        repeated.select("e").distinct().join(before, "e", "left").select("e", F.coalesce("prev", "e").alias("head"))
+        known.join(before, "e", "left").select("e", F.coalesce("prev", "e").alias("head"))
     )
     rounds = int(repeated.agg(F.coalesce(F.max("i"), F.lit(0))).first()[0] + 2).bit_length()
     for _ in range(rounds):  # a path without a cycle is no longer than the longest text's edges
@@ -111,22 +113,22 @@ def paths(repeated: DataFrame) -> DataFrame:
 
 
 def runs(repeated: DataFrame, heads: DataFrame) -> DataFrame:
-    """uid, seen (numbers of its repeated edges), and its runs: stretches of one path, first and last edge.
+    """uid, copies, and its runs: stretches of one path, by first and last edge (a, z), whether shared, whether first of its kind.
 
     A run's key stands for its edges and their distances. Neighbouring edges
     overlap or touch, whatever the window, so equal keys mean equal words from
     the first edge to the last. A run is shared if its key occurs twice; the first occurrence of a
     shared key answers for all.
     """
+    names = ["i", "at", "e", "head"]
     lines = repeated.join(heads, "e").groupBy("uid").agg(
-        F.sort_array(F.collect_list(F.struct("i", "at", "e", "head"))).alias("x"), F.first("copies").alias("copies")
-    )
+        F.sort_array(F.collect_list(F.struct(*names))).alias("x"), F.first("copies").alias("copies")
+    ).select("uid", "copies", *[F.col("x")[n].alias(n) for n in names])  # plain arrays, which tasks get without objects
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for u, c, x in zip(b["uid"], b["copies"], b["x"], strict=True):
-                i, at, e, head = (np.array([r[k] for r in x], np.int64) for k in ("i", "at", "e", "head"))
+            for u, c, i, at, e, head in zip(b["uid"], b["copies"], *(b[n] for n in names), strict=True):
                 ends = np.flatnonzero((np.diff(i) != 1) | (np.diff(head) != 0)) + 1
                 for a, z in zip(np.append(0, ends), np.append(ends, len(i)), strict=True):
                     told = np.concatenate((e[a:z], at[a:z] - at[a])).astype(np.int64)
@@ -141,13 +143,16 @@ def runs(repeated: DataFrame, heads: DataFrame) -> DataFrame:
         "leads", F.coalesce(F.col("lead") == F.struct("uid", "a"), F.lit(False))
     )
     return marked.groupBy("uid", "copies").agg(
-        F.collect_list(F.struct("a", "z", F.col("lead").isNotNull().alias("shared"), "leads")).alias("runs")
-    )
+        F.collect_list(F.struct("a", "z", F.col("lead").isNotNull().alias("shared"), "leads")).alias("x")
+    ).select("uid", "copies", *[F.col("x")[n].alias(n) for n in RUN])
+
+
+RUN = ["a", "z", "shared", "leads"]
 
 
-def _inside(x: Text, run: dict) -> tuple[int, int]:
+def _inside(x: Text, a: int, z: int) -> tuple[int, int]:
     """First start, and end of starts, of the windows between a run's first edge and its last."""
-    return int(x.at[run["a"]]), int(x.at[run["z"]]) + edge_words(x.window) - x.window + 1
+    return int(x.at[a]), int(x.at[z]) + edge_words(x.window) - x.window + 1
 
 
 def kept_texts(docs: DataFrame, window: int) -> DataFrame:
@@ -156,16 +161,21 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
     reps = stored(
         sequences(docs, window).groupBy("uid").agg(F.count("*").alias("copies"), F.first("edges").alias("edges"), F.first("at").alias("at"))
     )
-    flat = reps.select("uid", "copies", F.posexplode(F.arrays_zip("edges", "at")).alias("i", "x")).select(
-        "uid", "copies", "i", F.col("x.edges").alias("e"), F.col("x.at").alias("at")
+    flat = reps.select("uid", "copies", "edges", F.posexplode(F.arrays_zip("edges", "at")).alias("i", "x")).select(
+        "uid", "copies", "i", F.col("x.edges").alias("e"), F.col("x.at").alias("at"),
+        F.get("edges", F.col("i") + 1).alias("next"),
     )
     often = flat.groupBy("e").agg(F.sum(F.least("copies", F.lit(2))).alias("m")).filter("m > 1").select("e")
     # stored before the join, so that adaptive execution may split the rows of a frequent edge
     often = stored(often)
     repeated = stored(flat.join(often, "e"))
+    dropped(often)
     touched = stored(runs(repeated, paths(repeated)))
+    dropped(repeated)
+    dropped(reps)
     texts = sieve(docs, "uid", touched.select("uid")).groupBy("uid").agg(F.first("_text").alias("_text"))
     source = stored(touched.join(texts, "uid"))
+    dropped(touched)
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def told(parts: list[tuple]) -> pd.DataFrame:
@@ -174,17 +184,17 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
 
         parts, size = [], 0
         for b in batches:
-            for u, c, found, t in zip(b["uid"], b["copies"], b["runs"], b["_text"], strict=True):
+            for u, c, t, *found in zip(b["uid"], b["copies"], b["_text"], *(b[n] for n in RUN), strict=True):
                 x = Text(t, window)
                 seen = np.zeros(len(x.at), bool)
-                for r in found:
-                    seen[r["a"] : r["z"] + 1] = True
+                for a, z, *_ in zip(*found, strict=True):
+                    seen[a : z + 1] = True
                 start = np.flatnonzero(seen[x.owner])
                 w = np.full(len(x.hashes), min(c, 2))
-                for r in found:
-                    lo, hi = _inside(x, r)
-                    if r["shared"] and hi > lo:
-                        w[lo:hi] = 2 if r["leads"] else 0
+                for a, z, shared, leads in zip(*found, strict=True):
+                    lo, hi = _inside(x, a, z)
+                    if shared and hi > lo:
+                        w[lo:hi] = 2 if leads else 0
                 start = start[w[start] > 0]
                 if len(start):
                     h = window_hashes(x.hashes, window)
@@ -199,20 +209,21 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
     told = source.mapInPandas(windows, "h long, w int, uid long, start int")
     twice = stored(told.groupBy("h").agg(F.sum("w").alias("m")).filter("m > 1").select("h"))
     starts = told.filter("w = 1").join(twice, "h").groupBy("uid").agg(F.collect_list("start").alias("starts"))
-    given = source.join(starts, "uid", "left").select("uid", "copies", "runs", "_text", "starts")
+    given = source.join(starts, "uid", "left").select("uid", "copies", *RUN, "_text", "starts")
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for u, c, found, t, s in zip(b["uid"], b["copies"], b["runs"], b["_text"], b["starts"], strict=True):
+            for u, c, t, s, *found in zip(
+                    b["uid"], b["copies"], b["_text"], b["starts"], *(b[n] for n in RUN), strict=True):
                 x = Text(t, window)
                 change = np.zeros(len(x.words) + 1, np.int64)
                 begin = np.asarray(s if s is not None else [], np.int64)
                 np.add.at(change, begin, 1)
                 np.add.at(change, begin + window, -1)
-                for r in found:
-                    lo, hi = _inside(x, r)
-                    if r["shared"] and hi > lo:
+                for a, z, shared, _ in zip(*found, strict=True):
+                    lo, hi = _inside(x, a, z)
+                    if shared and hi > lo:
                         change[lo] += 1
                         change[hi - 1 + window] -= 1
                 gone = np.cumsum(change[:-1]) > 0 if c < 2 else np.ones(len(x.words), bool)

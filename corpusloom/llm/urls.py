@@ -11,7 +11,6 @@ from corpusloom.llm.common import query, stored, table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT = 0.01  # share of the labelled urls that show a rule's tokens and verdict together
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 3  # of a mined rule
 
 Rule = tuple[str, str, str]  # host, path from its slash on, verdict
 
@@ -60,7 +59,8 @@ def mined_rules(labelled: DataFrame) -> DataFrame:
 
     FP-growth finds token sets that come with a verdict in at least MIN_SUPPORT
     of the rows; a rule holds in at least MIN_CONFIDENCE of the rows that show
-    its tokens. Its anchor is its rarest token, by which it is looked up.
+    its tokens, however many those are. Its anchor is its rarest token, by which
+    it is looked up.
     """
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"))
     items = stored(items)
@@ -74,11 +74,17 @@ def mined_rules(labelled: DataFrame) -> DataFrame:
         F.array_sort(F.filter("items", lambda x: ~is_verdict(x))).alias("antecedent"),
         F.array_join(F.filter("items", is_verdict), "").alias("said"),
         F.col("freq"),
-    ).filter((F.size("antecedent") > 0) & (F.size("antecedent") <= MAX_TOKENS))
+    ).filter(F.size("antecedent") > 0)
     with_verdict = sets.filter("said <> ''").withColumnRenamed("freq", "n")
     alone = sets.filter("said = ''").select("antecedent", F.col("freq").alias("shown"))
     rules = with_verdict.join(alone, "antecedent").withColumn("confidence", F.col("n") / F.col("shown")).filter(
         F.col("confidence") >= MIN_CONFIDENCE)
+    # a rule that one with a token less equals in confidence never decides: that one fits wherever it does, and is seen as often
+    shorter = rules.select("antecedent", "said", "confidence", F.explode("antecedent").alias("_t")).select(
+        F.array_remove("antecedent", F.col("_t")).alias("_less"), "antecedent", "said", "confidence")
+    kept = rules.select(F.col("antecedent").alias("_less"), "said", F.col("confidence").alias("_c"))
+    beaten = shorter.join(kept, ["_less", "said"]).filter("_c >= confidence").select("antecedent", "said").distinct()
+    rules = rules.join(beaten, ["antecedent", "said"], "left_anti")
     single = counts.filter(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), F.col("freq").alias("seen"))
     each = rules.withColumn("token", F.explode("antecedent")).join(single, "token")
     return stored(
@@ -120,7 +126,7 @@ RULES: list[Rule] = [
 ]
 
 OP4_SQL = r"""
-WITH rest AS (
+WITH RECURSIVE rest AS (
   SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
 hosts AS (SELECT *, regexp_extract(r, '^[^/?#]*') AS h FROM rest),
 parts AS (
@@ -143,11 +149,10 @@ named AS (
   SELECT t.*, (SELECT max(struct_pack(n := length(h || p), rule := h || p, verdict := v)) FROM rules
     WHERE (t.host = h OR ends_with(t.host, '.' || h)) AND starts_with(t.path, p)) AS l FROM toks t),
 lab AS (SELECT row_number() OVER () AS id, tokens, l.verdict AS verdict FROM named WHERE l IS NOT NULL),
-item AS (SELECT id, verdict, unnest(tokens) AS t FROM lab),
-sub AS (
-  SELECT id, verdict, [t] AS a FROM item UNION ALL
-  SELECT x.id, x.verdict, [x.t, y.t] FROM item x JOIN item y ON x.id = y.id AND x.t < y.t UNION ALL
-  SELECT x.id, x.verdict, [x.t, y.t, z.t] FROM item x JOIN item y ON x.id = y.id AND x.t < y.t JOIN item z ON y.id = z.id AND y.t < z.t),
+sub(id, verdict, tokens, a, k) AS (
+  SELECT id, verdict, tokens, [tokens[i]], i FROM (SELECT id, verdict, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM lab)
+  UNION ALL
+  SELECT id, verdict, tokens, list_append(a, tokens[i]), i FROM (SELECT id, verdict, tokens, a, unnest(range(k + 1, len(tokens) + 1)) AS i FROM sub)),
 shown AS (SELECT a, count(*) AS c FROM sub GROUP BY a),
 mined AS (
   SELECT a, verdict, n, n / c AS confidence FROM (SELECT a, verdict, count(*) AS n FROM sub GROUP BY a, verdict) JOIN shown USING (a)
