@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
+    WORD, dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
@@ -107,7 +107,7 @@ def common_words(docs: DataFrame) -> pd.Series:
 
 
 def sets_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """_id, n, key (identity of the set), bits, and prefix: elements of which a partner shares one.
+    """_id, _ref, n, key (identity of the set), bits, and prefix: elements of which a partner shares one.
 
     Elements are ordered by the count of their rarest word, then by hash. Two
     sets with enough overlap share an element of their prefixes in any order.
@@ -119,12 +119,12 @@ def sets_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
         known, counts = shared.value
         for b in batches:
             rows = []
-            for i, t in zip(b["_id"], b["_text"], strict=True):
+            for i, ref, t in zip(b["_id"], b["_ref"], b["_text"], strict=True):
                 w = word_hashes(words_of(t, lower=True))
                 h, at = np.unique(runs_of(w, words), return_index=True)
                 n = len(h)
                 if not n:
-                    rows.append((i, 0, None, None, []))
+                    rows.append((i, ref, 0, None, None, []))
                     continue
                 rank = np.zeros(n, np.int64)
                 if len(known):
@@ -135,10 +135,10 @@ def sets_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 take = n - least_overlap(n, percent) + 1
                 first = np.lexsort((h, rank))[:take] if rank.any() else np.arange(take)
                 key = xxhash.xxh3_128_digest(h.tobytes())
-                rows.append((i, n, key, bitmap(h, band_of(n)), signed(h[first])))
-            yield pd.DataFrame(rows, columns=["_id", "n", "key", "bits", "prefix"])
+                rows.append((i, ref, n, key, bitmap(h, band_of(n)), signed(h[first])))
+            yield pd.DataFrame(rows, columns=["_id", "_ref", "n", "key", "bits", "prefix"])
 
-    return docs.mapInPandas(build, "_id long, n long, key binary, bits binary, prefix array<long>")
+    return docs.mapInPandas(build, "_id long, _ref string, n long, key binary, bits binary, prefix array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -290,11 +290,41 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
     return out
 
 
+def without_ids(built: DataFrame) -> tuple[DataFrame, int] | None:
+    """(key, ref, sid) of the sets that only rows without an id have, and the least sid; None without such sets.
+
+    ref tells one of the set's texts, and sid is a number beyond all ids, which
+    stands for the missing one.
+    """
+    named = built.filter("n > 0 and _id is not null")
+    lone = built.filter("n > 0 and _id is null")
+    if lone.isEmpty():
+        return None
+    least = max(0, named.agg(F.max("_id")).first()[0] or 0) + 1
+    alone = lone.groupBy("key").agg(F.min("_ref").alias("ref")).join(named.select("key"), "key", "left_anti")
+    return stored(alone.withColumn("sid", F.monotonically_increasing_id() + least)), least
+
+
 def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """_id, n, component of every row of docs(_id, _text)."""
+    """_id, _ref, n, component, leads of every row of docs(_id, _text).
+
+    Rows without an id take part under a number of their own. Where no row of a
+    component has an id, component is null, and one text of it leads: its _ref
+    is told by leads.
+    """
     small_batches(docs.sparkSession)
+    docs = docs.withColumn("_ref", F.when(F.col("_id").isNull(), F.md5("_text")))
     built = stored(sets_of(docs, words, percent))
-    named = built.filter("n > 0 and _id is not null")
+    alone = without_ids(built)
+    named = built.filter("n > 0 and _id is not null").drop("_ref")
+    texts = docs.filter("_id is not null").select("_id", "_text")
+    if alone is not None:
+        lone, least = alone
+        one = built.filter("n > 0 and _id is null").join(lone, "key").filter("_ref = ref").dropDuplicates(["key"])
+        named = named.unionByName(one.select(F.col("sid").alias("_id"), "n", "key", "bits", "prefix"))
+        # equal texts of a null id are one text here
+        told = docs.filter("_id is null").join(lone, F.col("_ref") == F.col("ref")).dropDuplicates(["sid"])
+        texts = texts.unionByName(told.select(F.col("sid").alias("_id"), "_text"))
     same = stored(named.groupBy("key").agg(F.min("_id").alias("rep")))
     reps = same.withColumnRenamed("key", "_k")
     # copies are few, so their ids are looked for without dealing out all the sets
@@ -306,13 +336,18 @@ def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
         copies.withColumnRenamed("id", "_copy_id"), (F.col("id") == F.col("_copy_id")) & (F.col("key") == F.col("_copy")),
         "left_anti").dropDuplicates(["id", "key"])
     sets = given.filter("not _may").unionByName(doubtful).select("id", "n", "bits", "prefix")
-    found = components(links(docs, sets, words, percent))
+    found = components(links(texts, sets, words, percent))
     named = same.join(found.toDF("rep", "component"), "rep", "left").select(
         F.col("key").alias("_k"), F.coalesce("component", "rep").alias("component")
     )
-    rows = built.select("_id", "n", "key")
-    return rows.join(named, F.col("key") == F.col("_k"), "left").select(
-        "_id", "n", F.when(F.col("n") == 0, F.col("_id")).otherwise(F.col("component")).alias("component")
+    rows = built.select("_id", "_ref", "n", "key").join(named, F.col("key") == F.col("_k"), "left").drop("_k")
+    rows = rows.withColumn("component", F.when(F.col("n") == 0, F.col("_id")).otherwise(F.col("component")))
+    if alone is None:
+        return rows.select("_id", "_ref", "n", "component", F.lit(False).alias("leads"))
+    lead = lone.select(F.col("sid").alias("_s"), "ref")
+    return rows.join(lead, F.col("component") == F.col("_s"), "left").select(
+        "_id", "_ref", "n", F.when(F.coalesce(F.col("component"), F.lit(0)) < least, F.col("component")).alias("component"),
+        F.coalesce(F.col("_ref") == F.col("ref"), F.lit(False)).alias("leads"),
     )
 
 
@@ -324,8 +359,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     blank text has none, and stands alone. Two documents link if 100 times the
     size of their intersection is at least `percent` times that of their union,
     and component_id is the smallest id reachable. Equal sets are compared once.
-    Ids are expected to be unique; of rows with a null id, those whose set some
-    other row has get its component, the others null.
+    Rows that share an id are one node of the links: what either of their texts
+    is linked with is one component. Rows without an id link as others do;
+    component_id is null where no row of a component has one.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
     return classes(given, words, percent).select(
@@ -336,18 +372,26 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the smallest id of their component, with all columns.
 
-    Equal rows of one id stay once; rows without an id stay. Only rows that may
-    go are shuffled.
+    Equal rows of one id stay once. Rows without an id go where their component
+    has one; where it has none, one of its rows stays. Those without words stay.
+    Only rows that may go are shuffled.
     """
-    found = stored(jaccard_components(docs, words, percent))
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_cl_gone")).distinct()
-    again = found.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 and doc_id is not null")
-    suspects = gone.select(F.col("_cl_gone").alias("_cl_id")).union(again.select("doc_id"))
-    marked = docs.withColumn("_cl_id", F.col("doc_id").cast("long")).withColumn("_cl_may", may_be_in("_cl_id", suspects))
-    doubtful = marked.filter("_cl_may").join(gone, F.col("_cl_id") == F.col("_cl_gone"), "left_anti")
-    once = doubtful.filter("_cl_id is not null").dropDuplicates(["_cl_id", "text"])
-    rest = marked.filter("not _cl_may").unionByName(once).unionByName(doubtful.filter("_cl_id is null"))
-    return rest.select(*docs.columns)
+    given = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+    found = stored(classes(given, words, percent))
+    gone = found.filter("_id <> component").select(F.col("_id").alias("_cl_gone")).distinct()
+    again = found.groupBy("_id").agg(F.count("*").alias("c")).filter("c > 1 and _id is not null")
+    suspects = gone.select(F.col("_cl_gone").alias("_cl_id")).union(again.select("_id"))
+    marked = docs.withColumn("_cl_id", F.col("doc_id").cast("long"))
+    known = marked.filter("_cl_id is not null").withColumn("_cl_may", may_be_in("_cl_id", suspects))
+    doubtful = known.filter("_cl_may").join(gone, F.col("_cl_id") == F.col("_cl_gone"), "left_anti")
+    rest = known.filter("not _cl_may").unionByName(doubtful.dropDuplicates(["_cl_id", "text"])).select(*docs.columns)
+    if found.filter("_id is null").isEmpty():
+        return rest
+    without = marked.filter("_cl_id is null").withColumn("_cl_ref", F.md5("text"))
+    empty = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) == 0
+    leads = found.filter("_id is null and leads").select(F.col("_ref").alias("_cl_ref")).distinct()
+    one = without.filter(~empty).join(leads, "_cl_ref", "left_semi").dropDuplicates(["_cl_ref"])
+    return rest.unionByName(without.filter(empty).select(*docs.columns)).unionByName(one.select(*docs.columns))
 
 
 OP1_SQL = r"""

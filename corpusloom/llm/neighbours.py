@@ -143,12 +143,6 @@ def search(points, vectors, ids, queries, query_points, query_ids, bounds, k: in
     return out
 
 
-@F.pandas_udf("array<double>")
-def projected(v: pd.Series) -> pd.Series:
-    """Vectors of one width in the projected space: of the sample, the driver gets DIMS numbers each."""
-    return pd.Series(list(np.stack(v.to_list()) @ projection(len(v.iloc[0]))))
-
-
 def usable(rows: DataFrame) -> DataFrame:
     """vec_id, v (doubles): without null ids or vectors, zero vectors, and null or non-finite components."""
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -179,6 +173,10 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     counts = given.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("c")).collect()
     if not counts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    @F.pandas_udf("array<double>")
+    def projected(v: pd.Series) -> pd.Series:  # of the sample, the driver gets DIMS numbers a vector
+        return pd.Series(list(np.stack(v.to_list()) @ projection(len(v.iloc[0]))))
+
     trees = {}
     for width, c in counts:
         share = min(1.0, SAMPLE / c)

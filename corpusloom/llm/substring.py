@@ -7,13 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    SPACE, WORD, dropped, may_be_in, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
+    SPACE, WORD, dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 
+OTHER = np.uint64(0x9E3779B97F4A7C15)  # sets the second hash of a window apart
 KMER = 18  # least words of an edge where the window has as many
 
 
@@ -73,7 +74,7 @@ def sequences(docs: DataFrame, window: int) -> DataFrame:
                     rows.append((u, signed(x.edges), x.at))
             yield pd.DataFrame(rows, columns=["uid", "edges", "at"])
 
-    return docs.mapInPandas(build, "uid long, edges array<long>, at array<long>")
+    return docs.mapInPandas(build, "uid binary, edges array<long>, at array<long>")
 
 
 def paths(repeated: DataFrame) -> DataFrame:
@@ -155,13 +156,19 @@ def _inside(x: Text, a: int, z: int) -> tuple[int, int]:
     return int(x.at[a]), int(x.at[z]) + edge_words(x.window) - x.window + 1
 
 
+def key_of(text: str) -> Column:
+    """128 bits that identify a text."""
+    return F.unhex(F.md5(text))
+
+
 def kept_texts(docs: DataFrame, window: int) -> DataFrame:
     """(uid, n_removed, kept) of the texts that lose words; input (uid, _text), one row per document."""
     small_batches(docs.sparkSession)
     reps = stored(
         sequences(docs, window).groupBy("uid").agg(F.count("*").alias("copies"), F.first("edges").alias("edges"), F.first("at").alias("at"))
+        .withColumn("u", F.monotonically_increasing_id())  # stands for the key in all that follows
     )
-    flat = reps.select("uid", "copies", "edges", F.posexplode(F.arrays_zip("edges", "at")).alias("i", "x")).select(
+    flat = reps.select(F.col("u").alias("uid"), "copies", "edges", F.posexplode(F.arrays_zip("edges", "at")).alias("i", "x")).select(
         "uid", "copies", "i", F.col("x.edges").alias("e"), F.col("x.at").alias("at"),
         F.get("edges", F.col("i") + 1).alias("next"),
     )
@@ -170,17 +177,19 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
     often = stored(often)
     repeated = stored(flat.join(often, "e"))
     dropped(often)
-    touched = stored(runs(repeated, paths(repeated)))
+    keys = reps.select(F.col("u").alias("uid"), F.col("uid").alias("_key"))
+    touched = stored(runs(repeated, paths(repeated)).join(keys, "uid"))
     dropped(repeated)
     dropped(reps)
-    texts = sieve(docs, "uid", touched.select("uid")).groupBy("uid").agg(F.first("_text").alias("_text"))
-    source = stored(touched.join(texts, "uid"))
+    texts = sieve(docs, "uid", touched.select(F.col("_key").alias("uid"))).groupBy(F.col("uid").alias("_key")).agg(
+        F.first("_text").alias("_text"))
+    source = stored(touched.join(texts, "_key"))
     dropped(touched)
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def told(parts: list[tuple]) -> pd.DataFrame:
-            h, w, u, start = (np.concatenate([p[k] for p in parts]) for k in range(4))
-            return pd.DataFrame({"h": h, "w": w, "uid": u, "start": start})
+            h, g, w, u, start = (np.concatenate([p[k] for p in parts]) for k in range(5))
+            return pd.DataFrame({"h": h, "g": g, "w": w, "uid": u, "start": start})
 
         parts, size = [], 0
         for b in batches:
@@ -197,8 +206,8 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
                         w[lo:hi] = 2 if leads else 0
                 start = start[w[start] > 0]
                 if len(start):
-                    h = window_hashes(x.hashes, window)
-                    parts.append((signed(h[start]), w[start], np.full(len(start), u), start))
+                    h, g = window_hashes(x.hashes, window), window_hashes(mix(x.hashes + OTHER), window)
+                    parts.append((signed(h[start]), signed(g[start]), w[start], np.full(len(start), u), start))
                     size += len(start)
                 if size >= 200_000:
                     yield told(parts)
@@ -206,16 +215,17 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
         if parts:
             yield told(parts)
 
-    told = source.mapInPandas(windows, "h long, w int, uid long, start int")
-    twice = stored(told.groupBy("h").agg(F.sum("w").alias("m")).filter("m > 1").select("h"))
-    starts = told.filter("w = 1").join(twice, "h").groupBy("uid").agg(F.collect_list("start").alias("starts"))
-    given = source.join(starts, "uid", "left").select("uid", "copies", *RUN, "_text", "starts")
+    told = source.mapInPandas(windows, "h long, g long, w int, uid long, start int")
+    # two hashes of independent word hashes' mixes: 128 bits tell windows apart
+    twice = stored(told.groupBy("h", "g").agg(F.sum("w").alias("m")).filter("m > 1").select("h", "g"))
+    starts = told.filter("w = 1").join(twice, ["h", "g"]).groupBy("uid").agg(F.collect_list("start").alias("starts"))
+    given = source.join(starts, "uid", "left").select("_key", "copies", *RUN, "_text", "starts")
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for u, c, t, s, *found in zip(
-                    b["uid"], b["copies"], b["_text"], b["starts"], *(b[n] for n in RUN), strict=True):
+                    b["_key"], b["copies"], b["_text"], b["starts"], *(b[n] for n in RUN), strict=True):
                 x = Text(t, window)
                 change = np.zeros(len(x.words) + 1, np.int64)
                 begin = np.asarray(s if s is not None else [], np.int64)
@@ -232,7 +242,7 @@ def kept_texts(docs: DataFrame, window: int) -> DataFrame:
                     rows.append((u, int(gone.sum()), kept.decode("utf-8", "surrogatepass")))
             yield pd.DataFrame(rows, columns=["uid", "n_removed", "kept"])
 
-    return given.mapInPandas(cover, "uid long, n_removed long, kept string")
+    return given.mapInPandas(cover, "uid binary, n_removed long, kept string")
 
 
 def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -241,10 +251,10 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     A text that loses nothing stays as it is, blanks included; in others the
     kept words are joined by one space. Null texts stay null.
     """
-    uid = F.xxhash64("_text")
+    uid = key_of("_text")
     given = docs.select(F.col("text").alias("_text")).filter("_text is not null").select(uid.alias("uid"), "_text")
     lost = stored(kept_texts(given, window).select(F.col("uid").alias("_cl_uid"), F.col("kept").alias("_cl_kept")))
-    keyed = docs.withColumn("_cl_key", F.xxhash64("text")).withColumn(
+    keyed = docs.withColumn("_cl_key", key_of("text")).withColumn(
         "_cl_may", F.col("text").isNotNull() & may_be_in("_cl_key", lost.select(F.col("_cl_uid").alias("_cl_key"))))
     changed = [F.coalesce("_cl_kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
     doubtful = keyed.filter("_cl_may").join(lost, F.col("_cl_key") == F.col("_cl_uid"), "left").select(*changed)
@@ -261,7 +271,7 @@ def removed_words(docs: DataFrame, window: int = 50) -> DataFrame:
     space. Ids play no part, so they may be null or repeated.
     """
     named = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    uid = F.xxhash64("_text")
+    uid = key_of("_text")
     lost = kept_texts(named.filter("_text is not null").select(uid.alias("uid"), "_text"), window)
     lost = stored(lost.select("uid", "n_removed", F.sha2("kept", 256).alias("sha")))
     plain = F.trim(F.regexp_replace(F.coalesce("_text", F.lit("")), SPACE, " "))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import LONG, PROSE
-from corpusloom.llm import fingerprint, jaccard, language, licenses, mixing, neighbours, pieces, quality, substring, urls
+from corpusloom.llm import (
+    codes, fingerprint, jaccard, language, licenses, mixing, neighbours, pieces, quality, ranking, substring, toxicity, urls,
+)
 from corpusloom.llm.common import stored
 from corpusloom.llm.components import components
 
@@ -31,7 +33,7 @@ def test_jaccard(odd, none):
     assert jaccard.jaccard_components(none, 4, 85).count() == 0
     kept = by_id(jaccard.one_of_each(odd, 4, 85))
     assert sorted(k for k in kept if k) == [1, 2, 3, 4, 6, 7, 8, 11, 12, 13]
-    assert all(len(kept[k]) == 1 for k in kept if k) and len(kept[None]) == 2
+    assert all(len(kept[k]) == 1 for k in kept if k) and [r["text"] for r in kept[None]] == [None]
     assert jaccard.one_of_each(odd, 4, 85).columns == odd.columns
 
 
@@ -307,3 +309,169 @@ def test_jaccard_random(spark, words, percent):
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"])
            for x in jaccard.jaccard_components(docs, words, percent).collect()}
     assert got == {i: (len(s), root(i)) for i, s in enumerate(sets)}
+
+
+def test_links_of_rows_without_an_id(spark):
+    near = PROSE + " and this ends it"
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(None, PROSE), (None, near), (2, near + " now"), (None, other), (None, other), (None, other + " more"), (None, None)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _ref string")
+    got = sorted((str(r["doc_id"]), r["component_id"]) for r in jaccard.jaccard_components(df, 4, 85).collect() if r["component_id"])
+    assert got == [("2", 2), ("None", 2), ("None", 2)]
+    kept = sorted(str((r["doc_id"], (r["text"] or "")[:5])) for r in jaccard.one_of_each(df, 4, 85).collect())
+    assert kept == ["(2, 'the q')", "(None, '')", "(None, 'other')"]
+
+
+def test_neighbours_count_repeated_rows_once(spark):
+    rng = np.random.default_rng(1)
+    vectors = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 16)))]
+    twin = (1, [x + 1e-3 for x in vectors[0][1]])
+    rows = vectors[:1] + vectors[2:] + [twin] * 12
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in neighbours.nearest(df).collect()}
+    x = np.array([v for _, v in vectors])
+    x[1] = twin[1]
+    want = [int(i) for i in np.argsort(((x - x[0]) ** 2).sum(1), kind="stable") if i != 0][:10]
+    assert [got[0, r] for r in range(1, 11)] == want
+
+
+def test_mined_rules_of_any_length(spark):
+    listed = [(i, f"https://example.com/en/x{i}?a=1&b=2") for i in range(20)]
+    for k, u in enumerate(("en/x?a=1", "en/x?b=1", "en/?a=1&b=2", "x?a=1&b=2")):
+        listed += [(100 * (k + 1) + i, f"https://f.com/{u}") for i in range(20)]
+    df = spark.createDataFrame([*listed, (9, "https://site.org/en/x3?a=1&b=2")], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judged(df, urls.RULES).collect()}
+    assert got[9] == "block" and got[100] == "allow"
+
+
+def test_mixing_without_ids_is_repeatable(spark):
+    texts = [f"w{i} a b c" for i in range(8)]
+    schema = "doc_id long, text string, source string"
+    picks = []
+    for order in (texts, texts[::-1]):
+        df = spark.createDataFrame([(None, t, "s") for t in order], schema).coalesce(1)
+        picks.append(sorted(r["text"] for r in mixing.mixed_documents(df, [1], share=0.5).collect()))
+    assert picks[0] == picks[1] and len(picks[0]) == 4
+
+
+def test_toxicity(spark, odd, none, labels):
+    marks = labels.select("doc_id", "quality", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = by_id(toxicity.toxicity_scores(odd, marks))
+    assert sum(map(len, got.values())) == 17 and all(0 <= r["score"] <= 1 for x in got.values() for r in x)
+    assert got[1][0]["windows"] == got[2][0]["windows"] == 1 and got[7][0]["windows"] == -(-(len(LONG) - 16) // 48)
+    assert len({r["score"] for i in (8, 9) for r in got[i]}) == 1 and not got[None][0]["held_out"]
+    assert toxicity.toxicity_scores(none, marks).count() == 0
+    # without a label 1 among the rows to learn from, every score is one smoothed share
+    plain = toxicity.toxicity_scores(odd, labels.filter("toxic = 0")).collect()
+    assert len({r["score"] for r in plain}) == 1 and {r["windows"] for r in plain} == {None}
+
+
+def test_windows_cover_every_byte():
+    lengths = np.array([0, 1, 63, 64, 65, 112, 113, 1000])
+    at, length, first = toxicity.windows_of(lengths)
+    for i, n in enumerate(lengths):
+        part = slice(first[i], first[i + 1] if i + 1 < len(first) else len(at))
+        seen = np.zeros(lengths.sum() + 1, bool)
+        for a, k in zip(at[part], length[part], strict=True):
+            assert k <= toxicity.WINDOW
+            seen[a : a + k] = True
+        assert seen.sum() == n and seen[lengths[:i].sum() : lengths[: i + 1].sum()].all()
+
+
+def brute_codes(vectors, rounds=codes.ROUNDS):
+    x = np.floor(1024 * np.array([v for _, v, _ in vectors])).astype(np.int64)
+    order = sorted(range(len(vectors)), key=lambda i: vectors[i][0])
+    out, error = np.zeros((len(x), 4), int), np.zeros(len(x), np.int64)
+    for p, (a, z) in enumerate(codes.bounds(x.shape[1])):
+        part = x[:, a:z]
+        book = part[order[:256]].copy()
+        for step in range(rounds + 1):
+            d = ((part[:, None] - book[None]) ** 2).sum(2)
+            own = d.argmin(1)
+            if step < rounds:
+                for e in set(own.tolist()):
+                    book[e] = part[own == e].sum(0) // (own == e).sum()
+        out[:, p] = own
+        error += d.min(1)
+    return ["".join(f"{c:02x}" for c in r) for r in out], error
+
+
+@pytest.mark.parametrize("width", [8, 10, 3])
+def test_codes(spark, width):
+    rng = np.random.default_rng(width)
+    spots = rng.integers(-3, 4, size=(40, width)) / 64
+    vectors = [(i, (spots[rng.integers(40)] + rng.integers(-1, 2, size=width) / 1024).tolist(), [None, 1, 2][i % 3]) for i in range(700)]
+    bad = [(900, None, 1), (901, [None] * width, 1), (902, [float("nan")] * width, 2), (903, [float("inf")] * width, 2)]
+    df = spark.createDataFrame([(*r, "c") for r in vectors + bad], "vec_id long, embedding array<double>, label int, code string")
+    got = {r["vec_id"]: r for r in codes.coded(df).collect()}
+    code, error = brute_codes(vectors)
+    assert sorted(got) == list(range(700)) and [got[i]["code"] for i in range(700)] == code
+    assert [got[i]["error"] for i in range(700)] == error.tolist()
+    for label in (None, 1, 2):
+        mine = [i for i, _, k in vectors if k == label]
+        assert {got[i]["label_error"] for i in mine} == {int(error[mine].sum())}
+    assert len({r["codebooks_sha256"] for r in got.values()}) == 1
+
+
+def test_codes_of_odd_rows(spark):
+    schema = "vec_id long, embedding array<float>, label int"
+    assert codes.coded(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, [0.0] * 4, 1), (1, [0.0] * 4, 1), (None, [1.0, 2.0, 3.0, 4.0], None), (2, [], 5), (3, [1e30] * 8, 5)]
+    got = codes.coded(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r["vec_id"] or 0, r["code"], r["error"]) for r in got) == [
+        (0, "02020202", 0), (1, "00000000", 0), (1, "00000000", 0), (2, "00000000", 0), (3, "00000000", 0)]
+
+
+def test_ball_kmeans_is_exact_and_skips_work():
+    rng = np.random.default_rng(5)
+    entries = rng.integers(-200, 200, size=(64, 4))
+    entries[10] = entries[3]  # a tie
+    x = np.concatenate([entries[rng.integers(64, size=3000)] + rng.integers(-9, 10, size=(3000, 4)), rng.integers(-300, 300, size=(500, 4))])
+    own = ((x[:, None] - rng.permutation(entries)[None]) ** 2).sum(2).argmin(1)
+    radius = np.array([int(np.ceil(np.sqrt(max([0, *((x[own == e] - entries[e]) ** 2).sum(1)])))) for e in range(64)])
+    best, far, work = codes.Book(entries, radius).assigned(x, own)
+    d = ((x[:, None] - entries[None]) ** 2).sum(2)
+    assert (best == d.argmin(1)).all() and (far == d.min(1)).all()
+    best, _, again = codes.Book(entries, radius).assigned(x, best)
+    assert (best == d.argmin(1)).all() and again < len(x) * 64 / 4 and again < work
+    big = np.array([[1 << 24, -(1 << 24)], [0, 1]])
+    assert codes.squared(big, big).tolist() == [[0, (1 << 48) + ((1 << 24) + 1) ** 2], [(1 << 48) + ((1 << 24) + 1) ** 2, 0]]
+
+
+def brute_ranks(docs, items, k=10):
+    import math
+    from collections import Counter
+
+    def terms(t):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c) for i, c in held if c]
+    n_docs, n_terms = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, t in items:
+        scored = []
+        for i, c in held:
+            m = 25 + 75 * sum(c.values()) * n_docs // n_terms
+            s = sum(q * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1))) * (10**9 * c[x] // (1000 * c[x] + 8 * m))
+                    for x, q in Counter(terms(t)).items() if x in c)
+            if s > 0:
+                scored.append((-s, i is None, i or 0, i))
+        out += [(item, r, x[3], -x[0]) for r, x in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=str)
+
+
+def test_ranking(spark, odd, none):
+    rng = np.random.default_rng(2)
+    words = [f"w{int(x)}" for x in rng.zipf(1.3, 20_000) % 400] + ["É", "\xa0x", "Ab-cd", "ab_CD"]
+    docs = [(int(i), " ".join(rng.choice(words, int(rng.integers(0, 60))))) for i in rng.permutation(600)]
+    docs += [(None, "w1 w2 rare"), (5, docs[0][1]), (7, None), (8, "--"), (9, "w3 " * 3000)]
+    items = [(int(i), " ".join(rng.choice(words, int(rng.integers(1, 12))))) for i in range(25)] + [(90, None), (91, "-"), (92, "nowhere"), (None, "rare w1")]
+    d = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, row int")
+    q = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, item int")
+    got = sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in ranking.ranked(d, q).collect()), key=str)
+    assert got == brute_ranks(docs, items)
+    assert ranking.ranked(none, q).count() == 0 and ranking.ranked(d, q.limit(0)).count() == 0
+    assert ranking.ranked(odd, q).count() >= 0

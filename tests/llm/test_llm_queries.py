@@ -29,7 +29,7 @@ def test_sql(spark, con, name):
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in book.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in book.QUERIES) == list(range(1, 14))
 
 
 def winnow(text, k=fingerprint.K, w=fingerprint.W):
@@ -127,7 +127,7 @@ def test_neighbours_recall(spark):
     for q in ids[ids % 100 == 0]:
         d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
         order = [i for i in np.lexsort((ids, d)) if ids[i] != q][:10]
-        assert sorted(got[q]) == list(range(1, 11))
+        assert sorted(got[q]) == list(range(1, 14))
         for v, s in got[q].values():
             assert s == pytest.approx(float(d[ids == v][0]), rel=1e-12)
         hits += len({v for v, _ in got[q].values()} & set(ids[order].tolist()))
@@ -173,3 +173,13 @@ def test_quality_held_out(spark):
     assert all(r["predicted"] == (r["score"] >= 0.7) and 0 <= r["score"] <= 1 for r in rows)
     held = [r for r in rows if r["held_out"] and r["doc_id"] in marks]
     assert np.mean([r["predicted"] == marks[r["doc_id"]] for r in held]) > 0.85
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    marks = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = book.QUERIES["op11_toxicity"](spark, sf).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert all(r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in rows)
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in marks]
+    assert np.mean([r["predicted"] == marks[r["doc_id"]] for r in held]) > 0.9
