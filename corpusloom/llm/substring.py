@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    SPACE, WORD, dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
+    dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
 )
 
 OTHER = np.uint64(0x9E3779B97F4A7C15)  # sets the second hash of a window apart
@@ -274,11 +274,13 @@ def removed_words(docs: DataFrame, window: int = 50) -> DataFrame:
     uid = key_of("_text")
     lost = kept_texts(named.filter("_text is not null").select(uid.alias("uid"), "_text"), window)
     lost = stored(lost.select("uid", "n_removed", F.sha2("kept", 256).alias("sha")))
-    plain = F.trim(F.regexp_replace(F.coalesce("_text", F.lit("")), SPACE, " "))
-    base = named.select(
+    # only what isn't one space already is rewritten, so the words are found by the spaces between them
+    plain = F.trim(F.regexp_replace(F.coalesce("_text", F.lit("")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+    spaces = F.length("_plain") - F.length(F.replace("_plain", F.lit(" "), F.lit("")))
+    base = named.withColumn("_plain", plain).select(
         "_id", F.when(F.col("_text").isNotNull(), uid).alias("uid"),
-        F.regexp_count(F.coalesce("_text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"),
-        F.sha2(plain, 256).alias("whole"),
+        F.when(F.col("_plain") == "", 0).otherwise(spaces + 1).cast("long").alias("n_words"),
+        F.sha2("_plain", 256).alias("whole"),
     )
     return base.join(lost, "uid", "left").select(
         F.col("_id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
