@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import rules
-from corpusloom.operators.normalise import sections_of
 from corpusloom.operators.reports import collection_order
 from corpusloom.operators.scale import Key, down, lookup_join, nth_rows, up
 
@@ -223,13 +222,18 @@ def has_pdf(policies: DataFrame, pdfs: DataFrame, wanted: bool) -> DataFrame:
 def find_policies(items: DataFrame, sections: DataFrame | None = None, **arguments) -> Page:
     """Policies by text, tags and pdfs; the text is looked for in `sections` (slug, detail) as well.
 
-    By default those are the sections stored beside the items that
-    `read_clean_items` gave; a frame derived from them needs `sections`.
+    A text needs them, since a policy's PDF files say most of what it holds: a
+    store (`read_store`) brings its own, and a frame of items comes with them, an
+    empty frame if there are none.
     `pdf_slugs` is filled for the page's items only, after the top-k.
     """
     a = check_arguments(
         {"query", "tags", "has_pdf", "limit", "offset"}, arguments, ("query",)
     )
+    if not isinstance(items, DataFrame):
+        items, sections = items.items, items.sections if sections is None else sections
+    if a.get("query") is not None and sections is None:
+        raise ValueError("a text is looked for in the sections of PDF files too: give a store or sections")
     rows = _of_type(items, "policy")
     for tag in a.get("tags") or []:
         lowered = F.transform("tags", lambda t: F.lower(t))
@@ -238,14 +242,11 @@ def find_policies(items: DataFrame, sections: DataFrame | None = None, **argumen
     if a.get("has_pdf") is not None:
         rows = has_pdf(rows, pdfs, a["has_pdf"])
     query = a.get("query")
-    sections = sections_of(items) if sections is None else sections
-    if query is not None and sections is not None:
+    if query is not None:
         told = sections.filter(_contains(F.col("detail"), query)).select("slug").distinct()
         marked = rows.join(told.withColumn("_told", F.lit(True)), "slug", "left")
         own = F.coalesce(_mentions(rows, query), F.lit(False))
         rows = marked.filter(own | F.coalesce("_told", F.lit(False)))
-    else:
-        rows = _query(rows, query)
     rows = rows.select("slug", "content_type", "title", "summary", "tags", "source_url")
     order = [up("title"), up("slug")]
     page = paginate(rows, order, a.get("limit", 20), a.get("offset", 0))

@@ -314,11 +314,6 @@ def section_table(sections: DataFrame) -> DataFrame:
     return sections.select("slug", "file", M.collapse_blank_runs(F.concat(head, "detail")).alias("md"))
 
 
-def sections_of(items: DataFrame) -> DataFrame | None:
-    """The sections stored beside items, known for the frame that `read_clean_items` gave; None for others."""
-    return getattr(items, "_corpusloom_sections", None)
-
-
 def split_valid(rows: DataFrame, collection: str) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): a collection's required fields must be present."""
     head = "name" if collection == "team" else "title"

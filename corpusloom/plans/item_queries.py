@@ -794,7 +794,7 @@ def _(spark, sf):
     items, sections = schemas.conform(policies(spark, sf)), N.policy_sections(pdfs, raw)
     writers.write_clean_items(items, path, 4, sections.withColumn("file", F.concat(F.lit("stale-"), "file")))
     writers.write_clean_items(items, path, 4, sections)
-    writers.rebuild_site_tables(writers.read_clean_items(spark, path), f"{path}-site")
+    writers.rebuild_site_tables(writers.read_store(spark, path), f"{path}-site")
     return spark.read.parquet(f"{path}-site/policy-sections").select("slug", "file", "md")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import rules, schemas
 from corpusloom.functions.text import title_slug
@@ -14,14 +17,16 @@ from corpusloom.operators.normalise import (
     merge_meta,
     rendered_md,
     section_table,
-    sections_of,
     site_table,
 )
 from corpusloom.operators.scale import first_by
 from corpusloom.operators.validate import validation_summary
-from corpusloom.session import durable
+from corpusloom.sources import store
 
 KEYS = ["content_type", "slug"]
+_BUCKET = T.StructField("bucket", T.StringType())
+STORED_ITEM = T.StructType([*schemas.CLEAN_ITEM.fields, T.StructField("rendered_md", T.StringType()), _BUCKET])
+STORED_SECTION = T.StructType([*schemas.SECTION.fields, _BUCKET])
 
 
 def with_rendered(items: DataFrame) -> DataFrame:
@@ -31,33 +36,29 @@ def with_rendered(items: DataFrame) -> DataFrame:
     return items.withColumn("rendered_md", out)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+@dataclass(frozen=True)
+class Store:
+    """One version of the stored items and of the sections of their PDF files; goes where both are needed."""
 
+    items: DataFrame
+    sections: DataFrame
+    version: int
 
-def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
-    """The stored items; a missing table has no rows. Search and site find the sections stored beside them."""
-    stored = _stored(spark, path)
-    items = spark.createDataFrame([], schemas.CLEAN_ITEM) if stored is None else stored.drop("bucket")
-    items._corpusloom_sections = read_sections(spark, path)
-    return items
 
+def read_store(spark: SparkSession, path: str, version: int | None = None) -> Store:
+    """The store at `path` as of its latest version or the one of a number; without one it has no rows."""
+    held = store.current(spark, path, version)
+    items = store.read_table(spark, path, held, "items", STORED_ITEM).drop("bucket")
+    sections = store.read_table(spark, path, held, "sections", STORED_SECTION).drop("bucket")
+    return Store(items, sections, held.number)
 
-def _sections_path(path: str) -> str:
-    return f"{path.rstrip('/')}-sections"
+
+def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
+    return read_store(spark, path).items
 
 
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
-    """The sections stored beside the items at `path`; a missing table has no rows."""
-    stored = _stored(spark, _sections_path(path))
-    if stored is None:
-        return spark.createDataFrame([], schemas.SECTION)
-    return schemas.conform(stored, schemas.SECTION).filter("detail is not null")
+    return read_store(spark, path).sections
 
 
 def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
@@ -67,86 +68,69 @@ def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
 
 
 def write_clean_items(
-    items: DataFrame, path: str, buckets: int, sections: DataFrame | None = None
+    items: DataFrame, path: str, buckets: int, sections: DataFrame | None = None, batch: tuple[str, int] | None = None
 ) -> None:
-    """Merge-upsert into the table at `path`; of `sections`, into the one beside it.
+    """Merge-upsert into the store at `path`, and of `sections` into its sections, as one commit.
 
-    The sections of every policy among the items are replaced as a set by those
-    given, so an empty frame takes them away; without `sections` the stored ones
-    stay as they are.
+    The sections of every policy among the items, and of the policies in
+    `sections`, are replaced as a set by those given, so an empty frame takes
+    them away; without `sections` the stored ones stay as they are.
 
-    The table is partitioned by content type and slug bucket, and only the
-    buckets that hold a new item are read and rewritten. `buckets` is fixed for
-    the life of a table; choose it so that one bucket is a few gigabytes. The
-    merged rows are checkpointed first, since they read the files that the
-    overwrite replaces.
+    Items are partitioned by content type and slug bucket, sections by bucket,
+    and only partitions that hold something new are read and written again, into
+    new folders. `buckets` is fixed for the life of a store; choose it so that
+    one bucket is a few gigabytes. `batch` names a stream and its batch: one that
+    the store has seen already changes nothing.
     """
     spark = items.sparkSession
-    new = durable(with_bucket(items, buckets))
-    stored = _stored(spark, path)
-    if stored is None:
-        _touched(new)
-        merged = with_rendered(new)
-    else:
-        kept = stored.select("bucket").limit(1).collect()
-        if kept and not kept[0]["bucket"].endswith(f"-of-{buckets}"):
-            raise ValueError(f"the table at {path} has another number of buckets than {buckets}")
-        # literal predicates on the partition columns: other buckets are not even listed
-        affected = stored.filter(_touched(new)).drop("rendered_md")
-        merged = durable(with_rendered(merge_meta(affected, new, KEYS)))
-    (
-        merged.hint("rebalance", F.col("content_type"), F.col("bucket"))
-        .sortWithinPartitions("content_type", "bucket", "slug")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("content_type", "bucket")
-        .parquet(path)
-    )
+    held = store.current(spark, path)
+    if held.buckets not in (None, buckets):
+        raise ValueError(f"the store at {path} has {held.buckets} buckets, not {buckets}")
+    if batch is not None and held.batches.get(batch[0], -1) >= batch[1]:
+        return
+    new = with_bucket(items, buckets)
+    keys = _touched(new)
+    old = store.read_table(spark, path, held, "items", STORED_ITEM, keys).drop("rendered_md")
+    merged = with_rendered(merge_meta(old, new, KEYS) if keys else new)
+    tables = store.changed(
+        held.tables, "items", store.write_partitions(merged, path, "items", ["content_type", "bucket"], keys))
     if sections is not None:
         slugs = new.filter("content_type = 'policy'").select("slug")
-        write_sections(sections, slugs, path, buckets)
+        tables = store.changed(tables, "sections", _new_sections(sections, slugs, path, buckets, held))
+    batches = held.batches | ({batch[0]: batch[1]} if batch is not None else {})
+    store.commit(spark, path, store.Version(held.number + 1, buckets, tables, batches))
 
 
 def write_sections(sections: DataFrame, slugs: DataFrame, path: str, buckets: int) -> None:
-    """Replace the stored sections of `slugs` (slug), and of the slugs in `sections`, by `sections`.
+    """Replace the stored sections of `slugs` (slug), and of the slugs in `sections`, by `sections`."""
+    spark = sections.sparkSession
+    held = store.current(spark, path)
+    if held.buckets not in (None, buckets):
+        raise ValueError(f"the store at {path} has {held.buckets} buckets, not {buckets}")
+    tables = store.changed(held.tables, "sections", _new_sections(sections, slugs, path, buckets, held))
+    store.commit(spark, path, store.Version(held.number + 1, buckets, tables, held.batches))
 
-    Bucketed as the items are, and only touched buckets are rewritten. A touched
-    bucket has a row without a detail, so that one without sections is written too.
-    """
+
+def _new_sections(
+    sections: DataFrame, slugs: DataFrame, path: str, buckets: int, held: store.Version
+) -> dict[str, str | None]:
+    """Folders of the partitions of sections that change."""
     spark = sections.sparkSession
-    new = durable(with_bucket(schemas.conform(sections, schemas.SECTION), buckets))
-    replaced = durable(with_bucket(slugs.select("slug").union(new.select("slug")).distinct(), buckets))
-    touched = replaced.select("bucket").distinct()
-    merged = new.unionByName(touched, allowMissingColumns=True)
-    stored = _stored(spark, _sections_path(path))
-    if stored is not None:
-        kept = stored.select("bucket").limit(1).collect()
-        if kept and not kept[0]["bucket"].endswith(f"-of-{buckets}"):
-            raise ValueError(f"the sections beside {path} have another number of buckets than {buckets}")
-        affected = stored.filter(F.col("bucket").isin(*[r["bucket"] for r in touched.collect()]))
-        others = affected.filter("detail is not null").join(replaced.select("slug"), "slug", "left_anti")
-        merged = durable(merged.unionByName(others))
-    (
-        merged.hint("rebalance", F.col("bucket"))
-        .sortWithinPartitions("bucket", "slug", "file")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(_sections_path(path))
-    )
-
-
-def _touched(items: DataFrame) -> Column:
-    """Predicate for the partitions that hold the items: at most content types times buckets of them."""
-    kinds = items.filter(F.col("content_type").isNull() | ~F.col("content_type").isin(*rules.CONTENT_TYPES))
-    if not kinds.isEmpty():
+    new = with_bucket(schemas.conform(sections, schemas.SECTION), buckets).filter("detail is not null")
+    replaced = with_bucket(slugs.select("slug").union(sections.select("slug")).distinct(), buckets)
+    # at most as many as there are buckets
+    keys = [f"bucket={r['bucket']}" for r in replaced.select("bucket").distinct().collect()]
+    old = store.read_table(spark, path, held, "sections", STORED_SECTION, keys)
+    kept = old.join(replaced.select("slug"), "slug", "left_anti")
+    return store.write_partitions(new.unionByName(kept), path, "sections", ["bucket"], keys)
+
+
+def _touched(items: DataFrame) -> list[str]:
+    """The partitions that hold the items: at most content types times buckets of them."""
+    found = items.select("content_type", "bucket").distinct().collect()
+    if any(r["content_type"] not in rules.CONTENT_TYPES for r in found):
         raise ValueError(f"content_type must be one of {', '.join(rules.CONTENT_TYPES)}")
-    hit = F.lit(False)
-    for t in rules.CONTENT_TYPES:
-        found = items.filter(F.col("content_type") == t).select("bucket").distinct().collect()
-        if found:
-            hit = hit | ((F.col("content_type") == t) & F.col("bucket").isin(*[r["bucket"] for r in found]))
-    return hit
+    return [f"content_type={r['content_type']}/bucket={r['bucket']}" for r in found]
 
 
 def write_index(items: DataFrame, path: str) -> None:
@@ -204,16 +188,16 @@ def load_validation(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         return {}
 
 
-def rebuild_site_tables(items: DataFrame, path: str, sections: DataFrame | None = None) -> None:
+def rebuild_site_tables(items: DataFrame | Store, path: str, sections: DataFrame | None = None) -> None:
     """Every collection wiped and rewritten from the clean items.
 
-    What policies' PDF files say follows their pages in `policy-sections`, in
-    order of slug and file; by default from the sections stored beside the items.
+    What policies' PDF files say, the sections of a store or those given,
+    follows their pages in `policy-sections`, in order of slug and file.
     """
+    if isinstance(items, Store):
+        items, sections = items.items, items.sections if sections is None else sections
     for collection in COLLECTIONS:
         site_table(items, collection).write.mode("overwrite").parquet(f"{path}/{collection}")
-    if sections is None:
-        sections = sections_of(items)
     if sections is None:
         sections = items.sparkSession.createDataFrame([], schemas.SECTION)
     told = section_table(sections.join(items.filter("content_type = 'policy'").select("slug"), "slug", "left_semi"))

@@ -27,14 +27,15 @@ def incremental_clean(
     tells its latest version. `sections` gives the sections of a batch's
     policies, which replace those stored.
 
-    The merge is idempotent, so a batch replayed after a failure gives the
-    same table.
+    A batch's items and sections become visible in one commit, which records the
+    batch under the checkpoint's name: a batch replayed after a failure is merged
+    once. Another checkpoint is another stream.
     """
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         if order is not None:
             batch = first_by(batch, ["slug"], F.col(order), last=True)
         told = None if sections is None else sections(batch)
-        write_clean_items(clean(batch), path, buckets, told)
+        write_clean_items(clean(batch), path, buckets, told, (checkpoint, number))
 
     return (
         raw.writeStream.foreachBatch(merge)

@@ -71,7 +71,7 @@ def _items(spark, rows):
 def test_write_clean_items_merges(spark, tmp_path):
     path = str(tmp_path / "items")
     writers.write_clean_items(_items(spark, [("a", "policy", "A", "x"), ("b", "policy", "B", "x"), ("e", "event", "E", "x")]), path, 4)
-    kept = [p.name for p in (tmp_path / "items" / "content_type=event").rglob("*.parquet")]
+    kept = [p.name for p in (tmp_path / "items" / "items" / "content_type=event").rglob("*.parquet")]
     writers.write_clean_items(_items(spark, [("a", "policy", "A2", "y"), ("c", "policy", "C", "\n\nz")]), path, 4)
     got = {r["slug"]: (r["title"], r["body"]) for r in writers.read_clean_items(spark, path).collect()}
     assert got == {"a": ("A2", "y"), "b": ("B", "x"), "c": ("C", "\n\nz"), "e": ("E", "x")}
@@ -82,7 +82,7 @@ def test_write_clean_items_merges(spark, tmp_path):
     with pytest.raises(ValueError):
         writers.write_clean_items(_items(spark, [("a", "video", "A2", "y")]), path, 4)
     # types that were not touched keep their files
-    assert kept == [p.name for p in (tmp_path / "items" / "content_type=event").rglob("*.parquet")]
+    assert kept and kept == [p.name for p in (tmp_path / "items" / "items" / "content_type=event").rglob("*.parquet")]
     plan = writers.read_clean_items(spark, path).filter("content_type = 'event' and slug = 'e'")
     text = plan._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(content_type" in text and "PushedFilters: [IsNotNull(slug)" in text
@@ -105,11 +105,11 @@ def test_sections_are_stored_published_and_found(spark, tmp_path):
     writers.write_clean_items(items, path, 4, _sections(spark, files, "ab"))
 
     def found(text):
-        page = FD.find_policies(writers.read_clean_items(spark, path), query=text)
+        page = FD.find_policies(writers.read_store(spark, path), query=text)
         return [r["slug"] for r in page.items.collect()]
 
     def published():
-        writers.rebuild_site_tables(writers.read_clean_items(spark, path), site)
+        writers.rebuild_site_tables(writers.read_store(spark, path), site)
         rows = spark.read.parquet(f"{site}/policy-sections").coalesce(1).collect()
         return sorted((r["slug"], r["file"], r["md"]) for r in rows)
 
@@ -220,3 +220,53 @@ def test_late_row_does_not_hide_one_in_time(spark, tmp_path):
     run([(99, 100)])
     run([(1, 1), (1, 101)])
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 99]
+
+
+def test_a_failed_write_shows_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "items")
+    items = _items(spark, [(s, "policy", "old", "page") for s in "ab"])
+    writers.write_clean_items(items, path, 4, _sections(spark, [("a", "pdf-1.md", _pdf("old text"))], "ab"))
+
+    def seen():
+        held = writers.read_store(spark, path)
+        return (held.version, sorted((r["slug"], r["title"]) for r in held.items.collect()),
+                [(r["slug"], "new" in r["detail"]) for r in held.sections.collect()])
+
+    before = (1, [("a", "old"), ("b", "old")], [("a", False)])
+    assert seen() == before
+    pinned = writers.read_store(spark, path)
+    newer = _items(spark, [("a", "policy", "new", "page")])
+    told = _sections(spark, [("a", "pdf-1.md", _pdf("new text"))], "a")
+    with monkeypatch.context() as m:
+        # items and sections are written, and the writer dies before the commit, or between the two tables
+        for name in ("commit", "changed"):
+            def fail(*_):
+                raise KeyboardInterrupt
+            m.setattr(writers.store, name, fail)
+            with pytest.raises(KeyboardInterrupt):
+                writers.write_clean_items(newer, path, 4, told)
+            m.undo()
+            assert seen() == before
+    writers.write_clean_items(newer, path, 4, told)
+    after = (2, [("a", "new"), ("b", "old")], [("a", True)])
+    assert seen() == after
+    # a reader of the old version still reads it, until its files are swept up
+    assert sorted(r["title"] for r in pinned.items.collect()) == ["old", "old"]
+    assert writers.read_store(spark, path, 1).sections.count() == 1
+    assert writers.store.vacuum(spark, path, keep=1) > 0 and seen() == after
+    with pytest.raises(RuntimeError):
+        writers.store.commit(spark, path, writers.store.Version(2, 4))
+
+
+def test_a_replayed_batch_is_merged_once(spark, tmp_path):
+    path = str(tmp_path / "items")
+    writers.write_clean_items(_items(spark, [("a", "policy", "A", "x")]), path, 4, batch=("s", 0))
+    writers.write_clean_items(_items(spark, [("a", "policy", "B", "x")]), path, 4)
+    writers.write_clean_items(_items(spark, [("a", "policy", "A", "x")]), path, 4, batch=("s", 0))
+    assert writers.read_store(spark, path).version == 2
+    assert [r["title"] for r in writers.read_clean_items(spark, path).collect()] == ["B"]
+
+
+def test_a_text_needs_sections(spark):
+    with pytest.raises(ValueError):
+        FD.find_policies(_items(spark, [("a", "policy", "A", "x")]), query="x")
