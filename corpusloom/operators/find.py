@@ -152,14 +152,26 @@ def _of_type(items: DataFrame, content_type: str) -> DataFrame:
     return items.filter(F.col("content_type") == content_type)
 
 
-def matching_events(items: DataFrame, as_of: str, **arguments) -> DataFrame:
+def _searched(items, content_type: str, query: str | None, also: DataFrame | None = None) -> DataFrame:
+    """Items of a type among which a text is looked for: of a store with an index the candidates, else all."""
+    if isinstance(items, DataFrame):
+        return _of_type(items, content_type)
+    if query is None or items.index is None:
+        return _of_type(items.items, content_type)
+    return items.index.items_with(query, content_type, also)
+
+
+# The searches take a frame of items or a store (`read_store`), whose index they use.
+
+
+def matching_events(items, as_of: str, **arguments) -> DataFrame:
     """Events that pass the filters. A date that does not parse only passes when past
     events and a date bound are both asked for, as it can be on neither side of one."""
     a = check_arguments(
         {"query", "date_from", "date_to", "location", "venue", "include_past", "limit", "offset"},
         arguments, ("query", "location", "venue"), ("date_from", "date_to"),
     )
-    rows = _query(_of_type(items, "event"), a.get("query"))
+    rows = _query(_searched(items, "event", a.get("query")), a.get("query"))
     past = bool(a.get("include_past", False))
     bounds = _bounds(a.get("date_from"), a.get("date_to"))
     if past and (a.get("date_from") is not None or a.get("date_to") is not None):
@@ -176,7 +188,7 @@ def matching_events(items: DataFrame, as_of: str, **arguments) -> DataFrame:
     return rows
 
 
-def find_events(items: DataFrame, as_of: str, **arguments) -> Page:
+def find_events(items, as_of: str, **arguments) -> Page:
     rows = matching_events(items, as_of, **arguments).select(
         "slug", "content_type", "title", "date", "time", "location", "venue", "address",
         "registration_url", "source_url",
@@ -185,12 +197,12 @@ def find_events(items: DataFrame, as_of: str, **arguments) -> Page:
     return paginate(rows, order, arguments.get("limit", 20), arguments.get("offset", 0))
 
 
-def find_members(items: DataFrame, **arguments) -> Page:
+def find_members(items, **arguments) -> Page:
     a = check_arguments(
         {"query", "role", "electorate", "limit", "offset"}, arguments,
         ("query", "role", "electorate"),
     )
-    rows = _query(_of_type(items, "team-member"), a.get("query"))
+    rows = _query(_searched(items, "team-member", a.get("query")), a.get("query"))
     for k in ("role", "electorate"):
         if a.get(k) is not None:
             rows = rows.filter(F.lower(k) == F.lower(F.lit(a[k])))
@@ -219,7 +231,7 @@ def has_pdf(policies: DataFrame, pdfs: DataFrame, wanted: bool) -> DataFrame:
     return policies.join(pdfs.select("slug").distinct(), "slug", how)
 
 
-def find_policies(items: DataFrame, sections: DataFrame | None = None, **arguments) -> Page:
+def find_policies(items, sections: DataFrame | None = None, **arguments) -> Page:
     """Policies by text, tags and pdfs; the text is looked for in `sections` (slug, detail) as well.
 
     A text needs them, since a policy's PDF files say most of what it holds: a
@@ -230,20 +242,22 @@ def find_policies(items: DataFrame, sections: DataFrame | None = None, **argumen
     a = check_arguments(
         {"query", "tags", "has_pdf", "limit", "offset"}, arguments, ("query",)
     )
-    if not isinstance(items, DataFrame):
-        items, sections = items.items, items.sections if sections is None else sections
-    if a.get("query") is not None and sections is None:
-        raise ValueError("a text is looked for in the sections of PDF files too: give a store or sections")
-    rows = _of_type(items, "policy")
+    query, told = a.get("query"), None
+    if query is not None:
+        if sections is None and isinstance(items, DataFrame):
+            raise ValueError("a text is looked for in the sections of PDF files too: give a store or sections")
+        if sections is None:
+            sections = items.sections if items.index is None else items.index.sections_with(query)
+        told = sections.filter(_contains(F.col("detail"), query)).select("slug").distinct()
+    rows = _searched(items, "policy", query, told)
+    items = items if isinstance(items, DataFrame) else items.items
     for tag in a.get("tags") or []:
         lowered = F.transform("tags", lambda t: F.lower(t))
         rows = rows.filter(F.array_contains(lowered, F.lower(F.lit(tag))))
     pdfs = linked_pdfs(items)
     if a.get("has_pdf") is not None:
         rows = has_pdf(rows, pdfs, a["has_pdf"])
-    query = a.get("query")
-    if query is not None:
-        told = sections.filter(_contains(F.col("detail"), query)).select("slug").distinct()
+    if told is not None:
         marked = rows.join(told.withColumn("_told", F.lit(True)), "slug", "left")
         own = F.coalesce(_mentions(rows, query), F.lit(False))
         rows = marked.filter(own | F.coalesce("_told", F.lit(False)))
@@ -261,13 +275,13 @@ def find_policies(items: DataFrame, sections: DataFrame | None = None, **argumen
     return Page(items_with, page.envelope)
 
 
-def find_blog_posts(items: DataFrame, **arguments) -> Page:
+def find_blog_posts(items, **arguments) -> Page:
     a = check_arguments(
         {"query", "date_from", "date_to", "limit", "offset"}, arguments, ("query",),
         ("date_from", "date_to"),
     )
     rows = _dates(
-        _query(_of_type(items, "blog-post"), a.get("query")), a.get("date_from"), a.get("date_to")
+        _query(_searched(items, "blog-post", a.get("query")), a.get("query")), a.get("date_from"), a.get("date_to")
     ).select("slug", "content_type", "title", "date", "author", "excerpt", "source_url")
     order = [down("date"), up("slug")]
     return paginate(rows, order, a.get("limit", 20), a.get("offset", 0))

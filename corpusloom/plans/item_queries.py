@@ -37,9 +37,10 @@ from corpusloom.plans.seeds import (
     SNAPSHOT_SQL,
 )
 from corpusloom.plans.text_queries import d_clean, d_field, d_h1, d_no_fields, d_quote_field
-from corpusloom.session import durable
+from corpusloom.session import checkpoint_folder
 from corpusloom.sources import readers, writers
 from corpusloom.sources import registry as source_registry
+from corpusloom.sources.snapshot_log import SnapshotLog
 from corpusloom.streaming.incremental import first_seen_stream, incremental_clean
 
 
@@ -666,13 +667,75 @@ def _(spark, sf):
     return S.snapshot_stats(S.with_freshness(seeds.snapshots(spark, sf), AS_OF, refresh=("team",)))
 
 
+_LATEST = (
+    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category, url ORDER BY cached_at DESC, event_id DESC) AS rn "
+    f"FROM ({SNAPSHOT_SQL})) WHERE rn = 1"
+)
+
+
+def snapshot_log(spark: SparkSession, sf: str) -> SnapshotLog:
+    """All snapshots, appended in two batches."""
+    snaps = seeds.snapshots(spark, sf)
+    log = SnapshotLog(spark, scratch(spark, "snapshots"), snaps.schema, "event_id")
+    for rest in (0, 1):
+        log.append(snaps.filter(F.col("event_id") % 2 == rest))
+    return log
+
+
+@query("s02_fresh_of_log", f"SELECT event_id, url, category, cached_at FROM ({_LATEST}) WHERE {_HIT}")
+def _(spark, sf):
+    """Fresh among the newest; days beyond the time to live are not read."""
+    rows = snapshot_log(spark, sf).fresh(AS_OF, refresh=("team",))
+    return rows.select("event_id", "url", "category", "cached_at")
+
+
+@query(
+    "s04_compacted_log",
+    f"SELECT category, left(sha256(url), 16) AS url_key, url, cached_at, event_id, content FROM ({_LATEST})",
+)
+def _(spark, sf):
+    log = snapshot_log(spark, sf)
+    log.compact()
+    return log.read()
+
+
+@query(
+    "s05_invalidated_log",
+    f"SELECT event_id, (SELECT count(*) FROM ({_LATEST}) WHERE category IN ('blog', 'misc')) AS removed "
+    f"FROM ({_LATEST}) WHERE category NOT IN ('blog', 'misc')",
+)
+def _(spark, sf):
+    log = snapshot_log(spark, sf)
+    removed = log.invalidate(("blog", "misc"))
+    return log.read().select("event_id", F.lit(removed).cast("bigint").alias("removed"))
+
+
+@query(
+    "s06_log_stats",
+    f"WITH t AS (SELECT CASE category WHEN 'misc' THEN 'other' ELSE category END AS category, {_HIT} AS hit FROM ({_LATEST})) "
+    f"SELECT category, {_STATS} FROM t GROUP BY category UNION ALL SELECT 'TOTAL', {_STATS} FROM t",
+)
+def _(spark, sf):
+    return snapshot_log(spark, sf).stats(AS_OF, refresh=("team",))
+
+
 # --- sources and sinks ------------------------------------------------------
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder beside the session's checkpoints, which every executor can reach."""
-    durable(spark.range(1))
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def indexed_store(spark: SparkSession, rows: DataFrame, sections: DataFrame | None = None) -> writers.Store:
+    """Items and sections in a store with a text index, written in two halves so that the second keeps it up."""
+    path = scratch(spark, "indexed")
+    items = schemas.conform(rows)
+    half = F.pmod(F.xxhash64("slug"), F.lit(2))
+    writers.write_clean_items(items.filter(half == 0), path, 4)
+    writers.index_store(spark, path)
+    writers.write_clean_items(items.filter(half == 1), path, 4, sections)
+    return writers.read_store(spark, path)
 
 
 def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from corpusloom.plans.item_queries import (
     R03_SQL,
     S16_SQL,
     _YEAR,
+    indexed_store,
     media,
     scratch,
     stored,
@@ -490,6 +491,22 @@ def _event_items(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, clean_events(seeds.event_md(spark, sf), CLEANED_AT))
 
 
+def _indexed_events(spark: SparkSession, sf: str):
+    from corpusloom.operators.normalise import clean_events
+
+    return indexed_store(spark, clean_events(seeds.event_md(spark, sf), CLEANED_AT))
+
+
+@query(
+    "f01_indexed_events",
+    f"SELECT slug, title, date, time, venue FROM ({_EV}) WHERE date >= '2024-01-12' "
+    "AND (contains(lower(title), 'props') OR contains(lower(body), 'props')) ORDER BY date, slug LIMIT 50",
+)
+def _(spark, sf):
+    page = FD.find_events(_indexed_events(spark, sf), "2024-01-12", query="Props", limit=50)
+    return page.items.select("slug", "title", "date", "time", "venue")
+
+
 @query("f01_find_events_envelope",
        f"SELECT count(*) AS total, least(20, count(*)) AS count, 0::bigint AS \"offset\", count(*) > 20 AS has_more, "
        f"CASE WHEN count(*) > 20 THEN 20 END::bigint AS next_offset FROM ({_EV}) WHERE date >= '2024-01-25'")
@@ -524,6 +541,17 @@ def _(spark, sf):
     return page.items.drop("content_type", "source_url")
 
 
+@query(
+    "f02_indexed_members",
+    f"SELECT slug, name, role, electorate FROM ({MEMBER_SQL}) WHERE contains(lower(name), 'mer#00000001') ORDER BY role, name, slug LIMIT 50",
+)
+def _(spark, sf):
+    from corpusloom.operators.normalise import clean_team
+
+    store = indexed_store(spark, clean_team(seeds.member_md(spark, sf), CLEANED_AT))
+    return FD.find_members(store, query="MER#00000001").items.select("slug", "name", "role", "electorate")
+
+
 # Documents as policies tagged with language and source; labelled ones own one
 # pdf per remainder of their number, so lists differ in length.
 _POL_SQL = (
@@ -575,6 +603,24 @@ def _(spark, sf):
     )
 
 
+@query(
+    "f03_indexed_policies",
+    f"SELECT slug, title, lower(lang) || ',' || source AS tags, {_SLUGS} AS pdf_slugs FROM (SELECT * FROM ({_POL_SQL}) WHERE "
+    "contains(lower(title), 'th q') OR contains(lower(text), 'th q') OR doc_id % 7 = 0 ORDER BY title, slug LIMIT 100) p",
+)
+def _(spark, sf):
+    """The same search through the index of a store, which names candidates by their own texts and by their sections."""
+    sections = table(spark, sf, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"), F.lit("a.pdf").alias("file"),
+        F.lit("").alias("heading"), F.when(F.col("doc_id") % 7 == 0, "With Quotes").otherwise("none").alias("detail"),
+    )
+    page = FD.find_policies(indexed_store(spark, _policy_items(spark, sf), sections), query="TH Q", limit=100)
+    return page.items.select(
+        "slug", "title", F.lower(F.array_join("tags", ",")).alias("tags"),
+        F.array_join("pdf_slugs", ",").alias("pdf_slugs"),
+    )
+
+
 @query(
     "j11_policy_pdf_slugs",
     f"SELECT slug, CASE WHEN k IS NOT NULL THEN slug || '-f' || k END AS pdf_slug FROM ({_POL_SQL}) p LEFT JOIN ({_POLPDF_SQL}) USING (doc_id)",
@@ -599,6 +645,18 @@ def _blog_items(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, clean_blog_posts(seeds.blog_md(spark, sf), CLEANED_AT))
 
 
+@query(
+    "f04_indexed_posts",
+    f"SELECT slug, title, date, author FROM ({R02_SQL}) WHERE contains(lower(title), 'tion') OR contains(lower(body), 'tion') "
+    "ORDER BY date DESC, slug LIMIT 60",
+)
+def _(spark, sf):
+    from corpusloom.operators.normalise import clean_blog_posts
+
+    store = indexed_store(spark, clean_blog_posts(seeds.blog_md(spark, sf), CLEANED_AT))
+    return FD.find_blog_posts(store, query="TION", limit=60).items.select("slug", "title", "date", "author")
+
+
 @query(
     "f04_find_blog_posts",
     f"SELECT slug, title, date, author FROM ({R02_SQL}) WHERE date >= '2026-01-05' AND date <= '2026-01-12' AND "

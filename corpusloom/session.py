@@ -1,10 +1,10 @@
-"""Session defaults and durable intermediate results."""
+"""Session defaults and the folder of intermediate results."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8) -> SparkSession:
@@ -24,9 +24,8 @@ def local_session(cpus: str | int = "*", partitions: int = 8) -> SparkSession:
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder, so lost executors cost no recomputation."""
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; on a local master that names none, one of its own."""
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
@@ -34,4 +33,4 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="corpusloom-")
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return spark.sparkContext.getCheckpointDir()

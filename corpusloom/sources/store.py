@@ -29,14 +29,15 @@ class Version:
     batches: dict[str, int] = field(default_factory=dict)
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def current(spark: SparkSession, path: str, number: int | None = None) -> Version:
     """The latest version of the store at `path`, or the one of a number; empty where nothing was committed."""
-    fs, folder = _fs(spark, f"{path}/{MANIFESTS}")
+    fs, folder = file_system(spark, f"{path}/{MANIFESTS}")
     if not fs.exists(folder):
         return Version()
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
@@ -51,10 +52,10 @@ def current(spark: SparkSession, path: str, number: int | None = None) -> Versio
 def commit(spark: SparkSession, path: str, version: Version) -> None:
     """Put a version's manifest in place in one step; refused if that version exists."""
     name = f"{path}/{MANIFESTS}/{version.number:012d}.json"
-    fs, final = _fs(spark, name)
+    fs, final = file_system(spark, name)
     if fs.exists(final):
         raise RuntimeError(f"version {version.number} of {path} was committed by another writer")
-    _, draft = _fs(spark, f"{path}/{MANIFESTS}/.draft-{uuid.uuid4().hex}")
+    _, draft = file_system(spark, f"{path}/{MANIFESTS}/.draft-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(json.dumps(version.__dict__).encode()))
     out.close()
@@ -77,21 +78,30 @@ def read_table(
     )
 
 
-def write_partitions(rows: DataFrame, path: str, table: str, by: list[str], keys: list[str]) -> dict[str, str | None]:
+def with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """The storage bucket of a slug, as `k-of-n`: so a table tells how many buckets it has."""
+    spot = F.pmod(F.xxhash64("slug"), F.lit(buckets)).cast("string")
+    return rows.withColumn("bucket", F.concat(spot, F.lit(f"-of-{buckets}")))
+
+
+def write_partitions(
+    rows: DataFrame, path: str, table: str, by: list[str], keys: list[str], sort: list[str] | None = None
+) -> dict[str, str | None]:
     """Write rows, by partition columns, into new folders: {partition: folder}, null for the `keys` without rows.
 
-    `keys` are the partitions that the rows may be in, as `a=x/b=y`.
+    `keys` are the partitions that the rows may be in, as `a=x/b=y`. Files are
+    sorted by `sort`, the slug where none is given.
     """
     batch = uuid.uuid4().hex
     (
         rows.withColumn("batch", F.lit(batch)).hint("rebalance", *[F.col(c) for c in by])
-        .sortWithinPartitions(*by, "slug")
+        .sortWithinPartitions(*by, *(sort or ["slug"]))
         .write.mode("append").partitionBy(*by, "batch").parquet(f"{path}/{table}")
     )
     out: dict[str, str | None] = {}
     for key in keys:
         folder = f"{key}/batch={batch}"
-        fs, at = _fs(rows.sparkSession, f"{path}/{table}/{folder}")
+        fs, at = file_system(rows.sparkSession, f"{path}/{table}/{folder}")
         out[key] = folder if fs.exists(at) else None
     return out
 
@@ -110,7 +120,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
     last = current(spark, path).number
     versions = [current(spark, path, n) for n in range(max(1, last - keep + 1), last + 1)]
     live = {f"{t}/{f}" for v in versions for t, folders in v.tables.items() for f in folders.values()}
-    fs, root = _fs(spark, path)
+    fs, root = file_system(spark, path)
     gone = 0
     for t in {t for v in versions for t in v.tables}:
         depth = next((f.count("/") for v in versions for f in v.tables.get(t, {}).values()), None)
@@ -121,7 +131,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
             parts = status.getPath().toString().split("/")
             if f"{t}/" + "/".join(parts[-depth - 1 :]) not in live:
                 gone += bool(fs.delete(status.getPath(), True))
-    for status in fs.listStatus(_fs(spark, f"{path}/{MANIFESTS}")[1]):
+    for status in fs.listStatus(file_system(spark, f"{path}/{MANIFESTS}")[1]):
         name = status.getPath().getName()
         if name.endswith(".json") and int(name.removesuffix(".json")) <= last - keep:
             fs.delete(status.getPath(), False)

@@ -21,7 +21,8 @@ from corpusloom.operators.normalise import (
 )
 from corpusloom.operators.scale import first_by
 from corpusloom.operators.validate import validation_summary
-from corpusloom.sources import store
+from corpusloom.sources import store, trigrams
+from corpusloom.sources.store import with_bucket
 
 KEYS = ["content_type", "slug"]
 _BUCKET = T.StructField("bucket", T.StringType())
@@ -38,11 +39,15 @@ def with_rendered(items: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Store:
-    """One version of the stored items and of the sections of their PDF files; goes where both are needed."""
+    """One version of the stored items and of the sections of their PDF files; goes where both are needed.
+
+    `index` tells which of them may mention a text; null for a store without one.
+    """
 
     items: DataFrame
     sections: DataFrame
     version: int
+    index: trigrams.TextIndex | None = None
 
 
 def read_store(spark: SparkSession, path: str, version: int | None = None) -> Store:
@@ -50,7 +55,21 @@ def read_store(spark: SparkSession, path: str, version: int | None = None) -> St
     held = store.current(spark, path, version)
     items = store.read_table(spark, path, held, "items", STORED_ITEM).drop("bucket")
     sections = store.read_table(spark, path, held, "sections", STORED_SECTION).drop("bucket")
-    return Store(items, sections, held.number)
+    index = trigrams.TextIndex(spark, path, held, STORED_ITEM, STORED_SECTION) if _has_index(held.tables) else None
+    return Store(items, sections, held.number, index)
+
+
+def _has_index(tables: dict[str, dict[str, str]]) -> bool:
+    return trigrams.ITEMS.postings in tables
+
+
+def index_store(spark: SparkSession, path: str) -> None:
+    """Build the text index of the store at `path`, as one commit; writes keep it up from then on."""
+    held = store.current(spark, path)
+    tables = held.tables
+    for kind, schema in ((trigrams.ITEMS, STORED_ITEM), (trigrams.SECTIONS, STORED_SECTION)):
+        tables = trigrams.indexed(spark, path, tables, kind, schema, list(tables.get(kind.table, {})))
+    store.commit(spark, path, store.Version(held.number + 1, held.buckets, tables, held.batches))
 
 
 def read_clean_items(spark: SparkSession, path: str) -> DataFrame:
@@ -61,12 +80,6 @@ def read_sections(spark: SparkSession, path: str) -> DataFrame:
     return read_store(spark, path).sections
 
 
-def with_bucket(items: DataFrame, buckets: int) -> DataFrame:
-    """The storage bucket of a slug, as `k-of-n`: so a table tells how many buckets it has."""
-    spot = F.pmod(F.xxhash64("slug"), F.lit(buckets)).cast("string")
-    return items.withColumn("bucket", F.concat(spot, F.lit(f"-of-{buckets}")))
-
-
 def write_clean_items(
     items: DataFrame, path: str, buckets: int, sections: DataFrame | None = None, batch: tuple[str, int] | None = None
 ) -> None:
@@ -94,9 +107,11 @@ def write_clean_items(
     merged = with_rendered(merge_meta(old, new, KEYS) if keys else new)
     tables = store.changed(
         held.tables, "items", store.write_partitions(merged, path, "items", ["content_type", "bucket"], keys))
+    if _has_index(tables):
+        tables = trigrams.indexed(spark, path, tables, trigrams.ITEMS, STORED_ITEM, keys)
     if sections is not None:
         slugs = new.filter("content_type = 'policy'").select("slug")
-        tables = store.changed(tables, "sections", _new_sections(sections, slugs, path, buckets, held))
+        tables = _with_sections(tables, sections, slugs, path, buckets, held)
     batches = held.batches | ({batch[0]: batch[1]} if batch is not None else {})
     store.commit(spark, path, store.Version(held.number + 1, buckets, tables, batches))
 
@@ -107,10 +122,21 @@ def write_sections(sections: DataFrame, slugs: DataFrame, path: str, buckets: in
     held = store.current(spark, path)
     if held.buckets not in (None, buckets):
         raise ValueError(f"the store at {path} has {held.buckets} buckets, not {buckets}")
-    tables = store.changed(held.tables, "sections", _new_sections(sections, slugs, path, buckets, held))
+    tables = _with_sections(held.tables, sections, slugs, path, buckets, held)
     store.commit(spark, path, store.Version(held.number + 1, buckets, tables, held.batches))
 
 
+def _with_sections(
+    tables: dict[str, dict[str, str]], sections: DataFrame, slugs: DataFrame, path: str, buckets: int, held: store.Version
+) -> dict[str, dict[str, str]]:
+    """The tables with sections replaced, and their postings where the store has an index."""
+    new = _new_sections(sections, slugs, path, buckets, held)
+    tables = store.changed(tables, "sections", new)
+    if not _has_index(tables):
+        return tables
+    return trigrams.indexed(sections.sparkSession, path, tables, trigrams.SECTIONS, STORED_SECTION, list(new))
+
+
 def _new_sections(
     sections: DataFrame, slugs: DataFrame, path: str, buckets: int, held: store.Version
 ) -> dict[str, str | None]:
