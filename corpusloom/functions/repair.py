@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import rules
@@ -210,9 +212,85 @@ def add_rule(book: RuleBook, key: str, description: str, rule: Rule) -> RuleBook
     return {**book, key: [*book.get(key, []), (description, rule)]}
 
 
+class PythonRule:
+    """A rule from a plain function of one text, run over Arrow batches; a null stays null.
+
+    For what columns can't express. The function must be pure, as Spark may run it again.
+    """
+
+    def __init__(self, fn: Callable[[str], str]):
+        self.fn = fn
+
+    def __call__(self, text: Column) -> Column:
+        fn = self.fn
+
+        @F.pandas_udf("string")
+        def run(texts: pd.Series) -> pd.Series:
+            return texts.map(fn, na_action="ignore")
+
+        return run(text)
+
+
+def repaired(rows: DataFrame, key: str, text: str, book: RuleBook | None = None) -> DataFrame:
+    """The rows with `text` repaired by the rules of their key, Python rules too.
+
+    Runs of column rules are one projection each; a Python rule gets the texts of
+    its key alone, and nulls in place of the others.
+    """
+    book = default_rule_book() if book is None else book
+    for name, entries in book.items():
+        mine = F.col(key) == name
+        for in_python, run in groupby((rule for _, rule in entries), lambda rule: isinstance(rule, PythonRule)):
+            for rule in run if in_python else [chain(*run)]:
+                new = rule(F.when(mine, F.col(text)))
+                rows = rows.withColumn(text, F.when(mine, new).otherwise(F.col(text)))
+    return rows
+
+
+def rule_faults(rows: DataFrame, key: str, text: str, book: RuleBook | None = None) -> DataFrame:
+    """Rules of a book that break their promises over the rows of their key.
+
+    (key, ord, description, rows, changed, not_repeatable, not_idempotent): how many
+    rows a rule looked at and changed, how many came out otherwise when it was built
+    and run a second time, and how many it changes again in its own result. Each
+    rule gets the result of those before it, as in `apply_rules`. One pass over the
+    rows for a key, and one count a rule is all that is shuffled.
+    """
+    book = default_rule_book() if book is None else book
+    out = None
+    for name, entries in book.items():
+        step = rows.filter(F.col(key) == name).select(F.col(text).alias("t0"))
+        for i, (_, rule) in enumerate(entries):
+            t = F.col(f"t{i}")
+            step = step.withColumns({f"t{i + 1}": rule(t), f"again{i}": rule(t)})
+            step = step.withColumn(f"twice{i}", rule(F.col(f"t{i + 1}")))
+        counts = [
+            F.struct(
+                F.lit(name).alias("key"), F.lit(i).alias("ord"), F.lit(description).alias("description"),
+                F.count("*").alias("rows"),
+                F.count_if(~F.col(f"t{i}").eqNullSafe(F.col(f"t{i + 1}"))).alias("changed"),
+                F.count_if(~F.col(f"t{i + 1}").eqNullSafe(F.col(f"again{i}"))).alias("not_repeatable"),
+                F.count_if(~F.col(f"t{i + 1}").eqNullSafe(F.col(f"twice{i}"))).alias("not_idempotent"),
+            )
+            for i, (description, _) in enumerate(entries)
+        ]
+        if not counts:
+            continue
+        found = step.agg(F.array(*counts).alias("r")).select(F.inline("r"))
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        raise ValueError("the book has no rules")
+    return out
+
+
 def apply_rules(key: Column, text: Column, book: RuleBook | None = None) -> Column:
-    """Run the rules registered for each row's key, in order; other keys pass through."""
+    """Run the rules registered for each row's key, in order; other keys pass through.
+
+    Column rules only: `repaired` takes a book that holds Python rules.
+    """
     book = default_rule_book() if book is None else book
+    if any(isinstance(rule, PythonRule) for entries in book.values() for _, rule in entries):
+        raise ValueError("the book holds Python rules: use repaired")
 
     def pick(t: Column) -> Column:
         out = F.when(F.lit(False), t)

@@ -205,6 +205,12 @@ def url_key(url: Column) -> Column:
     return F.left(F.sha2(url, 256), F.lit(16))
 
 
+def now_iso() -> Column:
+    """The time a query starts, in UTC to the second; the same for all its rows."""
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def is_pdf_bytes(content: Column) -> Column:
     return F.coalesce(F.hex(F.substring(content, 1, 4)) == "25504446", F.lit(False))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules, schemas
 from corpusloom.functions import markdown as M
+from corpusloom.functions.text import strip
 from corpusloom.operators import normalise as N
 from corpusloom.operators import registry as R
 from corpusloom.operators import snapshots as S
@@ -40,6 +41,7 @@ from corpusloom.plans.text_queries import d_clean, d_field, d_h1, d_no_fields, d
 from corpusloom.session import checkpoint_folder
 from corpusloom.sources import readers, writers
 from corpusloom.sources import registry as source_registry
+from corpusloom.sources.files import write_item_folders
 from corpusloom.sources.snapshot_log import SnapshotLog
 from corpusloom.streaming.incremental import first_seen_stream, incremental_clean
 
@@ -796,6 +798,18 @@ _MD_SQL = (
 )
 
 
+@query("s10_scan_item_files", f"SELECT content_type, slug, title, date, {d_strip('body')} AS body FROM ({R02_SQL})")
+def _(spark, sf):
+    """Posts written as a folder each and read back."""
+    path = scratch(spark, "folders")
+    posts = schemas.conform(N.clean_blog_posts(seeds.blog_md(spark, sf), CLEANED_AT))
+    write_item_folders(writers.with_rendered(posts), path)
+    return readers.scan_item_files(spark, path).select(
+        "content_type", "slug", F.get_json_object("meta", "$.title").alias("title"),
+        F.get_json_object("meta", "$.date").alias("date"), strip(F.col("body")).alias("body"),
+    )
+
+
 @query("s11_write_clean_items", f"SELECT slug, role, {_MD_SQL} AS rendered_md FROM ({R04_SQL})")
 def _(spark, sf):
     path = scratch(spark, "items")
@@ -909,6 +923,37 @@ def _(spark, sf):
         "doc_id", Q.apply_rules(key, F.col("text"), book).alias("text"))
 
 
+@query(
+    "k01_python_rule",
+    "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN reverse(text) ELSE text END AS text FROM documents",
+)
+def _(spark, sf):
+    """A rule that is a plain function of a text."""
+    from corpusloom.functions import repair as Q
+
+    book = Q.add_rule({}, "own.md", "turn round", Q.PythonRule(lambda t: t[::-1]))
+    key = F.when(F.col("doc_id") % 2 == 0, "own.md").otherwise("other.md")
+    rows = table(spark, sf, "documents").select("doc_id", "text", key.alias("key"))
+    return Q.repaired(rows, "key", "text", book).drop("key")
+
+
+@query(
+    "k01_rule_faults",
+    "WITH t AS (SELECT coalesce(text, '') AS t, text IS NULL AS none FROM documents WHERE doc_id % 2 = 0) "
+    "SELECT 'own.md' AS key, 0 AS ord, 'add a mark' AS description, count(*) AS rows, count(*) FILTER (NOT none) AS changed, "
+    "0::bigint AS not_repeatable, count(*) FILTER (NOT none) AS not_idempotent FROM t "
+    "UNION ALL SELECT 'own.md', 1, 'drop marks', count(*), count(*) FILTER (NOT none), 0, 0 FROM t",
+)
+def _(spark, sf):
+    """A rule that adds to its own result is found, one that drops is not."""
+    from corpusloom.functions import repair as Q
+
+    book = Q.add_rule({}, "own.md", "add a mark", lambda t: F.concat(t, F.lit("\u2020")))
+    book = Q.add_rule(book, "own.md", "drop marks", Q.PythonRule(lambda t: t.replace("\u2020", "")))
+    key = F.when(F.col("doc_id") % 2 == 0, "own.md").otherwise("other.md")
+    return Q.rule_faults(table(spark, sf, "documents").select(key.alias("key"), "text"), "key", "text", book)
+
+
 @query(
     "k02_media_platform",
     f"SELECT {_YEAR} AS year, id FROM ({S16_SQL})",

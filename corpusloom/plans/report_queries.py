@@ -543,13 +543,13 @@ def _(spark, sf):
 
 @query(
     "f02_indexed_members",
-    f"SELECT slug, name, role, electorate FROM ({MEMBER_SQL}) WHERE contains(lower(name), 'mer#00000001') ORDER BY role, name, slug LIMIT 50",
+    f"SELECT slug, name, role, electorate FROM ({MEMBER_SQL}) WHERE contains(lower(name), 'mer 00000001') ORDER BY role, name, slug LIMIT 50",
 )
 def _(spark, sf):
     from corpusloom.operators.normalise import clean_team
 
     store = indexed_store(spark, clean_team(seeds.member_md(spark, sf), CLEANED_AT))
-    return FD.find_members(store, query="MER#00000001").items.select("slug", "name", "role", "electorate")
+    return FD.find_members(store, query="MER 00000001").items.select("slug", "name", "role", "electorate")
 
 
 # Documents as policies tagged with language and source; labelled ones own one

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from corpusloom import rules
@@ -476,9 +478,9 @@ def _(spark, sf):
 @query(
     "c28_format_records_md",
     "SELECT 'p' || page_id AS k, raw2 AS md FROM (SELECT page_id, '# ' || title || chr(10) || chr(10) || '> **URL**: ' || url || "
-    f"chr(10) || '> **Scraped**: s' || chr(10) || chr(10) || 'body' || chr(10) AS raw2 FROM ({POLICY_SQL})) UNION ALL "
+    f"chr(10) || '> **Scraped**: s' || chr(10) || chr(10) || html || chr(10) AS raw2 FROM ({POLICY_SQL}) JOIN (SELECT page_id, html FROM pages) USING (page_id)) UNION ALL "
     "SELECT 'i' || page_id, '# ' || " + d_title("'sec ' || page_id || ' x'") + " || chr(10) || chr(10) || '> **URL**: ' || url || "
-    "chr(10) || '> **Scraped**: s' || chr(10) || chr(10) || 'body' || chr(10) FROM pages UNION ALL "
+    "chr(10) || '> **Scraped**: s' || chr(10) || chr(10) || html || chr(10) FROM pages UNION ALL "
     "SELECT 'b' || doc_id, '**Title**: ' || source || chr(10) || CASE WHEN lang <> 'en' THEN '**Date**: ' || lang || chr(10) ELSE '' END || "
     "'**URL**: u' || chr(10) || '**Scraped**: s' || chr(10) || chr(10) || text || chr(10) FROM documents UNION ALL "
     "SELECT 'e' || doc_id, '**Title**: ' || source || chr(10) || CASE WHEN lang <> 'en' THEN '**Date**: ' || lang || chr(10) ELSE '' END || "
@@ -492,13 +494,14 @@ def _(spark, sf):
         return F.concat(F.lit(prefix), F.col(c).cast("string")).alias("k")
 
     s, u, lang = F.lit("s"), F.lit("u"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang"))
-    policies = seeds.policy_md(spark, sf).select(
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    policies = seeds.policy_md(spark, sf).join(pages, "page_id").select(
         key("p", "page_id"),
-        M.policy_md(F.col("title"), F.col("url"), s, F.lit("body")).alias("md"),
+        M.policy_md(F.col("title"), F.col("url"), s, F.col("html")).alias("md"),
     )
     section = F.concat(F.lit("sec-"), F.col("page_id").cast("string"), F.lit("-x"))
     info = table(spark, sf, "pages").select(
-        key("i", "page_id"), M.info_md(section, F.col("url"), s, F.lit("body")).alias("md")
+        key("i", "page_id"), M.info_md(section, F.col("url"), s, F.col("html")).alias("md")
     )
     docs = table(spark, sf, "documents")
     blog = docs.select(
@@ -852,25 +855,27 @@ def _(spark, sf):
     )
 
 
+# File names as urls give them: host and path with blanks for slashes, their length as it comes.
+_FILE_SQL = "SELECT page_id, replace(replace(regexp_extract(url, '^[a-z]+://([^?#]*)', 1), '/', ' '), '_', ' ') AS name FROM pages"
+_STEM = "trim(replace(replace(lower(name), '.pdf', ''), ' ', '-'), '-')"
+
+
 @query("x03_slug_from_filename", _from(
-    "SELECT doc_id, lower(CASE WHEN doc_id % 5 = 1 THEN '12-' || doc_id ELSE 'Tax Reset ' || doc_id END) AS a, "
-    "CASE WHEN doc_id % 5 = 0 THEN repeat('x', 40) END AS long FROM documents",
-    doc_id="doc_id",
-    slug="CASE WHEN doc_id % 5 NOT IN (0, 1) THEN replace(a, ' ', '-') END",
-    stem="replace(coalesce(long, a), ' ', '-')",
+    _FILE_SQL, page_id="page_id",
+    slug=f"CASE WHEN length({_STEM}) <= 30 AND regexp_matches({_STEM}, '[a-z]') THEN {_STEM} END",
+    digits="CASE WHEN page_id < 0 THEN '' END",
+    stem=_STEM,
 ))
 def _(spark, sf):
-    n, key = F.col("doc_id") % 5, F.col("doc_id").cast("string")
-    name = (
-        F.when(n == 0, F.repeat(F.lit("x"), 40))
-        .when(n == 1, F.concat(F.lit("12-"), key))
-        .otherwise(F.concat(F.lit("Tax Reset "), key))
-    )
+    host = F.regexp_extract("url", r"^[a-z]+://([^?#]*)", 1)
+    name = F.replace(F.replace(host, F.lit("/"), F.lit(" ")), F.lit("_"), F.lit(" "))
     full = F.concat(F.lit("_migrated_Brand_Policy_"), name, F.lit("_Overview.pdf"))
     short = F.concat(F.lit("Brand_"), name, F.lit("_Overview.pdf"))
-    return table(spark, sf, "documents").select(
-        "doc_id",
+    number = F.concat(F.lit("12-"), F.col("page_id").cast("string"), F.lit("_x.pdf"))
+    return table(spark, sf, "pages").select(
+        "page_id",
         X.slug_from_filename(full).alias("slug"),
+        X.slug_from_filename(number).alias("digits"),
         X.filename_stem_slug(short).alias("stem"),
     )
 
@@ -927,9 +932,17 @@ def _(spark, sf):
     )
 
 
-@query("x09_now_iso", "SELECT event_id, '2026-01-03T00:00:00+00:00' AS cleaned_at FROM events")
+@query("x09_now_iso", "SELECT event_id, true AS is_iso, true AS is_now, (SELECT count(*) > 0 FROM events) AS is_one FROM events")
 def _(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.lit(seeds.CLEANED_AT).alias("cleaned_at"))
+    """Rows stamped with the time of the run: of ISO form, between start and end, the same for all."""
+    start = dt.datetime.now(dt.UTC).replace(microsecond=0)
+    rows = table(spark, sf, "events").select("event_id", X.now_iso().alias("cleaned_at"))
+    stamp, now = F.col("cleaned_at"), F.current_timestamp()
+    return rows.select(
+        "event_id", stamp.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$").alias("is_iso"),
+        F.to_timestamp(stamp).between(F.lit(start), now).alias("is_now"),
+        (stamp == X.now_iso()).alias("is_one"),
+    )
 
 
 @query("x10_format_age",

@@ -22,8 +22,9 @@ from corpusloom.plans.book import (
     query,
     table,
 )
+from corpusloom.plans.item_queries import scratch
 from corpusloom.plans.seeds import BASE, LINKED_SQL
-from corpusloom.sources.readers import feed_items, scan_pages
+from corpusloom.sources.readers import scan_feeds, scan_pages
 
 _ARTICLE = d_element("html", "article")
 _BODY = d_drop_boilerplate(d_element("html", "body"))
@@ -423,6 +424,7 @@ def _(spark, sf):
 _NAV_HREF = '<li><a href="([^"]*)">'
 
 
+# Each page is a feed of its links that carries the page as its description; every second feed is malformed.
 @query(
     "s07_scan_rss",
     "SELECT page_id AS feed_id, (i - 2)::bigint AS ord, 'Item ' || i AS title, h AS url_path, "
@@ -447,9 +449,12 @@ def _(spark, sf):
             F.lit("</author></item>"),
         ),
     )
+    about = F.replace(F.replace(F.regexp_replace("html", r"\s+", " "), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     xml = F.concat(
-        F.lit("<rss><channel><title>t</title>"), F.array_join(items, ""),
-        F.lit("</channel></rss>"),
+        F.lit("<rss><channel><title>t</title><link>"), key.cast("string"), F.lit("</link><description>"), about,
+        F.lit("</description>"), F.array_join(items, ""), F.lit("</channel></rss>"),
     )
-    feeds = table(spark, sf, "pages").select(key.alias("feed_id"), xml.alias("xml"))
-    return feed_items(feeds)
+    broken = F.lit("<rss><channel><link>broken</link><item><title>x</channel></rss>")
+    path = scratch(spark, "feeds")
+    table(spark, sf, "pages").select(F.explode(F.array(xml, broken)).alias("xml")).write.text(path)
+    return scan_feeds(spark, path).withColumn("feed_id", F.col("feed").cast("bigint")).drop("feed", "file")

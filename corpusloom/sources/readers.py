@@ -18,6 +18,7 @@ from corpusloom.functions.text import (
     rfc822_date,
     strip,
 )
+from corpusloom.sources.files import read_heads, read_item_folders
 
 
 def scan_pages(spark: SparkSession, path: str, category: str) -> DataFrame:
@@ -27,20 +28,41 @@ def scan_pages(spark: SparkSession, path: str, category: str) -> DataFrame:
     )
 
 
-_FEED = "channel struct<item: array<struct<title: string, link: string, pubDate: string, author: string>>>"
+_CHANNEL = "struct<link: string, item: array<struct<title: string, link: string, pubDate: string, author: string>>>"
 
 
 def feed_items(feeds: DataFrame, key: str = "feed_id", xml: str = "xml") -> DataFrame:
     """(key, ord, title, url_path, date, author) of every linked feed item."""
+    parsed = feeds.select(key, F.from_xml(xml, F.lit(f"channel {_CHANNEL}")).alias("rss"))
+    return _linked_items(parsed.select(key, F.col("rss.channel").alias("channel")), key)
+
+
+def scan_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """(file, feed, ord, title, url_path, date, author) of the linked items of landed feed files.
+
+    A file holds one feed or many; `feed` is the link of its channel. Files are cut
+    behind the closing tags, so a large one is many tasks, and a malformed feed
+    gives no rows while the others of its file do.
+    """
+    end = "</rss>"
+    cut = spark.read.option("lineSep", end).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    # a feed that is left open ends where the next one starts
+    one = F.regexp_extract("value", r"(?s)^.*(<rss\b.*)$", 1)
+    rss = F.from_xml(F.concat(one, F.lit(end)), F.lit(f"channel {_CHANNEL}"))
+    rows = cut.filter(one != "").select("file", rss.alias("rss"))
+    channels = rows.select("file", strip(F.col("rss.channel.link")).alias("feed"), F.col("rss.channel").alias("channel"))
+    return _linked_items(channels, "file", "feed")
+
+
+def _linked_items(channels: DataFrame, *key: str) -> DataFrame:
     def clean(item: Column, name: str) -> Column:
         return strip(F.coalesce(item[name], F.lit("")))
 
-    parsed = feeds.select(key, F.from_xml(xml, F.lit(_FEED)).alias("rss"))
-    linked = F.filter(F.col("rss.channel.item"), lambda i: clean(i, "link") != "")
-    rows = parsed.select(key, F.posexplode(linked).alias("ord", "i"))
+    linked = F.filter(F.col("channel.item"), lambda i: clean(i, "link") != "")
+    rows = channels.select(*key, F.posexplode(linked).alias("ord", "i"))
     i = F.col("i")
     return rows.select(
-        key,
+        *key,
         F.col("ord").cast("bigint").alias("ord"),
         clean(i, "title").alias("title"),
         canonical_path(clean(i, "link")).alias("url_path"),
@@ -119,40 +141,13 @@ def cached_listing(
 
 def scan_item_files(spark: SparkSession, root: str) -> DataFrame:
     """(content_type, slug, meta, md, body) of `{type}/{slug}/{slug}.md` with its meta.json."""
-    parts = r"/([^/_][^/]*)/([^/_][^/]*)/([^/]+)$"
-
-    def files(glob: str) -> DataFrame:
-        path = F.col("_metadata.file_path")
-        return (
-            spark.read.option("wholetext", True)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", glob)
-            .text(root)
-            .select(
-                F.url_decode(F.regexp_extract(path, parts, 1)).alias("content_type"),
-                F.url_decode(F.regexp_extract(path, parts, 2)).alias("slug"),
-                F.url_decode(F.regexp_extract(path, parts, 3)).alias("file"),
-                "value",
-            )
-            .filter("content_type <> ''")
-        )
-
-    md = files("*.md").filter("file = concat(slug, '.md')")
-    meta = files("meta.json").select("content_type", "slug", F.col("value").alias("meta"))
-    return md.join(meta, ["content_type", "slug"], "left").select(
-        "content_type", "slug", "meta", F.col("value").alias("md"),
-        strip_frontmatter(F.col("value")).alias("body"),
-    )
+    rows = read_item_folders(spark, root)
+    return rows.withColumn("body", strip_frontmatter(F.col("md")))
 
 
 def scan_pdf_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, is_pdf) of binary files, judged by their first bytes.
-
-    Spark lists no empty files, so those, which are not PDFs either, have no row.
-    """
-    return spark.read.format("binaryFile").load(path).select(
-        "path", "length", is_pdf_bytes(F.col("content")).alias("is_pdf")
-    )
+    """(path, length, is_pdf) of the files of a folder, judged by their first bytes; an empty one is no PDF."""
+    return read_heads(spark, path).select("path", "length", is_pdf_bytes(F.col("head")).alias("is_pdf"))
 
 
 def media_defaults(json: Column) -> dict[str, Column]:

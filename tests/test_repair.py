@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.functions import repair as Q
 
@@ -149,3 +150,44 @@ def test_rule_book(spark):
     assert got == {"pdf-default.md": "officer.Now", "pdf-policy-overview.md": "a. B", "mine.md": "X", "other.md": "a.B"}
     with pytest.raises(ValueError):
         Q.add_rule({}, "k", "", lambda t: t)
+
+
+def test_rules_that_break_their_promises_are_found(spark):
+    book = Q.add_rule({}, "a.md", "grow", lambda t: F.concat(t, F.lit("!")))
+    book = Q.add_rule(book, "a.md", "guess", lambda t: F.concat(F.substring(t, 1, 1), F.rand().cast("string")))
+    book = Q.add_rule(book, "a.md", "fold", Q.PythonRule(str.casefold))
+    book = Q.add_rule(book, "b.md", "same", lambda t: t)
+    rows = spark.createDataFrame([("a.md", "Tax"), ("a.md", None), ("b.md", "x"), ("c.md", "y")], "key string, text string")
+    got = {r["description"]: tuple(r)[3:] for r in Q.rule_faults(rows, "key", "text", book).collect()}
+    assert got["grow"] == (2, 1, 0, 1) and got["same"] == (1, 0, 0, 0)
+    assert got["guess"] == (2, 1, 1, 1) and got["fold"] == (2, 1, 0, 0)
+
+
+def test_a_python_rule_keeps_null(one):
+    fold = Q.PythonRule(lambda t: t[::-1])
+    assert one(fold, "abc") == "cba" and one(fold, None) is None and one(fold, "") == ""
+
+
+def test_default_rules_can_be_repeated(spark):
+    texts = ["## A\n\n### 1. B\n\ntext.Next", "|a|b|\n|---|---|\n|x||", ""]
+    rows = spark.createDataFrame([(k, t) for k in Q.default_rule_book() for t in texts], "key string, text string")
+    assert Q.rule_faults(rows, "key", "text").filter("not_repeatable > 0").count() == 0
+
+
+def test_python_and_column_rules_run_in_order(spark):
+    book = Q.add_rule({}, "a.md", "space", Q.space_after_period)
+    book = Q.add_rule(book, "a.md", "fold", Q.PythonRule(str.lower))
+    book = Q.add_rule(book, "a.md", "headings", Q.merge_policy_headings)
+    book = Q.add_rule(book, "a.md", "mark", lambda t: F.concat(t, F.lit("!")))
+    rows = [(1, "a.md", "needed.Those"), (2, "b.md", "needed.Those"), (3, "a.md", None), (4, None, "X.Y")]
+    got = Q.repaired(spark.createDataFrame(rows, "n int, key string, text string"), "key", "text", book).collect()
+    assert {r["n"]: r["text"] for r in got} == {1: "needed. those!", 2: "needed.Those", 3: None, 4: "X.Y"}
+    with pytest.raises(ValueError, match="use repaired"):
+        Q.apply_rules(F.lit("a.md"), F.lit("x"), book)
+
+
+def test_repaired_equals_apply_rules(spark):
+    texts = ["## A\n\n### 1. B\n\ntext.Next", "|a|b|\n|---|---|\n|x||", ""]
+    rows = spark.createDataFrame([(k, t) for k in Q.default_rule_book() for t in texts], "key string, text string")
+    plain = rows.select("key", Q.apply_rules(F.col("key"), F.col("text")).alias("text"))
+    assert sorted(Q.repaired(rows, "key", "text").collect()) == sorted(plain.collect())

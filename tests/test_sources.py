@@ -50,7 +50,8 @@ def test_pdf_files(spark, tmp_path):
     for name, data in (("a.pdf", b"%PDF-1.7"), ("b.pdf", b"<html>"), ("c.pdf", b"")):
         (tmp_path / name).write_bytes(data)
     got = {r["path"].rsplit("/", 1)[1]: r["is_pdf"] for r in readers.scan_pdf_files(spark, str(tmp_path)).collect()}
-    assert got == {"a.pdf": True, "b.pdf": False}
+    assert got == {"a.pdf": True, "b.pdf": False, "c.pdf": False}
+    assert readers.scan_pdf_files(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_feed(spark):
@@ -270,3 +271,36 @@ def test_a_replayed_batch_is_merged_once(spark, tmp_path):
 def test_a_text_needs_sections(spark):
     with pytest.raises(ValueError):
         FD.find_policies(_items(spark, [("a", "policy", "A", "x")]), query="x")
+
+
+def test_feed_files(spark, tmp_path):
+    def feed(name, *items):
+        return f"<rss><channel><link> {name} </link>" + "".join(items) + "</channel></rss>"
+
+    def item(link, title="T"):
+        return f"<item><title>{title}</title><link>{link}</link><pubDate>Mon, 08 Jun 2026 23:30:00 +0000</pubDate></item>"
+
+    many = feed("one", item("http://h.org/a"), item(""), item("http://h.org/b", "ā &amp; b"))
+    (tmp_path / "many.xml").write_text(many + "\n<rss><channel><item><title>x</channel></rss>\n" + feed("two", item("/c")))
+    (tmp_path / "own.xml").write_text('<?xml version="1.0"?>\n' + feed("three", item("/d")))
+    (tmp_path / "none.xml").write_text("")
+    (tmp_path / "text.xml").write_text("no feed")
+    got = [tuple(r)[:5] for r in readers.scan_feeds(spark, str(tmp_path)).orderBy("feed", "ord").collect()]
+    assert got == [("many.xml", "one", 0, "T", "/a"), ("many.xml", "one", 1, "ā & b", "/b"),
+                   ("own.xml", "three", 0, "T", "/d"), ("many.xml", "two", 0, "T", "/c")]
+
+
+def test_item_folders_round_trip(spark, tmp_path):
+    from corpusloom.sources.files import write_item_folders
+
+    rows = [("a b", "policy", "T ā", "body\n\nof a"), ("c", "policy", None, ""), ("a b", "blog-post", "x", "y")]
+    items = writers.with_rendered(_items(spark, rows))
+    for _ in range(2):  # written again, the files are the same
+        assert write_item_folders(items, f"file:{tmp_path}/out") == 3
+    got = {(r["content_type"], r["slug"]): r for r in readers.scan_item_files(spark, f"{tmp_path}/out").collect()}
+    assert set(got) == {(r[1], r[0]) for r in rows}
+    one = got["policy", "a b"]
+    assert one["body"].strip() == "body\n\nof a" and json.loads(one["meta"])["title"] == "T ā"
+    assert readers.scan_item_files(spark, f"{tmp_path}/nowhere").count() == 0
+    with pytest.raises(Exception, match="no folder can be named"):
+        write_item_folders(writers.with_rendered(_items(spark, [("a/b", "policy", "t", "x")])), f"{tmp_path}/bad")
