@@ -43,7 +43,12 @@ from corpusloom.sources import readers, writers
 from corpusloom.sources import registry as source_registry
 from corpusloom.sources.files import write_item_folders
 from corpusloom.sources.snapshot_log import SnapshotLog
-from corpusloom.streaming.incremental import first_seen_stream, incremental_clean
+from corpusloom.streaming.incremental import (
+    first_seen_ever,
+    first_seen_stream,
+    incremental_clean,
+    read_first_seen,
+)
 
 
 def _prov(kind: str, url: str, ingested: str) -> str:
@@ -906,6 +911,17 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}/out").select("user_id")
 
 
+@query("st2_first_seen_ever", "SELECT user_id, 1::bigint AS kept FROM events GROUP BY user_id")
+def _(spark, sf):
+    """Events landed in several files, one a batch, in any order; a user counts once, however far apart."""
+    path = scratch(spark, "ever")
+    table(spark, sf, "events").select("user_id", "event_id").repartition(4, "event_id").write.parquet(f"{path}/events")
+    schema = spark.read.parquet(f"{path}/events").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+    first_seen_ever(stream, "user_id", ["event_id"], f"{path}/table", f"{path}/progress", buckets=4).awaitTermination()
+    return read_first_seen(spark, f"{path}/table", schema).groupBy("user_id").agg(F.count("*").alias("kept"))
+
+
 # --- extension points -------------------------------------------------------
 
 

@@ -8,7 +8,6 @@ as `upsert_snapshots` does. One writer at a time.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -139,21 +138,12 @@ class SnapshotLog:
 
     def _write(self, rows: DataFrame) -> dict[str, str]:
         """Write rows as a batch of their own: its folders."""
-        batch = uuid.uuid4().hex
-        root = f"{self.path}/{TABLE}"
         dated = F.col("cached_at").rlike(r"^\d{4}-\d{2}-\d{2}")
-        (
-            rows.select(*self.schema.names).withColumns({
-                "batch": F.lit(batch),
-                "kind": F.coalesce(F.concat(F.lit(PREFIX), "category"), F.lit(NO_KIND)),
-                "day": F.when(dated, F.left("cached_at", F.lit(10))).otherwise(NO_DAY),
-            })
-            .hint("rebalance", F.col("kind"), F.col("day")).sortWithinPartitions("kind", "day", "url")
-            .write.mode("append").partitionBy(*FOLDER).parquet(root)
-        )
-        fs, found = store.file_system(self.spark, f"{root}/batch={batch}/kind=*/day=*")
-        names = ["/".join(s.getPath().toString().split("/")[-len(FOLDER) :]) for s in fs.globStatus(found) or []]
-        return {n: n for n in names}
+        placed = rows.select(*self.schema.names).withColumns({
+            "kind": F.coalesce(F.concat(F.lit(PREFIX), "category"), F.lit(NO_KIND)),
+            "day": F.when(dated, F.left("cached_at", F.lit(10))).otherwise(NO_DAY),
+        })
+        return store.append_batch(placed, self.path, TABLE, ["kind", "day"], ["url"])
 
     def _commit(self, held: store.Version, folders: dict[str, str]) -> None:
         store.commit(self.spark, self.path, store.Version(

@@ -106,6 +106,22 @@ def write_partitions(
     return out
 
 
+def append_batch(rows: DataFrame, path: str, table: str, by: list[str], sort: list[str]) -> dict[str, str]:
+    """Write rows as a batch of their own, cut by partition columns: its folders, `batch=…/a=x/b=y`.
+
+    The batch comes first in a folder's name, so only the new folders are listed.
+    """
+    batch, root = uuid.uuid4().hex, f"{path}/{table}"
+    (
+        rows.withColumn("batch", F.lit(batch)).hint("rebalance", *[F.col(c) for c in by])
+        .sortWithinPartitions(*by, *sort)
+        .write.mode("append").partitionBy("batch", *by).parquet(root)
+    )
+    fs, found = file_system(rows.sparkSession, "/".join([root, f"batch={batch}", *[f"{c}=*" for c in by]]))
+    names = ["/".join(s.getPath().toString().split("/")[-len(by) - 1 :]) for s in fs.globStatus(found) or []]
+    return {n: n for n in names}
+
+
 def changed(tables: dict[str, dict[str, str]], table: str, new: dict[str, str | None]) -> dict[str, dict[str, str]]:
     """The tables with some partitions of one replaced, or gone where they have no rows."""
     live = {k: f for k, f in tables.get(table, {}).items() if k not in new} | {k: f for k, f in new.items() if f is not None}

@@ -149,3 +149,24 @@ def test_grams_of_odd_texts(one):
     assert one(trigrams.grams, None) == [] and one(trigrams.grams, "ab") == []
     assert one(trigrams.grams, "ABCa") == ["abc", "bca"]
     assert one(lambda t: F.size(trigrams.grams(F.repeat(t, 200_000))), "xyz") == 3
+
+
+def test_a_key_seen_long_ago_is_dropped(spark, tmp_path):
+    from corpusloom.streaming.incremental import first_seen_ever, read_first_seen
+
+    landed, table = tmp_path / "in", str(tmp_path / "t")
+    schema = spark.createDataFrame([], "k string, n int").schema
+    batches = [[("a", 2), ("a", 1), ("b", 3)], [("c", 4)], [(None, 5), (None, 6)], [("a", 7), (None, 8), ("d", 9)], [("b", 10)]]
+
+    def run():
+        stream = spark.readStream.schema(schema).json(str(landed))
+        first_seen_ever(stream, "k", ["n"], table, str(tmp_path / "p"), buckets=2, most_batches=2).awaitTermination()
+        return {r["k"]: r["n"] for r in read_first_seen(spark, table, schema).collect()}
+
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(landed))
+        got = run()  # a restart each time
+    assert got == {"a": 1, "b": 3, "c": 4, None: 5, "d": 9}
+    assert read_first_seen(spark, table, schema).count() == 5
+    live = store.current(spark, table).tables["seen"]
+    assert all(sum(k.endswith(f"bucket={b}") for k in live) <= 3 for b in range(2))
