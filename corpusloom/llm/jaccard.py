@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    WORD, dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
+    FREED_SHUFFLES, SMALL_BATCHES, WORD, dropped, may_be_in, mix, query, settings, sieve, signed, stored, table, window_hashes,
+    word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
@@ -76,14 +77,17 @@ def common_words(docs: DataFrame) -> pd.Series:
 
     They only order the prefixes, so that runs of common words and passages
     shared by many documents make no large tiles; any order gives the same
-    links. Tasks report what they have seen twice in a portion.
+    links. Tasks report what they have seen twice in a portion, and all words of
+    a small one, so that a table dealt over many tasks has the same common words.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def told(parts: list[np.ndarray]) -> pd.DataFrame:
             h, c = np.unique(np.concatenate(parts), return_counts=True)
-            total = pd.DataFrame({"h": [0], "c": [c.sum()], "total": [True]})
-            return pd.concat([total, pd.DataFrame({"h": signed(h[c > 1]), "c": c[c > 1], "total": False})])
+            size = c.sum()
+            often = c > (1 if 4 * size > PORTION else 0)
+            total = pd.DataFrame({"h": [0], "c": [size], "total": [True]})
+            return pd.concat([total, pd.DataFrame({"h": signed(h[often]), "c": c[often], "total": False})])
 
         parts, size = [], 0
         for b in batches:
@@ -312,7 +316,11 @@ def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     component has an id, component is null, and one text of it leads: its _ref
     is told by leads.
     """
-    small_batches(docs.sparkSession)
+    with settings(docs.sparkSession, SMALL_BATCHES | FREED_SHUFFLES):
+        return _classes(docs, words, percent)
+
+
+def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     docs = docs.withColumn("_ref", F.when(F.col("_id").isNull(), F.md5("_text")))
     built = stored(sets_of(docs, words, percent))
     alone = without_ids(built)
