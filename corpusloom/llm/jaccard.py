@@ -22,6 +22,7 @@ PORTION = 1_000_000  # words counted at once
 COMMON = 1_000_000
 BLOCK = 512  # rows of a tile that meet each other in one piece
 BITS = 1  # the bitmap of a set has from 2**BITS bits for an element on
+KNOWN_PAIRS = 200_000  # of pairs that a task has told already, as many are kept in mind
 
 
 def runs_of(h: np.ndarray, words: int) -> np.ndarray:
@@ -189,16 +190,17 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(check, "a long, b long")
 
 
-def tile_pairs(tiles: pd.DataFrame, percent: int) -> pd.DataFrame:
+def tile_pairs(tiles: pd.DataFrame, percent: int, seen: set[tuple[int, int]]) -> pd.DataFrame:
     """Pairs within the tiles, in different classes so far, that sizes and bitmaps don't rule out.
 
-    Rows come by tile and size. Row i is compared with row i + 1, then i + 2 and
+    Pairs in `seen` are not told again; it gets the new ones. Rows come by tile and
+    size. Row i is compared with row i + 1, then i + 2 and
     so on, for all i at once, as long as that is in the same tile and band.
     """
     t, n, label, ids, home, block, cross, bits = (
         tiles[c].to_numpy() for c in ("t", "n", "label", "id", "home", "block", "cross", "bits"))
     numbers: dict[int, tuple[int, int]] = {}
-    seen: set[tuple[int, int]] = set()
+    new: list[tuple[int, int]] = []
     i, step = np.arange(len(t) - 1), 1
     while len(i):
         j = i + step
@@ -214,9 +216,10 @@ def tile_pairs(tiles: pd.DataFrame, percent: int) -> pd.DataFrame:
                     numbers[ids[r]] = as_number(bits[r])
             if may_link(int(n[x]), int(n[y]), numbers[ids[x]], numbers[ids[y]], percent):
                 seen.add(pair)
+                new.append(pair)
         step += 1
         i = i[i + step < len(t)]
-    return pd.DataFrame(sorted(seen), columns=["a", "b"], dtype=np.int64)
+    return pd.DataFrame(sorted(new), columns=["a", "b"], dtype=np.int64)
 
 
 def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
@@ -273,7 +276,7 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
     rest = rest.join(sets.select("id", "bits"), "id").repartition(F.col("t")).sortWithinPartitions("t", "n", "id")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held, seen = None, set()
         for b in itertools.chain(batches, [None]):
             now = held if b is None else b if held is None else pd.concat([held, b], ignore_index=True)
             if now is None or not len(now):
@@ -281,12 +284,16 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
             t = now["t"].to_numpy()
             whole = len(now) if b is None else int(np.searchsorted(t == t[-1], True))
             if whole:
-                yield tile_pairs(now.iloc[:whole], percent)
+                if len(seen) > KNOWN_PAIRS:
+                    seen.clear()
+                yield tile_pairs(now.iloc[:whole], percent, seen)
             held = None if b is None else now.iloc[whole:]
 
     pairs = rest.select("t", "id", "n", "home", "label", "block", "cross", "bits").mapInPandas(compare, "a long, b long")
-    pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-    for done in (live, tried, found):
+    # stored first: the optimizer would join before it makes the pairs distinct
+    told = stored(pairs.distinct())
+    pairs = stored(told.join(tried, ["a", "b"], "left_anti"))
+    for done in (live, tried, found, told):
         dropped(done)
     out = stored(first.union(verified(pairs, docs, words, percent)))
     dropped(first)

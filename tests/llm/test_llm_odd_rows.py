@@ -475,3 +475,24 @@ def test_ranking(spark, odd, none):
     assert got == brute_ranks(docs, items)
     assert ranking.ranked(none, q).count() == 0 and ranking.ranked(d, q.limit(0)).count() == 0
     assert ranking.ranked(odd, q).count() >= 0
+
+
+def test_join_leaves_the_session_as_it_was(spark, none):
+    from corpusloom.llm.common import FREED_SHUFFLES, SMALL_BATCHES
+
+    keys = [*FREED_SHUFFLES, *SMALL_BATCHES]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[1], "7777")
+    jaccard.jaccard_components(none).count()
+    assert spark.conf.get(keys[1]) == "7777" and spark.conf.get(keys[0], None) == before[keys[0]]
+    spark.conf.unset(keys[1]) if before[keys[1]] is None else spark.conf.set(keys[1], before[keys[1]])
+
+
+def test_tile_pairs_are_told_once():
+    import pandas as pd
+
+    rows = pd.DataFrame({"t": [1, 1, 1], "id": [1, 2, 3], "n": [40, 40, 41], "home": True, "label": [1, 2, 3], "block": 0, "cross": False})
+    rows["bits"] = [jaccard.bitmap(np.arange(n, dtype=np.uint64), 6) for n in rows["n"]]
+    seen = set()
+    assert jaccard.tile_pairs(rows, 85, seen).to_numpy().tolist() == [[1, 2], [1, 3], [2, 3]]
+    assert len(jaccard.tile_pairs(rows, 85, seen)) == 0 and len(seen) == 3
