@@ -80,6 +80,10 @@ def text_nodes(html: Column) -> Column:
     return F.filter(nodes, lambda n: n != "")
 
 
+def _nonempty(text: Column) -> Column:
+    return F.when(text != "", text)
+
+
 def html_text(html: Column, separator: str = "") -> Column:
     return F.array_join(text_nodes(html), separator)
 
@@ -516,57 +520,83 @@ def card_url(card: Column, base: str) -> Column:
     return F.concat(F.lit(base), path)
 
 
-def event_detail(html: Column) -> Column:
-    """When, Venue, Address lines and the intro of an event's own page."""
-    main = F.coalesce(
-        *[F.nullif(r, F.lit("")) for r in content_regions(html)[:3]], F.lit("")
+def _event_times(when: Column) -> Column:
+    """The texts beside the calendar and the clock."""
+    def after_icon(icon: str) -> Column:
+        node = F.regexp_extract(
+            when, rf"(?is)<i\b[^>]*{_class_attr(icon)}[^>]*>\s*</i>\s*([^<]*)", 1
+        )
+        return let(strip(decode_entities(node)), _nonempty)
+
+    return F.concat_ws(" · ", after_icon("fa-calendar"), after_icon("fa-clock"))
+
+
+def _event_venue(where: Column) -> Column:
+    return html_text(F.coalesce(let(element(where, "h4"), _nonempty), by_class(where, "h4")))
+
+
+def _event_address(where: Column) -> Column:
+    return F.coalesce(
+        F.get(
+            F.filter(anchors(where), lambda a: a["href"].contains("maps.google")), 0
+        )["text"],
+        F.lit(""),
     )
+
+
+def _event_head(main: Column) -> Column:
+    """When, Venue and Address lines of an event's header."""
     header = F.regexp_extract(
         main,
         rf"(?is)<(\w+)\b[^>]*(?:{_class_attr('event-header')}|aria-label=\"Event info\")"
         r"[^>]*>(.*?)</\1\s*>", 2,
     )
 
-    def column(label: str) -> Column:
+    def column(given: Column, label: str) -> Column:
         head = rf"<span\b[^>]*{_class_attr('event-header-column-headline')}[^>]*>\s*"
         return F.regexp_extract(
-            header, rf"(?is){head}{label}\s*</span>(.*?)(?={head}|\z)", 1
+            given, rf"(?is){head}{label}\s*</span>(.*?)(?={head}|\z)", 1
         )
 
-    def after_icon(block: Column, icon: str) -> Column:
-        node = F.regexp_extract(
-            block, rf"(?is)<i\b[^>]*{_class_attr(icon)}[^>]*>\s*</i>\s*([^<]*)", 1
+    def line(label: str, text: Column) -> Column:
+        return let(text, lambda t: F.when(t != "", F.concat(F.lit(f"**{label}**: "), t)))
+
+    def of(given: Column) -> Column:
+        where = let(
+            column(given, "Where"),
+            lambda w: F.concat_ws("\n", line("Venue", _event_venue(w)), line("Address", _event_address(w))),
         )
-        return F.nullif(strip(decode_entities(node)), F.lit(""))
+        when = line("When", let(column(given, "When"), _event_times))
+        return F.concat_ws("\n", when, let(where, _nonempty))
 
-    when = column("When")
-    where = column("Where")
-    times = F.concat_ws(" · ", after_icon(when, "fa-calendar"), after_icon(when, "fa-clock"))
-    venue = html_text(
-        F.coalesce(F.nullif(element(where, "h4"), F.lit("")), by_class(where, "h4"))
-    )
-    address = F.coalesce(
-        F.get(
-            F.filter(anchors(where), lambda a: a["href"].contains("maps.google")), 0
-        )["text"],
-        F.lit(""),
-    )
-    intro = first_nonblank(
-        by_id(main, "intro"), by_class(main, "intro"), by_class(main, "event-description"),
-        by_class(main, "page-body"),
-    )
+    return let(header, of)
+
+
+def _event_intro(main: Column) -> Column:
+    picks = (by_id(main, "intro"), by_class(main, "intro"), by_class(main, "event-description"),
+             by_class(main, "page-body"))
+    intro = F.coalesce(*[let(p, _nonempty) for p in picks], F.lit(""))
     kept = F.filter(
         F.split(html_to_markdown(intro), "\n", -1),
         lambda x: ~x.contains("RSVP") | (F.length(x) > 20),
     )
-    head = F.concat_ws(
-        "\n",
-        F.when(times != "", F.concat(F.lit("**When**: "), times)),
-        F.when(venue != "", F.concat(F.lit("**Venue**: "), venue)),
-        F.when(address != "", F.concat(F.lit("**Address**: "), address)),
-    )
-    block = F.when(head != "", F.concat(head, F.lit("\n\n"))).otherwise("")
-    return strip(F.concat(block, F.array_join(kept, "\n")))
+    return F.array_join(kept, "\n")
+
+
+def event_detail(html: Column) -> Column:
+    """When, Venue, Address lines and the intro of an event's own page.
+
+    Every part is bound before it is read twice, so the expression grows with the
+    number of parts, not with the product of their mentions.
+    """
+    def of(main: Column) -> Column:
+        head = let(_event_head(main), lambda h: F.when(h != "", F.concat(h, F.lit("\n\n"))).otherwise(""))
+        return strip(F.concat(head, _event_intro(main)))
+
+    def region(page: Column) -> Column:
+        return F.coalesce(*[let(r, _nonempty) for r in content_regions(page)[:3]], F.lit(""))
+
+    return let(let(html, region), of)
 
 
 def external_urls(html: Column) -> Column:

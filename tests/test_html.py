@@ -2,6 +2,7 @@ import random
 from html import unescape
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.functions import compare as V
 from corpusloom.functions import html as H
@@ -92,6 +93,11 @@ def test_detail_drops_short_rsvp_lines(one):
     assert one(H.event_detail, "<article>x</article>") == ""
 
 
+def test_detail_binds_its_parts(spark):
+    """Parts that are read several times are not copied into each other."""
+    assert len(str(H.event_detail(F.col("html")))) < 250_000
+
+
 # --- word comparison --------------------------------------------------------
 
 
