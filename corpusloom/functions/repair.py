@@ -7,7 +7,6 @@ from collections.abc import Callable
 from functools import reduce
 from itertools import groupby
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -213,9 +212,11 @@ def add_rule(book: RuleBook, key: str, description: str, rule: Rule) -> RuleBook
 
 
 class PythonRule:
-    """A rule from a plain function of one text, run over Arrow batches; a null stays null.
+    """A rule from a plain function of one text; a null stays null.
 
-    For what columns can't express. The function must be pure, as Spark may run it again.
+    For what columns can't express. The function must be pure, as Spark may run it
+    again. Texts go to Python a hundred rows at a time, so what a worker holds
+    doesn't grow with the table, as Arrow batches of ten thousand texts do.
     """
 
     def __init__(self, fn: Callable[[str], str]):
@@ -223,11 +224,7 @@ class PythonRule:
 
     def __call__(self, text: Column) -> Column:
         fn = self.fn
-
-        @F.pandas_udf("string")
-        def run(texts: pd.Series) -> pd.Series:
-            return texts.map(fn, na_action="ignore")
-
+        run = F.udf(lambda t: None if t is None else fn(t), "string", useArrow=False)
         return run(text)
 
 
