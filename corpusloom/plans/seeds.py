@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.plans.book import lit, table
+from corpusloom.plans.book import lit, spread, table
 
 CLEANED_AT = "2026-01-03T00:00:00+00:00"
 BASE = "https://www.example.org"
@@ -132,7 +132,7 @@ EVENT_SQL = (
 
 
 def event_md(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         "event_id",
         _c("event-", _col("event_id")).alias("slug"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
@@ -173,7 +173,7 @@ def members(spark: SparkSession, sf: str) -> DataFrame:
     )
     area = F.when(key % 11 == 0, "").otherwise(F.replace("n_name", F.lit("_"), F.lit(" ")))
     nation = table(spark, sf, "nation")
-    return table(spark, sf, "customer").join(nation, _col("c_nationkey") == _col("n_nationkey")).select(
+    return spread(table(spark, sf, "customer")).join(nation, _col("c_nationkey") == _col("n_nationkey")).select(
         "c_custkey",
         F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))).alias("slug"),
         F.replace("c_name", F.lit("#"), F.lit(" ")).alias("name"),

@@ -279,3 +279,12 @@ def test_date_bounds_reach_the_scan(spark, tmp_path):
     past = FD.matching_events(items, "2026-01-04", include_past=True, date_to="20260103")
     assert sorted(r["slug"] for r in past.collect()) == ["e0", "e1", "e2"]
     assert FD.matching_events(items, "2026-01-04", include_past=True).count() == 8
+
+
+def test_short_rows_are_dealt_out_by_number(spark, tmp_path):
+    from corpusloom.plans import book
+
+    spark.range(book.ROWS_A_TASK * 3).coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    dealt = book.spread(rows)
+    assert dealt.rdd.getNumPartitions() >= 3 and dealt.agg(F.sum("id")).first() == rows.agg(F.sum("id")).first()
