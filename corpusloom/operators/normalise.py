@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules, schemas
 from corpusloom.functions import markdown as M
 from corpusloom.functions.text import first_nonblank, rstrip, slug_title, strip
-from corpusloom.operators.scale import first_by
+from corpusloom.operators.scale import first_by, split_by_bits
 
 
 def _provenance(content_type: str, url: Column, ingested: Column, cleaned_at: str) -> list[Column]:
@@ -65,8 +65,10 @@ def policy_sections(pdfs: DataFrame, raw: DataFrame) -> DataFrame:
     """
     sections = pdf_sections(pdfs)
     first = sections.join(raw.select("slug"), "slug", "left_semi").groupBy("slug").agg(F.min("file").alias("_first"))
+    near, rest = split_by_bits(sections, ["slug", "file"], first.select("slug", F.col("_first").alias("file")))
     heading = F.when(F.col("file") == F.col("_first"), rules.DETAIL_HEADING).otherwise("")
-    return sections.join(first, "slug", "left").select("slug", "file", heading.alias("heading"), "detail")
+    headed = near.join(first, "slug", "left").select("slug", "file", heading.alias("heading"), "detail")
+    return headed.unionByName(rest.select("slug", "file", F.lit("").alias("heading"), "detail"))
 
 
 def pdf_only_slugs(pdfs: DataFrame, raw: DataFrame) -> DataFrame:

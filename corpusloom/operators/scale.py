@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.text import let
+
 SKETCH = 40  # sampled keys for each piece of a sketch
 PIECES = 256  # of the rows among which a page is looked for
 MOST_PIECES = 4_096  # of the rows that are numbered
@@ -41,6 +44,21 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left
     return joined.select(*fact.columns, *values)
 
 
+def split_by_bits(rows: DataFrame, keys: list[str], wanted: DataFrame, bits: int = 22) -> tuple[DataFrame, DataFrame]:
+    """(rows whose keys may be among `wanted`, rows whose keys surely aren't): spares the second a shuffle by a join.
+
+    A bitmap of fixed size is all that is broadcast, at most 2**bits / 64 rows.
+    The more keys are wanted, the more others are let through, so a join must
+    follow over the first part.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+    word, bit = F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    held = wanted.groupBy(word.alias("_w")).agg(F.bit_or(bit).alias("_b"))
+    marked = rows.withColumn("_w", word).join(F.broadcast(held), "_w", "left")
+    may = F.coalesce(F.col("_b").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.filter(may).select(*rows.columns), marked.filter(~may).select(*rows.columns)
+
+
 # --- order statistics ----------------------------------------------------------
 
 
@@ -85,11 +103,15 @@ def _cuts(rows: DataFrame, order: list[Key], total: int, pieces: int) -> list[tu
 
 def _piece(rows: DataFrame, order: list[Key], cuts: list[tuple]) -> Column:
     """How many of the cuts a row doesn't stand before: the number of its piece."""
+    if not cuts:
+        return F.lit(0)
     kinds = [rows.select(k.column.alias("k")).schema["k"].dataType for k in order]
-    literal = F.array(*[
-        F.struct(*[F.lit(v).cast(kind).alias(f"k{i}") for i, (v, kind) in enumerate(zip(cut, kinds, strict=True))])
-        for cut in cuts
-    ])
+
+    def literal(given: list[tuple]) -> Column:
+        return F.array(*[
+            F.struct(*[F.lit(v).cast(kind).alias(f"k{i}") for i, (v, kind) in enumerate(zip(cut, kinds, strict=True))])
+            for cut in given
+        ])
 
     def reached(cut: Column) -> Column:
         out = F.lit(True)
@@ -98,7 +120,16 @@ def _piece(rows: DataFrame, order: list[Key], cuts: list[tuple]) -> Column:
             out = F.when(k.before(value), False).when(k.column.eqNullSafe(value), out).otherwise(True)
         return out
 
-    return F.size(F.filter(literal, reached)) if cuts else F.lit(0)
+    def count(given: Column) -> Column:
+        return F.size(F.filter(given, reached))
+
+    # the cuts ascend, so every so many of them tell which stretch is to be looked at
+    step = isqrt(len(cuts))
+    heads = cuts[step - 1 :: step]
+    return let(
+        count(literal(heads)),
+        lambda n: n * step + count(F.slice(literal(cuts), n * step + 1, F.lit(step))),
+    )
 
 
 def nth_rows(rows: DataFrame, order: list[Key | str | Column], offset: int, limit: int, small: int = 100_000) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MANIFESTS = "_manifest"
+CODEC = "zstd"  # of stored tables: most of what they hold is text
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,11 @@ def commit(spark: SparkSession, path: str, version: Version) -> None:
         raise RuntimeError(f"version {version.number} of {path} was committed by another writer")
 
 
+def without_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A frame of a schema without rows, known to be empty when a query is planned: a join to it moves nothing."""
+    return spark.range(1).limit(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_table(
     spark: SparkSession, path: str, version: Version, table: str, schema: T.StructType, partitions: list[str] | None = None
 ) -> DataFrame:
@@ -70,7 +76,7 @@ def read_table(
     live = version.tables.get(table, {})
     folders = [live[k] for k in (live if partitions is None else partitions) if k in live]
     if not folders:
-        return spark.createDataFrame([], schema)
+        return without_rows(spark, schema)
     root = f"{path}/{table}"
     return (
         spark.read.schema(schema).option("basePath", root)
@@ -96,7 +102,7 @@ def write_partitions(
     (
         rows.withColumn("batch", F.lit(batch)).hint("rebalance", *[F.col(c) for c in by])
         .sortWithinPartitions(*by, *(sort or ["slug"]))
-        .write.mode("append").partitionBy(*by, "batch").parquet(f"{path}/{table}")
+        .write.mode("append").option("compression", CODEC).partitionBy(*by, "batch").parquet(f"{path}/{table}")
     )
     out: dict[str, str | None] = {}
     for key in keys:
@@ -115,7 +121,7 @@ def append_batch(rows: DataFrame, path: str, table: str, by: list[str], sort: li
     (
         rows.withColumn("batch", F.lit(batch)).hint("rebalance", *[F.col(c) for c in by])
         .sortWithinPartitions(*by, *sort)
-        .write.mode("append").partitionBy("batch", *by).parquet(root)
+        .write.mode("append").option("compression", CODEC).partitionBy("batch", *by).parquet(root)
     )
     fs, found = file_system(rows.sparkSession, "/".join([root, f"batch={batch}", *[f"{c}=*" for c in by]]))
     names = ["/".join(s.getPath().toString().split("/")[-len(by) - 1 :]) for s in fs.globStatus(found) or []]

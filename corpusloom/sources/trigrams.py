@@ -1,9 +1,11 @@
 """Postings of the trigrams of stored texts: which items may mention a text.
 
-A row (gram, doc) says that the text with that number holds three consecutive
-characters. The number is a short hash, so two texts may share one: an index
-names candidates and the search itself looks at them. Postings lie in the same
-partitions as the rows they point to and are committed with them.
+Each partition of a table is cut into a fixed number of blocks by a hash of its
+rows' keys, and a row (gram, doc) says that a text of that block holds three
+consecutive characters. So postings grow with a table's different grams, not with
+its rows. An index names candidates and the search itself looks at their texts.
+Postings lie in the same partitions as the rows they point to and are committed
+with them.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from corpusloom.sources import store
 
 WIDTH = 3
+BLOCKS = 256  # of a partition; another number needs another name of the tables of postings
 
 
 @dataclass(frozen=True)
@@ -35,8 +38,8 @@ class Indexed:
         return T.StructType([T.StructField("gram", T.StringType()), T.StructField("doc", T.IntegerType()), *strings])
 
 
-ITEMS = Indexed("items", "item_grams", ["content_type", "bucket"], ["title", "name", "body"], ["slug"])
-SECTIONS = Indexed("sections", "section_grams", ["bucket"], ["detail"], ["slug", "file"])
+ITEMS = Indexed("items", "item_gram_blocks", ["content_type", "bucket"], ["title", "name", "body"], ["slug"])
+SECTIONS = Indexed("sections", "section_gram_blocks", ["bucket"], ["detail"], ["slug", "file"])
 
 
 def grams(text: Column) -> Column:
@@ -53,10 +56,23 @@ def needle_grams(spark: SparkSession, needle: str) -> list[str]:
     return spark.sql("SELECT 1").select(grams(F.lit(needle))).first()[0]
 
 
+def block(kind: Indexed) -> Column:
+    """The number of the block of its partition that a row lies in."""
+    return F.pmod(F.hash(*kind.ident), F.lit(BLOCKS))
+
+
 def postings(rows: DataFrame, kind: Indexed) -> DataFrame:
-    """(gram, doc, partition columns) of a table's rows, each gram once a row."""
+    """(gram, doc, partition columns) of a table's rows, each gram once a block."""
     every = F.array_distinct(F.concat(*[grams(F.col(c)) for c in kind.texts]))
-    return rows.select(F.explode(every).alias("gram"), F.hash(*kind.ident).alias("doc"), *kind.by)
+    return rows.select(F.explode(every).alias("gram"), block(kind).alias("doc"), *kind.by).distinct()
+
+
+def mentions(kind: Indexed, needle: str) -> Column:
+    """Whether one of a row's texts holds a text, whatever their case."""
+    hit = F.lit(False)
+    for c in kind.texts:
+        hit = hit | F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lower(F.lit(needle)))
+    return hit
 
 
 def indexed(
@@ -79,10 +95,10 @@ class TextIndex:
     sections: T.StructType
 
     def hits(self, kind: Indexed, needle: str, under: str = "") -> DataFrame:
-        """(partition columns, doc) of the rows that hold all grams of the text; `under` starts the partitions looked at.
+        """(partition columns, doc) of the blocks that hold all grams of the text; `under` starts the partitions looked at.
 
-        Only rows of these grams are read, and the files are sorted by gram. Rows
-        that share a number may be counted together, which only adds candidates.
+        Only rows of these grams are read, and the files are sorted by gram. The
+        rows of a block are counted together, which only adds candidates.
         """
         wanted = needle_grams(self.spark, needle)
         keys = [k for k in self.held.tables.get(kind.postings, {}) if k.startswith(under)]
@@ -91,11 +107,12 @@ class TextIndex:
         return counted.filter(F.col("n") >= len(wanted)).drop("n")
 
     def _rows(self, kind: Indexed, schema: T.StructType, hits: DataFrame) -> DataFrame:
-        # at most as many as there are partitions
+        # at most as many as there are partitions, and as many blocks in each
         found = hits.select(*kind.by).distinct().collect()
         keys = ["/".join(f"{c}={r[c]}" for c in kind.by) for r in found]
         rows = store.read_table(self.spark, self.path, self.held, kind.table, schema, keys)
-        return rows.withColumn("doc", F.hash(*kind.ident)).join(hits, [*kind.by, "doc"], "left_semi").drop("doc")
+        blocks = F.broadcast(hits.distinct())
+        return rows.withColumn("doc", block(kind)).join(blocks, [*kind.by, "doc"], "left_semi").drop("doc")
 
     def sections_with(self, needle: str) -> DataFrame:
         """Sections that may mention a text."""
@@ -104,7 +121,7 @@ class TextIndex:
         return self._rows(SECTIONS, self.sections, self.hits(SECTIONS, needle)).drop("bucket")
 
     def items_with(self, needle: str, content_type: str, also: DataFrame | None = None) -> DataFrame:
-        """Items of a type that may mention a text, and those of the slugs in `also`.
+        """Items of a type that mention a text, and those of the slugs in `also` and some beside them.
 
         A text of fewer than three characters has no grams: all items may mention it.
         """
@@ -113,8 +130,8 @@ class TextIndex:
             keys = [k for k in self.held.tables.get("items", {}) if k.startswith(under)]
             return store.read_table(self.spark, self.path, self.held, "items", self.items, keys).drop("bucket")
         hits = self.hits(ITEMS, needle, under)
-        if also is not None:
-            named = store.with_bucket(also, self.held.buckets).select(
-                F.lit(content_type).alias("content_type"), "bucket", F.hash("slug").alias("doc"))
-            hits = hits.unionByName(named)
-        return self._rows(ITEMS, self.items, hits).drop("bucket")
+        if also is None:
+            return self._rows(ITEMS, self.items, hits).filter(mentions(ITEMS, needle)).drop("bucket")
+        named = store.with_bucket(also, self.held.buckets).select(
+            F.lit(content_type).alias("content_type"), "bucket", block(ITEMS).alias("doc"))
+        return self._rows(ITEMS, self.items, hits.unionByName(named)).drop("bucket")

@@ -147,8 +147,15 @@ def _new_sections(
     # at most as many as there are buckets
     keys = [f"bucket={r['bucket']}" for r in replaced.select("bucket").distinct().collect()]
     old = store.read_table(spark, path, held, "sections", STORED_SECTION, keys)
-    kept = old.join(replaced.select("slug"), "slug", "left_anti")
-    return store.write_partitions(new.unionByName(kept), path, "sections", ["bucket"], keys)
+    # the texts move by slug only where some of them stay
+    if not _strangers(old, replaced).isEmpty():
+        new = new.unionByName(old.join(replaced.select("slug"), "slug", "left_anti"))
+    return store.write_partitions(new, path, "sections", ["bucket"], keys)
+
+
+def _strangers(sections: DataFrame, slugs: DataFrame) -> DataFrame:
+    """The slugs of sections that are not among `slugs`, a null one always."""
+    return sections.select("slug").distinct().join(slugs.select("slug"), "slug", "left_anti")
 
 
 def _touched(items: DataFrame) -> list[str]:
@@ -223,8 +230,11 @@ def rebuild_site_tables(items: DataFrame | Store, path: str, sections: DataFrame
     if isinstance(items, Store):
         items, sections = items.items, items.sections if sections is None else sections
     for collection in COLLECTIONS:
-        site_table(items, collection).write.mode("overwrite").parquet(f"{path}/{collection}")
+        site_table(items, collection).write.mode("overwrite").option("compression", store.CODEC).parquet(f"{path}/{collection}")
     if sections is None:
-        sections = items.sparkSession.createDataFrame([], schemas.SECTION)
-    told = section_table(sections.join(items.filter("content_type = 'policy'").select("slug"), "slug", "left_semi"))
-    told.orderBy("slug", "file").write.mode("overwrite").parquet(f"{path}/policy-sections")
+        sections = store.without_rows(items.sparkSession, schemas.SECTION)
+    policies = items.filter("content_type = 'policy'").select("slug")
+    if not _strangers(sections, policies).isEmpty():
+        sections = sections.join(policies, "slug", "left_semi")
+    told = section_table(sections).orderBy("slug", "file")
+    told.write.mode("overwrite").option("compression", store.CODEC).parquet(f"{path}/policy-sections")

@@ -9,6 +9,7 @@ from corpusloom.operators import find as FD
 from corpusloom.operators import normalise as N
 from corpusloom.operators import registry as R
 from corpusloom.operators import reports as G
+from corpusloom.operators import scale
 from corpusloom.operators.scale import down, first_by, lookup_join, nth_rows, numbered, up
 from corpusloom.operators.snapshots import snapshot_stats, with_freshness
 
@@ -281,6 +282,28 @@ def test_date_bounds_reach_the_scan(spark, tmp_path):
     assert FD.matching_events(items, "2026-01-04", include_past=True).count() == 8
 
 
+def test_piece_of_a_row_equals_counting_all_cuts(spark):
+    rows = spark.range(3_000).select("id", F.when(F.col("id") % 7 != 0, F.col("id") % 50).alias("a")).cache()
+    order = [scale.down("a"), scale.up("id")]
+
+    def place(a, n):
+        return (a is None, -(a or 0), n)
+
+    for pieces in (2, 3, 17, 256):
+        cuts = scale._cuts(rows, order, 3_000, pieces)
+        got = rows.withColumn("p", scale._piece(rows, order, cuts)).collect()
+        assert all(r["p"] == sum(place(*c) <= place(r["a"], r["id"]) for c in cuts) for r in got)
+
+
+def test_split_by_bits_loses_no_wanted_row(spark):
+    rows = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None), (None, "x"), ("a", "x")], "k string, f string")
+    near, rest = scale.split_by_bits(rows, ["k", "f"], spark.createDataFrame([("a", "x"), ("b", None)], "k string, f string"))
+    assert sorted(map(tuple, near.collect()), key=str) == [("a", "x"), ("a", "x"), ("b", None)]
+    assert sorted(map(tuple, rest.collect()), key=str) == [("a", "y"), (None, "x")]
+    none, every = scale.split_by_bits(rows, ["k", "f"], rows.filter("false"))
+    assert none.count() == 0 and every.count() == 5
+
+
 def test_short_rows_are_dealt_out_by_number(spark, tmp_path):
     from corpusloom.plans import book
 

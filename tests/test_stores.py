@@ -127,6 +127,47 @@ def test_search_reads_candidate_partitions_only(spark, tmp_path):
     assert held.index.items_with("absent", "blog-post").count() == 0
 
 
+def test_postings_grow_with_grams_not_with_rows(spark):
+    rows = spark.range(5_000).select(
+        F.concat(F.lit("s"), "id").alias("slug"), F.lit("event").alias("content_type"), F.lit("0-of-1").alias("bucket"),
+        F.lit("").alias("title"), F.lit(None).cast("string").alias("name"), F.lit("props abc").alias("body"))
+    found = trigrams.postings(rows, trigrams.ITEMS)
+    assert found.count() <= 7 * trigrams.BLOCKS < 5_000 * 7
+    assert found.groupBy("gram", "doc").count().filter("count > 1").isEmpty()
+
+
+def test_search_by_index_with_null_keys_and_repeated_rows(spark, tmp_path):
+    path = str(tmp_path / "n")
+    rows = [(s, "policy", t, None, "body", None) for s, t in [(None, "Tax"), (None, "tax"), ("a", "TAX"), ("a", "tax"), ("b", "x")]]
+    writers.write_clean_items(schemas.conform(spark.createDataFrame(rows, ITEM)), path, 4)
+    writers.index_store(spark, path)
+    held = writers.read_store(spark, path)
+    assert held.index.items_with("tax", "policy").count() == 4
+    also = spark.createDataFrame([("b",)], "slug string")
+    assert {r["slug"] for r in held.index.items_with("tax", "policy", also).collect()} >= {None, "a", "b"}
+
+
+def test_sections_that_stay_and_sections_without_a_policy(spark, tmp_path):
+    path = str(tmp_path / "k")
+
+    def told(*rows):
+        return spark.createDataFrame([(*r, "", "d") for r in rows], "slug string, file string, heading string, detail string")
+
+    policies = schemas.conform(spark.createDataFrame([("p", "policy", "t", None, "b", None)], ITEM))
+    writers.write_clean_items(policies, path, 1, told(("p", "a"), ("q", "a"), (None, "a")))
+    writers.write_sections(told(("p", "b")), policies.select("slug"), path, 1)
+    held = writers.read_store(spark, path)
+    assert {(r["slug"], r["file"]) for r in held.sections.collect()} == {("p", "b"), ("q", "a"), (None, "a")}
+    writers.rebuild_site_tables(held, str(tmp_path / "site"))
+    assert [r["slug"] for r in spark.read.parquet(f"{tmp_path}/site/policy-sections").collect()] == ["p"]
+
+
+def test_a_first_write_joins_nothing(spark):
+    empty = store.read_table(spark, "none", store.Version(), "items", writers.STORED_ITEM)
+    assert "Scan" not in empty._jdf.queryExecution().optimizedPlan().toString() and empty.count() == 0
+    assert empty._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
+
+
 def test_sections_are_found_by_index_and_follow_their_policy(spark, tmp_path):
     path = str(tmp_path / "p")
     rows = [(f"p{i}", "policy", f"t{i}", None, "body", None) for i in range(12)]
