@@ -311,3 +311,14 @@ def test_short_rows_are_dealt_out_by_number(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "t"))
     dealt = book.spread(rows)
     assert dealt.rdd.getNumPartitions() >= 3 and dealt.agg(F.sum("id")).first() == rows.agg(F.sum("id")).first()
+
+
+def test_events_of_one_small_file_become_many_tasks(spark, tmp_path):
+    from corpusloom.plans import book, seeds
+
+    spark.range(book.ROWS_A_TASK * 3).select(
+        F.col("id").alias("event_id"), F.lit("2026-01-01 10:00:00").cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("bigint").alias("user_id"), F.lit("view").alias("event_type"), F.lit("{}").alias("props"),
+    ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    rows = seeds.event_md(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() >= 3 and rows.count() == book.ROWS_A_TASK * 3
