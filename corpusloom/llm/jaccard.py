@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    FREED_SHUFFLES, SMALL_BATCHES, WORD, dropped, may_be_in, mix, query, settings, sieve, signed, stored, table, window_hashes,
-    word_hashes, words_of,
+    FREED_SHUFFLES, SMALL_BATCHES, WORD, bits_set, dropped, may_be_in, mix, query, settings, sieve, signed, stored, table,
+    window_hashes, word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
 PORTION = 1_000_000  # words counted at once
 # A word is common if it is one in so many; this bounds the list of common words.
 COMMON = 1_000_000
-BLOCK = 512  # rows of a tile that meet each other in one piece
+BLOCK = 512  # sets that meet each other in one piece
+TILE_BITS = 26  # the bitmap of shared tiles has 2**TILE_BITS bits
+TILE_SHIFT = 56  # a tile's number is an element with the band in its upper bits
 BITS = 1  # the bitmap of a set has from 2**BITS bits for an element on
 KNOWN_PAIRS = 200_000  # of pairs that a task has told already, as many are kept in mind
 
@@ -191,89 +193,166 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def tile_pairs(tiles: pd.DataFrame, percent: int, seen: set[tuple[int, int]]) -> pd.DataFrame:
-    """Pairs within the tiles, in different classes so far, that sizes and bitmaps don't rule out.
+    """Pairs within the tiles, in different classes so far, that places, sizes and bitmaps don't rule out.
 
     Pairs in `seen` are not told again; it gets the new ones. Rows come by tile and
     size. Row i is compared with row i + 1, then i + 2 and
-    so on, for all i at once, as long as that is in the same tile and band.
+    so on, for all i at once, as long as that is in the same tile and band. What
+    stands before the first element that two sets share is in one of them only;
+    `pos` tells how many elements of a set do (0, if the column isn't there).
     """
     t, n, label, ids, home, block, cross, bits = (
         tiles[c].to_numpy() for c in ("t", "n", "label", "id", "home", "block", "cross", "bits"))
-    numbers: dict[int, tuple[int, int]] = {}
-    new: list[tuple[int, int]] = []
+    pos = tiles["pos"].to_numpy() if "pos" in tiles else np.zeros(len(t), np.int64)
+    _, first, own = np.unique(ids, return_index=True, return_inverse=True)
+    codes, held = [np.zeros(0, np.int64)], 0
     i, step = np.arange(len(t) - 1), 1
     while len(i):
         j = i + step
         near = (t[i] == t[j]) & (100 * n[i] >= percent * n[j])
         i, j = i[near], j[near]
         ok = (label[i] != label[j]) & (home[i] | home[j]) & (~cross[i] | (block[i] != block[j]))
-        for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
-            pair = (min(ids[x], ids[y]), max(ids[x], ids[y]))
-            if pair in seen:
-                continue
-            for r in (x, y):
-                if ids[r] not in numbers:
-                    numbers[ids[r]] = as_number(bits[r])
-            if may_link(int(n[x]), int(n[y]), numbers[ids[x]], numbers[ids[y]], percent):
-                seen.add(pair)
-                new.append(pair)
+        ok &= (100 + percent) * (pos[i] + pos[j]) <= (100 - percent) * (n[i] + n[j])
+        x, y = own[i[ok]], own[j[ok]]
+        codes.append(np.minimum(x, y) * len(first) + np.maximum(x, y))
+        held += len(codes[-1])
+        if held > PORTION:
+            codes = [np.unique(np.concatenate(codes))]
+            held = 0
         step += 1
         i = i[i + step < len(t)]
-    return pd.DataFrame(sorted(new), columns=["a", "b"], dtype=np.int64)
+    numbers: dict[int, tuple[int, int]] = {}
+    new: list[tuple[int, int]] = []
+    for x, y in zip(*(first[k].tolist() for k in np.divmod(np.unique(np.concatenate(codes)), max(1, len(first)))), strict=True):
+        pair = (int(ids[x]), int(ids[y]))
+        if pair in seen:
+            continue
+        for r in (x, y):
+            if r not in numbers:
+                numbers[r] = as_number(bits[r])
+        if may_link(int(n[x]), int(n[y]), numbers[x], numbers[y], percent):
+            seen.add(pair)
+            new.append(pair)
+    return pd.DataFrame(new, columns=["a", "b"], dtype=np.int64)
+
+
+def live_postings(sets: DataFrame) -> DataFrame:
+    """(t, id, n, home, pos): the tiles of each set that another set stands in, one of them at home.
+
+    A tile holds the sets of one size band that share a prefix element; sets
+    just above a band visit it as well. pos is the element's place in the set's
+    prefix. A bitmap of the shared tiles finds most of the others before they
+    are dealt out.
+    """
+    postings = (
+        sets.select("band", F.explode("bands").alias("at"), "prefix")
+        .select((F.col("at") == F.col("band")).alias("home"), "at", F.explode("prefix").alias("s"))
+        .select(F.col("s").bitwiseXOR(F.shiftleft(F.col("at").cast("long"), TILE_SHIFT)).alias("t"), "home")
+    )
+    shared = stored(postings.groupBy("t").agg(
+        F.count("*").alias("c"), F.max("home").alias("any_home")
+    ).filter("c > 1 and any_home").select("t"))
+    low = (1 << TILE_BITS) - 1
+    marks = sets.sparkSession.sparkContext.broadcast(
+        bits_set(shared.select(F.col("t").bitwiseAND(F.lit(low)).alias("p")), TILE_BITS))
+
+    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = marks.value
+        for b in batches:
+            rows = []
+            for i, n, band, bands, prefix in zip(b["id"], b["n"], b["band"], b["bands"], b["prefix"], strict=True):
+                for at in bands:
+                    t = prefix ^ (np.int64(at) << np.int64(TILE_SHIFT))
+                    place = t & low
+                    pos = np.flatnonzero((held[place >> 6] >> (place & 63)) & 1)
+                    if len(pos):
+                        rows.append((i, n, at == band, t[pos], pos))
+            yield pd.DataFrame(rows, columns=["id", "n", "home", "t", "pos"])
+
+    found = (
+        sets.select("id", "n", "band", "bands", "prefix")
+        .mapInPandas(kept, "id long, n long, home boolean, t array<long>, pos array<long>")
+        .select("id", "n", "home", F.explode(F.arrays_zip("t", "pos")).alias("p"))
+        .select("p.t", "id", "n", "home", "p.pos")
+    )
+    live = stored(found.join(shared, "t"))
+    marks.destroy()
+    dropped(shared)
+    return live
 
 
 def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b) between sets (id, n, bits, prefix; all different): enough links for the same components.
 
-    A tile holds the sets of one size band that share a prefix element; sets
-    just above a band visit it as well. First every set is compared with one
-    leader of its tiles only. What this connects needs no further comparing, so
-    a group of near copies is not paired with itself. Then the sets of a tile
-    that are not yet connected are compared by their bitmaps, large tiles
-    block by block, and what the bounds leave is verified. No pair is capped.
+    First every set is compared with one leader of its tiles only. What this
+    connects needs no further comparing, so a group of near copies is not paired
+    with itself. Then the sets of a tile that are not yet connected are compared
+    by their bitmaps, and what the bounds leave is verified. No pair is capped.
+
+    Near copies share many tiles. All open tiles with the same smallest class
+    are compared in one piece, so that a set comes there once, with its bitmap
+    and the list of its tiles, and a pair is told once, not for each tile. Large
+    pieces are cut into blocks that meet two by two.
     """
     band = F.greatest(F.lit(5), F.ceil(F.log2(F.col("n").cast("double")))).cast("int")
     lower = F.col("n") * percent <= F.pow(F.lit(2.0), F.col("band") - 1) * 100
     bands = F.when(lower & (F.col("band") > 5), F.array("band", F.col("band") - 1)).otherwise(F.array("band"))
-    postings = (
-        sets.withColumn("band", band).select("id", "n", "band", F.explode(bands).alias("at"), "prefix")
-        .select("id", "n", (F.col("at") == F.col("band")).alias("home"), "at", F.explode("prefix").alias("s"))
-        .select(F.xxhash64("s", "at").alias("t"), "id", "n", "home")
-    )
-    shared = postings.groupBy("t").agg(
-        F.count("*").alias("c"), F.max("home").alias("any_home")
-    ).filter("c > 1 and any_home").select("t", "c")
-    live = stored(postings.join(shared, "t"))
+    live = live_postings(sets.withColumn("band", band).withColumn("bands", bands))
 
     narrow = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100)))
     near = live.withColumn("sub", narrow)
     leaders = near.groupBy("t", "sub").agg(F.min("id").alias("lead"), F.count("*").alias("m")).filter("m > 1")
-    stars = (
+    stars = stored(
         near.join(leaders, ["t", "sub"]).filter("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("m"))
         .groupBy("id").agg(F.max_by("lead", F.struct("m", -F.col("lead"))).alias("lead"))
-        .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+        .select("id", F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     )
-    tried = stored(stars.distinct())
+    tried = stored(stars.select("a", "b").distinct())
     first = stored(verified(bounded(tried, sets, percent), docs, words, percent))
     found = stored(components(first))
 
-    named = live.join(found, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    named = (
+        live.join(found, "id", "left").withColumn("label", F.coalesce("component", "id"))
+        .join(stars, "id", "left").withColumn("pair", F.when(F.col("a").isNotNull(), F.struct("a", "b")))
+    )
+    # a tile of two sets is settled if they were compared
+    two = F.struct(F.min("id").alias("a"), F.max("id").alias("b"))
     open_tiles = named.groupBy("t").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi")
-    ).filter("lo <> hi").select("t")
-    pieces = F.ceil(F.col("c") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("id"), F.col("k")).cast("int")
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("pos").alias("least"), F.count("*").alias("c"),
+        (F.coalesce(F.min("pair") == two, F.lit(False)) | F.coalesce(F.max("pair") == two, F.lit(False))).alias("settled"),
+    ).filter("lo <> hi and not (c = 2 and settled)").select("t", "lo", "least")
+    # the largest partner is 100 / percent times as large
+    reach = (100 - percent) * F.col("n") >= percent * (F.col("pos") + F.col("least"))
+    standing = stored(
+        named.join(open_tiles, "t").filter(reach).select("lo", "id", "n", "label", "t", "home", "pos")
+        .repartition("id").groupBy("id", "lo").agg(
+            F.first("n").alias("n"), F.first("label").alias("label"), F.collect_list(F.struct("t", "home", "pos")).alias("at"))
+        .select("id", "lo", "n", "label", F.col("at.t").alias("t"), F.col("at.home").alias("home"), F.col("at.pos").alias("pos"))
+    )
+    # as many rows at most as there are blocks
+    large = standing.groupBy("lo").agg(F.count("*").alias("c")).filter(F.col("c") > BLOCK)
+    blocks = F.coalesce(F.ceil(F.col("c") / BLOCK), F.lit(1)).cast("int")
     rest = (
-        named.join(open_tiles, "t").withColumn("k", pieces).withColumn("block", mine)
+        standing.join(sets.select("id", "bits"), "id").join(F.broadcast(large), "lo", "left").withColumn("k", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select(
-            F.xxhash64("t", F.least("block", "other"), F.greatest("block", "other")).alias("t"),
-            (F.col("block") == F.col("other")).alias("same"), "id", "n", "home", "label", "block", "k",
-        )
+        .withColumn("piece", F.xxhash64("lo", F.least("block", "other"), F.greatest("block", "other")))
+        # a row that meets its own block stands in that block's piece only
+        .withColumn("cross", F.col("block") != F.col("other"))
+        .select("piece", "id", "n", "label", "block", "cross", "bits", "t", "home", "pos")
+        .repartition(F.col("piece")).sortWithinPartitions("piece")
     )
-    # a row that meets its own block stands in that block's tile only
-    rest = rest.withColumn("cross", ~F.col("same")).drop("same", "k")
-    rest = rest.join(sets.select("id", "bits"), "id").repartition(F.col("t")).sortWithinPartitions("t", "n", "id")
+
+    def tiles_of(rows: pd.DataFrame) -> pd.DataFrame:
+        """A row for each tile of each row, by piece, tile and size."""
+        many = rows["t"].map(len).to_numpy()
+        out = rows.loc[rows.index.repeat(many), ["piece", "id", "n", "label", "block", "cross", "bits"]]
+        at = {c: np.concatenate(rows[c].to_numpy()) for c in ("t", "home", "pos")}
+        order = np.lexsort((out["id"], out["n"], at["t"], out["piece"]))
+        out = out.assign(**at).iloc[order]
+        # the tiles are numbered, as two pieces may share one
+        new = (out["t"].to_numpy()[1:] != out["t"].to_numpy()[:-1]) | (out["piece"].to_numpy()[1:] != out["piece"].to_numpy()[:-1])
+        return out.assign(t=np.concatenate([[0], np.cumsum(new)]))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, seen = None, set()
@@ -281,19 +360,19 @@ def links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFra
             now = held if b is None else b if held is None else pd.concat([held, b], ignore_index=True)
             if now is None or not len(now):
                 continue
-            t = now["t"].to_numpy()
-            whole = len(now) if b is None else int(np.searchsorted(t == t[-1], True))
+            piece = now["piece"].to_numpy()
+            whole = len(now) if b is None else int(np.searchsorted(piece == piece[-1], True))
             if whole:
                 if len(seen) > KNOWN_PAIRS:
                     seen.clear()
-                yield tile_pairs(now.iloc[:whole], percent, seen)
-            held = None if b is None else now.iloc[whole:]
+                yield tile_pairs(tiles_of(now.iloc[:whole]), percent, seen)
+            held = None if b is None else now.iloc[whole:].reset_index(drop=True)
 
-    pairs = rest.select("t", "id", "n", "home", "label", "block", "cross", "bits").mapInPandas(compare, "a long, b long")
+    pairs = rest.mapInPandas(compare, "a long, b long")
     # stored first: the optimizer would join before it makes the pairs distinct
     told = stored(pairs.distinct())
     pairs = stored(told.join(tried, ["a", "b"], "left_anti"))
-    for done in (live, tried, found, told):
+    for done in (live, stars, tried, found, standing, told):
         dropped(done)
     out = stored(first.union(verified(pairs, docs, words, percent)))
     dropped(first)

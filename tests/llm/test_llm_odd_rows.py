@@ -496,3 +496,36 @@ def test_tile_pairs_are_told_once():
     seen = set()
     assert jaccard.tile_pairs(rows, 85, seen).to_numpy().tolist() == [[1, 2], [1, 3], [2, 3]]
     assert len(jaccard.tile_pairs(rows, 85, seen)) == 0 and len(seen) == 3
+
+
+def test_tile_pairs_by_place():
+    import pandas as pd
+
+    rows = pd.DataFrame({"t": 1, "id": [1, 2, 3], "n": 40, "home": True, "label": [1, 2, 3], "block": 0, "cross": False, "pos": [0, 2, 5]})
+    rows["bits"] = [jaccard.bitmap(np.arange(40, dtype=np.uint64), 6)] * 3
+    # 15 / 185 of 80 is 6: sets 2 and 3 have 7 elements before the shared one that the other has not
+    assert jaccard.tile_pairs(rows, 85, set()).to_numpy().tolist() == [[1, 2], [1, 3]]
+
+
+def test_a_set_is_compared_once_for_many_tiles(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    base, texts = [f"w{i}" for i in range(200)], []
+    for d in range(30):
+        words = list(base)
+        for k in r.choice(200, 4, replace=False):
+            words[k] = f"d{d}k{k}"
+        texts.append(" ".join(words))
+    tables = {}
+
+    def counted(df, by=None):
+        out = stored(df, by)
+        tables[frozenset(df.columns)] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard.jaccard_components(docs, 4, 85).collect()
+    assert sorted(x["component_id"] for x in got) == list(range(30))
+    tiles = tables[frozenset(["t", "id", "n", "home", "pos"])]
+    sets = tables[frozenset(["id", "lo", "n", "label", "t", "home", "pos"])]
+    assert tiles > 12 * 30 and sets < 4 * 30
