@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    FREED_SHUFFLES, SMALL_BATCHES, WORD, bits_set, dropped, may_be_in, mix, query, settings, sieve, signed, stored, table,
-    window_hashes, word_hashes, words_of,
+    FREED_SHUFFLES, SMALL_BATCHES, WORD, bits_set, dropped, mix, query, settings, sieve, signed, stored, table,
+    window_hashes, with_may_be_in, word_hashes, words_of,
 )
 from corpusloom.llm.components import components
 
@@ -424,8 +424,8 @@ def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # copies are few, so their ids are looked for without dealing out all the sets
     copies = stored(named.select("key", "_id").join(reps, (F.col("key") == F.col("_k")) & (F.col("_id") != F.col("rep")))
                     .select(F.col("_id").alias("id"), F.col("key").alias("_copy")))
-    given = named.select(F.col("_id").alias("id"), "n", "bits", "prefix", "key").withColumn(
-        "_may", may_be_in("id", copies.select("id")))
+    given = with_may_be_in(
+        named.select(F.col("_id").alias("id"), "n", "bits", "prefix", "key"), "id", copies.select("id"), "_may")
     doubtful = given.filter("_may").join(
         copies.withColumnRenamed("id", "_copy_id"), (F.col("id") == F.col("_copy_id")) & (F.col("key") == F.col("_copy")),
         "left_anti").dropDuplicates(["id", "key"])
@@ -475,13 +475,13 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     gone = found.filter("_id <> component").select(F.col("_id").alias("_cl_gone")).distinct()
     again = found.groupBy("_id").agg(F.count("*").alias("c")).filter("c > 1 and _id is not null")
     suspects = gone.select(F.col("_cl_gone").alias("_cl_id")).union(again.select("_id"))
-    marked = docs.withColumn("_cl_id", F.col("doc_id").cast("long"))
-    known = marked.filter("_cl_id is not null").withColumn("_cl_may", may_be_in("_cl_id", suspects))
+    numbered = docs.withColumn("_cl_id", F.col("doc_id").cast("long"))
+    known = with_may_be_in(numbered.filter("_cl_id is not null"), "_cl_id", suspects, "_cl_may")
     doubtful = known.filter("_cl_may").join(gone, F.col("_cl_id") == F.col("_cl_gone"), "left_anti")
     rest = known.filter("not _cl_may").unionByName(doubtful.dropDuplicates(["_cl_id", "text"])).select(*docs.columns)
     if found.filter("_id is null").isEmpty():
         return rest
-    without = marked.filter("_cl_id is null").withColumn("_cl_ref", F.md5("text"))
+    without = numbered.filter("_cl_id is null").withColumn("_cl_ref", F.md5("text"))
     empty = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) == 0
     leads = found.filter("_id is null and leads").select(F.col("_ref").alias("_cl_ref")).distinct()
     one = without.filter(~empty).join(leads, "_cl_ref", "left_semi").dropDuplicates(["_cl_ref"])

@@ -19,7 +19,7 @@ BLOCK = 4  # bytes a filter moves by; a filter sees two blocks
 GROUP = 16  # blocks pooled together first
 CHUNK = 8  # groups of a chunk; chunks overlap by one group
 DIM, FILTERS, HIDDEN = 4, 24, 12
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18  # its arrays take about 70 times as many bytes, and a worker keeps them
 
 
 class Network:

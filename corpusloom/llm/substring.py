@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
-    dropped, may_be_in, mix, query, sieve, signed, small_batches, stored, table, window_hashes, word_hashes, words_of,
+    dropped, mix, query, sieve, signed, small_batches, stored, table, window_hashes, with_may_be_in, word_hashes,
+    words_of,
 )
 
 OTHER = np.uint64(0x9E3779B97F4A7C15)  # sets the second hash of a window apart
@@ -254,8 +255,9 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     uid = key_of("_text")
     given = docs.select(F.col("text").alias("_text")).filter("_text is not null").select(uid.alias("uid"), "_text")
     lost = stored(kept_texts(given, window).select(F.col("uid").alias("_cl_uid"), F.col("kept").alias("_cl_kept")))
-    keyed = docs.withColumn("_cl_key", key_of("text")).withColumn(
-        "_cl_may", F.col("text").isNotNull() & may_be_in("_cl_key", lost.select(F.col("_cl_uid").alias("_cl_key"))))
+    keyed = with_may_be_in(
+        docs.withColumn("_cl_key", key_of("text")), "_cl_key", lost.select(F.col("_cl_uid").alias("_cl_key")), "_cl_may"
+    ).withColumn("_cl_may", F.col("text").isNotNull() & F.col("_cl_may"))
     changed = [F.coalesce("_cl_kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
     doubtful = keyed.filter("_cl_may").join(lost, F.col("_cl_key") == F.col("_cl_uid"), "left").select(*changed)
     return keyed.filter("not _cl_may").select(*docs.columns).unionByName(doubtful)

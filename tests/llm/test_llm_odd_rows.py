@@ -12,7 +12,7 @@ from conftest import LONG, PROSE
 from corpusloom.llm import (
     codes, fingerprint, jaccard, language, licenses, mixing, neighbours, pieces, quality, ranking, substring, toxicity, urls,
 )
-from corpusloom.llm.common import stored
+from corpusloom.llm.common import sieve, stored
 from corpusloom.llm.components import components
 
 
@@ -529,3 +529,23 @@ def test_a_set_is_compared_once_for_many_tiles(spark, monkeypatch):
     tiles = tables[frozenset(["t", "id", "n", "home", "pos"])]
     sets = tables[frozenset(["id", "lo", "n", "label", "t", "home", "pos"])]
     assert tiles > 12 * 30 and sets < 4 * 30
+
+
+def test_a_sieve_takes_no_python_worker(spark):
+    rows = spark.range(2_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("text").alias("w"))
+    wanted = spark.createDataFrame([(5,), (5,), (70,), (None,), (1_999,), (9_999,)], "k long")
+    found = sieve(rows, "k", wanted)
+    assert found.columns == ["k", "w"]
+    got = [r["k"] for r in found.collect()]
+    assert {None, 5, 70, 1_999} <= set(got) and len(got) == len(set(got)) < 20
+    assert sieve(rows, "k", wanted.limit(0)).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_quality_portions_give_one_result(monkeypatch):
+    net = quality.Network(1)
+    texts = [(f"some text {i} " * (i * 300)).encode() for i in range(60)]
+    small = net.scores(texts)
+    monkeypatch.setattr(quality, "BATCH_BYTES", 1 << 20)
+    assert max(map(len, texts)) > 1 << 17 and np.allclose(small, net.scores(texts), atol=2e-5)
