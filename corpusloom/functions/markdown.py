@@ -17,9 +17,11 @@ from corpusloom.functions.text import (
     blank_to_null,
     let,
     lines,
+    lstrip,
     quote_escape,
     quoted,
     rstrip,
+    rstrip_long,
     slug_title,
     strip,
     sub,
@@ -29,6 +31,20 @@ from corpusloom.functions.text import (
 )
 from corpusloom.rules import HS, WS
 
+
+def where_held(body: Column, texts: tuple[str, ...], change: Callable[[Column], Column]) -> Column:
+    """`change` for bodies that hold one of `texts`, without which it would change nothing.
+
+    A pattern needs the body decoded and looks at every character; a plain
+    search does neither.
+    """
+    def changed(b: Column) -> Column:
+        held = reduce(lambda x, y: x | y, [b.contains(t) for t in texts])
+        return F.when(held, change(b)).otherwise(b)
+
+    return let(body, changed)
+
+
 _CONTENTS = rf"(?d)^((?s:.*?))## \*\*Contents\*\*{WS}*\n(?:|(?s:.*?)\n)(?=\n## |\z)"
 
 
@@ -44,11 +60,14 @@ def strip_metadata_blockquote(body: Column) -> Column:
         rest = unlines(F.filter(lines(b), lambda x: ~(x.startswith(">") & x.rlike(meta))))
         return F.when(b.contains(">"), rest).otherwise(b)
 
-    return sub(let(body, kept), rf"^(?:{WS}+\z|{WS}*\n)", "")
+    def led(b: Column) -> Column:
+        return F.when(lstrip(b) != b, sub(b, rf"^(?:{WS}+\z|{WS}*\n)", "")).otherwise(b)
+
+    return let(let(body, kept), led)
 
 
 def collapse_blank_runs(body: Column) -> Column:
-    return sub(body, r"\n{3,}", "\n\n")
+    return where_held(body, ("\n\n\n",), lambda b: sub(b, r"\n{3,}", "\n\n"))
 
 
 def strip_image_lines(body: Column) -> Column:
@@ -67,11 +86,11 @@ def strip_image_lines(body: Column) -> Column:
 
 def cut_at(body: Column, pattern: str) -> Column:
     """Everything before the first match."""
-    return F.split(body, pattern, 2)[0]
+    return sub(body, rf"(?:{pattern})(?s:.*)\z", "")
 
 
 def strip_footer_sections(body: Column, markers=rules.FOOTER_MARKERS) -> Column:
-    return rstrip(cut_at(body, "|".join(markers)))
+    return rstrip_long(cut_at(body, "|".join(markers)))
 
 
 def strip_duplicate_h1(body: Column, title: Column) -> Column:
@@ -87,12 +106,14 @@ def strip_duplicate_h1(body: Column, title: Column) -> Column:
 
 
 def remove_close_carousel(body: Column) -> Column:
-    cut = cut_at(body, rf"(?i)CLOSE{WS}*\(X\)")
-    return rstrip(sub(cut, rf"Previous{WS}*\n{WS}*Next{WS}*\z", ""))
+    cut = where_held(body, ("(X)", "(x)"), lambda b: cut_at(b, rf"(?i)CLOSE{WS}*\(X\)"))
+    pager = rf"Previous{WS}*\n{WS}*Next{WS}*\z"
+    return rstrip_long(where_held(cut, ("Previous",), lambda b: sub(b, pager, "")))
 
 
 def remove_media_contact(body: Column) -> Column:
-    return rstrip(cut_at(body, rf"#####{WS}*Media Contact"))
+    contact = rf"#####{WS}*Media Contact"
+    return rstrip_long(where_held(body, ("Media Contact",), lambda b: cut_at(b, contact)))
 
 
 def clean_body(
@@ -127,17 +148,37 @@ def _is_field(names) -> Callable[[Column], Column]:
     return lambda x: x.contains("**:") & x.rlike(pattern)
 
 
+def _at_last_field(body: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """`use(head, rest)`: the lines up to the last with a `**:`, and what follows from a line feed on.
+
+    All fields stand in the head, so the rest, mostly the longer part, needn't be cut into lines.
+    """
+    def size(b: Column) -> Column:
+        tail = let(
+            F.substring_index(b, "**:", -1),
+            lambda t: F.octet_length(t) - F.octet_length(F.substring_index(t, "\n", 1)),
+        )
+        return F.when(b.contains("**:"), F.octet_length(b) - tail).otherwise(0)
+
+    def parted(b: Column) -> Column:
+        raw = b.cast("binary")  # is cut without counting characters
+        return let(size(b), lambda n: use(
+            F.substr(raw, F.lit(1), n).cast("string"), F.substr(raw, n + 1, F.octet_length(b)).cast("string"),
+        ))
+
+    return let(body, parted)
+
+
 def metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
     """`**Key**: Value` lines as map<string,string>; the last line of a key wins."""
-    field_line = rf"(?ds)^{WS}*\*\*({'|'.join(names)})\*\*:(.*)\z"
-    pairs = F.transform(
-        F.filter(lines(body), _is_field(names)),
-        lambda x: F.struct(
-            F.regexp_extract(x, field_line, 1).alias("k"),
-            strip(F.regexp_extract(x, field_line, 2)).alias("v"),
-        ),
+    def pair(line: Column) -> Column:
+        key = F.substring_index(F.substring_index(line, "**:", 1), "**", -1)
+        value = strip(F.substr(line, F.instr(line, "**:") + F.lit(3)))
+        return F.struct(key.alias("k"), value.alias("v"))
+
+    return _at_last_field(
+        body, lambda head, _: _last_wins(F.transform(F.filter(lines(head), _is_field(names)), pair))
     )
-    return _last_wins(pairs)
 
 
 def _last_wins(pairs: Column) -> Column:
@@ -160,7 +201,14 @@ def _last_wins(pairs: Column) -> Column:
 
 def without_metadata_fields(body: Column, names=rules.META_FIELDS) -> Column:
     is_field = _is_field(names)
-    return unlines(F.filter(lines(body), lambda x: ~is_field(x)))
+
+    def without(head: Column, rest: Column) -> Column:
+        def joined(kept: Column) -> Column:
+            return F.when(F.size(kept) > 0, F.concat(unlines(kept), rest)).otherwise(F.substr(rest, F.lit(2)))
+
+        return let(F.filter(lines(head), lambda x: ~is_field(x)), joined)
+
+    return _at_last_field(body, without)
 
 
 def blockquote_meta(body: Column, names=rules.QUOTE_FIELDS) -> Column:

@@ -19,6 +19,16 @@ def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(PY_WS))
 
 
+def rstrip_long(c: Column) -> Column:
+    """`rstrip` for long texts: a trim walks over all of a text, so one that ends in a printable ASCII byte is left alone."""
+    def trimmed(x: Column) -> Column:
+        last = F.substring(x.cast("binary"), -1, 1)
+        plain = last.between(F.lit(bytearray(b"!")), F.lit(bytearray(b"~")))
+        return F.when(plain, x).otherwise(rstrip(x))
+
+    return let(c, trimmed)
+
+
 def lstrip(c: Column) -> Column:
     return F.ltrim(c, F.lit(PY_WS))
 

@@ -9,7 +9,8 @@ PY_WS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_WS_BODY = "\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# spelled as escapes: Spark reads a pattern anew for each text, and ASCII is read fastest
+_WS_BODY = r"\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS = rf"[\s{_WS_BODY}]"
 # the same class without the line feed, for patterns that must stay on one line
 HS = rf"[ \t\x0b\x0c\r{_WS_BODY}]"

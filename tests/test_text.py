@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import markdown as M
 from corpusloom.functions import text as X
-from corpusloom.rules import PY_WS
+from corpusloom.rules import HS, PY_WS, WS
 
 
 def test_whitespace_is_pythons():
@@ -234,3 +234,41 @@ def test_age_and_label(one):
         assert one(lambda c: X.format_age(c.cast("bigint")), str(s)) == age
     assert one(lambda t: X.video_label(t, F.lit(61), F.lit("shorts")), "T") == "T  [1:01] [short]"
     assert one(lambda t: X.video_label(t, F.lit(None).cast("int"), F.lit("videos")), "T") == "T"
+
+
+def test_patterns_are_ascii():
+    assert WS.isascii() and HS.isascii()
+
+
+def test_pattern_only_where_its_text_is_held(one):
+    def marked(b):
+        return M.where_held(b, ("x", "yy"), lambda c: F.concat(c, F.lit("!")))
+
+    assert [one(marked, t) for t in ("ax", "yyb", "yb", "", None)] == ["ax!", "yyb!", "yb", "", None]
+
+
+@pytest.mark.parametrize("end", ["", "a", "~", "!", "é", " ", "\n \t", "a\xa0", "　", "\x85", "\x1f", "\x7f", "𝄞", "𝄞 "])
+def test_rstrip_long(one, end):
+    for text in ("", "b c"):
+        assert one(X.rstrip_long, text + end) == (text + end).rstrip(PY_WS)
+
+
+FIELD = r"(?:\*\*(?:Title|Date)\*\*:.|\s*\*\*(?:Title|Date)\*\*:.*\S)"
+
+
+@pytest.mark.parametrize("body", [
+    "", "\n", "a", "a\n\nb\n", "**Title**: x", "**Title**: x\n", "**Title**:\n\nb", "**Title**: é\n**Date**: 𝄞\n\nb **: c\n\nd é\n",
+    "**Title**: x\n**Date**: y", "\n**Title**: x", "a\n \x85**Date**:  y \xa0\n**Note**: z\n", "**Title**: a **:b\n**Title**: 2\nc",
+    "b\n**: c", "**:", "x **Title**: y\n**Date**: ",
+])
+def test_fields_end_at_the_last_mark(one, body):
+    found = [x for x in body.split("\n") if re.match(FIELD, x)]
+    pairs = {x.split("**", 2)[1]: x.split("**:", 1)[1].strip(PY_WS) for x in found}
+    assert one(lambda b: M.metadata_fields(b, ("Title", "Date")), body) == pairs
+    rest = "\n".join(x for x in body.split("\n") if x not in found)
+    assert one(lambda b: M.without_metadata_fields(b, ("Title", "Date")), body) == rest
+
+
+def test_cut_at_keeps_what_precedes_the_first_match(one):
+    for text in ("a\nb CUT c\nCUT", "CUT", "", "a\r\n\x85", "a CU\nT", "𝄞CUT\n\n"):
+        assert one(lambda b: M.cut_at(b, "CUT|X+Y"), text) == text.split("CUT")[0]
